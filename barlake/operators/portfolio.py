@@ -8,6 +8,8 @@ equity curve is a window over ``strategy`` ordered by date, one row per date.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +58,7 @@ def portfolio_stats(daily: DataFrame, strategy_cols: list[str], k_col: str, reba
         F.first(k_col).alias("_k"),
     )
     ann_ret = F.col("_mean") * F.lit(factor)
-    ann_vol = F.col("_std") * F.lit(factor ** 0.5)
+    ann_vol = F.col("_std") * F.lit(math.sqrt(factor))
     return agg.select(
         *strategy_cols,
         "cumulative_return",

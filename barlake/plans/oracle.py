@@ -232,3 +232,266 @@ SELECT symbol, CAST(year AS INTEGER) AS year, count(*) AS n_rows, count(returns_
        count(volatility_60d) AS n_volatility_60d, CAST(sum(label_direction_5d) AS BIGINT) AS n_up
 FROM features GROUP BY symbol, year"""),
 }
+
+
+# ---------------------------------------------------------------------------
+# Batch 2: folds, metrics, portfolio, upserts, lookups
+# ---------------------------------------------------------------------------
+SCORED = """
+scored AS (
+  SELECT symbol, date, returns_20d_rank AS p, CAST(label_direction_5d AS INTEGER) AS y, label_return_5d AS ret
+  FROM features WHERE isfinite(returns_20d_rank)
+)"""
+
+
+def bounds_cte(source: str) -> str:
+    return f"""
+bounds AS (
+  SELECT train_start, CAST(val_start - 7 AS DATE) AS train_end, val_start, val_end FROM (
+    SELECT train_start, val_end, CAST(train_start + CAST(((val_end - train_start) * 3) // 5 AS INTEGER) AS DATE) AS val_start
+    FROM (SELECT min(date) AS train_start, max(date) AS val_end FROM {source}))
+)"""
+
+
+def folds_cte(name: str = "folds", n: int = 3, expanding: bool = True, embargo: int = 5) -> str:
+    if n <= 1:
+        return f"{name} AS (SELECT 0 AS fold, train_start, train_end, val_start, val_end FROM bounds)"
+    ts = "train_start" if expanding else \
+        f"CAST(val_start + CAST(i * size AS INTEGER) - {embargo} - CAST(train_end - train_start AS INTEGER) AS DATE)"
+    return f"""
+{name} AS (
+  SELECT CAST(i AS INTEGER) AS fold, {ts} AS train_start,
+         CAST(val_start + CAST(i * size AS INTEGER) - {embargo} AS DATE) AS train_end,
+         CAST(val_start + CAST(i * size AS INTEGER) AS DATE) AS val_start,
+         CASE WHEN i = {n - 1} THEN val_end ELSE CAST(val_start + CAST((i + 1) * size AS INTEGER) AS DATE) END AS val_end
+  FROM (SELECT *, greatest(1, (val_end - val_start) // {n}) AS size FROM bounds), range({n}) t(i)
+)"""
+
+
+ROLES = """
+roles AS (
+  SELECT fold, 'train' AS role, train_start AS rs, train_end AS re FROM folds
+  UNION ALL SELECT fold, 'val', val_start, val_end FROM folds
+)"""
+
+VAL = "val AS (SELECT s.*, r.fold FROM scored s JOIN roles r ON s.date BETWEEN r.rs AND r.re WHERE r.role = 'val')"
+
+CONFUSION = """
+conf AS (
+  SELECT fold, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives,
+    CAST(sum(CASE WHEN p >= 0.5 AND y = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
+    CAST(sum(CASE WHEN p >= 0.5 AND y = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS fp,
+    CAST(sum(CASE WHEN p < 0.5 AND y = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fn,
+    CAST(sum(CASE WHEN p < 0.5 AND y = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS tn
+  FROM val GROUP BY fold
+)""", """
+cm AS (
+  SELECT fold, n, positives,
+    (tp + tn) / n AS accuracy,
+    CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+    CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+    CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1,
+    CAST(positives AS DOUBLE) / n AS positive_rate,
+    CAST(positives AS DOUBLE) / n AS baseline_always_positive_accuracy,
+    greatest(CAST(positives AS DOUBLE) / n, 1.0 - CAST(positives AS DOUBLE) / n) AS baseline_majority_accuracy
+  FROM conf
+)"""
+
+AUC = """
+auc AS (
+  SELECT fold,
+    (sum(ar) FILTER (WHERE y = 1) - CAST(sum(y) AS DOUBLE) * (sum(y) + 1) / 2.0)
+      / (CAST(sum(y) AS DOUBLE) * (count(*) - sum(y))) AS roc_auc
+  FROM (SELECT fold, y, rank() OVER (PARTITION BY fold ORDER BY p) + (count(*) OVER (PARTITION BY fold, p) - 1) / 2.0 AS ar FROM val)
+  GROUP BY fold
+)"""
+
+AP = """
+ap_t AS (SELECT fold, p, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg FROM val GROUP BY fold, p)""", """
+ap AS (
+  SELECT fold, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * tp / (tp + fp)) / sum(pos) ELSE CAST('nan' AS DOUBLE) END AS average_precision
+  FROM (SELECT *, sum(pos) OVER (PARTITION BY fold ORDER BY p DESC ROWS UNBOUNDED PRECEDING) AS tp,
+                  sum(neg) OVER (PARTITION BY fold ORDER BY p DESC ROWS UNBOUNDED PRECEDING) AS fp FROM ap_t)
+  GROUP BY fold
+)"""
+
+LOGLOSS = """
+ll AS (
+  SELECT fold, CASE WHEN sum(y) > 0 AND sum(y) < count(*) THEN
+      avg(-(y * ln(least(greatest(p, 1e-7), 1 - 1e-7)) + (1 - y) * ln(1 - least(greatest(p, 1e-7), 1 - 1e-7))))
+    ELSE CAST('nan' AS DOUBLE) END AS log_loss
+  FROM val GROUP BY fold
+)"""
+
+EVAL_CTES = [SCORED, bounds_cte("scored"), folds_cte(), ROLES, VAL]
+
+
+def eval_query(select: str, *extra: str) -> str:
+    return feature_query(select, extra=EVAL_CTES + list(extra))
+
+
+METRIC_NAMES = ["roc_auc", "average_precision", "log_loss", "accuracy", "precision", "recall", "f1",
+                "positive_rate", "baseline_always_positive_accuracy", "baseline_majority_accuracy"]
+
+GRID = "grid AS (SELECT CAST(k AS INTEGER) AS top_k, CAST(b AS DOUBLE) AS cost_bps FROM (VALUES (3, 5.0), (3, 10.0), (5, 5.0), (5, 10.0)) g(k, b))"
+PICKS = "picks AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY p DESC, symbol ASC) AS pick_rank FROM scored)"
+DAILY = """
+daily AS (
+  SELECT top_k, cost_bps, date, avg(ret) AS gross_return, avg(ret) - 2.0 * cost_bps / 10000.0 AS net_return
+  FROM picks JOIN grid ON pick_rank <= top_k GROUP BY top_k, cost_bps, date
+)""", """
+curve AS (
+  SELECT *, (equity - peak) / peak AS drawdown FROM (
+    SELECT *, max(equity) OVER (PARTITION BY top_k, cost_bps ORDER BY date ROWS UNBOUNDED PRECEDING) AS peak FROM (
+      SELECT *, product(1 + net_return) OVER (PARTITION BY top_k, cost_bps ORDER BY date ROWS UNBOUNDED PRECEDING) AS equity
+      FROM daily))
+)"""
+
+_F = 252.0 / 5
+_SQ = _F ** 0.5
+
+# catalogue (all bar symbols), gold bars, predictions
+CAT = """
+cat AS (
+  SELECT row_number() OVER (ORDER BY symbol) AS id, symbol, CAST(NULL AS VARCHAR) AS name, market, asset_type,
+         CASE WHEN asset_type = 'stock' AND regexp_matches(symbol, '^[0-9][0-9a-zA-Z]{3}') THEN substr(symbol, 1, 1) || '000' END AS sector_code,
+         listed_at, CAST(NULL AS DATE) AS delisted_at, TRUE AS is_active
+  FROM (SELECT symbol, market, asset_type, min(date) AS listed_at FROM bars GROUP BY symbol, market, asset_type)
+)"""
+
+
+def dec(c: str) -> str:
+    return f"CAST(CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS DECIMAL(18,6))"
+
+
+def gold(source: str) -> str:
+    return (f"SELECT c.id AS ticker_id, b.date, {dec('b.open')} AS open, {dec('b.high')} AS high, {dec('b.low')} AS low, "
+            f"{dec('b.close')} AS close, CAST(COALESCE(b.volume, 0) AS BIGINT) AS volume, b.open_interest "
+            f"FROM {source} b JOIN cat c ON b.symbol = c.symbol")
+
+
+PREDS = """
+preds AS (
+  SELECT c.id AS ticker_id, f.symbol, f.date AS prediction_date, 5 AS horizon_days, m.model_name, 'run1' AS run_id,
+         m.p AS predicted_probability, CAST(m.p >= 0.5 AS INTEGER) AS predicted_class,
+         CAST(f.label_direction_5d AS INTEGER) AS actual
+  FROM features f
+  JOIN cat c ON f.symbol = c.symbol
+  CROSS JOIN LATERAL (SELECT 'rank20' AS model_name, f.returns_20d_rank AS p UNION ALL SELECT 'rank5', f.returns_5d_rank) m
+  WHERE isfinite(m.p)
+)"""
+
+GOLD_OUT = "SELECT ticker_id, date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume, open_interest"
+
+ORACLE.update({
+    "walk_forward_folds": feature_query(
+        "SELECT 'expanding' AS mode, *, CAST(val_start - train_end AS INTEGER) AS gap_days FROM folds "
+        "UNION ALL SELECT 'rolling', *, CAST(val_start - train_end AS INTEGER) FROM folds_r "
+        "UNION ALL SELECT 'single', *, CAST(val_start - train_end AS INTEGER) FROM folds_1",
+        extra=[bounds_cte("features"), folds_cte(), folds_cte("folds_r", 3, False), folds_cte("folds_1", 1)]),
+    "fold_assignment": feature_query(
+        "SELECT r.fold, r.role, count(*) AS n_rows, count(DISTINCT f.symbol) AS n_symbols, min(f.date) AS first_date, max(f.date) AS last_date "
+        "FROM features f JOIN roles r ON f.date BETWEEN r.rs AND r.re GROUP BY r.fold, r.role",
+        extra=[bounds_cte("features"), folds_cte(), ROLES]),
+    "class_metrics": eval_query(select_out(["fold", "n", "positives"], [
+        "accuracy", "precision", "recall", "f1", "positive_rate", "baseline_always_positive_accuracy",
+        "baseline_majority_accuracy"], source="cm"), *CONFUSION),
+    "roc_auc": eval_query(select_out(["fold"], ["roc_auc"], source="auc"), AUC),
+    "average_precision": eval_query(select_out(["fold"], ["average_precision"], source="ap"), *AP),
+    "log_loss": eval_query(select_out(["fold"], ["log_loss"], source="ll"), LOGLOSS),
+    "run_metrics": eval_query(
+        "SELECT 'rank20' AS model_name, fold, 'val_' || metric AS metric, " + out("value") + " AS value FROM (UNPIVOT (SELECT cm.fold, "
+        + ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in METRIC_NAMES)
+        + " FROM cm JOIN auc USING (fold) JOIN ap USING (fold) JOIN ll USING (fold)) ON "
+        + ", ".join(METRIC_NAMES) + " INTO NAME metric VALUE value)",
+        *CONFUSION, AUC, *AP, LOGLOSS),
+    "topk_picks": feature_query(
+        select_out(["date", "symbol", "CAST(pick_rank AS INTEGER) AS pick_rank"], ["p", "ret"], source="picks", where="WHERE pick_rank <= 3"),
+        extra=[SCORED, PICKS]),
+    "portfolio_stats": feature_query(f"""
+SELECT top_k, cost_bps, CAST(count(*) * top_k AS BIGINT) AS n_trades,
+  {out('product(1 + net_return) - 1')} AS cumulative_return,
+  {out(f'avg(net_return) * {_F!r}')} AS annualised_return,
+  {out(f'coalesce(stddev_samp(net_return), 0.0) * {_SQ!r}')} AS annualised_volatility,
+  {out(f'CASE WHEN coalesce(stddev_samp(net_return), 0.0) * {_SQ!r} > 1e-12 THEN avg(net_return) * {_F!r} / (coalesce(stddev_samp(net_return), 0.0) * {_SQ!r}) ELSE 0.0 END')} AS sharpe_ratio,
+  {out('min(drawdown)')} AS max_drawdown,
+  {out('avg(CASE WHEN net_return > 0 THEN 1.0 ELSE 0.0 END)')} AS win_rate
+FROM curve GROUP BY top_k, cost_bps""", extra=[SCORED, PICKS, GRID, *DAILY]),
+    "equity_curve": feature_query(
+        select_out(["top_k", "cost_bps", "date"], ["gross_return", "net_return", "equity", "drawdown"], source="curve",
+                   where="WHERE top_k = 3 AND cost_bps = 5.0"),
+        extra=[SCORED, PICKS, GRID, *DAILY]),
+    "latest_row": bars_with() .replace("WITH", "WITH", 1) + (
+        "SELECT symbol, max(date) AS date, " + out("arg_max(close, date)") + " AS close, arg_max(volume, date) AS volume FROM bars GROUP BY symbol"),
+    "upsert_instruments": bars_with("""
+old AS (
+  SELECT row_number() OVER (ORDER BY symbol) AS id, symbol, symbol || ' Co' AS name, market, asset_type,
+         CAST(NULL AS VARCHAR) AS sector_code, listed_at, CAST(NULL AS DATE) AS delisted_at, TRUE AS is_active
+  FROM (SELECT symbol, market, asset_type, min(date) AS listed_at FROM brand_bars WHERE date < DATE '1998-01-01'
+        GROUP BY symbol, market, asset_type)
+)""", """
+upd AS (SELECT symbol, market, asset_type,
+          CASE WHEN asset_type = 'stock' AND regexp_matches(symbol, '^[0-9][0-9a-zA-Z]{3}') THEN substr(symbol, 1, 1) || '000' END AS sector_code,
+          min(date) AS listed_at
+        FROM bars WHERE date >= DATE '1997-01-01' GROUP BY symbol, market, asset_type)""", """
+newids AS (SELECT symbol, (SELECT max(id) FROM old) + row_number() OVER (ORDER BY symbol) AS id
+           FROM upd WHERE symbol NOT IN (SELECT symbol FROM old))""") + """
+SELECT CAST(COALESCE(o.id, n.id) AS BIGINT) AS id, COALESCE(o.symbol, u.symbol) AS symbol, o.name,
+  CASE WHEN u.symbol IS NOT NULL THEN u.market ELSE o.market END AS market,
+  CASE WHEN u.symbol IS NOT NULL THEN u.asset_type ELSE o.asset_type END AS asset_type,
+  CASE WHEN u.symbol IS NOT NULL THEN u.sector_code ELSE o.sector_code END AS sector_code,
+  CASE WHEN o.symbol IS NOT NULL AND u.symbol IS NOT NULL THEN least(o.listed_at, u.listed_at)
+       WHEN u.symbol IS NOT NULL THEN u.listed_at ELSE o.listed_at END AS listed_at,
+  o.delisted_at,
+  CASE WHEN u.symbol IS NOT NULL THEN TRUE ELSE o.is_active END AS is_active,
+  u.symbol IS NOT NULL AS touched
+FROM old o FULL OUTER JOIN upd u ON o.symbol = u.symbol LEFT JOIN newids n ON u.symbol = n.symbol""",
+    "upsert_bars": s.with_(s.LINES, s.BRAND, s.INDEX, s.BARS, CAT, *CLEAN_CTES,
+                           f"target AS ({gold('bars')} WHERE b.date < DATE '1999-01-01')",
+                           f"upd AS ({gold('cleaned')} WHERE b.date >= DATE '1998-07-01')",
+                           "merged AS (SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.ticker_id = t.ticker_id AND u.date = t.date) UNION ALL SELECT * FROM upd)")
+        + GOLD_OUT + " FROM merged",
+    "upsert_predictions": feature_query(f"""
+SELECT COALESCE(t.ticker_id, u.ticker_id) AS ticker_id, COALESCE(t.prediction_date, u.prediction_date) AS prediction_date,
+  COALESCE(t.horizon_days, u.horizon_days) AS horizon_days, COALESCE(t.model_name, u.model_name) AS model_name,
+  CASE WHEN u.ticker_id IS NOT NULL THEN u.run_id ELSE t.run_id END AS run_id,
+  {out('CASE WHEN u.ticker_id IS NOT NULL THEN u.predicted_probability ELSE t.predicted_probability END')} AS predicted_probability,
+  CASE WHEN u.ticker_id IS NOT NULL THEN u.predicted_class ELSE t.predicted_class END AS predicted_class,
+  CASE WHEN t.ticker_id IS NOT NULL THEN t.actual_class END AS actual_class,
+  t.ticker_id IS NULL AS inserted
+FROM (SELECT ticker_id, prediction_date, horizon_days, model_name, run_id, predicted_probability, predicted_class,
+             CASE WHEN prediction_date < DATE '1998-01-01' THEN 1 END AS actual_class
+      FROM preds WHERE prediction_date < DATE '1999-01-01') t
+FULL OUTER JOIN (SELECT ticker_id, prediction_date, horizon_days, model_name, 'run2' AS run_id,
+                        predicted_probability * 0.5 + 0.25 AS predicted_probability, predicted_class
+                 FROM preds WHERE prediction_date >= DATE '1998-06-01') u
+  ON t.ticker_id = u.ticker_id AND t.prediction_date = u.prediction_date AND t.horizon_days = u.horizon_days AND t.model_name = u.model_name""",
+        extra=[CAT, PREDS]),
+    "actual_class_fill": feature_query("""
+SELECT model_name, CAST(year(prediction_date) AS INTEGER) AS year, count(*) AS n, count(ac) AS n_known,
+  CAST(sum(ac) AS BIGINT) AS n_up, CAST(sum(CASE WHEN ac = predicted_class THEN 1 ELSE 0 END) AS BIGINT) AS n_hit
+FROM (SELECT *, COALESCE(CASE WHEN prediction_date < DATE '1998-01-01' THEN 0 END, actual) AS ac FROM preds)
+GROUP BY model_name, year(prediction_date)""", extra=[CAT, PREDS]),
+    "purge_symbols": bars_with(CAT, f"g AS ({gold('bars')})") + """
+SELECT ticker_id, count(*) AS n_bars, max(date) AS last_date FROM g
+WHERE ticker_id NOT IN (SELECT id FROM cat WHERE asset_type = 'index') GROUP BY ticker_id""",
+    "instrument_lookup": bars_with(CAT) + "SELECT CAST(id AS BIGINT) AS id, symbol, market, asset_type, listed_at FROM cat WHERE symbol = '^MKT'",
+    "instrument_search": bars_with(CAT) + """
+SELECT CAST(id AS BIGINT) AS id, symbol, market, asset_type, (SELECT count(*) FROM cat WHERE is_active AND symbol ILIKE '%BRAND#1%') AS total
+FROM cat WHERE is_active AND symbol ILIKE '%BRAND#1%' ORDER BY symbol LIMIT 500""",
+    "instrument_page": bars_with(CAT) + """
+SELECT CAST(id AS BIGINT) AS id, symbol, listed_at,
+  (SELECT count(*) FROM cat WHERE market = 'jp' AND asset_type = 'stock' AND is_active) AS total
+FROM cat WHERE market = 'jp' AND asset_type = 'stock' AND is_active ORDER BY symbol LIMIT 5 OFFSET 5""",
+    "last_n_bars": bars_with() + "SELECT symbol, date, CAST(recency AS INTEGER) AS recency, " + out("close") + """ AS close
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS recency FROM bars) WHERE recency <= 10""",
+    "predictions_on_date": feature_query(
+        select_out(["CAST(ticker_id AS BIGINT) AS ticker_id", "symbol", "model_name"], ["predicted_probability"], ["predicted_class"],
+                   source="preds", where="WHERE prediction_date = DATE '1999-03-15'"), extra=[CAT, PREDS]),
+    "latest_predictions": feature_query("""
+SELECT CAST(r.pos AS INTEGER) AS pos, r.symbol, l.date, """ + out("l.p") + """ AS predicted_probability, l.c AS predicted_class
+FROM (SELECT symbol, max(prediction_date) AS date, arg_max(predicted_probability, prediction_date) AS p,
+             arg_max(predicted_class, prediction_date) AS c FROM preds WHERE model_name = 'rank20' GROUP BY symbol) l
+JOIN (VALUES (0, 'Brand#13'), (1, 'Brand#21'), (2, '^MKT'), (3, 'Brand#99'), (4, 'Brand#5'), (5, 'Brand#42')) r(pos, symbol)
+  ON l.symbol = r.symbol""", extra=[CAT, PREDS]),
+})

@@ -218,3 +218,281 @@ QUERIES = {
     "feature_matrix": q_feature_matrix,
     "feature_row_counts": q_feature_row_counts,
 }
+
+
+# ---------------------------------------------------------------- step 6
+from barlake.functions.numeric import finite_or_null  # noqa: E402
+from barlake.operators import folds as FO  # noqa: E402
+from barlake.operators import metrics as M  # noqa: E402
+from barlake.operators import portfolio as P  # noqa: E402
+from barlake.operators.lookups import (  # noqa: E402
+    get_instrument, last_n_bars, latest_for_symbols, latest_row, list_instruments, predictions_on_date, requested_symbols,
+)
+from barlake.operators.ordered import average_precision, roc_auc  # noqa: E402
+
+MODEL = "rank20"
+STRATEGY_KS = (3, 5)
+STRATEGY_BPS = (5.0, 10.0)
+
+
+def scored(spark, sf_dir, score_col: str = "returns_20d_rank") -> DataFrame:
+    """Labelled feature rows scored with a rank column as the predicted probability."""
+    f = features(spark, sf_dir)
+    return f.select(
+        "symbol", "date", finite_or_null(F.col(score_col)).alias("p"),
+        F.col("label_direction_5d").cast("int").alias("y"), F.col("label_return_5d").alias("ret"),
+    ).where(F.col("p").isNotNull())
+
+
+def data_bounds(dated: DataFrame) -> DataFrame:
+    """Split bounds from the data's date range: validation = last 40 %, 7-day gap."""
+    b = dated.agg(F.min("date").alias("train_start"), F.max("date").alias("val_end"))
+    vs = F.date_add(F.col("train_start"), F.expr("datediff(val_end, train_start) * 3 div 5").cast("int"))
+    b = b.select("train_start", vs.alias("val_start"), "val_end")
+    return b.select("train_start", F.date_sub("val_start", 7).alias("train_end"), "val_start", "val_end")
+
+
+def data_folds(dated: DataFrame, n_splits: int = 3, expanding: bool = True) -> DataFrame:
+    return FO.expand_folds(data_bounds(dated), n_splits=n_splits, embargo_days=5, expanding=expanding)
+
+
+def validation_rows(spark, sf_dir) -> DataFrame:
+    s = scored(spark, sf_dir)
+    return FO.assign_folds(s, data_folds(s)).where(F.col("role") == "val")
+
+
+def q_walk_forward_folds(spark, sf_dir):
+    s = features(spark, sf_dir).select("date")
+    exp = data_folds(s, 3, True).withColumn("mode", F.lit("expanding"))
+    roll = data_folds(s, 3, False).withColumn("mode", F.lit("rolling"))
+    one = data_folds(s, 1, True).withColumn("mode", F.lit("single"))
+    return exp.unionByName(roll).unionByName(one).select("mode", *FO.FOLD_COLUMNS, FO.gap_days())
+
+
+def q_fold_assignment(spark, sf_dir):
+    f = features(spark, sf_dir).select("symbol", "date")
+    a = FO.assign_folds(f, data_folds(f))
+    return a.groupBy("fold", "role").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("symbol").alias("n_symbols"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+    )
+
+
+def q_class_metrics(spark, sf_dir):
+    m = M.confusion_metrics(validation_rows(spark, sf_dir), ["fold"])
+    return present(m, ["fold", "n", "positives"], ["accuracy", "precision", "recall", "f1", "positive_rate",
+                                                    "baseline_always_positive_accuracy", "baseline_majority_accuracy"])
+
+
+def q_roc_auc(spark, sf_dir):
+    return present(roc_auc(validation_rows(spark, sf_dir), ["fold"]), ["fold"], ["roc_auc"])
+
+
+def q_average_precision(spark, sf_dir):
+    return present(average_precision(validation_rows(spark, sf_dir), ["fold"]), ["fold"], ["average_precision"])
+
+
+def q_log_loss(spark, sf_dir):
+    return present(M.log_loss(validation_rows(spark, sf_dir), ["fold"]), ["fold"], ["log_loss"])
+
+
+def q_run_metrics(spark, sf_dir):
+    m = M.compute_metrics(validation_rows(spark, sf_dir).withColumn("model_name", F.lit(MODEL)), ["model_name", "fold"])
+    long = M.metrics_long(m, ["model_name", "fold"], prefix="val_")
+    return present(long, ["model_name", "fold", "metric"], ["value"])
+
+
+def q_topk_picks(spark, sf_dir):
+    picks = P.top_k_per_date(scored(spark, sf_dir), 3, score="p")
+    return present(picks, ["date", "symbol", "pick_rank"], ["p", "ret"])
+
+
+def strategy_daily(spark, sf_dir) -> DataFrame:
+    """All (k, bps) strategies at once: one pick pass for the largest k, then per-strategy means."""
+    picks = P.top_k_per_date(scored(spark, sf_dir), max(STRATEGY_KS), score="p")
+    grid = spark.createDataFrame([(k, b) for k in STRATEGY_KS for b in STRATEGY_BPS], "top_k int, cost_bps double")
+    per = picks.join(F.broadcast(grid), F.col("pick_rank") <= F.col("top_k"), "inner")
+    return P.daily_returns(per, "ret", ["top_k", "cost_bps"], "cost_bps")
+
+
+def q_portfolio_stats(spark, sf_dir):
+    stats = P.portfolio_stats(strategy_daily(spark, sf_dir), ["top_k", "cost_bps"], "top_k", rebalance_days=5)
+    return present(stats, ["top_k", "cost_bps", "n_trades"], ["cumulative_return", "annualised_return",
+                   "annualised_volatility", "sharpe_ratio", "max_drawdown", "win_rate"])
+
+
+def q_equity_curve(spark, sf_dir):
+    daily = strategy_daily(spark, sf_dir).where((F.col("top_k") == 3) & (F.col("cost_bps") == 5.0))
+    curve = P.equity_curve(daily, ["top_k", "cost_bps"])
+    return present(curve, ["top_k", "cost_bps", "date"], ["gross_return", "net_return", "equity", "drawdown"])
+
+
+def q_latest_row(spark, sf_dir):
+    return present(latest_row(fx.all_bars(spark, sf_dir)), ["symbol", "date"], ["close"], ["volume"])
+
+
+# ---------------------------------------------------------------- step 7
+from barlake.operators import upsert as U  # noqa: E402
+from barlake.operators.instruments import initial_catalogue, instruments_from_bars  # noqa: E402
+
+NOW = "2025-01-01 00:00:00"
+
+
+def _now():
+    return F.to_timestamp(F.lit(NOW))
+
+
+def catalogue(spark, sf_dir, bars: DataFrame | None = None) -> DataFrame:
+    bars = bars if bars is not None else fx.all_bars(spark, sf_dir)
+    return initial_catalogue(spark, instruments_from_bars(bars), _now())
+
+
+def q_upsert_instruments(spark, sf_dir):
+    bars = fx.all_bars(spark, sf_dir)
+    old = initial_catalogue(spark, instruments_from_bars(fx.brand_bars(spark, sf_dir).where(F.col("date") < "1998-01-01")),
+                            F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    old = old.withColumn("name", F.concat(F.col("symbol"), F.lit(" Co")))
+    upd = instruments_from_bars(bars.where(F.col("date") >= "1997-01-01"))
+    merged = U.upsert_instruments(old, upd, _now())
+    return merged.select("id", "symbol", "name", "market", "asset_type", "sector_code", "listed_at", "delisted_at",
+                         "is_active", (F.col("updated_at") == _now()).alias("touched"))
+
+
+def gold_bars(spark, sf_dir):
+    bars = fx.all_bars(spark, sf_dir)
+    cat = catalogue(spark, sf_dir, bars)
+    return cat, bars
+
+
+def _present_gold(df):
+    return df.select("ticker_id", "date", *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+                     "volume", "open_interest")
+
+
+def q_upsert_bars(spark, sf_dir):
+    cat, bars = gold_bars(spark, sf_dir)
+    target, _ = U.symbol_ids(cat, bars.where(F.col("date") < "1999-01-01"))
+    revised = clean_bars(fx.raw_bars(spark, sf_dir)).where(F.col("date") >= "1998-07-01")
+    updates, _ = U.symbol_ids(cat, revised)
+    merged = U.upsert_bars(U.to_gold_bars(target), U.to_gold_bars(updates))
+    return _present_gold(merged)
+
+
+def predictions(spark, sf_dir, cat: DataFrame | None = None) -> DataFrame:
+    """Prediction rows for two rank 'models' on every labelled feature row."""
+    f = features(spark, sf_dir)
+    cat = cat if cat is not None else catalogue(spark, sf_dir)
+    rows = []
+    for name, col in (("rank20", "returns_20d_rank"), ("rank5", "returns_5d_rank")):
+        p = finite_or_null(F.col(col))
+        rows.append(f.select("symbol", F.col("date").alias("prediction_date"), F.lit(5).alias("horizon_days"),
+                             F.lit(name).alias("model_name"), F.lit("run1").alias("run_id"),
+                             p.alias("predicted_probability"), (p >= 0.5).cast("int").alias("predicted_class"),
+                             F.lit(None).cast("int").alias("actual_class"), F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("created_at"),
+                             F.col("label_direction_5d").cast("int").alias("actual"))
+                    .where(p.isNotNull()))
+    allp = rows[0].unionByName(rows[1])
+    matched, _ = U.symbol_ids(cat, allp)
+    return matched
+
+
+PRED_COLS = ["ticker_id", "prediction_date", "horizon_days", "model_name", "run_id",
+             "predicted_probability", "predicted_class", "actual_class", "created_at"]
+
+
+def q_upsert_predictions(spark, sf_dir):
+    pr = predictions(spark, sf_dir)
+    target = pr.where(F.col("prediction_date") < "1999-01-01").select(*PRED_COLS)
+    target = target.withColumn("actual_class", F.when(F.col("prediction_date") < "1998-01-01", F.lit(1)).cast("int"))
+    upd = pr.where(F.col("prediction_date") >= "1998-06-01").select(
+        "ticker_id", "prediction_date", "horizon_days", "model_name", F.lit("run2").alias("run_id"),
+        F.col("predicted_probability") * 0.5 + 0.25, "predicted_class")
+    upd = upd.withColumnRenamed("((predicted_probability * 0.5) + 0.25)", "predicted_probability")
+    merged = U.upsert_predictions(target, upd, _now())
+    return present(merged, ["ticker_id", "prediction_date", "horizon_days", "model_name", "run_id"],
+                   ["predicted_probability"], ["predicted_class", "actual_class",
+                                               (F.col("created_at") == _now()).alias("inserted")])
+
+
+def q_actual_class_fill(spark, sf_dir):
+    pr = predictions(spark, sf_dir)
+    table = pr.select(*PRED_COLS).withColumn(
+        "actual_class", F.when(F.col("prediction_date") < "1998-01-01", F.lit(0)).cast("int"))
+    labels = features(spark, sf_dir).select(
+        "symbol", F.col("date").alias("prediction_date"), F.lit(5).alias("horizon_days"),
+        F.col("label_direction_5d").alias("actual"))
+    outcomes, _ = U.symbol_ids(catalogue(spark, sf_dir), labels)
+    filled = U.fill_actual_class(table, outcomes)
+    return filled.groupBy("model_name", F.year("prediction_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("actual_class").alias("n_known"),
+        F.sum("actual_class").cast("bigint").alias("n_up"),
+        F.sum(F.when(F.col("actual_class") == F.col("predicted_class"), 1).otherwise(0)).cast("bigint").alias("n_hit"),
+    )
+
+
+def q_purge_symbols(spark, sf_dir):
+    cat, bars = gold_bars(spark, sf_dir)
+    gold, _ = U.symbol_ids(cat, bars)
+    removed = cat.where(F.col("asset_type") == "index").select("id")
+    kept = U.purge(U.to_gold_bars(gold), removed)
+    return kept.groupBy("ticker_id").agg(F.count(F.lit(1)).alias("n_bars"), F.max("date").alias("last_date"))
+
+
+# ---------------------------------------------------------------- step 8
+def q_instrument_lookup(spark, sf_dir):
+    return get_instrument(catalogue(spark, sf_dir), "^mkt").select("id", "symbol", "market", "asset_type", "listed_at")
+
+
+def q_instrument_search(spark, sf_dir):
+    page = list_instruments(catalogue(spark, sf_dir), page=1, page_size=500, search="brand#1")
+    return page.select("id", "symbol", "market", "asset_type", "total")
+
+
+def q_instrument_page(spark, sf_dir):
+    page = list_instruments(catalogue(spark, sf_dir), page=2, page_size=5, market="jp", asset_type="stock")
+    return page.select("id", "symbol", "listed_at", "total")
+
+
+def q_last_n_bars(spark, sf_dir):
+    return present(last_n_bars(fx.all_bars(spark, sf_dir), 10), ["symbol", "date", "recency"], ["close"])
+
+
+def q_predictions_on_date(spark, sf_dir):
+    pr = predictions_on_date(predictions(spark, sf_dir), "1999-03-15")
+    return present(pr, ["ticker_id", "symbol", "model_name"], ["predicted_probability"], ["predicted_class"])
+
+
+REQUEST = ["Brand#13", "Brand#21", "^MKT", "Brand#99", "Brand#5", "Brand#42"]
+
+
+def q_latest_predictions(spark, sf_dir):
+    pr = predictions(spark, sf_dir).where(F.col("model_name") == MODEL)
+    latest = latest_row(pr.select("symbol", F.col("prediction_date").alias("date"), "predicted_probability", "predicted_class"))
+    out_df = latest_for_symbols(latest, requested_symbols(spark, REQUEST))
+    return present(out_df, ["pos", "symbol", "date"], ["predicted_probability"], ["predicted_class"])
+
+
+QUERIES.update({
+    "walk_forward_folds": q_walk_forward_folds,
+    "fold_assignment": q_fold_assignment,
+    "class_metrics": q_class_metrics,
+    "roc_auc": q_roc_auc,
+    "average_precision": q_average_precision,
+    "log_loss": q_log_loss,
+    "run_metrics": q_run_metrics,
+    "topk_picks": q_topk_picks,
+    "portfolio_stats": q_portfolio_stats,
+    "equity_curve": q_equity_curve,
+    "latest_row": q_latest_row,
+    "upsert_instruments": q_upsert_instruments,
+    "upsert_bars": q_upsert_bars,
+    "upsert_predictions": q_upsert_predictions,
+    "actual_class_fill": q_actual_class_fill,
+    "purge_symbols": q_purge_symbols,
+    "instrument_lookup": q_instrument_lookup,
+    "instrument_search": q_instrument_search,
+    "instrument_page": q_instrument_page,
+    "last_n_bars": q_last_n_bars,
+    "predictions_on_date": q_predictions_on_date,
+    "latest_predictions": q_latest_predictions,
+})

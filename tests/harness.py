@@ -39,13 +39,23 @@ def rows_of(columns, records):
     return [tuple(_norm(r[i]) for i in order) for r in records], sorted(columns)
 
 
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "DateType": "DATE", "BooleanType": "BOOLEAN", "TimestampType": "TIMESTAMP", "ByteType": "TINYINT"}
+
+
+def type_problems(spark_df, res):
+    s_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in spark_df.schema.fields}
+    d_types = dict(zip(res.columns, [str(t) for t in res.types]))
+    return [f"type {c}: spark={s_types[c]} duck={d_types.get(c)}" for c in s_types if c in d_types and s_types[c] != d_types[c]]
+
+
 def compare(spark_df, con, sql):
     s_cols = spark_df.columns
     s_rows, s_names = rows_of(s_cols, [tuple(r) for r in spark_df.collect()])
     res = con.sql(sql)
     d_cols = res.columns
     d_rows, d_names = rows_of(d_cols, res.fetchall())
-    problems = []
+    problems = type_problems(spark_df, res)
     if s_names != d_names:
         problems.append(f"columns differ: spark={s_names} duck={d_names}")
         return problems
