@@ -34,24 +34,36 @@ def symbol_window(symbol: str = "symbol", order: str = "date") -> WindowSpec:
 
 
 # --------------------------------------------------------------------------
-# Column builders (expressions only; callers batch them into one select so
-# expressions over the same window spec share one Window operator).
+# Staging rule: every window function is computed exactly once, into a
+# column, by a select; arithmetic on window results (fdiv repeats its
+# operands) happens in the next select.  Spark does not de-duplicate repeated
+# window expressions, so writing ``fdiv(avg().over(w), ...)`` would evaluate
+# the frame aggregate once per occurrence.
 # --------------------------------------------------------------------------
-def returns_columns(w: WindowSpec, periods=RETURN_PERIODS, price: str = "close") -> list[Column]:
+def _lag_cols(w: WindowSpec, periods, price: str = "close") -> list[Column]:
+    return [F.lag(price, n).over(w).alias(f"_lag{n}") for n in periods]
+
+
+def _returns_from_lags(periods, price: str = "close") -> list[Column]:
     cols = []
-    c = F.col(price)
     for n in periods:
-        prev = F.lag(c, n).over(w)
-        cols.append((fdiv(c, prev) - 1).alias(f"returns_{n}d"))
-        cols.append(F.ln(fdiv(c, prev)).alias(f"log_returns_{n}d"))
+        ratio = fdiv(F.col(price), F.col(f"_lag{n}"))
+        cols.append((ratio - 1).alias(f"returns_{n}d"))
+        cols.append(F.ln(ratio).alias(f"log_returns_{n}d"))
     return cols
 
 
-def _gain_loss(w: WindowSpec, price: str = "close") -> tuple[Column, Column]:
-    delta = F.col(price) - F.lag(price, 1).over(w)
-    gain = F.when(delta > 0, delta).otherwise(F.lit(0.0))
-    loss = F.when(delta < 0, -delta).otherwise(F.lit(0.0))
-    return gain, loss
+def _guarded(agg, col: Column, w: WindowSpec, n: int, name: str) -> Column:
+    """Window stage: the frame aggregate, NULL unless the frame holds ``n`` non-null values."""
+    return rolling(agg, col, w, n).alias(name)
+
+
+def _gain_loss() -> list[Column]:
+    delta = F.col("close") - F.col("_lag1")
+    return [
+        F.when(delta > 0, delta).otherwise(F.lit(0.0)).alias("_gain"),
+        F.when(delta < 0, -delta).otherwise(F.lit(0.0)).alias("_loss"),
+    ]
 
 
 def _rsi_from_means(avg_gain: Column, avg_loss: Column) -> Column:
@@ -59,50 +71,43 @@ def _rsi_from_means(avg_gain: Column, avg_loss: Column) -> Column:
     return F.lit(100.0) - fdiv(F.lit(100.0), F.lit(1.0) + rs)
 
 
-def _true_range(w: WindowSpec) -> Column:
-    prev_close = F.lag("close", 1).over(w)
-    return F.greatest(
-        F.col("high") - F.col("low"),
-        F.abs(F.col("high") - prev_close),
-        F.abs(F.col("low") - prev_close),
-    )
+def _true_range() -> Column:
+    pc = F.col("_lag1")
+    return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - pc), F.abs(F.col("low") - pc)).alias("_tr")
 
 
-def _obv_direction(w: WindowSpec) -> Column:
-    prev_close = F.lag("close", 1).over(w)
-    return (
-        F.when(F.col("close") > prev_close, F.lit(1))
-        .when(F.col("close") < prev_close, F.lit(-1))
-        .otherwise(F.lit(0))
-    )
+def _obv_direction() -> Column:
+    pc = F.col("_lag1")
+    return (F.when(F.col("close") > pc, F.lit(1)).when(F.col("close") < pc, F.lit(-1)).otherwise(F.lit(0))).alias("_dir")
 
 
-def bollinger_columns(w: WindowSpec, window: int = 20, n_std: float = 2.0) -> list[Column]:
-    close = F.col("close")
-    mid = rolling(F.avg, close, w, window)
-    std = rolling(F.stddev_samp, close, w, window)
-    upper = mid + F.lit(n_std) * std
-    lower = mid - F.lit(n_std) * std
+def _bollinger_from_stats(window: int, n_std: float) -> list[Column]:
+    mid, std = F.col(f"bb_mid_{window}"), F.col("_bb_sd")
     return [
-        mid.alias(f"bb_mid_{window}"),
-        upper.alias(f"bb_upper_{window}"),
-        lower.alias(f"bb_lower_{window}"),
-        fdiv(upper - lower, mid).alias(f"bb_width_{window}"),
-        fdiv(close - lower, upper - lower).alias(f"bb_pct_{window}"),
+        (mid + F.lit(n_std) * std).alias(f"bb_upper_{window}"),
+        (mid - F.lit(n_std) * std).alias(f"bb_lower_{window}"),
     ]
 
 
-def stoch_k_column(w: WindowSpec, k_window: int = 14) -> Column:
-    lowest = rolling(F.min, F.col("low"), w, k_window)
-    highest = rolling(F.max, F.col("high"), w, k_window)
-    return fdiv(F.lit(100.0) * (F.col("close") - lowest), highest - lowest).alias("stoch_k")
+def _bollinger_ratios(window: int) -> list[Column]:
+    mid, up, lo = F.col(f"bb_mid_{window}"), F.col(f"bb_upper_{window}"), F.col(f"bb_lower_{window}")
+    return [
+        fdiv(up - lo, mid).alias(f"bb_width_{window}"),
+        fdiv(F.col("close") - lo, up - lo).alias(f"bb_pct_{window}"),
+    ]
+
 
+def _stoch_k() -> Column:
+    lo, hi = F.col("_ll"), F.col("_hh")
+    return fdiv(F.lit(100.0) * (F.col("close") - lo), hi - lo).alias("stoch_k")
 
-def volume_zscore_column(w: WindowSpec, window: int = 20) -> Column:
-    vol = F.col("volume").cast("double")
-    mean = rolling(F.avg, vol, w, window)
-    std = rolling(F.stddev_samp, vol, w, window)
-    return fdiv(vol - mean, std).alias(f"volume_zscore_{window}d")
+
+def _zscore(window: int) -> Column:
+    return fdiv(F.col("volume").cast("double") - F.col("_vmean"), F.col("_vsd")).alias(f"volume_zscore_{window}d")
+
+
+def _drop_temps(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_") and c != "_idx"])
 
 
 # --------------------------------------------------------------------------
@@ -110,59 +115,72 @@ def volume_zscore_column(w: WindowSpec, window: int = 20) -> Column:
 # --------------------------------------------------------------------------
 def add_returns(df: DataFrame, periods=RETURN_PERIODS, symbol="symbol", order="date") -> DataFrame:
     """Simple and log returns over trailing periods."""
-    return df.select("*", *returns_columns(symbol_window(symbol, order), periods))
+    w = symbol_window(symbol, order)
+    staged = df.select("*", *_lag_cols(w, periods))
+    return staged.select(*df.columns, *_returns_from_lags(periods))
 
 
 def add_rsi(df: DataFrame, window: int = 14, symbol="symbol", order="date") -> DataFrame:
     """Simple-mean RSI; both means 0 gives NaN, zero loss gives 100."""
     w = symbol_window(symbol, order)
-    gain, loss = _gain_loss(w)
-    staged = df.select("*", gain.alias("_gain"), loss.alias("_loss"))
-    rsi = _rsi_from_means(
-        rolling(F.avg, F.col("_gain"), w, window), rolling(F.avg, F.col("_loss"), w, window)
-    )
-    return staged.select("*", rsi.alias(f"rsi_{window}")).drop("_gain", "_loss")
+    a = df.select("*", *_lag_cols(w, (1,)))
+    b = a.select("*", *_gain_loss())
+    c = b.select("*", _guarded(F.avg, F.col("_gain"), w, window, "_ag"), _guarded(F.avg, F.col("_loss"), w, window, "_al"))
+    return c.select(*df.columns, _rsi_from_means(F.col("_ag"), F.col("_al")).alias(f"rsi_{window}"))
 
 
 def add_bollinger_bands(df: DataFrame, window: int = 20, n_std: float = 2.0, symbol="symbol", order="date") -> DataFrame:
     """mid/upper/lower band, width and %B."""
-    return df.select("*", *bollinger_columns(symbol_window(symbol, order), window, n_std))
+    w = symbol_window(symbol, order)
+    a = df.select("*", _guarded(F.avg, F.col("close"), w, window, f"bb_mid_{window}"),
+                  _guarded(F.stddev_samp, F.col("close"), w, window, "_bb_sd"))
+    b = a.select("*", *_bollinger_from_stats(window, n_std))
+    names = [f"bb_mid_{window}", f"bb_upper_{window}", f"bb_lower_{window}"]
+    return b.select(*df.columns, *names, *_bollinger_ratios(window))
 
 
 def add_atr(df: DataFrame, window: int = 14, symbol="symbol", order="date") -> DataFrame:
     """Mean true range."""
     w = symbol_window(symbol, order)
-    staged = df.select("*", _true_range(w).alias("_tr"))
-    return staged.select("*", rolling(F.avg, F.col("_tr"), w, window).alias(f"atr_{window}")).drop("_tr")
+    a = df.select("*", *_lag_cols(w, (1,)))
+    b = a.select("*", _true_range())
+    return b.select(*df.columns, _guarded(F.avg, F.col("_tr"), w, window, f"atr_{window}"))
 
 
 def add_obv(df: DataFrame, symbol="symbol", order="date") -> DataFrame:
     """Running sum of sign(close change) * volume; first row 0."""
     w = symbol_window(symbol, order)
-    staged = df.select("*", _obv_direction(w).alias("_dir"))
+    a = df.select("*", *_lag_cols(w, (1,)))
+    b = a.select("*", _obv_direction())
     obv = F.sum(F.col("_dir") * F.col("volume")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return staged.select("*", obv.alias("obv")).drop("_dir")
+    return b.select(*df.columns, obv.alias("obv"))
 
 
 def add_stochastic(df: DataFrame, k_window: int = 14, d_window: int = 3, symbol="symbol", order="date") -> DataFrame:
     """%K over the trailing high/low range and its ``d_window`` mean %D."""
     w = symbol_window(symbol, order)
-    staged = df.select("*", stoch_k_column(w, k_window))
-    return staged.select("*", rolling(F.avg, F.col("stoch_k"), w, d_window).alias("stoch_d"))
+    a = df.select("*", _guarded(F.min, F.col("low"), w, k_window, "_ll"), _guarded(F.max, F.col("high"), w, k_window, "_hh"))
+    b = a.select("*", _stoch_k())
+    return b.select(*df.columns, "stoch_k", _guarded(F.avg, F.col("stoch_k"), w, d_window, "stoch_d"))
 
 
 def add_volatility(df: DataFrame, windows=(20, 60), symbol="symbol", order="date") -> DataFrame:
     """Sample std of daily returns; adds ``returns_1d`` when absent."""
     w = symbol_window(symbol, order)
+    base = df
     if "returns_1d" not in df.columns:
-        df = df.select("*", (fdiv(F.col("close"), F.lag("close", 1).over(w)) - 1).alias("returns_1d"))
+        a = df.select("*", *_lag_cols(w, (1,)))
+        base = a.select(*df.columns, (fdiv(F.col("close"), F.col("_lag1")) - 1).alias("returns_1d"))
     r = F.col("returns_1d")
-    return df.select("*", *[rolling(F.stddev_samp, r, w, n).alias(f"volatility_{n}d") for n in windows])
+    return base.select("*", *[_guarded(F.stddev_samp, r, w, n, f"volatility_{n}d") for n in windows])
 
 
 def add_volume_zscore(df: DataFrame, window: int = 20, symbol="symbol", order="date") -> DataFrame:
     """(volume - trailing mean) / trailing sample std."""
-    return df.select("*", volume_zscore_column(symbol_window(symbol, order), window))
+    w = symbol_window(symbol, order)
+    vol = F.col("volume").cast("double")
+    a = df.select("*", _guarded(F.avg, vol, w, window, "_vmean"), _guarded(F.stddev_samp, vol, w, window, "_vsd"))
+    return a.select(*df.columns, _zscore(window))
 
 
 # --------------------------------------------------------------------------
@@ -274,39 +292,47 @@ def add_macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, sym
 def add_all_technical(df: DataFrame, symbol: str = "symbol", order: str = "date") -> DataFrame:
     """All 26 indicator columns in the reference order.
 
-    Layer A reads only raw bar columns, layer B aggregates layer-A columns,
-    then the two EMA passes.  Every layer uses the same partitioning, so the
-    plan has a single exchange on ``symbol``.
+    Alternating window stages and projections over one partitioning
+    (``symbol``), so the plan has a single exchange; each stage's window
+    functions share one Window operator and the sort order carries over.
     """
     w = symbol_window(symbol, order)
     base_cols = df.columns
-    gain, loss = _gain_loss(w)
-    layer_a = df.select(
+    cum = w.rowsBetween(Window.unboundedPreceding, 0)
+    close, vol = F.col("close"), F.col("volume").cast("double")
+    # stage 1 (windows over raw columns)
+    s1 = df.select(
         "*",
-        *returns_columns(w, RETURN_PERIODS),
-        gain.alias("_gain"),
-        loss.alias("_loss"),
-        *bollinger_columns(w, 20, 2.0),
-        _true_range(w).alias("_tr"),
-        _obv_direction(w).alias("_dir"),
-        stoch_k_column(w, 14),
-        volume_zscore_column(w, 20),
+        *_lag_cols(w, RETURN_PERIODS),
+        _guarded(F.avg, close, w, 20, "bb_mid_20"),
+        _guarded(F.stddev_samp, close, w, 20, "_bb_sd"),
+        _guarded(F.min, F.col("low"), w, 14, "_ll"),
+        _guarded(F.max, F.col("high"), w, 14, "_hh"),
+        _guarded(F.avg, vol, w, 20, "_vmean"),
+        _guarded(F.stddev_samp, vol, w, 20, "_vsd"),
         (F.row_number().over(w) - 1).alias("_idx"),
     )
-    cum = w.rowsBetween(Window.unboundedPreceding, 0)
+    # projection
+    s2 = s1.select(
+        "*", *_returns_from_lags(RETURN_PERIODS), *_gain_loss(), _true_range(), _obv_direction(),
+        *_bollinger_from_stats(20, 2.0), _stoch_k(), _zscore(20),
+    )
+    # stage 2 (windows over stage-1 results)
     r1 = F.col("returns_1d")
-    layer_b = layer_a.select(
+    s3 = s2.select(
         "*",
-        _rsi_from_means(rolling(F.avg, F.col("_gain"), w, 14), rolling(F.avg, F.col("_loss"), w, 14)).alias("rsi_14"),
-        rolling(F.avg, F.col("_tr"), w, 14).alias("atr_14"),
+        *_bollinger_ratios(20),
+        _guarded(F.avg, F.col("_gain"), w, 14, "_ag"),
+        _guarded(F.avg, F.col("_loss"), w, 14, "_al"),
+        _guarded(F.avg, F.col("_tr"), w, 14, "atr_14"),
         F.sum(F.col("_dir") * F.col("volume")).over(cum).alias("obv"),
-        rolling(F.avg, F.col("stoch_k"), w, 3).alias("stoch_d"),
-        rolling(F.stddev_samp, r1, w, 20).alias("volatility_20d"),
-        rolling(F.stddev_samp, r1, w, 60).alias("volatility_60d"),
+        _guarded(F.avg, F.col("stoch_k"), w, 3, "stoch_d"),
+        _guarded(F.stddev_samp, r1, w, 20, "volatility_20d"),
+        _guarded(F.stddev_samp, r1, w, 60, "volatility_60d"),
     )
-    with_macd = add_macd(layer_b, symbol=symbol, order=order)
-    ordered = list(base_cols) + technical_column_names()
-    return with_macd.select(*ordered)
+    s4 = s3.select("*", _rsi_from_means(F.col("_ag"), F.col("_al")).alias("rsi_14"))
+    with_macd = add_macd(s4, symbol=symbol, order=order)
+    return with_macd.select(*base_cols, *technical_column_names())
 
 
 def technical_column_names() -> list[str]:

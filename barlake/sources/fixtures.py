@@ -91,16 +91,29 @@ def index_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brand bars plus the ``^MKT`` index series (asset types stock + index)."""
+    """Brand bars plus the ``^MKT`` index series (asset types stock + index).
+
+    lineitem is aggregated once; each brand bar is then emitted twice (as
+    itself and as a contribution to the index) and re-aggregated, so the
+    second aggregation runs over bars, not line items.
+    """
     agg = _brand_aggregate(spark, sf_dir)
-    mkt = agg.groupBy("date").agg(
+    level = F.explode(F.array(F.lit(0), F.lit(1))).alias("_lvl")
+    both = agg.select("*", level)
+    sym = F.when(F.col("_lvl") == 1, F.lit(INDEX_SYMBOL)).otherwise(F.col("symbol"))
+    kind = F.when(F.col("_lvl") == 1, F.lit("index")).otherwise(F.lit("stock"))
+    re = both.groupBy(sym.alias("symbol"), "date", kind.alias("_kind")).agg(
         F.min("_first").alias("_first"),
         F.max("_last").alias("_last"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.sum("_qty").alias("_qty"),
-    ).withColumn("symbol", F.lit(INDEX_SYMBOL))
-    return _shape(agg, "stock").unionByName(_shape(mkt, "index"))
+    )
+    return re.select(
+        "symbol", F.lit(MARKET).alias("market"), F.col("_kind").alias("asset_type"), "date",
+        F.col("_first.px").alias("open"), "high", "low", F.col("_last.px").alias("close"),
+        F.col("_qty").cast("bigint").alias("volume"), F.lit(None).cast("bigint").alias("open_interest"),
+    )
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
