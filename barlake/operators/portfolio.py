@@ -95,3 +95,16 @@ def _top_k_grouped(pred: DataFrame, k: int, score: str, date: str, symbol: str,
     w = Window.partitionBy(*keys, date).orderBy(F.col(score).desc(), F.col(symbol).asc())
     ranked = pred.where(F.col(score).isNotNull()).select("*", F.row_number().over(w).alias("pick_rank"))
     return ranked.where(F.col("pick_rank") <= k)
+
+
+RESULT_FIELDS = ("cumulative_return", "annualised_return", "annualised_volatility", "sharpe_ratio",
+                 "max_drawdown", "win_rate", "n_trades")
+
+
+def backtest_summary(pred: DataFrame, realised: str, top_k: int = 20, rebalance_days: int = 5,
+                     transaction_cost_bps: float = 5.0, score: str = "predicted_probability") -> dict:
+    """One strategy's statistics as a dict (a single aggregated row); all zeros without picks."""
+    row = backtest_top_k(pred, realised, top_k, rebalance_days, transaction_cost_bps, score).first()
+    if row is None:
+        return {k: (0 if k == "n_trades" else 0.0) for k in RESULT_FIELDS}
+    return {k: row[k] for k in RESULT_FIELDS}
