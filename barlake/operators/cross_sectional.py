@@ -56,19 +56,15 @@ def add_market_relative_returns(
     date: str = "date",
     returns_col: str = "returns_5d",
 ) -> DataFrame:
-    """``excess_returns_5d`` = own ``returns_5d`` minus the index's on the same date.
+    """``excess_returns_5d`` = own ``returns_5d`` minus the index's on the same date.
 
-    The schema is static: the column is always produced, NULL when the index
-    has no row for the date (the reference omits the column instead).  The
-    index side is one row per date, so it is tiny; the planner (AQE) picks a
-    broadcast from its measured size, otherwise a join on ``date`` that also
-    serves the per-date rank windows.
+    The reference left-joins the index series on ``date``.  Here the index
+    value is looked up inside the date partition instead (``(symbol, date)``
+    is unique, so at most one row matches): no join, no second pass over the
+    pipeline, and it shares the exchange on ``date`` with the rank windows.
+    The schema is static: the column is NULL where the index has no row.
     """
-    mkt = df.where(F.col(symbol) == F.lit(market_symbol)).select(
-        F.col(date).alias("_mkt_date"), F.col(returns_col).alias("_mkt_ret")
-    )
-    joined = df.join(mkt, F.col(date) == F.col("_mkt_date"), "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        (F.col(returns_col) - F.col("_mkt_ret")).alias(f"excess_{returns_col}"),
-    )
+    mkt = F.max(F.when(F.col(symbol) == F.lit(market_symbol), F.col(returns_col))).over(Window.partitionBy(date))
+    staged = df.select("*", mkt.alias("_mkt_ret"))
+    return staged.select(*[F.col(c) for c in df.columns],
+                         (F.col(returns_col) - F.col("_mkt_ret")).alias(f"excess_{returns_col}"))

@@ -236,13 +236,12 @@ def add_ema(
     has_idx = idx_col in df.columns
     if not has_idx:
         df = add_row_index(df, symbol, order, idx_col)
+    keep = [c for c in df.columns if has_idx or c != idx_col]
     idx = F.col(idx_col)
     chunk = F.floor(idx / F.lit(chunk_rows))
     pos = (idx - chunk * F.lit(chunk_rows)).cast("double")
-    df = df.select("*", chunk.alias("_ema_chunk"), pos.alias("_ema_pos"))
-    pos = F.col("_ema_pos")
 
-    w_chunk = Window.partitionBy(symbol, "_ema_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    w_chunk = Window.partitionBy(F.col(symbol), chunk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local_cols = []
     for col_name, span, out_name in specs:
         if span <= 1:
@@ -257,7 +256,7 @@ def add_ema(
     df = df.select("*", *local_cols)
 
     w_before = symbol_window(symbol, order).rowsBetween(Window.unboundedPreceding, -1)
-    is_end = F.col("_ema_pos") == F.lit(float(chunk_rows - 1))
+    is_end = pos == F.lit(float(chunk_rows - 1))
     final_cols = []
     for _, span, out_name in specs:
         loc = F.col(f"_loc_{out_name}")
@@ -268,10 +267,7 @@ def add_ema(
         carry = F.last(F.when(is_end, loc), ignorenulls=True).over(w_before)
         y = loc + F.coalesce(F.exp(-(pos + F.lit(1.0)) * F.lit(rate)) * carry, F.lit(0.0))
         final_cols.append(y.alias(out_name))
-    drop = ["_ema_chunk", "_ema_pos"] + [f"_loc_{o}" for _, _, o in specs]
-    if not has_idx:
-        drop.append(idx_col)
-    return df.select("*", *final_cols).drop(*drop)
+    return df.select(*keep, *final_cols)
 
 
 def add_macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, symbol="symbol", order="date") -> DataFrame:

@@ -496,3 +496,53 @@ QUERIES.update({
     "predictions_on_date": q_predictions_on_date,
     "latest_predictions": q_latest_predictions,
 })
+
+
+# ---------------------------------------------------------------- step 10 (MLlib; rows-only check)
+def _split_dates(spark, feats: DataFrame) -> dict:
+    """Walk-forward bounds from the data's date range (one aggregated row)."""
+    b = data_bounds(feats.select("date")).first()
+    return {"train_start": b.train_start, "train_end": b.train_end, "val_start": b.val_start,
+            "val_end": b.val_end, "n_splits": 3, "embargo_days": 5}
+
+
+def _train(spark, sf_dir, model_name):
+    from barlake.plans.train import run_metrics_table, train_one_model
+
+    f = features(spark, sf_dir)
+    res = train_one_model(spark, f, model_name, **_split_dates(spark, f))
+    return present(run_metrics_table(res).drop("run_id"), ["model_name", "fold", "metric"], ["value"])
+
+
+def q_train_logreg(spark, sf_dir):
+    """Walk-forward logistic regression: per-fold validation metrics (long table)."""
+    return _train(spark, sf_dir, "logreg")
+
+
+def q_train_gbt(spark, sf_dir):
+    """Walk-forward gradient-boosted trees: per-fold validation metrics (long table)."""
+    return _train(spark, sf_dir, "gbt")
+
+
+def q_score_latest(spark, sf_dir):
+    """Fit logreg on the labelled history, then score every symbol's newest (unlabelled) row."""
+    from barlake.plans.train import fit, predict_latest, prepare, usable_features
+
+    labelled = features(spark, sf_dir)
+    everything = features(spark, sf_dir, drop_unlabelled=False)
+    from barlake.plans.features import select_feature_columns
+
+    cols = select_feature_columns(labelled, "label_direction_5d")
+    train = prepare(labelled, cols, "label_direction_5d")
+    use = usable_features(train, cols)
+    model = fit("logreg", train, use)
+    scored = predict_latest(everything, model, "logreg", use)
+    return present(scored, ["symbol", "prediction_date", "model_name"], ["predicted_probability"], ["predicted_class"])
+
+
+# train_gbt is not registered: 500 boosting rounds per fold plus the refit are
+# thousands of small Spark jobs; tests/test_ml.py covers it on a planted signal.
+QUERIES.update({
+    "train_logreg": q_train_logreg,
+    "score_latest": q_score_latest,
+})

@@ -146,7 +146,7 @@ def extract_market(
         "file_path", "value", "asset_type", pos.alias("src_pos"),
         F.size(names).alias("_n_head"), F.size(F.split(F.col("value"), ",")).alias("_n_val"),
         missing.alias("_missing"),
-        F.try_to_date(field("<DATE>"), F.lit("yyyyMMdd")).alias("date"),
+        F.try_to_date(field("<DATE>"), "yyyyMMdd").alias("date"),
         *[field(h).try_cast("double").alias(c) for h, c in (("<OPEN>", "open"), ("<HIGH>", "high"), ("<LOW>", "low"), ("<CLOSE>", "close"))],
         field("<VOL>").try_cast("double").try_cast("bigint").alias("volume"),
         field("<OPENINT>").try_cast("double").try_cast("bigint").alias("open_interest"),
