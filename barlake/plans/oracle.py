@@ -495,3 +495,38 @@ FROM (SELECT symbol, max(prediction_date) AS date, arg_max(predicted_probability
 JOIN (VALUES (0, 'Brand#13'), (1, 'Brand#21'), (2, '^MKT'), (3, 'Brand#99'), (4, 'Brand#5'), (5, 'Brand#42')) r(pos, symbol)
   ON l.symbol = r.symbol""", extra=[CAT, PREDS]),
 })
+
+
+# ---------------------------------------------------------------------------
+# Batch 3: config-declared preprocessing options
+# ---------------------------------------------------------------------------
+MISSING_COLS = ["rsi_14", "macd_hist", "volatility_60d", "returns_60d", "bb_pct_20", "stoch_d",
+                "volume_zscore_20d", "returns_60d_rank", "excess_returns_5d", "rsi_14_lag_5"]
+
+
+def quantile_sql(source: str, col: str, q: float) -> str:
+    """Exact lower quantile: smallest v with count(x <= v) >= q * n (NULL/NaN ignored)."""
+    return (f"(SELECT min(v) FROM (SELECT v, sum(c) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS cum, sum(c) OVER () AS n "
+            f"FROM (SELECT {col} AS v, count(*) AS c FROM {source} WHERE {col} IS NOT NULL AND NOT isnan({col}) GROUP BY {col})) "
+            f"WHERE cum >= CAST({q!r} AS DOUBLE) * n)")
+
+
+TRAIN_ROWS = [bounds_cte("features"), "train AS (SELECT * FROM features WHERE date <= (SELECT train_end FROM bounds))"]
+
+ORACLE.update({
+    "missing_ratio": feature_query(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {out(f'avg(CASE WHEN {c} IS NULL OR isnan(CAST({c} AS DOUBLE)) THEN 1.0 ELSE 0.0 END)')} AS missing_ratio FROM features"
+        for c in MISSING_COLS)),
+    "forward_fill": feature_query("SELECT symbol, date, " + ", ".join(
+        out(f"last_value(CASE WHEN NOT isnan({c}) THEN {c} END IGNORE NULLS) OVER "
+            f"(PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)") + f" AS {c}"
+        for c in ("bb_pct_20", "volume_zscore_20d", "stoch_k")) + " FROM features"),
+    "winsorize": feature_query(
+        "SELECT symbol, date, " + out(f"CASE WHEN returns_1d IS NULL THEN NULL ELSE least(greatest(returns_1d, "
+                                      f"{quantile_sql('train', 'returns_1d', 0.005)}), {quantile_sql('train', 'returns_1d', 0.995)}) END")
+        + " AS returns_1d FROM features", extra=TRAIN_ROWS),
+    "robust_scale": feature_query(
+        "SELECT symbol, date, " + out("rsi_14") + " AS rsi_14, "
+        + out(f"(rsi_14 - {quantile_sql('train', 'rsi_14', 0.5)}) / ({quantile_sql('train', 'rsi_14', 0.75)} - {quantile_sql('train', 'rsi_14', 0.25)})")
+        + " AS rsi_14_robust FROM features", extra=TRAIN_ROWS),
+})

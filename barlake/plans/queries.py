@@ -546,3 +546,45 @@ QUERIES.update({
     "train_logreg": q_train_logreg,
     "score_latest": q_score_latest,
 })
+
+
+# ---------------------------------------------------------------- step 12 (config-declared options)
+from barlake.operators import preprocessing as PP  # noqa: E402
+
+MISSING_COLS = ["rsi_14", "macd_hist", "volatility_60d", "returns_60d", "bb_pct_20", "stoch_d",
+                "volume_zscore_20d", "returns_60d_rank", "excess_returns_5d", "rsi_14_lag_5"]
+
+
+def _train_rows(feats: DataFrame) -> DataFrame:
+    """Rows up to the data-derived train end (statistics are fitted on these only)."""
+    return feats.where(F.col("date") <= data_bounds(feats.select("date")).select("train_end").scalar())
+
+
+def q_missing_ratio(spark, sf_dir):
+    return present(PP.missing_ratios(features(spark, sf_dir), MISSING_COLS), ["column_name"], ["missing_ratio"])
+
+
+def q_forward_fill(spark, sf_dir):
+    f = features(spark, sf_dir).select("symbol", "date", "bb_pct_20", "volume_zscore_20d", "stoch_k")
+    filled = PP.forward_fill(f, ["bb_pct_20", "volume_zscore_20d", "stoch_k"])
+    return present(filled, ["symbol", "date"], ["bb_pct_20", "volume_zscore_20d", "stoch_k"])
+
+
+def q_winsorize(spark, sf_dir):
+    f = features(spark, sf_dir).select("symbol", "date", "returns_1d")
+    bounds = PP.fit_quantile_bounds(_train_rows(f), "returns_1d", 0.005, 0.995)
+    return present(PP.winsorize(f, "returns_1d", bounds), ["symbol", "date"], ["returns_1d"])
+
+
+def q_robust_scale(spark, sf_dir):
+    f = features(spark, sf_dir).select("symbol", "date", "rsi_14")
+    stats = PP.fit_robust_scale(_train_rows(f), "rsi_14")
+    return present(PP.robust_scale(f, "rsi_14", stats, "rsi_14_robust"), ["symbol", "date"], ["rsi_14", "rsi_14_robust"])
+
+
+QUERIES.update({
+    "missing_ratio": q_missing_ratio,
+    "forward_fill": q_forward_fill,
+    "winsorize": q_winsorize,
+    "robust_scale": q_robust_scale,
+})
