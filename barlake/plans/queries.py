@@ -33,6 +33,24 @@ def present(df: DataFrame, keys: list[str], floats: list[str], other: list[str]
     )
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds two branches (e.g. fold bounds and the
+    rows assigned to those folds): differently pruned branches would
+    otherwise recompute the whole upstream pipeline.  A reliable checkpoint
+    survives executor loss (unlike a local checkpoint or cache).  Written
+    as Parquet (columnar, compressed) rather than an RDD checkpoint.
+    """
+    import uuid
+
+    from barlake.session import scratch_path
+
+    path = scratch_path(df.sparkSession, f"materialized-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _tech(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.add_all_technical(fx.all_bars(spark, sf_dir))
 
@@ -257,12 +275,12 @@ def data_folds(dated: DataFrame, n_splits: int = 3, expanding: bool = True) -> D
 
 
 def validation_rows(spark, sf_dir) -> DataFrame:
-    s = scored(spark, sf_dir)
+    s = materialize(scored(spark, sf_dir))
     return FO.assign_folds(s, data_folds(s)).where(F.col("role") == "val")
 
 
 def q_walk_forward_folds(spark, sf_dir):
-    s = features(spark, sf_dir).select("date")
+    s = materialize(features(spark, sf_dir).select("date"))
     exp = data_folds(s, 3, True).withColumn("mode", F.lit("expanding"))
     roll = data_folds(s, 3, False).withColumn("mode", F.lit("rolling"))
     one = data_folds(s, 1, True).withColumn("mode", F.lit("single"))
@@ -270,7 +288,7 @@ def q_walk_forward_folds(spark, sf_dir):
 
 
 def q_fold_assignment(spark, sf_dir):
-    f = features(spark, sf_dir).select("symbol", "date")
+    f = materialize(features(spark, sf_dir).select("symbol", "date"))
     a = FO.assign_folds(f, data_folds(f))
     return a.groupBy("fold", "role").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("symbol").alias("n_symbols"),
@@ -344,22 +362,22 @@ def _now():
 
 def catalogue(spark, sf_dir, bars: DataFrame | None = None) -> DataFrame:
     bars = bars if bars is not None else fx.all_bars(spark, sf_dir)
-    return initial_catalogue(spark, instruments_from_bars(bars), _now())
+    return materialize(initial_catalogue(spark, instruments_from_bars(bars), _now()))
 
 
 def q_upsert_instruments(spark, sf_dir):
-    bars = fx.all_bars(spark, sf_dir)
-    old = initial_catalogue(spark, instruments_from_bars(fx.brand_bars(spark, sf_dir).where(F.col("date") < "1998-01-01")),
-                            F.to_timestamp(F.lit("2024-01-01 00:00:00")))
-    old = old.withColumn("name", F.concat(F.col("symbol"), F.lit(" Co")))
-    upd = instruments_from_bars(bars.where(F.col("date") >= "1997-01-01"))
+    bars = materialize(fx.all_bars(spark, sf_dir))
+    first_load = materialize(instruments_from_bars(bars.where((F.col("asset_type") == "stock") & (F.col("date") < "1998-01-01"))))
+    old = initial_catalogue(spark, first_load, F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    old = materialize(old.withColumn("name", F.concat(F.col("symbol"), F.lit(" Co"))))
+    upd = materialize(instruments_from_bars(bars.where(F.col("date") >= "1997-01-01")))
     merged = U.upsert_instruments(old, upd, _now())
     return merged.select("id", "symbol", "name", "market", "asset_type", "sector_code", "listed_at", "delisted_at",
                          "is_active", (F.col("updated_at") == _now()).alias("touched"))
 
 
 def gold_bars(spark, sf_dir):
-    bars = fx.all_bars(spark, sf_dir)
+    bars = materialize(fx.all_bars(spark, sf_dir))
     cat = catalogue(spark, sf_dir, bars)
     return cat, bars
 
@@ -374,7 +392,7 @@ def q_upsert_bars(spark, sf_dir):
     target, _ = U.symbol_ids(cat, bars.where(F.col("date") < "1999-01-01"))
     revised = clean_bars(fx.raw_bars(spark, sf_dir)).where(F.col("date") >= "1998-07-01")
     updates, _ = U.symbol_ids(cat, revised)
-    merged = U.upsert_bars(U.to_gold_bars(target), U.to_gold_bars(updates))
+    merged = U.upsert_bars(U.to_gold_bars(target), materialize(U.to_gold_bars(updates)))
     return _present_gold(merged)
 
 
@@ -382,6 +400,7 @@ def predictions(spark, sf_dir, cat: DataFrame | None = None) -> DataFrame:
     """Prediction rows for two rank 'models' on every labelled feature row."""
     f = features(spark, sf_dir)
     cat = cat if cat is not None else catalogue(spark, sf_dir)
+    f = materialize(f.select("symbol", "date", "returns_20d_rank", "returns_5d_rank", "label_direction_5d"))
     rows = []
     for name, col in (("rank20", "returns_20d_rank"), ("rank5", "returns_5d_rank")):
         p = finite_or_null(F.col(col))
@@ -401,7 +420,7 @@ PRED_COLS = ["ticker_id", "prediction_date", "horizon_days", "model_name", "run_
 
 
 def q_upsert_predictions(spark, sf_dir):
-    pr = predictions(spark, sf_dir)
+    pr = materialize(predictions(spark, sf_dir))
     target = pr.where(F.col("prediction_date") < "1999-01-01").select(*PRED_COLS)
     target = target.withColumn("actual_class", F.when(F.col("prediction_date") < "1998-01-01", F.lit(1)).cast("int"))
     upd = pr.where(F.col("prediction_date") >= "1998-06-01").select(
@@ -415,7 +434,7 @@ def q_upsert_predictions(spark, sf_dir):
 
 
 def q_actual_class_fill(spark, sf_dir):
-    pr = predictions(spark, sf_dir)
+    pr = materialize(predictions(spark, sf_dir))
     table = pr.select(*PRED_COLS).withColumn(
         "actual_class", F.when(F.col("prediction_date") < "1998-01-01", F.lit(0)).cast("int"))
     labels = features(spark, sf_dir).select(
@@ -571,13 +590,13 @@ def q_forward_fill(spark, sf_dir):
 
 
 def q_winsorize(spark, sf_dir):
-    f = features(spark, sf_dir).select("symbol", "date", "returns_1d")
+    f = materialize(features(spark, sf_dir).select("symbol", "date", "returns_1d"))
     bounds = PP.fit_quantile_bounds(_train_rows(f), "returns_1d", 0.005, 0.995)
     return present(PP.winsorize(f, "returns_1d", bounds), ["symbol", "date"], ["returns_1d"])
 
 
 def q_robust_scale(spark, sf_dir):
-    f = features(spark, sf_dir).select("symbol", "date", "rsi_14")
+    f = materialize(features(spark, sf_dir).select("symbol", "date", "rsi_14"))
     stats = PP.fit_robust_scale(_train_rows(f), "rsi_14")
     return present(PP.robust_scale(f, "rsi_14", stats, "rsi_14_robust"), ["symbol", "date"], ["rsi_14", "rsi_14_robust"])
 
