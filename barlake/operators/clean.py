@@ -60,7 +60,14 @@ def quality_report(raw: DataFrame, cleaned: DataFrame, symbol: str = "symbol", d
     )
 
 
-def filter_min_history(df: DataFrame, min_history_days: int = 250, symbol: str = "symbol") -> DataFrame:
-    """keep symbols with at least ``min_history_days`` bars (window count, no extra shuffle)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(symbol))
+def filter_min_history(df: DataFrame, min_history_days: int = 250, symbol: str = "symbol",
+                       order: str = "date") -> DataFrame:
+    """keep symbols with at least ``min_history_days`` bars.
+
+    A window count (no extra shuffle); the frame spans the whole partition but
+    is ordered by ``order`` so it shares the sort of the indicator windows
+    that follow.
+    """
+    w = Window.partitionBy(symbol).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    n = F.count(F.lit(1)).over(w)
     return df.select("*", n.alias("_n_bars")).where(F.col("_n_bars") >= min_history_days).drop("_n_bars")

@@ -38,8 +38,15 @@ def average_rank(col: str, descending: bool, partition: str = "date") -> Column:
 
 
 def rank_column(col: str, descending: bool, partition: str = "date") -> Column:
-    """(n - rank) / (n - 1) with n the non-null count on the date; n = 1 gives NaN."""
-    n = F.count(F.col(col)).over(Window.partitionBy(partition)).cast("double")
+    """(n - rank) / (n - 1) with n the non-null count on the date; n = 1 gives NaN.
+
+    ``n`` uses the rank's own ordering with a whole-partition frame, so it
+    shares that ordering's sort.
+    """
+    c = F.col(col)
+    ordering = c.desc_nulls_last() if descending else c.asc_nulls_last()
+    whole = Window.partitionBy(partition).orderBy(ordering).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    n = F.count(c).over(whole).cast("double")
     return fdiv(n - average_rank(col, descending, partition), n - F.lit(1.0)).alias(f"{col}_rank")
 
 
