@@ -530,3 +530,9 @@ ORACLE.update({
         + out(f"(rsi_14 - {quantile_sql('train', 'rsi_14', 0.5)}) / ({quantile_sql('train', 'rsi_14', 0.75)} - {quantile_sql('train', 'rsi_14', 0.25)})")
         + " AS rsi_14_robust FROM features", extra=TRAIN_ROWS),
 })
+
+
+_FWD = "(w ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"
+ORACLE["forward_volatility"] = bars_with(*technical_ctes("bars")) + (
+    "SELECT symbol, date, " + out(f"CASE WHEN count(returns_1d) OVER {_FWD} >= 5 THEN stddev_samp(returns_1d) OVER {_FWD} END")
+    + " AS label_volatility_5d FROM tech WINDOW w AS (PARTITION BY symbol ORDER BY date)")

@@ -607,3 +607,14 @@ QUERIES.update({
     "winsorize": q_winsorize,
     "robust_scale": q_robust_scale,
 })
+
+
+def q_forward_volatility(spark, sf_dir):
+    """Config target type 'volatility': std of the next 5 daily returns per symbol."""
+    from barlake.operators.labels import add_forward_volatility
+
+    df = add_forward_volatility(T.add_returns(fx.all_bars(spark, sf_dir), (1,)), 5)
+    return present(df, ["symbol", "date"], ["label_volatility_5d"])
+
+
+QUERIES["forward_volatility"] = q_forward_volatility

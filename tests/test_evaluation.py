@@ -110,3 +110,10 @@ def test_backtest_cases(spark):
     assert s.annualised_volatility >= 0.0 and s.sharpe_ratio == 0.0
     empty = preds(spark).limit(0)
     assert P.backtest_summary(empty, "label_return_5d")["n_trades"] == 0
+
+
+def test_test_range_role(spark):
+    f = FO.with_test_range(FO.walk_forward_splits(spark, "2020-01-01", "2022-12-31", "2023-01-10", "2023-12-31"), "2024-01-01")
+    rows = spark.createDataFrame([(date(2021, 5, 5),), (date(2023, 6, 1),), (date(2025, 1, 1),), (date(2024, 1, 3),)], "date date")
+    roles = sorted((r.date.isoformat(), r.role) for r in FO.assign_folds(rows, f).collect())
+    assert roles == [("2021-05-05", "train"), ("2023-06-01", "val"), ("2024-01-03", "test"), ("2025-01-01", "test")]
