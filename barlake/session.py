@@ -61,16 +61,20 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A cluster names a shared folder there; it is never replaced.  Only when it
-    is unset (tests, local runs) is a fresh scratch folder created.
+    A cluster names a shared folder there and it is used as is.  Only when
+    neither the setting nor the context's checkpoint dir exists (tests, local
+    runs) is a scratch folder created.  ``spark.checkpoint.dir`` cannot be
+    changed on a running session, so the fallback goes through
+    ``setCheckpointDir``.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="barlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

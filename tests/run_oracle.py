@@ -18,7 +18,13 @@ from barlake.session import build_session  # noqa: E402
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("ORACLE_PLAIN"):  # the driver's own session: no engine defaults
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0
