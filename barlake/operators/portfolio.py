@@ -108,3 +108,25 @@ def backtest_summary(pred: DataFrame, realised: str, top_k: int = 20, rebalance_
     if row is None:
         return {k: (0 if k == "n_trades" else 0.0) for k in RESULT_FIELDS}
     return {k: row[k] for k in RESULT_FIELDS}
+
+
+def rebalance_dates(pred: DataFrame, every_n: int, date: str = "date") -> DataFrame:
+    """Config option ``rebalance_frequency``: every ``n``-th distinct date (0, n, 2n, ...).
+
+    The reference picks on every date; this is the documented intent as an
+    explicit option.  Date positions come from distributed prefix counts, not
+    a global window.
+    """
+    from barlake.operators.ordered import ordered_prefix_sums
+
+    days = pred.select(date).distinct().withColumn("_one", F.lit(1))
+    numbered = ordered_prefix_sums(days, [], [date], ["_one"])
+    return numbered.where(((F.col("cum__one") - 1) % every_n) == 0).select(date)
+
+
+def backtest_rebalanced(pred: DataFrame, realised: str, top_k: int, every_n: int, transaction_cost_bps: float = 5.0,
+                        score: str = "predicted_probability", date: str = "date", symbol: str = "symbol") -> DataFrame:
+    """Top-k picks only on rebalance dates, held for the ``realised`` horizon; stats annualised by ``every_n``."""
+    days = rebalance_dates(pred, every_n, date)
+    on_days = pred.join(days, date, "left_semi")
+    return backtest_top_k(on_days, realised, top_k, every_n, transaction_cost_bps, score, date, symbol)

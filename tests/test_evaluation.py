@@ -117,3 +117,11 @@ def test_test_range_role(spark):
     rows = spark.createDataFrame([(date(2021, 5, 5),), (date(2023, 6, 1),), (date(2025, 1, 1),), (date(2024, 1, 3),)], "date date")
     roles = sorted((r.date.isoformat(), r.role) for r in FO.assign_folds(rows, f).collect())
     assert roles == [("2021-05-05", "train"), ("2023-06-01", "val"), ("2024-01-03", "test"), ("2025-01-01", "test")]
+
+
+def test_rebalance_every_n(spark):
+    df = preds(spark, 20, 10)
+    days = sorted(r.date for r in P.rebalance_dates(df, 5).collect())
+    assert days == [date(2024, 1, 1), date(2024, 1, 6), date(2024, 1, 11), date(2024, 1, 16)]
+    r = P.backtest_rebalanced(df, "label_return_5d", top_k=3, every_n=5, transaction_cost_bps=0.0).first()
+    assert r.n_trades == 4 * 3 and r.win_rate == 1.0
