@@ -10,6 +10,11 @@ prefix sum instead:
 3. per ``(partition id, group)`` totals (at most partitions + groups rows),
    turned into offsets by a running sum over partition ids;
 4. running sum + offset = the exact group-wide running sum.
+
+Step 2's output (with its partition id) is written once to the checkpoint
+folder: the totals and the final join must see the same partition
+assignment, and two independent range exchanges would each sample their own
+bounds (and recompute the whole upstream plan).
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.numeric import fdiv
+from barlake.session import materialize
 
 
 def _order_exprs(order_cols: list[str], descending: bool) -> list[Column]:
@@ -44,9 +50,9 @@ def ordered_prefix_sums(
     tagged = ranged.withColumn("_pid", F.spark_partition_id())
 
     local_w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = tagged.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols])
+    local = materialize(tagged.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols]))
 
-    totals = tagged.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    totals = local.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     off_w = (Window.partitionBy(*keys) if keys else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_pid", *keys, *[F.coalesce(F.sum(f"_tot_{c}").over(off_w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols]

@@ -18,6 +18,7 @@ from barlake.operators.cross_sectional import add_cross_sectional_ranks, add_mar
 from barlake.operators.labels import add_direction_label, add_forward_returns
 from barlake.operators.lag import add_default_lags, default_lag_names
 from barlake.plans.features import build_feature_frame
+from barlake.session import materialize
 from barlake.sources import fixtures as fx
 
 EMA_DIGITS = 4
@@ -33,24 +34,6 @@ def present(df: DataFrame, keys: list[str], floats: list[str], other: list[str]
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
-
-    Used where one intermediate feeds two branches (e.g. fold bounds and the
-    rows assigned to those folds): differently pruned branches would
-    otherwise recompute the whole upstream pipeline.  A reliable checkpoint
-    survives executor loss (unlike a local checkpoint or cache).  Written
-    as Parquet (columnar, compressed) rather than an RDD checkpoint.
-    """
-    import uuid
-
-    from barlake.session import scratch_path
-
-    path = scratch_path(df.sparkSession, f"materialized-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _tech(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.add_all_technical(fx.all_bars(spark, sf_dir))
 

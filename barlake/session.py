@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
@@ -82,3 +82,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
+
+    Cuts lineage (survives executor loss, unlike a local checkpoint or a
+    cache) and pins any value computed from the physical layout, such as a
+    partition id, so every later consumer sees the same rows.  Used where one
+    intermediate feeds two differently pruned branches.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"materialized-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
