@@ -535,7 +535,7 @@ def q_score_latest(spark, sf_dir):
     from barlake.plans.features import select_feature_columns
 
     cols = select_feature_columns(labelled, "label_direction_5d")
-    train = prepare(labelled, cols, "label_direction_5d")
+    train = materialize(prepare(labelled, cols, "label_direction_5d"))
     use = usable_features(train, cols)
     model = fit("logreg", train, use)
     scored = predict_latest(everything, model, "logreg", use)

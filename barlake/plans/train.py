@@ -8,7 +8,8 @@
   weights; NaN/inf are imputed first (MLlib trees reject NaN).
 * Training (M5): per walk-forward fold fit on train rows, score validation
   rows, exact metrics (V1-V6) per fold; then refit on train_start..val_end.
-  The assembled frame is cached once and shared by every fold.
+  The prepared frame is written once to the checkpoint folder and shared by
+  every fold (short lineage for the iterative solvers, survives executor loss).
 * Runs (M10, M11): ``runs`` and ``run_metrics`` tables; the newest FINISHED
   run of a model is found with ``max_by``.
 """
@@ -33,6 +34,7 @@ from barlake.functions.numeric import finite_or_null
 from barlake.operators.folds import walk_forward_splits
 from barlake.operators.metrics import compute_metrics, metrics_long
 from barlake.plans.features import select_feature_columns
+from barlake.session import materialize
 
 PipelineFactory = Callable[[list[str], dict], Pipeline]
 
@@ -177,7 +179,9 @@ def train_one_model(spark: SparkSession, features: DataFrame, model_name: str, t
     feature_cols = select_feature_columns(features, label_col)
     folds = walk_forward_splits(spark, train_start, train_end, val_start, val_end, n_splits, embargo_days, expanding)
     bounds = [r.asDict() for r in folds.orderBy("fold").collect()]  # n_splits rows of parameters
-    data = prepare(features, feature_cols, label_col).cache()
+    # written once to the checkpoint folder: every fold, every solver iteration
+    # and the refit read a short lineage instead of the feature pipeline
+    data = materialize(prepare(features, feature_cols, label_col))
     run_id = uuid.uuid4().hex
     per_fold = []
     for b in bounds:
