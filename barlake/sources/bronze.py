@@ -132,7 +132,7 @@ def extract_market(
     hdr = F.broadcast(headers) if n_files <= BROADCAST_MAX_FILES else headers
     joined = lines.join(hdr, "file_path").where(pos != F.col("_hpos"))
 
-    names = F.split(F.col("header"), ",")
+    names = F.transform(F.split(F.col("header"), ","), lambda x: F.trim(x))
     fields = F.map_from_arrays(names, F.split(F.col("value"), ","))
 
     def field(h: str) -> Column:

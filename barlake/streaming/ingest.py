@@ -31,7 +31,7 @@ def parse_lines(lines: DataFrame, raw_root: str, market: str) -> DataFrame:
     pos = F.col("line_id")
     headers = lines.groupBy("file_path").agg(F.min_by("value", pos).alias("header"), F.min(pos).alias("_hpos"))
     joined = lines.join(headers, "file_path").where(pos != F.col("_hpos"))
-    names = F.split(F.col("header"), ",")
+    names = F.transform(F.split(F.col("header"), ","), lambda x: F.trim(x))
     fields = F.map_from_arrays(names, F.split(F.col("value"), ","))
 
     def field(h):

@@ -32,6 +32,8 @@ def bronze_tree():
     # columns reordered, optional columns missing: matched by name
     write(root, "jp/tse etfs/1305.jp.txt", "<DATE>,<CLOSE>,<OPEN>,<LOW>,<HIGH>,<TICKER>\n20240105,20.5,20.0,19.5,21.0,1305.JP\n")
     write(root, "jp/tse indices/^tpx.txt", HEADER + "\n^TPX,D,20240102,000000,2000,2010,1990,2005,0,0\n")
+    # CRLF line ends and padded header names
+    write(root, "jp/tse stocks/3/1301.jp.txt", "<TICKER>, <DATE>,<OPEN> ,<HIGH>,<LOW>,<CLOSE>\r\n1301.JP,20240102,5,6,4,5.5\r\n")
     write(root, "jp/tse stocks/2/130a.jp.txt", HEADER + "\n130A.JP,D,20240104,000000,10,11,9,10,100,\n")
     write(root, "jp/tse stocks/empty.jp.txt", "")
     write(root, "jp/tse stocks/bad.jp.txt", "<TICKER>,<DATE>,<OPEN>\nBAD,20240102,1\n")
@@ -45,7 +47,9 @@ def test_extract_paths_types_sectors(spark):
     root = bronze_tree()
     ex = extract_market(spark, root, "jp")
     inst = {r.symbol: r for r in ex.instruments.collect()}
-    assert set(inst) == {"7203.JP", "1305.JP", "^TPX", "130A.JP", "9984.JP"}
+    assert set(inst) == {"7203.JP", "1305.JP", "^TPX", "130A.JP", "9984.JP", "1301.JP"}
+    crlf = ex.bars.where(F.col("symbol") == "1301.JP").first()
+    assert (crlf.date, crlf.open, crlf.close) == (date(2024, 1, 2), 5.0, 5.5)
     assert inst["7203.JP"].asset_type == "stock" and inst["7203.JP"].sector_code == "7000"
     assert inst["130A.JP"].sector_code == "1000"
     assert inst["^TPX"].asset_type == "index" and inst["^TPX"].sector_code is None
