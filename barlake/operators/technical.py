@@ -106,8 +106,6 @@ def _zscore(window: int) -> Column:
     return fdiv(F.col("volume").cast("double") - F.col("_vmean"), F.col("_vsd")).alias(f"volume_zscore_{window}d")
 
 
-def _drop_temps(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_") and c != "_idx"])
 
 
 # --------------------------------------------------------------------------

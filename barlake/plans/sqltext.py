@@ -66,8 +66,6 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
-def bars_ctes() -> str:
-    return with_(LINES, BRAND, INDEX, BARS)
 
 
 def out(expr: str, digits: int = 6) -> str:
@@ -76,9 +74,6 @@ def out(expr: str, digits: int = 6) -> str:
     return f"CASE WHEN isfinite(CAST({expr} AS DOUBLE)) THEN round(CAST({expr} AS DOUBLE) * {scale}) / {scale} END"
 
 
-def fdiv(n: str, d: str) -> str:
-    """DuckDB DOUBLE division is already IEEE; the helper only forces DOUBLE."""
-    return f"(CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE))"
 
 
 def rolling(agg: str, expr: str, n: int, window: str = "w") -> str:

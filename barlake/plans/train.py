@@ -21,7 +21,6 @@ import os
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import date as date_t
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -280,7 +279,3 @@ def predict_latest(features_all: DataFrame, model: PipelineModel, model_name: st
     latest = latest_row(df.select("symbol", "date", *feature_cols))
     prepared = latest.select("symbol", "date", *[finite_or_null(F.col(c)).alias(c) for c in feature_cols])
     return score_frame(model, prepared, model_name, horizon_days=horizon_days)
-
-
-def as_date(x) -> date_t:
-    return x if isinstance(x, date_t) else date_t.fromisoformat(str(x))

@@ -125,3 +125,13 @@ def test_rebalance_every_n(spark):
     assert days == [date(2024, 1, 1), date(2024, 1, 6), date(2024, 1, 11), date(2024, 1, 16)]
     r = P.backtest_rebalanced(df, "label_return_5d", top_k=3, every_n=5, transaction_cost_bps=0.0).first()
     assert r.n_trades == 4 * 3 and r.win_rate == 1.0
+
+
+def test_page_count_and_sparse_columns(spark):
+    from barlake.operators.lookups import page_count
+    from barlake.operators.preprocessing import drop_sparse_columns, fill_zero
+
+    assert (page_count(0, 50), page_count(50, 50), page_count(51, 50)) == (0, 1, 2)
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (4.0, None), (None, 3.0)], "a double, b double")
+    assert drop_sparse_columns(df, ["a", "b"], 0.3).columns == ["a"]  # a: 25 % missing, b: 75 %
+    assert [r.b for r in fill_zero(df, ["b"]).collect()] == [0.0, 0.0, 0.0, 3.0]
