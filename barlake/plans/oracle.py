@@ -536,3 +536,21 @@ _FWD = "(w ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"
 ORACLE["forward_volatility"] = bars_with(*technical_ctes("bars")) + (
     "SELECT symbol, date, " + out(f"CASE WHEN count(returns_1d) OVER {_FWD} >= 5 THEN stddev_samp(returns_1d) OVER {_FWD} END")
     + " AS label_volatility_5d FROM tech WINDOW w AS (PARTITION BY symbol ORDER BY date)")
+
+
+ORACLE["portfolio_rebalanced"] = feature_query(f"""
+SELECT CAST(3 AS INTEGER) AS top_k, CAST(5.0 AS DOUBLE) AS cost_bps, CAST(count(*) * 3 AS BIGINT) AS n_trades,
+  {out('product(1 + net_return) - 1')} AS cumulative_return,
+  {out(f'avg(net_return) * {_F!r}')} AS annualised_return,
+  {out(f'coalesce(stddev_samp(net_return), 0.0) * {_SQ!r}')} AS annualised_volatility,
+  {out(f'CASE WHEN coalesce(stddev_samp(net_return), 0.0) * {_SQ!r} > 1e-12 THEN avg(net_return) * {_F!r} / (coalesce(stddev_samp(net_return), 0.0) * {_SQ!r}) ELSE 0.0 END')} AS sharpe_ratio,
+  {out('min((equity - peak) / peak)')} AS max_drawdown,
+  {out('avg(CASE WHEN net_return > 0 THEN 1.0 ELSE 0.0 END)')} AS win_rate
+FROM (SELECT *, max(equity) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING) AS peak FROM (
+        SELECT *, product(1 + net_return) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING) AS equity FROM (
+          SELECT date, avg(ret) - 2.0 * CAST(5.0 AS DOUBLE) / 10000.0 AS net_return
+          FROM (SELECT s.*, row_number() OVER (PARTITION BY s.date ORDER BY s.p DESC, s.symbol ASC) AS pick_rank
+                FROM scored s JOIN (SELECT date, row_number() OVER (ORDER BY date) AS rn FROM (SELECT DISTINCT date FROM scored)) d
+                  ON s.date = d.date
+                WHERE (d.rn - 1) % 5 = 0)
+          WHERE pick_rank <= 3 GROUP BY date)))""", extra=[SCORED])

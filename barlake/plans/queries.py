@@ -601,3 +601,13 @@ def q_forward_volatility(spark, sf_dir):
 
 
 QUERIES["forward_volatility"] = q_forward_volatility
+
+
+def q_portfolio_rebalanced(spark, sf_dir):
+    """Top-3 picks only on every 5th trading date (config rebalance option), 5 bps."""
+    stats = P.backtest_rebalanced(scored(spark, sf_dir), "ret", top_k=3, every_n=5, transaction_cost_bps=5.0, score="p")
+    return present(stats, ["top_k", "cost_bps", "n_trades"], ["cumulative_return", "annualised_return",
+                   "annualised_volatility", "sharpe_ratio", "max_drawdown", "win_rate"])
+
+
+QUERIES["portfolio_rebalanced"] = q_portfolio_rebalanced
