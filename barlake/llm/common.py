@@ -91,3 +91,11 @@ def worker_env() -> None:
     """Spark gives each task one core: libraries in it stay on one thread."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     os.environ.setdefault("OMP_NUM_THREADS", "1")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -1,3 +1,74 @@
 """DuckDB SQL for the queries that SQL can express; the others are tested against brute force in tests/llm."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from barlake.llm import quality_rules as q
+from barlake.llm import sharding as s
+
+
+def _sharding_sql() -> str:
+    n, m = len(s.SHARDS), s.SIZE
+    md5 = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+    return f"""
+WITH RECURSIVE shards AS (
+  SELECT i, {md5.format("'offset shard-' || lpad(i::VARCHAR, 3, '0')")} % {m} AS off,
+         {md5.format("'skip shard-' || lpad(i::VARCHAR, 3, '0')")} % {m - 1} + 1 AS skip
+  FROM range({n}) r(i)),
+fill(turn, slot, tbl) AS (
+  SELECT -1, -1::BIGINT, [-1 FOR x IN range({m})]
+  UNION ALL
+  SELECT turn + 1, free, list_transform(tbl, lambda x, k: CASE WHEN k = free + 1 THEN turn + 1 ELSE x END)
+  FROM (SELECT turn, tbl, [(off + j * skip) % {m} FOR j IN range({m}) IF tbl[(off + j * skip) % {m} + 1] < 0][1] AS free
+        FROM fill JOIN shards ON i = (turn + 1) % {n} WHERE turn < {m - 1})),
+placed AS (SELECT slot, turn % {n} AS shard FROM fill WHERE turn >= 0),
+docs AS (SELECT doc_id, ({md5.format("coalesce(doc_id::VARCHAR, '')")} % {m})::INTEGER AS slot FROM documents)
+SELECT doc_id, docs.slot, shard::INTEGER AS shard FROM docs JOIN placed ON docs.slot = placed.slot"""
+
+
+def _quality_sql() -> str:
+    word = r"[^\x20\x09-\x0D]+"
+    kinds = list(q.RATIOS)
+    union = " UNION ALL ".join(
+        f"SELECT lang, source, '{c}' AS feature, {c} AS v FROM ratios WHERE NOT base_failed" for c in kinds)
+    level = "SELECT {keys} feature, max(docs) AS docs, min(bucket) FILTER (upto >= (docs * 25 + 99) // 100) AS low, " \
+            "min(bucket) FILTER (upto >= (docs * 75 + 99) // 100) AS high FROM (" \
+            "SELECT {keys} feature, bucket, sum(count(*)) OVER (PARTITION BY {part} ORDER BY bucket) AS upto, " \
+            "sum(count(*)) OVER (PARTITION BY {part}) AS docs FROM buckets GROUP BY {keys} feature, bucket) GROUP BY {keys} feature"
+    levels = ", ".join(f"l{n} AS (" + level.format(keys=k, part=k + "feature") + ")" for n, k in ((2, "lang, source, "), (1, "lang, "), (0, "")))
+    slack = "CASE feature " + " ".join(f"WHEN '{c}' THEN {v}" for c, v in q.RATIOS.items()) + " END"
+    fence = ", ".join(f"max(fence) FILTER (feature = '{c}') AS {c}_fence" for c in kinds)
+    inside = " AND ".join(f"coalesce({c} <= {c}_fence, false)" for c in kinds)
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+arrays AS (
+  SELECT *, regexp_extract_all(t, '{word}') AS w, list_filter(string_split(t, chr(10)), lambda s: regexp_matches(s, '{word}')) AS ls
+  FROM texts),
+pos AS (SELECT r, w, unnest(range(1, len(w) - {q.WINDOW} + 2)) AS i FROM arrays),
+twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w[i:i + {q.WINDOW - 1}]) AS c FROM pos) WHERE c > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range({q.WINDOW}) o(k) GROUP BY r),
+counts AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, len(ls) AS n_lines,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM arrays LEFT JOIN covered USING (r)),
+ratios AS (
+  SELECT *, 10000 * n_symbols // greatest(word_chars, 1) AS symbol_ratio, 10000 * n_dup_lines // greatest(n_lines, 1) AS dup_line_ratio,
+         10000 * n_repeat_words // greatest(n_words, 1) AS repeat_ratio,
+         n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM counts),
+buckets AS (
+  SELECT lang, source, feature, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket FROM ({union})),
+{levels},
+best AS (
+  SELECT l2.lang, l2.source, feature, coalesce(
+    CASE WHEN l2.docs >= {q.MIN_DOCS} THEN l2.high + 3 * (l2.high - l2.low) END,
+    CASE WHEN l1.docs >= {q.MIN_DOCS} THEN l1.high + 3 * (l1.high - l1.low) END, l0.high + 3 * (l0.high - l0.low)) + {slack} AS fence
+  FROM l2 JOIN l1 USING (feature) JOIN l0 USING (feature) WHERE l2.lang IS NOT DISTINCT FROM l1.lang),
+limits AS (SELECT lang, source, {fence} FROM best GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {inside} AS kept,
+       {', '.join(f'{c}::BIGINT AS {c}' for c in kinds)}, {', '.join(f'{c}_fence::BIGINT AS {c}_fence' for c in kinds)}
+FROM ratios LEFT JOIN limits ON ratios.lang IS NOT DISTINCT FROM limits.lang AND ratios.source IS NOT DISTINCT FROM limits.source"""
+
+
+ORACLE: dict[str, str] = {"op2_shard": _sharding_sql(), "op5_quality": _quality_sql()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barlake.llm import bpe, packing, token_store
+from barlake.llm import bpe, packing, quality_rules, sharding, token_store
 from barlake.llm.common import table
 
 
@@ -10,12 +10,20 @@ def op1_token_store(spark, sf_dir):
     return token_store.store_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_shard(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_pack(spark, sf_dir):
     return packing.pack_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark, sf_dir):
+    return quality_rules.judge_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark, sf_dir):
     return bpe.encode_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op3_pack, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_shard, op3_pack, op5_quality, op9_bpe)}
