@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barlake.llm import bpe, packing, quality_rules, sharding, token_store
+from barlake.llm import bpe, language_id, packing, quality_rules, sharding, token_store, topk_search
 from barlake.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_pack(spark, sf_dir):
     return packing.pack_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark, sf_dir):
     return quality_rules.judge_digest(table(spark, sf_dir, "documents"))
 
@@ -26,4 +30,8 @@ def op9_bpe(spark, sf_dir):
     return bpe.encode_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_shard, op3_pack, op5_quality, op9_bpe)}
+def op10_topk(spark, sf_dir):
+    return topk_search.search_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_shard, op3_pack, op4_language, op5_quality, op9_bpe, op10_topk)}
