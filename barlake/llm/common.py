@@ -66,8 +66,8 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """The text column with null as the empty text."""
-    return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    """The text column with null as the empty text, copied: some Arrow functions err on arrays cut out of larger ones."""
+    return pc.fill_null(batch.column(column).cast(pa.large_string()), "").take(pa.array(np.arange(batch.num_rows)))
 
 
 def spread(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
