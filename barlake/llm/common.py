@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from barlake.session import scratch_path
 
 #: Text handled at once inside a Python task, in bytes (one longer text is still taken whole).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Words of the word-based operators: runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 

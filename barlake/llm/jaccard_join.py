@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import needed, slices, stored, texts_of
+from barlake.llm.common import fresh, needed, slices, stored, texts_of
 from barlake.llm.graph import components
 
 WORDS = 4
@@ -419,3 +419,17 @@ def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOT
 
 def join_digest(docs: DataFrame) -> DataFrame:
     return similarity_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component: the least doc_id, then text hash.
+
+    Rows equal in doc_id and text are one document.  Documents without words
+    are linked with nothing and stay.
+    """
+    found = similarity_components(docs)
+    chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("m")).select("m.*")
+    chosen = chosen.unionByName(found.where("n_shingles = 0").select("doc_id", "th")).select(F.xxhash64("doc_id", "th").alias("k")).distinct()
+    k = fresh(docs, "row_key")
+    keyed = docs.withColumn(k, F.xxhash64(docs["doc_id"].cast("bigint"), F.xxhash64(docs["text"]))).dropDuplicates([k])
+    return keyed.join(chosen.withColumnRenamed("k", k), k, "left_semi").select(*[f"`{c}`" for c in docs.columns])

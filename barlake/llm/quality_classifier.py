@@ -234,10 +234,10 @@ def with_score(docs: DataFrame, model: QualityModel, name: str = "score") -> Dat
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
-def filter_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def filter_documents(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score reaches the threshold, with their own columns."""
     name = fresh(docs, "score")
-    return with_score(docs, train(docs, labels), name).where(F.col(name) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return with_score(docs, model, name).where(F.col(name) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

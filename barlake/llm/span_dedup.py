@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from barlake.llm.common import fresh, slices, stored
 
-UNITS = 3
+UNITS = 2
 WORDS = 15
 #: Entries in a bucket, about, and entries a task gathers before it sends them.
 BUCKET_SPANS, GATHER = 500_000, 500_000

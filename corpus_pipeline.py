@@ -4,18 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import packing
+from barlake.llm import jaccard_join, packing, quality_classifier, quality_rules, span_dedup
 from barlake.llm.common import stored, table
 
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules (5): documents they reject go."""
+    return quality_rules.filter_documents(docs)
+
+
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier (7): documents it rejects go.
+
+    It learns from the labelled documents of the whole table, as few bad ones get here.
+    """
+    model = quality_classifier.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_classifier.filter_documents(docs, model)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (8): one document of each group stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Substring dedup (6): sentences of repeated spans go, but for the first place of each."""
+    return span_dedup.dedup_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing (3): the pieces of all documents left."""
     return packing.pack_digest(docs)
 
 
-STAGES = [("packing", pack_stage)]
+STAGES = [("quality rules", rules_stage), ("quality classifier", classifier_stage), ("n-gram Jaccard join", near_duplicate_stage),
+          ("substring dedup", span_stage), ("packing", packing_stage)]
 
-#: Scores of learned models decide some stages, which SQL can't express.
+#: A learned classifier decides a stage, which SQL can't express; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
