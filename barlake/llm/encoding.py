@@ -18,8 +18,8 @@ import pyarrow.compute as pc
 
 from barlake.llm.common import spread, worker_env
 
-#: Chunks remembered between slices of a task; beyond it the memory is emptied (speed only).
-CACHE_CHUNKS = 300_000
+#: Chunks remembered in each of two generations: a full one becomes the old one, which is searched too (speed only).
+CACHE_CHUNKS = 200_000
 
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
@@ -51,16 +51,18 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _packed(self, chunks: list[str]) -> list[bytes]:
-        known = self.known
-        new = [c for c in chunks if c not in known]
-        if len(known) + len(new) > CACHE_CHUNKS:
-            known.clear()
-            new = chunks
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[c] = array("I", e.ids).tobytes()
-        return [known[c] for c in chunks]
+        if len(self.known) > CACHE_CHUNKS:
+            self.known, self.old = {}, self.known
+        known, find, find_old = self.known, self.known.get, self.old.get
+        out = [find(c) or find_old(c) for c in chunks]
+        new = [i for i, p in enumerate(out) if p is None]
+        for i, e in zip(new, self.tokenizer.encode_batch_fast([chunks[i] for i in new], add_special_tokens=False)):
+            out[i] = array("I", e.ids).tobytes()
+        known.update(zip(chunks, out))
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` one after another, and the bounds of each text in them."""
