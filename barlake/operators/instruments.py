@@ -16,9 +16,13 @@ def sector_code(symbol: Column, asset_type: Column) -> Column:
 
 
 def instruments_from_bars(bars: DataFrame) -> DataFrame:
-    """One row per symbol: market, asset type, sector and ``listed_at`` = first bar date."""
-    agg = bars.groupBy("symbol", "market", "asset_type").agg(F.min("date").alias("listed_at"))
-    return agg.select("symbol", "market", "asset_type",
+    """One row per symbol: market, asset type, sector and ``listed_at`` = first bar date.
+
+    A symbol found under several markets or asset types takes the first pair in order.
+    """
+    agg = bars.groupBy("symbol").agg(F.min(F.struct("market", "asset_type")).alias("kind"), F.min("date").alias("listed_at"))
+    return agg.select("symbol", F.col("kind.market").alias("market"), F.col("kind.asset_type").alias("asset_type"), "listed_at").select(
+                      "symbol", "market", "asset_type",
                       sector_code(F.col("symbol"), F.col("asset_type")).alias("sector_code"), "listed_at")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barlake.operators.ordered import ordered_prefix_sums
 from barlake.schema import PRICE
+from barlake.session import path_exists
 
 
 def check_unique_keys(updates: DataFrame, keys: list[str]) -> None:
@@ -42,10 +43,13 @@ def merge_by_key(
     * ``merge``: ``f(old, new)`` when both exist;
     * ``on_update``: value for every updated or inserted row (e.g. ``updated_at``).
     Columns not named anywhere behave like ``replace`` when the update has them,
-    otherwise like ``keep``.
+    otherwise like ``keep``.  A ``replace`` or ``merge`` column, or a key, that the
+    update lacks raises: it would silently become NULL for every updated row.
     """
     replace, keep, merge = list(replace or []), list(keep or []), dict(merge or {})
     on_insert, on_update = dict(on_insert or {}), dict(on_update or {})
+    if missing := [c for c in [*keys, *replace, *merge] if c not in updates.columns]:
+        raise ValueError(f"the update lacks the columns {missing}")
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_in_t"))
     u = updates.select(*[F.col(c).alias(f"u_{c}") for c in updates.columns], F.lit(True).alias("_in_u"))
     cond = None
@@ -93,9 +97,12 @@ def assign_new_ids(catalogue: DataFrame, new_symbols: DataFrame, symbol: str = "
 def upsert_instruments(catalogue: DataFrame, updates: DataFrame, now: Column | None = None) -> DataFrame:
     """Key symbol.  Overwrites market/asset_type/sector_code, ``listed_at = least(old, new)``,
     reactivates, stamps ``updated_at``; keeps id, name, delisted_at, created_at.
-    New symbols get fresh ids; the result is the whole catalogue."""
+    New symbols get fresh ids; the result is the whole catalogue.  Of several update
+    rows of a symbol the least (market, asset_type, sector_code) counts, with the
+    least listed_at."""
     now = now if now is not None else F.current_timestamp()
-    upd = updates.select("symbol", "market", "asset_type", "sector_code", "listed_at")
+    upd = updates.groupBy("symbol").agg(F.min(F.struct("market", "asset_type", "sector_code")).alias("kind"),
+                                        F.min("listed_at").alias("listed_at")).select("symbol", "kind.*", "listed_at")
     new = upd.join(catalogue.select("symbol"), "symbol", "left_anti")
     ids = assign_new_ids(catalogue, new)
     upd = upd.join(ids, "symbol", "left")
@@ -174,15 +181,23 @@ def upsert_partitioned_table(target_path: str, updates: DataFrame, keys: list[st
     """
     spark = updates.sparkSession
     check_unique_keys(updates, keys)
-    try:
+    if path_exists(spark, target_path):  # any error in reading it stops the upsert before it writes
         target = spark.read.parquet(target_path)
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        target = None
-    if target is None:
-        merged = updates
-    else:
         touched = updates.select(partition_col).distinct()
         scoped = target.join(touched, partition_col, "left_semi")
         merged = (merge_fn or (lambda t, u: replace_by_key(t, u, keys)))(scoped, updates.select(*target.columns))
-    (merged.repartition(partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
+    else:
+        merged = updates
+    write_partitions(merged, target_path, [partition_col], keys)
+
+
+def write_partitions(df: DataFrame, path: str, partition_cols: list[str], sort_cols: list[str], dynamic: bool = True) -> None:
+    """Write ``df`` in folders by ``partition_cols``, each file sorted.
+
+    Rows are rebalanced by the partition columns: Spark splits a large
+    partition over several tasks (and files) and joins small ones.  With
+    ``dynamic`` only the folders present in ``df`` are replaced.
+    """
+    (df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *sort_cols)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+     .option("compression", "zstd").partitionBy(*partition_cols).parquet(path))

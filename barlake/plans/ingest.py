@@ -18,7 +18,9 @@ from barlake.operators.clean import clean_bars, quality_report
 from barlake.operators.instruments import empty_catalogue
 from barlake.operators.upsert import (
     PREDICTION_KEYS, symbol_ids, to_gold_bars, upsert_instruments, upsert_partitioned_table, upsert_predictions,
+    write_partitions,
 )
+from barlake.session import path_exists
 from barlake.sources.bronze import extract_market
 from barlake.sources.tables import read_silver
 
@@ -27,11 +29,7 @@ SILVER_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "o
 
 def write_silver(bars: DataFrame, silver_root: str) -> None:
     """Partitioned by market/asset_type; only the partitions present in ``bars`` are replaced."""
-    (bars.select(*SILVER_COLUMNS)
-     .repartition("market", "asset_type", "symbol")
-     .sortWithinPartitions("symbol", "date")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("market", "asset_type").option("compression", "zstd").parquet(silver_root))
+    write_partitions(bars.select(*SILVER_COLUMNS), silver_root, ["market", "asset_type"], ["symbol", "date"])
 
 
 def ingest(spark: SparkSession, raw_root: str, interim_root: str, market: str,
@@ -57,7 +55,7 @@ def _snapshot_root(gold_root: str) -> str:
 def read_gold_catalogue(spark: SparkSession, gold_root: str) -> DataFrame:
     """The newest catalogue snapshot, or an empty catalogue."""
     root = _snapshot_root(gold_root)
-    if "://" not in root and not os.path.isdir(root):
+    if not path_exists(spark, root):
         return empty_catalogue(spark)
     snaps = spark.read.parquet(root)
     latest = snaps.agg(F.max("snapshot")).first()[0]
@@ -72,7 +70,7 @@ def load_to_gold(spark: SparkSession, interim_root: str, gold_root: str, market:
     written next to the gold tables.
     """
     tickers_path = os.path.join(interim_root, "tickers")
-    if "://" not in tickers_path and not os.path.isdir(tickers_path):
+    if not path_exists(spark, tickers_path):
         raise FileNotFoundError(f"Run the transform step first; missing {tickers_path}")
     updates = spark.read.parquet(tickers_path)
     if market is not None:
@@ -83,7 +81,7 @@ def load_to_gold(spark: SparkSession, interim_root: str, gold_root: str, market:
     merged = upsert_instruments(current, updates, now)
     root = _snapshot_root(gold_root)
     n = 0
-    if "://" in root or os.path.isdir(root):
+    if path_exists(spark, root):
         n = (spark.read.parquet(root).agg(F.max("snapshot")).first()[0] or 0) + 1
     merged.withColumn("snapshot", F.lit(n)).write.mode("append").partitionBy("snapshot").parquet(root)
     catalogue = read_gold_catalogue(spark, gold_root)

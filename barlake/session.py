@@ -10,6 +10,7 @@ the real size of a side.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -64,14 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder (``spark.checkpoint.dir``).
 
     A cluster names a shared folder there and it is used as is.  Only when
-    neither the setting nor the context's checkpoint dir exists (tests, local
-    runs) is a scratch folder created.  ``spark.checkpoint.dir`` cannot be
-    changed on a running session, so the fallback goes through
-    ``setCheckpointDir``.
+    neither the setting nor the context's checkpoint dir exists is a scratch
+    folder created, and only for a local master: executors of a cluster would
+    not see it.  ``spark.checkpoint.dir`` cannot be changed on a running
+    session, so the fallback goes through ``setCheckpointDir``.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="barlake-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -97,3 +99,10 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, f"materialized-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its own store (any file system that Spark reads)."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

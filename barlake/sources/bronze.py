@@ -3,30 +3,35 @@
 Layout: ``<raw_root>/<market>/<asset folder>/[sub/]<symbol>.txt``, each a CSV
 with a bracketed header such as ``<TICKER>,<PER>,<DATE>,<TIME>,<OPEN>,...``.
 
-One distributed text scan reads every file; columns are matched **by header
-name**, per file, so files with reordered or missing optional columns parse
-correctly (a fixed-schema CSV read would map them by position).  Metadata
-comes from ``_metadata.file_path``:
+``parse_lines`` is the one parser, used by the batch scan and by the stream.
+It takes raw lines with their place and gives one row for each data line,
+typed or with the reason why it can't be used; no line is lost and none fails
+the job.  Columns are matched **by header name**, per file, so reordered or
+missing optional columns parse correctly; the first of two equal names counts.
+Blank lines are not lines.  Metadata comes from the path below the root,
+whatever store it is in:
 
 * symbol: file name without ``.txt`` (any case), upper-cased;
 * asset type: the folder right under the market directory, via a fixed map;
 * sector: stocks whose symbol starts ``<digit><3 digits/letters>`` -> ``<digit>000``.
 
-Bad values never fail the job: ``reject="row"`` keeps the good rows of a
-file, ``reject="file"`` drops a whole file when any row is bad (the
-reference's behaviour); rejected rows/files are returned with a reason.
+``reject="row"`` keeps the good rows of a file, ``reject="file"`` drops a whole
+file when any row is bad (the reference's behaviour).  A file without the
+required columns has no good row.
 """
 
 from __future__ import annotations
 
 import logging
 import os
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.operators.instruments import sector_code
+from barlake.operators.instruments import instruments_from_bars
+from barlake.session import materialize, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -40,22 +45,12 @@ FOLDER_TO_ASSET_TYPE = {
     "tse corporate bonds": "bond",
     "tse treasury bonds": "bond",
 }
-HEADER_TO_COLUMN = {
-    "<TICKER>": "ticker",
-    "<PER>": "period",
-    "<DATE>": "date_raw",
-    "<TIME>": "time_raw",
-    "<OPEN>": "open",
-    "<HIGH>": "high",
-    "<LOW>": "low",
-    "<CLOSE>": "close",
-    "<VOL>": "volume",
-    "<OPENINT>": "open_interest",
-}
-REQUIRED_HEADERS = ("<TICKER>", "<DATE>", "<OPEN>", "<HIGH>", "<LOW>", "<CLOSE>")
+NUMBERS = {"<OPEN>": "open", "<HIGH>": "high", "<LOW>": "low", "<CLOSE>": "close"}
+COUNTS = {"<VOL>": "volume", "<OPENINT>": "open_interest"}
+REQUIRED_HEADERS = ("<TICKER>", "<DATE>", *NUMBERS)
 
-# Header rows are one per file; above this many files they are joined by shuffle, not broadcast.
-BROADCAST_MAX_FILES = 200_000
+LINE_COLUMNS = ["file_path", "block", "line_id", "value"]
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 @dataclass
@@ -72,10 +67,15 @@ def symbol_from_path(path: Column) -> Column:
 
 
 def relative_parts(path: Column, raw_root: str) -> Column:
-    """Path components below ``raw_root`` (NULL when the file is outside it)."""
-    root = os.path.abspath(raw_root).rstrip("/") + "/"
-    local = F.regexp_replace(path, r"^file:(//)?", "")
-    return F.when(local.startswith(root), F.split(F.substring(local, len(root) + 1, 1 << 30), "/"))
+    """Path components below ``raw_root`` (NULL when the file is outside it).
+
+    Scheme and authority are left out on both sides: Spark may name a file
+    ``file:/x`` or ``hdfs://host:port/x`` where the caller said ``/x``.
+    """
+    plain = re.sub(SCHEME, "", raw_root)
+    root = (plain if plain != raw_root or raw_root.startswith("/") else os.path.abspath(raw_root)).rstrip("/") + "/"
+    below = F.regexp_replace(path, SCHEME, "")
+    return F.when(below.startswith(root), F.split(F.substring(below, len(root) + 1, 1 << 30), "/"))
 
 
 def asset_type_from_path(path: Column, raw_root: str) -> Column:
@@ -86,13 +86,71 @@ def asset_type_from_path(path: Column, raw_root: str) -> Column:
     return F.try_element_at(mapping, folder)
 
 
-def _empty(spark: SparkSession) -> Extract:
-    bars = spark.createDataFrame([], "symbol string, market string, asset_type string, date date, open double, "
-                                     "high double, low double, close double, volume bigint, open_interest bigint, "
-                                     "src_pos struct<block:bigint,line:bigint>")
-    inst = spark.createDataFrame([], "symbol string, market string, asset_type string, sector_code string, listed_at date")
-    rej = spark.createDataFrame([], "file_path string, line string, reason string")
-    return Extract(bars, inst, rej)
+def file_path_column() -> Column:
+    """The file's path as written in the store (the metadata column is percent-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def parse_lines(lines: DataFrame, raw_root: str, market: str, asset_types: set[str] | None = None) -> DataFrame:
+    """One row for each data line of (file_path, block, line_id, value): typed fields and ``reason`` (NULL: good).
+
+    A file's first line, by (block, line_id), is its header; only lines of
+    block 0 can be.  Files of unknown folders are left out.
+    """
+    known = lines.withColumn("asset_type", asset_type_from_path(F.col("file_path"), raw_root)).where(
+        F.col("asset_type").isNotNull() & (F.trim(F.regexp_replace("value", r"\r$", "")) != ""))
+    if asset_types:
+        known = known.where(F.col("asset_type").isin(sorted(asset_types)))
+    cells = lambda c: F.transform(F.split(F.regexp_replace(c, r"\r$", ""), ","), lambda x: F.trim(x))
+    first = known.where("block = 0").groupBy("file_path").agg(F.min("line_id").alias("head_id"), cells(F.min_by("value", "line_id")).alias("names"))
+    rows = known.join(first, "file_path").where("block > 0 or line_id <> head_id").withColumn("cells", cells(F.col("value")))
+
+    def field(header: str) -> Column:
+        """The cell under a header; NULL if the header or the cell is not there or empty."""
+        at = F.array_position("names", header)
+        return F.when(at > 0, F.nullif(F.get("cells", (at - 1).cast("int")), F.lit("")))
+
+    typed = {c: field(h).try_cast("double") for h, c in NUMBERS.items()}
+    typed |= {c: field(h).try_cast("double").try_cast("bigint") for h, c in COUNTS.items()}
+    both = {c: h for h, c in (NUMBERS | COUNTS).items()}
+    bad = F.lit(False)
+    for c, h in both.items():
+        bad = bad | (field(h).isNotNull() & typed[c].isNull())
+    date = F.try_to_date(field("<DATE>"), "yyyyMMdd")
+    lacks = F.size(F.array_except(F.array(*[F.lit(h) for h in REQUIRED_HEADERS]), "names")) > 0
+    reason = (F.when(lacks, "missing required columns")
+              .when(F.size("cells") != F.size("names"), "field count differs from header")
+              .when(date.isNull(), "unparseable date")
+              .when(bad, "unparseable number"))
+    return rows.select(
+        "file_path", symbol_from_path(F.col("file_path")).alias("symbol"), F.lit(market).alias("market"), "asset_type",
+        date.alias("date"), *[v.alias(c) for c, v in typed.items()],
+        F.struct("file_path", "block", "line_id").alias("src_pos"), F.col("value").alias("line"), reason.alias("reason"))
+
+
+def good_rows(parsed: DataFrame, reject: str = "row") -> DataFrame:
+    """Parsed rows that become bars."""
+    if reject not in ("row", "file"):
+        raise ValueError("reject must be 'row' or 'file'")
+    good = parsed.where("reason is null")
+    if reject == "file":
+        good = good.join(parsed.where("reason is not null").select("file_path").distinct(), "file_path", "left_anti")
+    return good.drop("line", "reason", "file_path")
+
+
+def rejected_lines(parsed: DataFrame, reject: str = "row") -> DataFrame:
+    """(file_path, line, reason) of the lines that don't become bars."""
+    bad = parsed.where("reason is not null")
+    if reject == "file":
+        bad = parsed.join(bad.select("file_path").distinct(), "file_path", "left_semi")
+    return bad.select("file_path", "line", F.coalesce("reason", F.lit("file rejected")).alias("reason"))
+
+
+def scan_lines(spark: SparkSession, market_dir: str) -> DataFrame:
+    """The lines of all ``*.txt`` files below a folder, with their place."""
+    scan = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(market_dir)
+    return scan.select(file_path_column().alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("line_id"), "value")
 
 
 def extract_market(
@@ -103,87 +161,19 @@ def extract_market(
     limit: int | None = None,
     reject: str = "row",
 ) -> Extract:
-    """Scan ``<raw_root>/<market>`` recursively for ``*.txt`` and parse it."""
-    market_dir = os.path.join(raw_root, market)
-    if "://" not in market_dir and not os.path.isdir(market_dir):
-        log.warning("Market directory not found: %s", market_dir)
-        return _empty(spark)
+    """Scan ``<raw_root>/<market>`` for ``*.txt``, parse each line once and store the result.
 
-    scan = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(market_dir)
-    n_files = len(scan.inputFiles())  # the driver's file listing; no job
-    if n_files == 0:
-        return _empty(spark)
-    lines = (
-        scan.select(
-            "value",
-            F.url_decode(F.col("_metadata.file_path")).alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line_id"),
-        )
-    )
-    lines = lines.withColumn("asset_type", asset_type_from_path(F.col("file_path"), raw_root)).where(F.col("asset_type").isNotNull())
-    if asset_types:
-        lines = lines.where(F.col("asset_type").isin(sorted(asset_types)))
-
-    # First line of each file (lowest block, lowest line id) is its header.
-    pos = F.struct(F.col("block"), F.col("line_id"))
-    # One header row per file: broadcast while the file count is bounded, shuffle join beyond.
-    headers = lines.groupBy("file_path").agg(F.min_by(F.col("value"), pos).alias("header"), F.min(pos).alias("_hpos"))
-    hdr = F.broadcast(headers) if n_files <= BROADCAST_MAX_FILES else headers
-    joined = lines.join(hdr, "file_path").where(pos != F.col("_hpos"))
-
-    names = F.transform(F.split(F.col("header"), ","), lambda x: F.trim(x))
-    fields = F.map_from_arrays(names, F.split(F.col("value"), ","))
-
-    def field(h: str) -> Column:
-        return F.trim(F.try_element_at(fields, F.lit(h)))
-
-    missing = None
-    for h in REQUIRED_HEADERS:
-        c = ~F.array_contains(names, h)
-        missing = c if missing is None else missing | c
-    parsed = joined.select(
-        "file_path", "value", "asset_type", pos.alias("src_pos"),
-        F.size(names).alias("_n_head"), F.size(F.split(F.col("value"), ",")).alias("_n_val"),
-        missing.alias("_missing"),
-        F.try_to_date(field("<DATE>"), "yyyyMMdd").alias("date"),
-        *[field(h).try_cast("double").alias(c) for h, c in (("<OPEN>", "open"), ("<HIGH>", "high"), ("<LOW>", "low"), ("<CLOSE>", "close"))],
-        field("<VOL>").try_cast("double").try_cast("bigint").alias("volume"),
-        field("<OPENINT>").try_cast("double").try_cast("bigint").alias("open_interest"),
-        field("<VOL>").alias("_vol_raw"), field("<OPENINT>").alias("_oi_raw"), field("<DATE>").alias("_date_raw"),
-        *[field(h).alias(f"_{c}_raw") for h, c in (("<OPEN>", "open"), ("<HIGH>", "high"), ("<LOW>", "low"), ("<CLOSE>", "close"))],
-    )
-
-    def bad_number(raw: str, typed: str) -> Column:
-        return F.col(raw).isNotNull() & (F.col(raw) != "") & F.col(typed).isNull()
-
-    reason = (
-        F.when(F.col("_missing"), F.lit("missing required columns"))
-        .when(F.col("_n_val") != F.col("_n_head"), F.lit("field count differs from header"))
-        .when(F.col("date").isNull(), F.lit("unparseable date"))
-        .when(bad_number("_open_raw", "open") | bad_number("_high_raw", "high") | bad_number("_low_raw", "low")
-              | bad_number("_close_raw", "close") | bad_number("_vol_raw", "volume") | bad_number("_oi_raw", "open_interest"),
-              F.lit("unparseable number"))
-    )
-    parsed = parsed.withColumn("reason", reason)
-    if reject == "file":
-        bad_files = parsed.where(F.col("reason").isNotNull()).select("file_path").distinct()
-        good = parsed.join(bad_files, "file_path", "left_anti")
-        rejects = parsed.join(bad_files, "file_path", "left_semi").select(
-            "file_path", F.col("value").alias("line"), F.coalesce("reason", F.lit("file rejected")).alias("reason"))
+    ``limit`` keeps the first symbols, by name, that have a good row.
+    """
+    market_dir = f"{raw_root.rstrip('/')}/{market}"
+    if path_exists(spark, market_dir):
+        lines = scan_lines(spark, market_dir)
     else:
-        good = parsed.where(F.col("reason").isNull())
-        rejects = parsed.where(F.col("reason").isNotNull()).select("file_path", F.col("value").alias("line"), "reason")
-
-    symbol = symbol_from_path(F.col("file_path"))
-    bars = good.select(
-        symbol.alias("symbol"), F.lit(market).alias("market"), "asset_type", "date",
-        "open", "high", "low", "close", "volume", "open_interest", "src_pos",
-    )
+        log.warning("Market directory not found: %s", market_dir)
+        lines = spark.createDataFrame([], "file_path string, block bigint, line_id bigint, value string")
+    parsed = materialize(parse_lines(lines, raw_root, market, asset_types))
+    bars = good_rows(parsed, reject)
     if limit is not None:
-        first = bars.select("symbol").distinct().orderBy("symbol").limit(limit)
-        bars = bars.join(F.broadcast(first), "symbol", "left_semi")
-    # listed_at: first raw bar date of the file, before any validation (reference rule)
-    instruments = bars.groupBy("symbol", "market", "asset_type").agg(F.min("date").alias("listed_at")).select(
-        "symbol", "market", "asset_type", sector_code(F.col("symbol"), F.col("asset_type")).alias("sector_code"), "listed_at")
-    return Extract(bars, instruments, rejects)
+        bars = bars.join(bars.select("symbol").distinct().orderBy("symbol").limit(limit), "symbol", "left_semi")
+    # listed_at: first raw bar date, before any validation (reference rule)
+    return Extract(bars, instruments_from_bars(bars), rejected_lines(parsed, reject))

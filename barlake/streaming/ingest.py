@@ -1,9 +1,9 @@
 """Incremental bronze ingest with Structured Streaming.
 
 A file-source stream watches the bronze market directory; every micro-batch
-of new files is parsed by the same header-aware logic as the batch scan,
-cleaned (F1-F3, first-wins inside the batch) and upserted into gold bars by
-key.  ``foreachBatch`` is at-least-once; the keyed upsert is idempotent, so a
+of new files is parsed by the batch scan's parser, cleaned (F1-F3, first-wins
+inside the batch) and upserted into the silver bars by key; lines that can't
+be used are appended to the rejects, with their batch number.  ``foreachBatch`` is at-least-once; the keyed upsert is idempotent, so a
 replayed batch converges to the same table.  Late files are just later
 batches: "last wins" per key across batches, as when the reference reloads.
 """
@@ -17,55 +17,27 @@ from pyspark.sql import functions as F
 
 from barlake.operators.clean import clean_bars
 from barlake.operators.upsert import replace_by_key, upsert_partitioned_table
-from barlake.sources.bronze import HEADER_TO_COLUMN, REQUIRED_HEADERS, asset_type_from_path, symbol_from_path
+from barlake.session import materialize
+from barlake.sources.bronze import file_path_column, good_rows, parse_lines, rejected_lines
 
 SILVER_KEYS = ["symbol", "date"]
 
 
-def parse_lines(lines: DataFrame, raw_root: str, market: str) -> DataFrame:
-    """Header-aware parse of one micro-batch of (value, file_path, line_id) rows.
-
-    Inside a batch every file is complete, so its header row is available
-    in the same batch (a per-file aggregate over the batch only).
-    """
-    pos = F.col("line_id")
-    headers = lines.groupBy("file_path").agg(F.min_by("value", pos).alias("header"), F.min(pos).alias("_hpos"))
-    joined = lines.join(headers, "file_path").where(pos != F.col("_hpos"))
-    names = F.transform(F.split(F.col("header"), ","), lambda x: F.trim(x))
-    fields = F.map_from_arrays(names, F.split(F.col("value"), ","))
-
-    def field(h):
-        return F.trim(F.try_element_at(fields, F.lit(h)))
-
-    ok = None
-    for h in REQUIRED_HEADERS:
-        c = F.array_contains(names, h)
-        ok = c if ok is None else ok & c
-    typed = joined.where(ok).select(
-        symbol_from_path(F.col("file_path")).alias("symbol"),
-        F.lit(market).alias("market"),
-        asset_type_from_path(F.col("file_path"), raw_root).alias("asset_type"),
-        F.try_to_date(field("<DATE>"), "yyyyMMdd").alias("date"),
-        *[field(h).try_cast("double").alias(HEADER_TO_COLUMN[h]) for h in ("<OPEN>", "<HIGH>", "<LOW>", "<CLOSE>")],
-        field("<VOL>").try_cast("double").try_cast("bigint").alias("volume"),
-        field("<OPENINT>").try_cast("double").try_cast("bigint").alias("open_interest"),
-        F.struct(F.col("file_path"), pos).alias("src_pos"),
-    )
-    return typed.where(F.col("asset_type").isNotNull())
-
-
 def start_ingest_stream(spark: SparkSession, raw_root: str, market: str, silver_path: str, checkpoint: str,
-                        available_now: bool = True):
+                        available_now: bool = True, rejects_path: str | None = None):
     """Start the stream; with ``available_now`` it processes the backlog and stops."""
     src = (spark.readStream.format("text").option("recursiveFileLookup", "true")
            .option("pathGlobFilter", "*.txt").load(os.path.join(raw_root, market))
-           .select("value", F.url_decode(F.col("_metadata.file_path")).alias("file_path")))
+           .select("value", file_path_column().alias("file_path"), F.col("_metadata.file_block_start").alias("block")))
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        # line positions are assigned on the micro-batch (a plain DataFrame): a
-        # file is read by one task in order, so ids increase along the file
+        # ids increase along each block of a file; with the block's start they order its lines
         lines = batch.withColumn("line_id", F.monotonically_increasing_id())
-        bars = clean_bars(parse_lines(lines, raw_root, market))
+        parsed = materialize(parse_lines(lines, raw_root, market))
+        if rejects_path:
+            # a folder for each batch, so that a replayed batch replaces its own
+            rejected_lines(parsed).write.mode("overwrite").parquet(f"{rejects_path}/batch={epoch_id}")
+        bars = clean_bars(good_rows(parsed))
         if bars.isEmpty():
             return
         staged = bars.withColumn("month", F.trunc("date", "MM"))

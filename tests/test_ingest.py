@@ -6,12 +6,13 @@ import os
 import tempfile
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from barlake.operators import upsert as U
 from barlake.operators.instruments import initial_catalogue
 from barlake.plans.ingest import ingest, load_to_gold, read_gold_catalogue
-from barlake.sources.bronze import extract_market
+from barlake.sources.bronze import extract_market, parse_lines
 
 HEADER = "<TICKER>,<PER>,<DATE>,<TIME>,<OPEN>,<HIGH>,<LOW>,<CLOSE>,<VOL>,<OPENINT>"
 
@@ -98,9 +99,69 @@ def test_catalogue_upsert_rules(spark):
     assert got["C"].id == 3 and got["C"].name is None and got["C"].is_active
 
 
-def test_upsert_requires_unique_keys(spark):
-    import pytest
+def test_ragged_blank_and_repeated_headers_lose_nothing(spark):
+    root = tempfile.mkdtemp(prefix="bronze-")
+    write(root, "jp/tse stocks/1234.jp.txt", "\n" + HEADER + "\n\n1234.JP,D,20240102,0,1,2,1,2,10,0\n1234.JP,D,20240103\n"
+          "1234.JP,D,20240104,0,1,2,1,2,10,0,9\n1234.JP,D,20240105,0,x,2,1,2,10,0\n   \n1234.JP,D,20240108,0,1,2,1,2,,\n")
+    write(root, "jp/tse etfs/a+b c%.txt", "<TICKER>,<DATE>,<OPEN>,<OPEN>,<HIGH>,<LOW>,<CLOSE>\nX,20240102,5,99,6,4,5\n")
+    for mode, n_good in (("row", 3), ("file", 1)):
+        ex = extract_market(spark, root, "jp", reject=mode)
+        assert ex.bars.count() == n_good and ex.rejects.count() == 6 - n_good
+    ex = extract_market(spark, root, "jp")
+    assert sorted(r.reason for r in ex.rejects.collect()) == ["field count differs from header"] * 2 + ["unparseable number"]
+    twice = ex.bars.where("asset_type = 'etf'").first()
+    assert (twice.symbol, twice.open) == ("A+B C%", 5.0)
+    assert {r.volume for r in ex.bars.where("symbol = '1234.JP'").collect()} == {10, None}
+
+
+def test_paths_of_any_store(spark):
+    for root, path in (("hdfs://nn/data/raw", "hdfs://nn:8020/data/raw/jp/tse stocks/1/7203.jp.txt"), ("/data/raw", "file:/data/raw/jp/tse stocks/7203.jp.txt"),
+                       ("s3a://bucket/raw/", "s3a://bucket/raw/jp/TSE Stocks/7203.jp.txt"), ("file:///data/raw", "file:/data/raw/jp/tse stocks/7203.jp.txt")):
+        lines = spark.createDataFrame([(path, 0, 0, HEADER), (path, 0, 1, "7203.JP,D,20240102,0,1,2,1,2,3,0"), (path, 64, 0, "7203.JP,D,20240103,0,1,2,1,2,3,0")],
+                                      "file_path string, block bigint, line_id bigint, value string")
+        rows = parse_lines(lines, root, "jp").collect()
+        assert [(r.symbol, r.asset_type, r.reason) for r in rows] == [("7203.JP", "stock", None)] * 2
+
+
+def test_symbol_in_two_folders_is_one_instrument(spark):
+    rows = [("A", "jp", "stock", None, date(2020, 1, 5)), ("A", "jp", "etf", None, date(2019, 1, 1))]
+    upd = spark.createDataFrame(rows, "symbol string, market string, asset_type string, sector_code string, listed_at date")
+    got = initial_catalogue(spark, upd, F.to_timestamp(F.lit("2024-01-01 00:00:00"))).collect()
+    assert [(r.id, r.symbol, r.asset_type, r.listed_at) for r in got] == [(1, "A", "etf", date(2019, 1, 1))]
+
+
+def test_missing_replace_column_raises(spark):
+    target = spark.createDataFrame([(1, 2.0)], "k int, v double")
+    with pytest.raises(ValueError, match="lacks"):
+        U.merge_by_key(target, spark.createDataFrame([(1,)], "k int"), ["k"], replace=["v"])
 
+
+def test_unreadable_target_raises_and_changes_nothing(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="target-"), "t")
+    rows = [(1, date(2024, 1, 1), 1.0, "a"), (2, date(2024, 1, 1), 2.0, "a"), (3, date(2024, 1, 1), 3.0, "b")]
+    schema = "ticker_id long, date date, v double, part string"
+    U.upsert_partitioned_table(path, spark.createDataFrame(rows, schema), ["ticker_id", "date"], "part")
+    files = [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    for f in files:
+        with open(f, "r+b") as h:
+            h.write(b"damaged!")
+    before = {f: open(f, "rb").read() for f in files}
+    with pytest.raises(Exception):
+        U.upsert_partitioned_table(path, spark.createDataFrame(rows[:1], schema), ["ticker_id", "date"], "part")
+    assert {f: open(f, "rb").read() for f in files} == before
+
+
+def test_cluster_without_shared_folder_raises():
+    from types import SimpleNamespace
+
+    from barlake.session import ensure_checkpoint_dir
+
+    session = SimpleNamespace(sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None), conf={"spark.x": "y"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
+
+
+def test_upsert_requires_unique_keys(spark):
     dup = spark.createDataFrame([(1, date(2024, 1, 1)), (1, date(2024, 1, 1))], "ticker_id long, date date")
     with pytest.raises(ValueError):
         U.check_unique_keys(dup, ["ticker_id", "date"])
