@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from barlake.session import scratch_path
 
 #: Text handled at once inside a Python task, in bytes (one longer text is still taken whole).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: Words of the word-based operators: runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -50,8 +50,8 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that a cut holds about ``SLICE_BYTES`` of text at most, one row at least."""
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that a cut holds ``limit`` bytes of text at most, one row at least."""
     n = batch.num_rows
     if n == 0:
         return
@@ -60,7 +60,7 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
     i = 0
     while i < n:
         before = end[i - 1] if i else 0
-        j = max(i + 1, int(np.searchsorted(end, before + SLICE_BYTES, side="right")))
+        j = max(i + 1, int(np.searchsorted(end, before + limit, side="right")))
         yield batch.slice(i, j - i)
         i = j
 

@@ -82,7 +82,7 @@ def count_grams(train: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for cut in slices(batch):
+            for cut in slices(batch, 1 << 20):
                 code, bounds = grams(cut.column("text").to_pylist())
                 langs = cut.column("lang").dictionary_encode()
                 owner = np.repeat(langs.indices.to_numpy(), np.diff(bounds))
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: KneserNey | None, keep: list[str]) -> DataFram
             row_of[m.codes[-1]] = np.arange(len(m.codes[-1]), dtype=np.int32)
             logp = m.logp[-1].astype(np.float32)
         for batch in batches:
-            for cut in slices(batch):
+            for cut in slices(batch, 1 << 20):
                 n = cut.num_rows
                 lang, sure, entropy = np.full(n, None, object), np.zeros(n), np.full(n, np.nan)
                 if model_known:
