@@ -1,8 +1,8 @@
 """Classification metrics as grouped aggregates (V1-V6).
 
 Every metric is computed per group (model, fold, ...) in one distributed
-pass; AUC and average precision use the range-partitioned prefix sums in
-``ordered`` so a huge validation fold is never one task.
+pass; AUC and average precision use the bucketed prefix sums in ``ordered``
+so a huge validation fold is never one task.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.numeric import fdiv
-from barlake.operators.ordered import average_precision, roc_auc
+from barlake.operators.ordered import ordered_prefix_sums, score_label_table
 
 METRIC_NAMES = [
     "roc_auc", "average_precision", "log_loss", "accuracy", "precision", "recall", "f1",
@@ -65,13 +65,32 @@ def log_loss(scored: DataFrame, keys: list[str], score: str = "p", label: str =
 
 
 def compute_metrics(scored: DataFrame, keys: list[str], score: str = "p", label: str = "y", threshold: float = 0.5) -> DataFrame:
-    """V1-V5 in one row per group (ROC AUC and AP exact)."""
-    conf = confusion_metrics(scored, keys, score, label, threshold)
-    auc = roc_auc(scored, keys, score, label)
-    ap = average_precision(scored, keys, score, label)
-    ll = log_loss(scored, keys, score, label)
-    joined = conf.join(auc, keys, "left").join(ap, keys, "left").join(ll, keys, "left")
-    return joined.select(*keys, "n", *METRIC_NAMES)
+    """V1-V5 in one row per group, from one pass over the scored rows.
+
+    Everything follows from the positives and negatives at each distinct
+    score and their running sums from the highest score down.
+    """
+    cum = ordered_prefix_sums(score_label_table(scored, keys, score, label), keys, score, ["pos", "neg"], descending=True)
+    p = F.least(F.greatest(F.col(score).cast("double"), F.lit(1e-7)), F.lit(1.0 - 1e-7))
+    hit = F.col(score) >= threshold
+    a = cum.groupBy(*keys).agg(
+        F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
+        F.coalesce(F.sum(F.when(hit, F.col("pos"))), F.lit(0.0)).alias("_tp"), F.coalesce(F.sum(F.when(hit, F.col("neg"))), F.lit(0.0)).alias("_fp"),
+        F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2)).alias("_u"),
+        F.sum(F.col("pos") * fdiv(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))).alias("_ap"),
+        F.sum(-(F.col("pos") * F.ln(p) + F.col("neg") * F.ln(1 - p))).alias("_ll"))
+    pos, neg, tp, fp = (F.col(c) for c in ("_p", "_n", "_tp", "_fp"))
+    n, both = pos + neg, (pos > 0) & (neg > 0)
+    of_two = lambda v: F.when(both, v).otherwise(F.lit(float("nan")))
+    rate = fdiv(pos, n)
+    zero = F.lit(0.0)
+    values = {
+        "roc_auc": fdiv(F.col("_u"), pos * neg), "average_precision": of_two(fdiv(F.col("_ap"), pos)), "log_loss": of_two(fdiv(F.col("_ll"), n)),
+        "accuracy": fdiv(tp + neg - fp, n), "precision": F.when(tp + fp > 0, fdiv(tp, tp + fp)).otherwise(zero),
+        "recall": F.when(pos > 0, fdiv(tp, pos)).otherwise(zero), "f1": F.when(tp + fp + pos > 0, fdiv(2 * tp, tp + fp + pos)).otherwise(zero),
+        "positive_rate": rate, "baseline_always_positive_accuracy": rate, "baseline_majority_accuracy": F.greatest(rate, 1 - rate),
+    }
+    return a.select(*keys, n.cast("bigint").alias("n"), *[values[m].alias(m) for m in METRIC_NAMES])
 
 
 def metrics_long(metrics: DataFrame, keys: list[str], prefix: str = "") -> DataFrame:

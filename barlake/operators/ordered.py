@@ -2,63 +2,77 @@
 
 A window ``partitionBy(g).orderBy(v)`` sends every row of a group to a
 single task.  Validation folds, score tables and "all new symbols" are few
-and large groups, so the exact metrics and quantiles here use a two-pass
+and large groups, so the exact metrics and quantiles here use a two-level
 prefix sum instead:
 
-1. range-partition rows by ``(group, order)``: a big group spans many tasks;
-2. per task, a running sum inside ``(partition id, group)``;
-3. per ``(partition id, group)`` totals (at most partitions + groups rows),
-   turned into offsets by a running sum over partition ids;
+1. each row gets a bucket from its own order value, by a function that never
+   falls as the value grows: rows of a bucket lie next to each other;
+2. a running sum inside ``(group, bucket)``: a big group spans many tasks;
+3. per ``(group, bucket)`` totals, summed before the shuffle, turned into
+   offsets by a running sum over the buckets of a group;
 4. running sum + offset = the exact group-wide running sum.
 
-Step 2's output (with its partition id) is written once to the checkpoint
-folder: the totals and the final join must see the same partition
-assignment, and two independent range exchanges would each sample their own
-bounds (and recompute the whole upstream plan).
+The bucket depends on the value alone, so both branches agree whatever the
+physical layout, and nothing has to be written in between.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, StringType
 
 from barlake.functions.numeric import fdiv
-from barlake.session import materialize
 
-
-def _order_exprs(order_cols: list[str], descending: bool) -> list[Column]:
-    return [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order_cols]
+#: Buckets for each doubling of a number; a number has at most 1,044 doublings on each side of 0.
+PER_OCTAVE = 256
+_NAN, _NULL = 1 << 39, 1 << 40
+
+
+def value_bucket(df: DataFrame, name: str, descending: bool) -> Column:
+    """A bucket that follows the order of a numeric, date or string column; NaN and NULL come as they sort."""
+    c, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, StringType):
+        if descending:
+            raise ValueError("strings are only bucketed in ascending order")
+        # code points of the first two characters
+        place = F.coalesce(F.ascii(c).cast("bigint"), F.lit(0)) * (1 << 21) + F.ascii(F.substring(c, 2, 1))
+    elif isinstance(kind, DateType):
+        place = F.floor(F.unix_date(c) / 16).cast("bigint")
+    elif isinstance(kind, NumericType):
+        x = c.cast("double")
+        grown = F.floor(F.log2(1 + F.least(F.abs(x), F.lit(1e300)) * float(1 << 20)) * PER_OCTAVE).cast("bigint")
+        place = F.when(x < 0, -grown).otherwise(grown)
+        place = F.when(F.isnan(x), F.lit(_NAN)).otherwise(place)
+    else:
+        raise ValueError(f"no buckets for {kind.simpleString()}")
+    return F.when(c.isNull(), F.lit(_NULL)).otherwise(-place if descending else place)
 
 
 def ordered_prefix_sums(
     df: DataFrame,
     keys: list[str],
-    order_cols: list[str],
+    order: str,
     sum_cols: list[str],
     descending: bool = False,
-    num_partitions: int | None = None,
 ) -> DataFrame:
-    """Append ``cum_<c>``: inclusive running sum of ``c`` within ``keys`` by ``order_cols``.
+    """Append ``cum_<c>``: inclusive running sum of ``c`` within ``keys`` by ``order`` (NULL last).
 
-    ``df`` must hold one row per ``(keys, order_cols)`` (aggregate first), so
-    a range partition never splits a tie and the result is deterministic.
+    ``df`` must hold one row per ``(keys, order)`` (aggregate first), so the
+    result is deterministic.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = _order_exprs(order_cols, descending)
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id())
-
-    local_w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = materialize(tagged.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols]))
-
-    totals = local.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    off_w = (Window.partitionBy(*keys) if keys else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_pid", *keys, *[F.coalesce(F.sum(f"_tot_{c}").over(off_w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols]
-    )
-    joined = local.join(offsets, on=["_pid", *keys], how="inner")
-    return joined.select(
+    by = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
+    tagged = df.withColumn("_b", value_bucket(df, order, descending))
+    inside = Window.partitionBy(*keys, "_b").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.select("*", *[F.sum(c).over(inside).alias(f"_loc_{c}") for c in sum_cols])
+    totals = tagged.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    before = (Window.partitionBy(*keys) if keys else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_k_b"),
+                            *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+    same = F.col("_b") == F.col("_k_b")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return local.join(offsets, same).select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
     )
@@ -73,26 +87,22 @@ def exact_quantiles(
     with distributed prefix counts.  NULL and NaN values are ignored.  Returns
     one row per group with one column per entry of ``probabilities``.
     """
-    given = list(keys or [])
-    keys = given or ["_all"]
-    if not given:
-        df = df.withColumn("_all", F.lit(0))
+    keys = list(keys or [])
     v = F.col(value)
     counts = (
         df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
-    cum = ordered_prefix_sums(counts, keys, [value], ["_cnt"])
+    cum = ordered_prefix_sums(counts, keys, value, ["_cnt"])
     totals = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
-    # totals has one row per group, i.e. no more rows than the counts table
-    joined = cum.join(totals, on=keys, how="inner")
+    # one row for each group: joined on the keys, or its only row beside each value
+    joined = cum.join(totals, on=keys, how="inner") if keys else cum.withColumn("_n", totals.scalar())
     aggs = [
         F.min(F.when(F.col("cum__cnt") >= F.lit(q) * F.col("_n"), v)).alias(name)
         for name, q in probabilities.items()
     ]
-    result = joined.groupBy(*keys).agg(*aggs)
-    return result if given else result.drop("_all")
+    return joined.groupBy(*keys).agg(*aggs)
 
 
 def score_label_table(scored: DataFrame, keys: list[str], score: str, label: str) -> DataFrame:
@@ -106,7 +116,7 @@ def score_label_table(scored: DataFrame, keys: list[str], score: str, label: str
 def roc_auc(scored: DataFrame, keys: list[str], score: str = "p", label: str = "y") -> DataFrame:
     """Exact ROC AUC per group (ties count one half); NaN for a single-class group."""
     table = score_label_table(scored, keys, score, label)
-    cum = ordered_prefix_sums(table, keys, [score], ["pos", "neg"], descending=True)
+    cum = ordered_prefix_sums(table, keys, score, ["pos", "neg"], descending=True)
     above = F.col("cum_pos") - F.col("pos")
     agg = cum.groupBy(*keys).agg(
         F.sum(F.col("neg") * (above + F.col("pos") / F.lit(2.0))).alias("_u"),
@@ -122,7 +132,7 @@ def average_precision(scored: DataFrame, keys: list[str], score: str = "p", labe
     NaN when the group has a single class (the reference's rule).
     """
     table = score_label_table(scored, keys, score, label)
-    cum = ordered_prefix_sums(table, keys, [score], ["pos", "neg"], descending=True)
+    cum = ordered_prefix_sums(table, keys, score, ["pos", "neg"], descending=True)
     precision = fdiv(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
     agg = cum.groupBy(*keys).agg(
         F.sum(F.col("pos") * precision).alias("_s"),

@@ -120,7 +120,7 @@ def rebalance_dates(pred: DataFrame, every_n: int, date: str = "date") -> DataFr
     from barlake.operators.ordered import ordered_prefix_sums
 
     days = pred.select(date).distinct().withColumn("_one", F.lit(1))
-    numbered = ordered_prefix_sums(days, [], [date], ["_one"])
+    numbered = ordered_prefix_sums(days, [], date, ["_one"])
     return numbered.where(((F.col("cum__one") - 1) % every_n) == 0).select(date)
 
 

@@ -1,7 +1,7 @@
 """Preprocessing options the reference declares in its config (section 2.12).
 
 All statistics are fitted on training rows only and applied to any frame.
-Quantiles are exact and distributed (``exact_quantiles``), never collected.
+Quantiles are exact and distributed; what is fitted is a row for each column.
 """
 
 from __future__ import annotations
@@ -39,26 +39,66 @@ def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0.0, subset=columns)
 
 
-def fit_quantile_bounds(train: DataFrame, column: str, lower: float = 0.005, upper: float = 0.995) -> DataFrame:
-    """Winsorisation bounds from training rows: one row (lo, hi)."""
-    return exact_quantiles(train, column, {"lo": lower, "hi": upper})
+def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value) for each row and column."""
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    return df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, value)")
 
 
-def winsorize(df: DataFrame, column: str, bounds: DataFrame) -> DataFrame:
-    """Clip ``column`` into [lo, hi]; the bounds row is a single-row scalar subquery."""
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    c = F.col(column)
-    return df.withColumn(column, F.when(c.isNull(), c).otherwise(F.least(F.greatest(c, lo), hi)))
+def fit_quantiles(train: DataFrame, columns: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """(column_name, one column for each probability): exact quantiles of all columns in one grouped pass."""
+    return exact_quantiles(_long(train, columns), "value", probabilities, ["column_name"])
 
 
-def fit_robust_scale(train: DataFrame, column: str) -> DataFrame:
-    """Median and inter-quartile range of training rows (exact)."""
-    return exact_quantiles(train, column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+def fit_quantile_bounds(train: DataFrame, columns: list[str], lower: float = 0.005, upper: float = 0.995) -> DataFrame:
+    """(column_name, lo, hi): winsorisation bounds from training rows."""
+    return fit_quantiles(train, columns, {"lo": lower, "hi": upper})
 
 
-def robust_scale(df: DataFrame, column: str, stats: DataFrame, out: str | None = None) -> DataFrame:
-    """(x - median) / IQR."""
-    med = stats.select("median").scalar()
-    iqr = stats.select(F.col("q3") - F.col("q1")).scalar()
-    return df.withColumn(out or column, fdiv(F.col(column) - med, iqr))
+def fit_iqr_bounds(train: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
+    """(column_name, lo, hi): quartiles widened by ``reach`` inter-quartile ranges."""
+    q = fit_quantiles(train, columns, {"q1": 0.25, "q3": 0.75})
+    iqr = F.col("q3") - F.col("q1")
+    return q.select("column_name", (F.col("q1") - reach * iqr).alias("lo"), (F.col("q3") + reach * iqr).alias("hi"))
+
+
+def fit_robust_scale(train: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, center, spread): median and inter-quartile range of training rows (exact)."""
+    q = fit_quantiles(train, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return q.select("column_name", F.col("median").alias("center"), (F.col("q3") - F.col("q1")).alias("spread"))
+
+
+def fit_standard_scale(train: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, center, spread): mean and population standard deviation of training rows."""
+    v = _long(train, columns).where(~F.isnan("value"))
+    return v.groupBy("column_name").agg(F.avg("value").alias("center"), F.stddev_pop("value").alias("spread"))
+
+
+def _fitted(stats: DataFrame, first: str, second: str) -> dict[str, tuple]:
+    """The fitted numbers by column (one row for each column of the matrix)."""
+    return {r["column_name"]: (r[first], r[second]) for r in stats.collect()}
+
+
+def _present(c: str):
+    """A value, or NULL if it is missing; NaN counts as missing."""
+    return F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+
+
+def winsorize(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Clip each fitted column into [lo, hi]; NULL and NaN become NULL, a column without values stays."""
+    fitted = {c: (lo, hi) for c, (lo, hi) in _fitted(bounds, "lo", "hi").items() if lo is not None}
+    clip = {c: F.when(_present(c).isNotNull(), F.least(F.greatest(_present(c), F.lit(lo)), F.lit(hi))) for c, (lo, hi) in fitted.items()}
+    return df.select(*[clip[c].alias(c) if c in clip else F.col(c) for c in df.columns])
+
+
+def scale(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """(x - center) / spread for each fitted column; NULL and NaN become NULL."""
+    fitted = {c: (m, s) for c, (m, s) in _fitted(stats, "center", "spread").items() if m is not None}
+    return df.select(*[fdiv(_present(c) - F.lit(fitted[c][0]), F.lit(fitted[c][1])).alias(c) if c in fitted else F.col(c) for c in df.columns])
+
+
+def date_bounds(df: DataFrame, start: str | None = None, end: str | None = None, date: str = "date") -> DataFrame:
+    """Rows from ``start`` to ``end``, both included; no bound on a side without one."""
+    if start is not None:
+        df = df.where(F.col(date) >= F.to_date(F.lit(start)))
+    return df if end is None else df.where(F.col(date) <= F.to_date(F.lit(end)))

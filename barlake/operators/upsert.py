@@ -89,7 +89,7 @@ def replace_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> Da
 def assign_new_ids(catalogue: DataFrame, new_symbols: DataFrame, symbol: str = "symbol") -> DataFrame:
     """Ids for new symbols: max(existing id) + 1, 2, ... in symbol order, distributed."""
     ones = new_symbols.select(symbol).distinct().withColumn("_one", F.lit(1))
-    numbered = ordered_prefix_sums(ones, [], [symbol], ["_one"])
+    numbered = ordered_prefix_sums(ones, [], symbol, ["_one"])
     base = F.coalesce(catalogue.agg(F.max("id")).scalar(), F.lit(0))
     return numbered.select(symbol, (base + F.col("cum__one")).cast("bigint").alias("id"))
 

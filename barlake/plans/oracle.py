@@ -2,9 +2,7 @@
 
 Written directly against the driver's views (lineitem, part, events, ...);
 shares only the bar-view CTEs in ``sqltext``.  Floats are presented with the
-same rule as the Spark side: NaN/inf -> NULL, then rounded.  EMA-derived
-columns are rounded to 4 digits on both sides: the Spark closed form and the
-SQL recursion agree to ~1e-11, which a 6-digit rounding could split.
+same rule as the Spark side: NaN/inf -> NULL, then rounded to 6 digits.
 """
 
 from __future__ import annotations
@@ -13,12 +11,10 @@ from barlake.plans import sqltext as s
 from barlake.plans.sqltext import out
 
 RETURN_PERIODS = (1, 5, 10, 20, 60)
-EMA_DIGITS = 4
-EMA_COLS = {"macd", "macd_signal", "macd_hist", "macd_hist_lag_1", "macd_hist_lag_2", "macd_hist_lag_3", "macd_hist_lag_5"}
 
 
 def _o(col: str) -> str:
-    return f"{out(col, EMA_DIGITS if col in EMA_COLS else 6)} AS {col}"
+    return f"{out(col)} AS {col}"
 
 
 def technical_ctes(source: str = "bars", min_history: int | None = None) -> list[str]:
@@ -156,12 +152,7 @@ TECH_COLS = [f"{p}_{n}d" for n in RETURN_PERIODS for p in ("returns", "log_retur
     "bb_pct_20", "atr_14", "stoch_k", "stoch_d", "volatility_20d", "volatility_60d", "volume_zscore_20d"]
 LAG_COLS = [f"{c}_lag_{n}" for c in ("returns_1d", "rsi_14", "macd_hist", "volume_zscore_20d") for n in (1, 2, 3, 5)]
 
-FEATURE_MATRIX_FLOATS = [
-    "close", "returns_1d", "rsi_14", "macd_hist", "bb_pct_20", "atr_14", "stoch_d", "volatility_20d",
-    "volume_zscore_20d", "returns_1d_lag_5", "macd_hist_lag_1", "label_return_5d",
-    "returns_5d_rank", "returns_20d_rank", "returns_60d_rank", "volume_zscore_20d_rank",
-    "volatility_20d_rank", "rsi_14_rank", "excess_returns_5d",
-]
+FEATURE_MATRIX_FLOATS = ["open", "high", "low", "close", *TECH_COLS, *LAG_COLS, "label_return_5d", *[f"{c}_rank" for c in RANKS], "excess_returns_5d"]
 
 EVENT_TECH = """
 ev1 AS (
@@ -224,9 +215,10 @@ ex AS (SELECT t.symbol, t.date, t.returns_5d, t.returns_5d - m.r AS excess_retur
        FROM tech t LEFT JOIN (SELECT date, returns_5d AS r FROM tech WHERE symbol = '^MKT') m ON t.date = m.date)""")
         + select_out(["symbol", "date"], ["returns_5d", "excess_returns_5d"], source="ex"),
     "feature_matrix": feature_query(select_out(
-        ["symbol", "date"], FEATURE_MATRIX_FLOATS,
-        ["CAST(obv AS BIGINT) AS obv", "CAST(day_of_week AS INTEGER) AS day_of_week", "CAST(week_of_year AS INTEGER) AS week_of_year",
-         "is_month_end", "CAST(label_direction_5d AS INTEGER) AS label_direction_5d"], source="features")),
+        ["symbol", "market", "asset_type", "date"], FEATURE_MATRIX_FLOATS,
+        ["volume", "open_interest", "CAST(obv AS BIGINT) AS obv", *[f"CAST({c} AS INTEGER) AS {c}" for c in (
+            "day_of_week", "day_of_month", "month", "quarter", "week_of_year", "year", "label_direction_5d")],
+         "is_month_start", "is_month_end", "is_quarter_end_month"], source="features")),
     "feature_row_counts": feature_query("""
 SELECT symbol, CAST(year AS INTEGER) AS year, count(*) AS n_rows, count(returns_60d) AS n_returns_60d,
        count(volatility_60d) AS n_volatility_60d, CAST(sum(label_direction_5d) AS BIGINT) AS n_up
@@ -500,18 +492,32 @@ JOIN (VALUES (0, 'Brand#13'), (1, 'Brand#21'), (2, '^MKT'), (3, 'Brand#99'), (4,
 # ---------------------------------------------------------------------------
 # Batch 3: config-declared preprocessing options
 # ---------------------------------------------------------------------------
-MISSING_COLS = ["rsi_14", "macd_hist", "volatility_60d", "returns_60d", "bb_pct_20", "stoch_d",
-                "volume_zscore_20d", "returns_60d_rank", "excess_returns_5d", "rsi_14_lag_5"]
+INPUTS = [*TECH_COLS, *LAG_COLS]
+MISSING_COLS = [*INPUTS, "obv", *[f"{c}_rank" for c in RANKS], "excess_returns_5d"]
 
 
-def quantile_sql(source: str, col: str, q: float) -> str:
-    """Exact lower quantile: smallest v with count(x <= v) >= q * n (NULL/NaN ignored)."""
-    return (f"(SELECT min(v) FROM (SELECT v, sum(c) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS cum, sum(c) OVER () AS n "
-            f"FROM (SELECT {col} AS v, count(*) AS c FROM {source} WHERE {col} IS NOT NULL AND NOT isnan({col}) GROUP BY {col})) "
-            f"WHERE cum >= CAST({q!r} AS DOUBLE) * n)")
+TRAIN_ROWS = [bounds_cte("features"), "train AS (SELECT * FROM features WHERE date <= (SELECT train_end FROM bounds))"]
+LONG = ["long AS (SELECT col, v FROM (UNPIVOT (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in INPUTS)
+        + " FROM train) ON COLUMNS(*) INTO NAME col VALUE v) WHERE NOT isnan(v))"]
 
 
-TRAIN_ROWS = [bounds_cte("features"), "train AS (SELECT * FROM features WHERE date <= (SELECT train_end FROM bounds))"]
+def quantile_ctes(**quantiles: float) -> list[str]:
+    """Exact lower quantiles of each input: smallest v with count(x <= v) >= q * n (NULL/NaN ignored)."""
+    picks = ", ".join(f"min(v) FILTER (cum >= CAST({q!r} AS DOUBLE) * n) AS {name}" for name, q in quantiles.items())
+    return [*TRAIN_ROWS, *LONG, f"""fit AS (SELECT col, {picks} FROM (
+  SELECT col, v, sum(count(*)) OVER (PARTITION BY col ORDER BY v) AS cum, sum(count(*)) OVER (PARTITION BY col) AS n FROM long GROUP BY col, v) GROUP BY col)"""]
+
+
+def applied(expr: str, **stats: str) -> str:
+    """``expr`` for each input, with {x} its value and the named statistics from ``fit``."""
+    def one(c: str) -> str:
+        values = {k: f"(SELECT {v} FROM fit WHERE col = '{c}')" for k, v in stats.items()}
+        return out(expr.format(x=f"(CASE WHEN NOT isnan({c}) THEN {c} END)", **values)) + f" AS {c}"
+
+    return "SELECT symbol, date, " + ", ".join(map(one, INPUTS)) + " FROM features"
+
+
+CLIP = "CASE WHEN {x} IS NOT NULL THEN least(greatest({x}, {lo}), {hi}) END"
 
 ORACLE.update({
     "missing_ratio": feature_query(" UNION ALL ".join(
@@ -520,15 +526,14 @@ ORACLE.update({
     "forward_fill": feature_query("SELECT symbol, date, " + ", ".join(
         out(f"last_value(CASE WHEN NOT isnan({c}) THEN {c} END IGNORE NULLS) OVER "
             f"(PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)") + f" AS {c}"
-        for c in ("bb_pct_20", "volume_zscore_20d", "stoch_k")) + " FROM features"),
-    "winsorize": feature_query(
-        "SELECT symbol, date, " + out(f"CASE WHEN returns_1d IS NULL THEN NULL ELSE least(greatest(returns_1d, "
-                                      f"{quantile_sql('train', 'returns_1d', 0.005)}), {quantile_sql('train', 'returns_1d', 0.995)}) END")
-        + " AS returns_1d FROM features", extra=TRAIN_ROWS),
-    "robust_scale": feature_query(
-        "SELECT symbol, date, " + out("rsi_14") + " AS rsi_14, "
-        + out(f"(rsi_14 - {quantile_sql('train', 'rsi_14', 0.5)}) / ({quantile_sql('train', 'rsi_14', 0.75)} - {quantile_sql('train', 'rsi_14', 0.25)})")
-        + " AS rsi_14_robust FROM features", extra=TRAIN_ROWS),
+        for c in INPUTS) + " FROM features"),
+    "winsorize": feature_query(applied(CLIP, lo="lo", hi="hi"), extra=quantile_ctes(lo=0.005, hi=0.995)),
+    "clip_iqr": feature_query(applied(CLIP, lo="q1 - 1.5 * (q3 - q1)", hi="q3 + 1.5 * (q3 - q1)"), extra=quantile_ctes(q1=0.25, q3=0.75)),
+    "robust_scale": feature_query(applied("({x} - {m}) / {s}", m="median", s="q3 - q1"), extra=quantile_ctes(q1=0.25, median=0.5, q3=0.75)),
+    "standard_scale": feature_query(applied("({x} - {m}) / {s}", m="m", s="s"), extra=[
+        *TRAIN_ROWS, *LONG, "fit AS (SELECT col, avg(v) AS m, stddev_pop(v) AS s FROM long GROUP BY col)"]),
+    "date_bounds": bars_with() + "SELECT symbol, count(*) AS n_bars, min(date) AS first_date, max(date) AS last_date FROM bars "
+                                 "WHERE date BETWEEN DATE '1996-02-29' AND DATE '1999-12-31' GROUP BY symbol",
 })
 
 

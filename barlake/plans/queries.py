@@ -14,22 +14,20 @@ from barlake.functions.numeric import out
 from barlake.operators import technical as T
 from barlake.operators.calendar import CALENDAR_COLUMNS, add_calendar_features
 from barlake.operators.clean import clean_bars, dedupe_first, filter_min_history, quality_report, valid_bar
-from barlake.operators.cross_sectional import add_cross_sectional_ranks, add_market_relative_returns
+from barlake.operators.cross_sectional import RANK_COLUMNS, add_cross_sectional_ranks, add_market_relative_returns
 from barlake.operators.labels import add_direction_label, add_forward_returns
 from barlake.operators.lag import add_default_lags, default_lag_names
 from barlake.plans.features import build_feature_frame
 from barlake.session import materialize
 from barlake.sources import fixtures as fx
 
-EMA_DIGITS = 4
-EMA_COLS = {"macd", "macd_signal", "macd_hist", "macd_hist_lag_1", "macd_hist_lag_2", "macd_hist_lag_3", "macd_hist_lag_5"}
 RETURN_PERIODS = (1, 5, 10, 20, 60)
 
 
 def present(df: DataFrame, keys: list[str], floats: list[str], other: list[str] | None = None) -> DataFrame:
     return df.select(
         *keys,
-        *[out(F.col(c), EMA_DIGITS if c in EMA_COLS else 6).alias(c) for c in floats],
+        *[out(F.col(c)).alias(c) for c in floats],
         *(other or []),
     )
 
@@ -166,19 +164,15 @@ def q_excess_returns(spark, sf_dir):
     return present(ex, ["symbol", "date"], ["returns_5d", "excess_returns_5d"])
 
 
-FEATURE_MATRIX_FLOATS = [
-    "close", "returns_1d", "rsi_14", "macd_hist", "bb_pct_20", "atr_14", "stoch_d", "volatility_20d",
-    "volume_zscore_20d", "returns_1d_lag_5", "macd_hist_lag_1", "label_return_5d",
-    "returns_5d_rank", "returns_20d_rank", "returns_60d_rank", "volume_zscore_20d_rank",
-    "volatility_20d_rank", "rsi_14_rank", "excess_returns_5d",
-]
+#: All float columns of the feature matrix; the others are whole numbers and flags.
+INPUT_FLOATS = [c for c in T.technical_column_names() if c != "obv"] + default_lag_names()
+FEATURE_MATRIX_FLOATS = ["open", "high", "low", "close", *INPUT_FLOATS, "label_return_5d", *[f"{c}_rank" for c in RANK_COLUMNS], "excess_returns_5d"]
 
 
 def q_feature_matrix(spark, sf_dir):
-    f = features(spark, sf_dir)
-    return present(f, ["symbol", "date"], FEATURE_MATRIX_FLOATS,
-                   ["obv", "day_of_week", "week_of_year", "is_month_end",
-                    F.col("label_direction_5d").cast("int").alias("label_direction_5d")])
+    """Every column that the feature build makes."""
+    return present(features(spark, sf_dir), ["symbol", "market", "asset_type", "date"], FEATURE_MATRIX_FLOATS,
+                   ["volume", "open_interest", "obv", *CALENDAR_COLUMNS, F.col("label_direction_5d").cast("int").alias("label_direction_5d")])
 
 
 def q_feature_row_counts(spark, sf_dir):
@@ -408,8 +402,7 @@ def q_upsert_predictions(spark, sf_dir):
     target = target.withColumn("actual_class", F.when(F.col("prediction_date") < "1998-01-01", F.lit(1)).cast("int"))
     upd = pr.where(F.col("prediction_date") >= "1998-06-01").select(
         "ticker_id", "prediction_date", "horizon_days", "model_name", F.lit("run2").alias("run_id"),
-        F.col("predicted_probability") * 0.5 + 0.25, "predicted_class")
-    upd = upd.withColumnRenamed("((predicted_probability * 0.5) + 0.25)", "predicted_probability")
+        (F.col("predicted_probability") * 0.5 + 0.25).alias("predicted_probability"), "predicted_class")
     merged = U.upsert_predictions(target, upd, _now())
     return present(merged, ["ticker_id", "prediction_date", "horizon_days", "model_name", "run_id"],
                    ["predicted_probability"], ["predicted_class", "actual_class",
@@ -553,8 +546,7 @@ QUERIES.update({
 # ---------------------------------------------------------------- step 12 (config-declared options)
 from barlake.operators import preprocessing as PP  # noqa: E402
 
-MISSING_COLS = ["rsi_14", "macd_hist", "volatility_60d", "returns_60d", "bb_pct_20", "stoch_d",
-                "volume_zscore_20d", "returns_60d_rank", "excess_returns_5d", "rsi_14_lag_5"]
+MISSING_COLS = [*INPUT_FLOATS, "obv", *[f"{c}_rank" for c in RANK_COLUMNS], "excess_returns_5d"]
 
 
 def _train_rows(feats: DataFrame) -> DataFrame:
@@ -567,21 +559,35 @@ def q_missing_ratio(spark, sf_dir):
 
 
 def q_forward_fill(spark, sf_dir):
-    f = features(spark, sf_dir).select("symbol", "date", "bb_pct_20", "volume_zscore_20d", "stoch_k")
-    filled = PP.forward_fill(f, ["bb_pct_20", "volume_zscore_20d", "stoch_k"])
-    return present(filled, ["symbol", "date"], ["bb_pct_20", "volume_zscore_20d", "stoch_k"])
+    filled = PP.forward_fill(features(spark, sf_dir).select("symbol", "date", *INPUT_FLOATS), INPUT_FLOATS)
+    return present(filled, ["symbol", "date"], INPUT_FLOATS)
+
+
+def _fitted_on_train(spark, sf_dir, fit, apply) -> DataFrame:
+    f = materialize(features(spark, sf_dir).select("symbol", "date", *INPUT_FLOATS))
+    return present(apply(f, fit(_train_rows(f), INPUT_FLOATS)), ["symbol", "date"], INPUT_FLOATS)
 
 
 def q_winsorize(spark, sf_dir):
-    f = materialize(features(spark, sf_dir).select("symbol", "date", "returns_1d"))
-    bounds = PP.fit_quantile_bounds(_train_rows(f), "returns_1d", 0.005, 0.995)
-    return present(PP.winsorize(f, "returns_1d", bounds), ["symbol", "date"], ["returns_1d"])
+    return _fitted_on_train(spark, sf_dir, PP.fit_quantile_bounds, PP.winsorize)
+
+
+def q_clip_iqr(spark, sf_dir):
+    return _fitted_on_train(spark, sf_dir, PP.fit_iqr_bounds, PP.winsorize)
 
 
 def q_robust_scale(spark, sf_dir):
-    f = materialize(features(spark, sf_dir).select("symbol", "date", "rsi_14"))
-    stats = PP.fit_robust_scale(_train_rows(f), "rsi_14")
-    return present(PP.robust_scale(f, "rsi_14", stats, "rsi_14_robust"), ["symbol", "date"], ["rsi_14", "rsi_14_robust"])
+    return _fitted_on_train(spark, sf_dir, PP.fit_robust_scale, PP.scale)
+
+
+def q_standard_scale(spark, sf_dir):
+    return _fitted_on_train(spark, sf_dir, PP.fit_standard_scale, PP.scale)
+
+
+def q_date_bounds(spark, sf_dir):
+    """Bars between two dates, both included."""
+    bars = PP.date_bounds(fx.all_bars(spark, sf_dir), "1996-02-29", "1999-12-31")
+    return bars.groupBy("symbol").agg(F.count("*").alias("n_bars"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
 QUERIES.update({
@@ -589,6 +595,9 @@ QUERIES.update({
     "forward_fill": q_forward_fill,
     "winsorize": q_winsorize,
     "robust_scale": q_robust_scale,
+    "clip_iqr": q_clip_iqr,
+    "standard_scale": q_standard_scale,
+    "date_bounds": q_date_bounds,
 })
 
 

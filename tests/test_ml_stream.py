@@ -69,5 +69,14 @@ def test_preprocessing(spark):
     ff = [r.x for r in PP.forward_fill(df, ["x"]).orderBy("date").collect()]
     assert ff == [1.0, 1.0, 1.0, 4.0, 100.0]
     assert PP.missing_ratios(df, ["x"]).first().missing_ratio == pytest.approx(0.4)
-    b = PP.fit_quantile_bounds(df, "x", 0.0, 0.5)
-    assert [r.x for r in PP.winsorize(df, "x", b).orderBy("date").collect()][-1] == 4.0
+    df = df.withColumn("y", -F.col("x"))
+    b = PP.fit_quantile_bounds(df, ["x", "y"], 0.0, 0.5)
+    clipped = PP.winsorize(df, b).orderBy("date").collect()
+    assert [r.x for r in clipped] == [1.0, None, None, 4.0, 4.0]  # NaN stays missing
+    assert [r.y for r in clipped] == [-4.0, None, None, -4.0, -100.0]
+    iqr = PP.fit_iqr_bounds(df, ["x"]).first()
+    assert (iqr.lo, iqr.hi) == (1 - 1.5 * 99, 100 + 1.5 * 99)
+    scaled = [r.x for r in PP.scale(df, PP.fit_standard_scale(df, ["x"])).orderBy("date").collect()]
+    assert scaled[1] is None and scaled[2] is None and sum(v for v in scaled if v is not None) == pytest.approx(0)
+    assert [r.x for r in PP.scale(df, PP.fit_robust_scale(df, ["x"])).orderBy("date").collect()][3] == 0
+    assert PP.date_bounds(df, "2024-01-02", "2024-01-04").count() == 3 and PP.date_bounds(df).count() == 5
