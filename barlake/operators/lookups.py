@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -11,33 +13,30 @@ def get_instrument(catalogue: DataFrame, symbol: str) -> DataFrame:
     return catalogue.where(F.col("symbol") == F.lit(symbol.upper()))
 
 
-def filter_instruments(catalogue: DataFrame, market: str | None = None, asset_type: str | None = None,
-                       active_only: bool = True, search: str | None = None) -> DataFrame:
-    """Q2 filters; ``search`` is a case-insensitive contains (``%``/``_`` stay wildcards)."""
-    df = catalogue
-    if market is not None:
-        df = df.where(F.col("market") == market)
-    if asset_type is not None:
-        df = df.where(F.col("asset_type") == asset_type)
-    if active_only:
-        df = df.where(F.col("is_active"))
+MAX_PAGE = 500
+
+
+def instrument_conditions(market: str | None = None, asset_type: str | None = None, active_only: bool = True, search: str | None = None) -> list[Column]:
+    """Q2 conditions asked for; ``search`` is a case-insensitive contains (``%``/``_`` stay wildcards)."""
+    asked = {"market": market, "asset_type": asset_type}
+    found = [F.col(c) == v for c, v in asked.items() if v is not None]
     if search:
-        df = df.where(F.col("symbol").ilike(f"%{search.upper()}%"))
-    return df
+        found.append(F.col("symbol").ilike(f"%{search}%"))
+    return found + [F.col("is_active")] * active_only
 
 
-def list_instruments(catalogue: DataFrame, page: int = 1, page_size: int = 50, **filters) -> DataFrame:
+def list_instruments(catalogue: DataFrame, page: int = 1, page_size: int = 50, **conditions) -> DataFrame:
     """Q2 + A3 + O2: one page ordered by symbol, each row carrying the filtered total.
 
+    Pages count from 1 and hold 1 to ``MAX_PAGE`` rows; anything else raises.
     The total is a scalar subquery over the same filter (a distributed count),
     not a window over all rows.
     """
-    page = max(page, 1)
-    page_size = max(min(page_size, 500), 1)
-    filtered = filter_instruments(catalogue, **filters)
-    total = filtered.agg(F.count(F.lit(1))).scalar()
-    return (filtered.orderBy("symbol").offset((page - 1) * page_size).limit(page_size)
-            .withColumn("total", total))
+    if page < 1 or not 1 <= page_size <= MAX_PAGE:
+        raise ValueError(f"pages count from 1 and hold 1 to {MAX_PAGE} rows")
+    matches = reduce(DataFrame.where, instrument_conditions(**conditions), catalogue)
+    wanted = matches.orderBy("symbol").offset((page - 1) * page_size).limit(page_size)
+    return wanted.withColumn("total", matches.agg(F.count("*")).scalar())
 
 
 def page_count(total: int, page_size: int) -> int:
@@ -52,7 +51,7 @@ def last_n_bars(bars: DataFrame, n: int, symbol: str = "symbol", date: str = "da
 
 
 def latest_row(df: DataFrame, symbol: str = "symbol", date: str = "date") -> DataFrame:
-    """K2: the newest row per symbol via ``max_by`` (partial aggregation, no sort of the history)."""
+    """K2: the newest row per symbol via ``max_by``: summed up in each task before the shuffle."""
     others = [c for c in df.columns if c != symbol]
     agg = df.groupBy(symbol).agg(F.max_by(F.struct(*others), F.col(date)).alias("_last"))
     return agg.select(symbol, *[F.col(f"_last.{c}").alias(c) for c in others])

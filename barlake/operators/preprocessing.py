@@ -39,15 +39,15 @@ def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0.0, subset=columns)
 
 
-def _long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value) for each row and column."""
+def _long(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """(keys, column_name, value) for each row and column."""
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
-    return df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, value)")
+    return df.selectExpr(*(keys or []), f"stack({len(columns)}, {pairs}) AS (column_name, value)")
 
 
-def fit_quantiles(train: DataFrame, columns: list[str], probabilities: dict[str, float]) -> DataFrame:
-    """(column_name, one column for each probability): exact quantiles of all columns in one grouped pass."""
-    return exact_quantiles(_long(train, columns), "value", probabilities, ["column_name"])
+def fit_quantiles(train: DataFrame, columns: list[str], probabilities: dict[str, float], keys: list[str] | None = None) -> DataFrame:
+    """(keys, column_name, one column for each probability): exact quantiles of all columns in one grouped pass."""
+    return exact_quantiles(_long(train, columns, keys), "value", probabilities, [*(keys or []), "column_name"])
 
 
 def fit_quantile_bounds(train: DataFrame, columns: list[str], lower: float = 0.005, upper: float = 0.995) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from barlake.functions.numeric import out
 from barlake.operators.clean import clean_bars
 from barlake.operators.instruments import instruments_from_bars
-from barlake.plans.features import build_features
+from barlake.plans.features import FeatureSettings, build_features
 from barlake.plans.ingest import load_to_gold, read_gold_catalogue, write_silver
 from barlake.session import scratch_path
 from barlake.sources import bronze as B
@@ -109,7 +109,7 @@ def q_processed_roundtrip(spark, sf_dir):
     """The feature job from silver to the processed table, read back and counted by folder."""
     silver, processed = _folder(spark, "silver"), _folder(spark, "processed")
     write_silver(fx.all_bars(spark, sf_dir), silver)
-    build_features(spark, silver, processed, market=fx.MARKET, min_history_days=250, market_index_symbol=fx.INDEX_SYMBOL)
+    build_features(spark, silver, processed, fx.MARKET, settings=FeatureSettings(market_index_symbol=fx.INDEX_SYMBOL))
     return read_processed(spark, processed).groupBy("symbol", F.col("part_year").cast("int").alias("year")).agg(
         F.count("*").alias("n_rows"), F.count("rsi_14").alias("n_rsi"), F.count("returns_60d_rank").alias("n_rank"),
         F.sum(F.col("label_direction_5d").cast("int")).cast("bigint").alias("n_up"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))

@@ -559,3 +559,16 @@ FROM (SELECT *, max(equity) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING) AS pea
                   ON s.date = d.date
                 WHERE (d.rn - 1) % 5 = 0)
           WHERE pick_rank <= 3 GROUP BY date)))""", extra=[SCORED])
+
+
+MODEL_INPUTS = [*TECH_COLS, "obv", "day_of_week", "day_of_month", "month", "quarter", "week_of_year", "year", *LAG_COLS, *[f"{c}_rank" for c in RANKS], "excess_returns_5d"]
+FOLD_TRAIN = [bounds_cte("features"), folds_cte(), ROLES, "tr AS (SELECT r.fold, f.* FROM features f JOIN roles r ON r.role = 'train' AND f.date BETWEEN r.rs AND r.re)"]
+ORACLE["model_medians"] = feature_query(
+    f"SELECT fold, col AS column_name, {out('min(v) FILTER (cum >= 0.5 * n)')} AS median FROM ("
+    "SELECT fold, col, v, sum(count(*)) OVER (PARTITION BY fold, col ORDER BY v) AS cum, sum(count(*)) OVER (PARTITION BY fold, col) AS n "
+    "FROM (UNPIVOT (SELECT fold, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MODEL_INPUTS)
+    + " FROM tr) ON COLUMNS(* EXCLUDE (fold)) INTO NAME col VALUE v) WHERE NOT isnan(v) GROUP BY fold, col, v) GROUP BY fold, col", extra=FOLD_TRAIN)
+ORACLE["model_weights"] = feature_query(f"""
+SELECT fold, model_name, n AS n_rows, {out("CASE WHEN model_name = 'gbt' THEN 1.0 ELSE n / (2.0 * (n - pos)) END")} AS weight_0,
+       {out("CASE WHEN model_name = 'gbt' THEN (n - pos) / CAST(pos AS DOUBLE) ELSE n / (2.0 * pos) END")} AS weight_1
+FROM (SELECT fold, count(*) AS n, sum(label_direction_5d) AS pos FROM tr GROUP BY fold), (VALUES ('logreg'), ('gbt')) m(model_name)""", extra=FOLD_TRAIN)

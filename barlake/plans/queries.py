@@ -15,9 +15,9 @@ from barlake.operators import technical as T
 from barlake.operators.calendar import CALENDAR_COLUMNS, add_calendar_features
 from barlake.operators.clean import clean_bars, dedupe_first, filter_min_history, quality_report, valid_bar
 from barlake.operators.cross_sectional import RANK_COLUMNS, add_cross_sectional_ranks, add_market_relative_returns
-from barlake.operators.labels import add_direction_label, add_forward_returns
-from barlake.operators.lag import add_default_lags, default_lag_names
-from barlake.plans.features import build_feature_frame
+from barlake.operators.labels import with_labels
+from barlake.operators.lag import lag_names, with_lags
+from barlake.plans.features import FeatureSettings, build_feature_frame
 from barlake.session import materialize
 from barlake.sources import fixtures as fx
 
@@ -37,8 +37,8 @@ def _tech(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str, min_history: int = 250, drop_unlabelled: bool = True) -> DataFrame:
-    return build_feature_frame(fx.all_bars(spark, sf_dir), min_history_days=min_history,
-                               market_index_symbol=fx.INDEX_SYMBOL, drop_unlabelled=drop_unlabelled)
+    return build_feature_frame(fx.all_bars(spark, sf_dir), FeatureSettings(
+        min_history_days=min_history, market_index_symbol=fx.INDEX_SYMBOL, drop_unlabelled=drop_unlabelled))
 
 
 # ---------------------------------------------------------------- step 0/1
@@ -132,16 +132,16 @@ def q_calendar(spark, sf_dir):
 
 
 def q_lags(spark, sf_dir):
-    df = add_default_lags(_tech(spark, sf_dir))
-    return present(df, ["symbol", "date"], default_lag_names())
+    df = with_lags(_tech(spark, sf_dir))
+    return present(df, ["symbol", "date"], lag_names())
 
 
 def q_forward_labels(spark, sf_dir):
-    return present(add_forward_returns(fx.all_bars(spark, sf_dir), 5), ["symbol", "date"], ["label_return_5d"])
+    return present(with_labels(fx.all_bars(spark, sf_dir), 5), ["symbol", "date"], ["label_return_5d"])
 
 
 def q_direction_labels(spark, sf_dir):
-    df = add_direction_label(fx.all_bars(spark, sf_dir), 5, 0.0)
+    df = with_labels(fx.all_bars(spark, sf_dir), 5, 0.0)
     return df.select("symbol", "date", F.col("label_direction_5d").cast("int").alias("label_direction_5d"))
 
 
@@ -165,7 +165,7 @@ def q_excess_returns(spark, sf_dir):
 
 
 #: All float columns of the feature matrix; the others are whole numbers and flags.
-INPUT_FLOATS = [c for c in T.technical_column_names() if c != "obv"] + default_lag_names()
+INPUT_FLOATS = [c for c in T.technical_column_names() if c != "obv"] + lag_names()
 FEATURE_MATRIX_FLOATS = ["open", "high", "low", "close", *INPUT_FLOATS, "label_return_5d", *[f"{c}_rank" for c in RANK_COLUMNS], "excess_returns_5d"]
 
 
@@ -220,6 +220,7 @@ from barlake.functions.numeric import finite_or_null  # noqa: E402
 from barlake.operators import folds as FO  # noqa: E402
 from barlake.operators import metrics as M  # noqa: E402
 from barlake.operators import portfolio as P  # noqa: E402
+from barlake.operators import preprocessing as PP  # noqa: E402
 from barlake.operators.lookups import (  # noqa: E402
     get_instrument, last_n_bars, latest_for_symbols, latest_row, list_instruments, predictions_on_date, requested_symbols,
 )
@@ -302,10 +303,10 @@ def q_topk_picks(spark, sf_dir):
     return present(picks, ["date", "symbol", "pick_rank"], ["p", "ret"])
 
 
-def strategy_daily(spark, sf_dir) -> DataFrame:
+def strategy_daily(spark, sf_dir, ks=STRATEGY_KS, bps=STRATEGY_BPS) -> DataFrame:
     """All (k, bps) strategies at once: one pick pass for the largest k, then per-strategy means."""
-    picks = P.top_k_per_date(scored(spark, sf_dir), max(STRATEGY_KS), score="p")
-    grid = spark.createDataFrame([(k, b) for k in STRATEGY_KS for b in STRATEGY_BPS], "top_k int, cost_bps double")
+    picks = P.top_k_per_date(scored(spark, sf_dir), max(ks), score="p")
+    grid = spark.createDataFrame([(k, b) for k in ks for b in bps], "top_k int, cost_bps double")
     per = picks.join(F.broadcast(grid), F.col("pick_rank") <= F.col("top_k"), "inner")
     return P.daily_returns(per, "ret", ["top_k", "cost_bps"], "cost_bps")
 
@@ -317,8 +318,7 @@ def q_portfolio_stats(spark, sf_dir):
 
 
 def q_equity_curve(spark, sf_dir):
-    daily = strategy_daily(spark, sf_dir).where((F.col("top_k") == 3) & (F.col("cost_bps") == 5.0))
-    curve = P.equity_curve(daily, ["top_k", "cost_bps"])
+    curve = P.equity_curve(strategy_daily(spark, sf_dir, (3,), (5.0,)), ["top_k", "cost_bps"])
     return present(curve, ["top_k", "cost_bps", "date"], ["gross_return", "net_return", "equity", "drawdown"])
 
 
@@ -501,11 +501,11 @@ def _split_dates(spark, feats: DataFrame) -> dict:
             "val_end": b.val_end, "n_splits": 3, "embargo_days": 5}
 
 
-def _train(spark, sf_dir, model_name):
+def _train(spark, sf_dir, model_name, params=None):
     from barlake.plans.train import run_metrics_table, train_one_model
 
     f = features(spark, sf_dir)
-    res = train_one_model(spark, f, model_name, **_split_dates(spark, f))
+    res = train_one_model(spark, f, model_name, params=params, **_split_dates(spark, f))
     return present(run_metrics_table(res).drop("run_id"), ["model_name", "fold", "metric"], ["value"])
 
 
@@ -514,9 +514,13 @@ def q_train_logreg(spark, sf_dir):
     return _train(spark, sf_dir, "logreg")
 
 
+#: Trees of the registered boosting query; a real run takes the model's default of 500.
+GBT_PARAMS = {"n_estimators": 5, "max_depth": 3}
+
+
 def q_train_gbt(spark, sf_dir):
-    """Walk-forward gradient-boosted trees: per-fold validation metrics (long table)."""
-    return _train(spark, sf_dir, "gbt")
+    """Walk-forward gradient-boosted trees over all rows, ``GBT_PARAMS``: per-fold validation metrics (long table)."""
+    return _train(spark, sf_dir, "gbt", GBT_PARAMS)
 
 
 def q_score_latest(spark, sf_dir):
@@ -525,9 +529,9 @@ def q_score_latest(spark, sf_dir):
 
     labelled = features(spark, sf_dir)
     everything = features(spark, sf_dir, drop_unlabelled=False)
-    from barlake.plans.features import select_feature_columns
+    from barlake.plans.features import input_columns
 
-    cols = select_feature_columns(labelled, "label_direction_5d")
+    cols = input_columns()
     train = materialize(prepare(labelled, cols, "label_direction_5d"))
     use = usable_features(train, cols)
     model = fit("logreg", train, use)
@@ -535,17 +539,39 @@ def q_score_latest(spark, sf_dir):
     return present(scored, ["symbol", "prediction_date", "model_name"], ["predicted_probability"], ["predicted_class"])
 
 
-# train_gbt is not registered: 500 boosting rounds per fold plus the refit are
-# thousands of small Spark jobs; tests/test_ml.py covers it on a planted signal.
+def _fold_train_rows(spark, sf_dir) -> DataFrame:
+    f = materialize(features(spark, sf_dir))
+    return FO.assign_folds(f, data_folds(f)).where(F.col("role") == "train")
+
+
+def q_model_medians(spark, sf_dir):
+    """The exact medians that fill missing model inputs, for each fold."""
+    from barlake.plans.features import input_columns
+
+    m = PP.fit_quantiles(_fold_train_rows(spark, sf_dir), input_columns(), {"median": 0.5}, ["fold"])
+    return present(m, ["fold", "column_name"], ["median"])
+
+
+def q_model_weights(spark, sf_dir):
+    """Training rows and class weights of both models, for each fold (a row for each fold and model)."""
+    from barlake.plans.train import MODELS, class_weights
+
+    counts = _fold_train_rows(spark, sf_dir).groupBy("fold").agg(F.count("*").alias("n"), F.sum("label_direction_5d").cast("bigint").alias("pos")).collect()
+    rows = [(r.fold, name, r.n, *class_weights(name, r.n, float(r.pos))) for r in counts for name in MODELS]
+    w = spark.createDataFrame(rows, "fold int, model_name string, n_rows bigint, weight_0 double, weight_1 double")
+    return present(w, ["fold", "model_name", "n_rows"], ["weight_0", "weight_1"])
+
+
 QUERIES.update({
     "train_logreg": q_train_logreg,
+    "train_gbt": q_train_gbt,
+    "model_medians": q_model_medians,
+    "model_weights": q_model_weights,
     "score_latest": q_score_latest,
 })
 
 
 # ---------------------------------------------------------------- step 12 (config-declared options)
-from barlake.operators import preprocessing as PP  # noqa: E402
-
 MISSING_COLS = [*INPUT_FLOATS, "obv", *[f"{c}_rank" for c in RANK_COLUMNS], "excess_returns_5d"]
 
 

@@ -1,7 +1,7 @@
 """Model training, scoring and run records on MLlib.
 
-* Registry (M4): model name -> pipeline factory; unknown or duplicate names raise.
-* ``logreg``: median imputation -> standardisation -> L2 logistic regression
+* Registry (M4): a table of model name -> stages and defaults; unknown names raise.
+* ``logreg``: exact median imputation -> standardisation -> L2 logistic regression
   with balanced class weights; ``regParam = 1 / (C * N)`` makes MLlib's
   mean-loss objective the reference's ``C``-scaled sum objective.
 * ``gbt``: gradient-boosted trees with ``scale_pos_weight`` as instance
@@ -20,11 +20,11 @@ import json
 import os
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,73 +32,49 @@ from pyspark.sql import functions as F
 from barlake.functions.numeric import finite_or_null
 from barlake.operators.folds import walk_forward_splits
 from barlake.operators.metrics import compute_metrics, metrics_long
-from barlake.plans.features import select_feature_columns
+from barlake.operators.preprocessing import fit_quantiles
+from barlake.operators.upsert import symbol_ids
+from barlake.plans.features import input_columns
+from barlake.plans.ingest import write_predictions
 from barlake.session import materialize
 
-PipelineFactory = Callable[[list[str], dict], Pipeline]
-
-
-@dataclass
-class ModelEntry:
-    name: str
-    factory: PipelineFactory
-    defaults: dict = field(default_factory=dict)
-
-
-_REGISTRY: dict[str, ModelEntry] = {}
+def _imputed(cols: list[str]) -> list[str]:
+    return [f"{c}__imp" for c in cols]
 
 
-def register_model(name: str, defaults: dict | None = None) -> Callable[[PipelineFactory], PipelineFactory]:
-    def deco(fn: PipelineFactory) -> PipelineFactory:
-        if name in _REGISTRY:
-            raise ValueError(f"model {name!r} already registered")
-        _REGISTRY[name] = ModelEntry(name, fn, dict(defaults or {}))
-        return fn
-    return deco
+def impute_medians(cols: list[str], medians: dict[str, float]) -> SQLTransformer:
+    """NULL -> the training median (0 for a column without values), as a stage that is saved with the model."""
+    filled = ", ".join(f"coalesce(`{c}`, CAST('{medians.get(c) or 0.0!r}' AS DOUBLE)) AS `{c}__imp`" for c in cols)
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
 
-def get_model_entry(name: str) -> ModelEntry:
-    if name not in _REGISTRY:
-        raise KeyError(f"unknown model {name!r}; registered: {sorted(_REGISTRY)}")
-    return _REGISTRY[name]
+def logreg_stages(cols: list[str], params: dict) -> list:
+    return [
+        VectorAssembler(inputCols=_imputed(cols), outputCol="_raw", handleInvalid="keep"),
+        StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
+        LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
+                           regParam=1.0 / (params["C"] * max(params["n_rows"], 1)), elasticNetParam=0.0,
+                           standardization=False, maxIter=int(params["max_iter"]), tol=float(params["tol"])),
+    ]
 
 
-def registered_models() -> list[str]:
-    return sorted(_REGISTRY)
+def gbt_stages(cols: list[str], params: dict) -> list:
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
+                          maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
+                          stepSize=float(params["learning_rate"]), subsamplingRate=float(params["subsample"]),
+                          featureSubsetStrategy=str(params["colsample"]), minInstancesPerNode=int(params["min_child_weight"]),
+                          validationTol=float(params["validation_tol"]), seed=42)
+    if params["validated"]:  # training stops when a further tree no longer helps the validation rows
+        trees = trees.setValidationIndicatorCol("is_val")
+    return [VectorAssembler(inputCols=_imputed(cols), outputCol="features", handleInvalid="keep"), trees]
 
 
-def _imputed(cols: list[str]) -> list[str]:
-    return [f"{c}__imp" for c in cols]
-
-
-@register_model("logreg", {"C": 1.0, "max_iter": 1000, "tol": 1e-4})
-def logreg_pipeline(feature_cols: list[str], params: dict) -> Pipeline:
-    n = params["_n_rows"]
-    return Pipeline(stages=[
-        Imputer(strategy="median", inputCols=feature_cols, outputCols=_imputed(feature_cols)),
-        VectorAssembler(inputCols=_imputed(feature_cols), outputCol="_raw", handleInvalid="keep"),
-        StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
-        LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                           regParam=1.0 / (params["C"] * max(n, 1)), elasticNetParam=0.0,
-                           standardization=False, maxIter=int(params["max_iter"]), tol=float(params["tol"])),
-    ])
-
-
-@register_model("gbt", {"n_estimators": 500, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.8,
-                        "colsample": 0.8, "min_child_weight": 5})
-def gbt_pipeline(feature_cols: list[str], params: dict) -> Pipeline:
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                        maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
-                        stepSize=float(params["learning_rate"]), subsamplingRate=float(params["subsample"]),
-                        featureSubsetStrategy=str(params["colsample"]), minInstancesPerNode=int(params["min_child_weight"]),
-                        seed=42)
-    if params.get("_validation"):
-        gbt = gbt.setValidationIndicatorCol("is_val")
-    return Pipeline(stages=[
-        Imputer(strategy="median", inputCols=feature_cols, outputCols=_imputed(feature_cols)),
-        VectorAssembler(inputCols=_imputed(feature_cols), outputCol="features", handleInvalid="keep"),
-        gbt,
-    ])
+# Name -> (stages after imputation, default parameters).
+MODELS: dict[str, tuple[Callable[[list[str], dict], list], dict]] = {
+    "logreg": (logreg_stages, {"C": 1.0, "max_iter": 1000, "tol": 1e-4}),
+    "gbt": (gbt_stages, {"n_estimators": 500, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.8,
+                         "colsample": 0.8, "min_child_weight": 5, "validation_tol": 0.01}),
+}
 
 
 def prepare(df: DataFrame, feature_cols: list[str], label_col: str) -> DataFrame:
@@ -116,19 +92,23 @@ def usable_features(train: DataFrame, feature_cols: list[str]) -> list[str]:
     return [c for c in feature_cols if row[c] > 0]
 
 
-def with_class_weights(train: DataFrame, model_name: str) -> tuple[DataFrame, int]:
-    """A4: balanced weights N / (2 N_class) for logreg; scale_pos_weight = neg/pos (1 if no positives) for gbt."""
-    row = train.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
-    n, pos = int(row["n"]), float(row["pos"] or 0.0)
+def fitted_medians(train: DataFrame, cols: list[str]) -> dict[str, float]:
+    """The exact median of each column (its lower one for an even count)."""
+    return {r.column_name: r.median for r in fit_quantiles(train, cols, {"median": 0.5}).collect()}
+
+
+def class_weights(model_name: str, n: int, pos: float) -> tuple[float, float]:
+    """A4: (weight of 0, weight of 1): balanced N / (2 N_class) for logreg, neg / pos on positives for gbt."""
     neg = n - pos
     if model_name == "gbt":
-        spw = neg / pos if pos > 0 else 1.0
-        w = F.when(F.col("label") == 1.0, F.lit(spw)).otherwise(F.lit(1.0))
-    else:
-        wpos = n / (2.0 * pos) if pos > 0 else 1.0
-        wneg = n / (2.0 * neg) if neg > 0 else 1.0
-        w = F.when(F.col("label") == 1.0, F.lit(wpos)).otherwise(F.lit(wneg))
-    return train.withColumn("weight", w), n
+        return 1.0, neg / pos if pos else 1.0
+    return (n / (2 * neg) if neg else 1.0), (n / (2 * pos) if pos else 1.0)
+
+
+def with_class_weights(train: DataFrame, model_name: str) -> tuple[DataFrame, int]:
+    row = train.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
+    zero, one = class_weights(model_name, row["n"], float(row["pos"] or 0.0))
+    return train.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(one)).otherwise(F.lit(zero))), row["n"]
 
 
 def probability_column() -> Column:
@@ -138,16 +118,15 @@ def probability_column() -> Column:
 
 def fit(model_name: str, train: DataFrame, feature_cols: list[str], params: dict | None = None,
         validation: DataFrame | None = None) -> PipelineModel:
-    entry = get_model_entry(model_name)
-    p = {**entry.defaults, **(params or {})}
-    weighted, n = with_class_weights(train, model_name)
-    p["_n_rows"] = n
-    data = weighted
-    if validation is not None and model_name == "gbt":
-        vw = validation.withColumn("weight", F.lit(1.0))
-        data = weighted.withColumn("is_val", F.lit(False)).unionByName(vw.withColumn("is_val", F.lit(True)))
-        p["_validation"] = True
-    return entry.factory(feature_cols, p).fit(data)
+    if model_name not in MODELS:
+        raise KeyError(f"unknown model {model_name!r}; there are {sorted(MODELS)}")
+    stages, defaults = MODELS[model_name]
+    data, n = with_class_weights(train, model_name)
+    validated = validation is not None and model_name == "gbt"
+    if validated:
+        data = data.withColumn("is_val", F.lit(False)).unionByName(validation.withColumns({"weight": F.lit(1.0), "is_val": F.lit(True)}))
+    own = {**defaults, **(params or {}), "n_rows": n, "validated": validated}
+    return Pipeline(stages=[impute_medians(feature_cols, fitted_medians(train, feature_cols)), *stages(feature_cols, own)]).fit(data)
 
 
 def score_frame(model: PipelineModel, df: DataFrame, model_name: str, threshold: float = 0.5,
@@ -175,7 +154,7 @@ def train_one_model(spark: SparkSession, features: DataFrame, model_name: str, t
                     params: dict | None = None, expanding: bool = True) -> TrainResult:
     """M5: walk-forward folds -> fit/score/metrics per fold -> final refit."""
     label_col = f"label_direction_{horizon_days}d"
-    feature_cols = select_feature_columns(features, label_col)
+    feature_cols = input_columns()
     folds = walk_forward_splits(spark, train_start, train_end, val_start, val_end, n_splits, embargo_days, expanding)
     bounds = [r.asDict() for r in folds.orderBy("fold").collect()]  # n_splits rows of parameters
     # written once to the checkpoint folder: every fold, every solver iteration
@@ -215,11 +194,12 @@ def run_metrics_table(result: TrainResult) -> DataFrame:
 
 
 def record_run(spark: SparkSession, runs_root: str, model_name: str, result: TrainResult | None, params: dict,
-               status: str, model_path: str | None = None) -> None:
-    """Append one run row (flattened params as JSON) and its metrics."""
+               status: str, model_path: str | None = None, error: str | None = None) -> None:
+    """Append one run row (flattened params, feature count and names as JSON, failure text) and its metrics."""
     run_id = result.run_id if result else uuid.uuid4().hex
-    row = [(run_id, model_name, status, json.dumps(_flat(params), sort_keys=True, default=str), model_path)]
-    spark.createDataFrame(row, "run_id string, model_name string, status string, params string, model_path string") \
+    features = result.feature_cols if result else []
+    row = [(run_id, model_name, status, json.dumps(_flat(params), sort_keys=True, default=str), len(features), json.dumps(features), model_path, error)]
+    spark.createDataFrame(row, "run_id string, model_name string, status string, params string, n_features int, features string, model_path string, error string") \
         .withColumn("ts", F.current_timestamp()) \
         .write.mode("append").parquet(os.path.join(runs_root, "runs"))
     if result is not None and result.metrics is not None:
@@ -252,16 +232,17 @@ def train_all(spark: SparkSession, features: DataFrame, runs_root: str, split: d
     for name, spec in models.items():
         if not spec.get("enabled", True):
             continue
+        asked = {"model": name, "horizon_days": horizon_days, **split, **(spec.get("params") or {})}
         try:
             res = train_one_model(spark, features, name, horizon_days=horizon_days, params=spec.get("params"), **split)
             path = None
             if res.model is not None:
                 path = os.path.join(runs_root, "models", res.run_id)
                 res.model.write().overwrite().save(path)
-            record_run(spark, runs_root, name, res, {"model": name, **(spec.get("params") or {})}, "FINISHED", path)
+            record_run(spark, runs_root, name, res, asked, "FINISHED", path)
             out[name] = res.run_id
-        except Exception:  # noqa: BLE001 - isolate one model's failure (reference behaviour)
-            record_run(spark, runs_root, name, None, {"model": name}, "FAILED")
+        except Exception as e:  # noqa: BLE001 - isolate one model's failure (reference behaviour)
+            record_run(spark, runs_root, name, None, asked, "FAILED", error=f"{type(e).__name__}: {e}"[:2000])
             out[name] = None
     return out
 
@@ -279,3 +260,16 @@ def predict_latest(features_all: DataFrame, model: PipelineModel, model_name: st
     latest = latest_row(df.select("symbol", "date", *feature_cols))
     prepared = latest.select("symbol", "date", *[finite_or_null(F.col(c)).alias(c) for c in feature_cols])
     return score_frame(model, prepared, model_name, horizon_days=horizon_days)
+
+
+def predict_and_store(features_all: DataFrame, model: PipelineModel, model_name: str, feature_cols: list[str], catalogue: DataFrame,
+                      path: str, run_id: str, symbols: DataFrame | None = None, horizon_days: int = 5) -> DataFrame:
+    """M9: score the newest row of all (or the given) symbols, upsert into the predictions table, return the scores.
+
+    Scores of symbols that the catalogue lacks are returned, but not stored.
+    """
+    scored = materialize(predict_latest(features_all, model, model_name, feature_cols, symbols, horizon_days))
+    known, _ = symbol_ids(catalogue, scored)
+    write_predictions(known.select("ticker_id", "prediction_date", "horizon_days", "model_name", F.lit(run_id).alias("run_id"), "predicted_probability",
+                                   "predicted_class", F.lit(None).cast("int").alias("actual_class"), F.current_timestamp().alias("created_at")), path)
+    return scored

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
+    BooleanType, DateType, DecimalType, DoubleType, LongType, StringType,
     StructField, StructType, TimestampType,
 )
 
-MARKETS = ("jp", "us")
-ASSET_TYPES = ("stock", "etf", "index", "future", "option", "bond")
-
 BARS_SCHEMA = StructType([
     StructField("symbol", StringType(), False),
     StructField("date", DateType(), False),
@@ -38,26 +35,3 @@ INSTRUMENTS_SCHEMA = StructType([
 ])
 
 PRICE = DecimalType(18, 6)
-
-GOLD_BARS_SCHEMA = StructType([
-    StructField("ticker_id", LongType(), False),
-    StructField("date", DateType(), False),
-    StructField("open", PRICE),
-    StructField("high", PRICE),
-    StructField("low", PRICE),
-    StructField("close", PRICE),
-    StructField("volume", LongType()),
-    StructField("open_interest", LongType()),
-])
-
-PREDICTIONS_SCHEMA = StructType([
-    StructField("ticker_id", LongType(), False),
-    StructField("prediction_date", DateType(), False),
-    StructField("horizon_days", IntegerType(), False),
-    StructField("model_name", StringType(), False),
-    StructField("run_id", StringType()),
-    StructField("predicted_probability", DoubleType()),
-    StructField("predicted_class", IntegerType()),
-    StructField("actual_class", IntegerType()),
-    StructField("created_at", TimestampType()),
-])

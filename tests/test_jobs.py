@@ -6,10 +6,11 @@ import os
 import tempfile
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from barlake.plans import train as TR
-from barlake.plans.features import PARTITION_COLUMN, build_features
+from barlake.plans.features import PARTITION_COLUMN, FeatureSettings, build_features
 from barlake.plans.ingest import write_predictions, write_silver
 from barlake.sources.fixtures import all_bars
 
@@ -18,7 +19,7 @@ def test_build_features_job_writes_year_partitions(spark, sf_small):
     work = tempfile.mkdtemp(prefix="feat-")
     silver, processed = os.path.join(work, "silver"), os.path.join(work, "processed")
     write_silver(all_bars(spark, sf_small), silver)
-    build_features(spark, silver, processed, market="jp", min_history_days=250, market_index_symbol="^MKT")
+    build_features(spark, silver, processed, market="jp", settings=FeatureSettings(market_index_symbol="^MKT"))
     out = spark.read.parquet(processed)
     assert PARTITION_COLUMN in out.columns and "year" in out.columns
     assert out.where(F.col(PARTITION_COLUMN) != F.col("year")).count() == 0
@@ -27,8 +28,13 @@ def test_build_features_job_writes_year_partitions(spark, sf_small):
     counts = all_bars(spark, sf_small).groupBy("symbol").count()
     assert kept == counts.where(F.col("count") >= 250).count()
     limited = os.path.join(work, "limited")
-    build_features(spark, silver, limited, market="jp", min_history_days=0, market_index_symbol="^MKT", limit=3)
-    assert spark.read.parquet(limited).select("symbol").distinct().count() == 3
+    build_features(spark, silver, limited, market="jp", settings=FeatureSettings(min_history_days=250, market_index_symbol="^MKT", symbols=3))
+    names = {r.symbol for r in spark.read.parquet(limited).select("symbol").distinct().collect()}
+    assert names == {r.symbol for r in counts.where("count >= 250").orderBy("symbol").limit(3).collect()}  # symbols with enough history count
+    with pytest.raises(RuntimeError):
+        build_features(spark, silver, limited, market="jp", settings=FeatureSettings(min_history_days=10**6))
+    with pytest.raises(FileNotFoundError):
+        build_features(spark, silver, limited, market="us")
 
 
 def test_write_predictions_idempotent_and_keeps_actual(spark):

@@ -36,12 +36,20 @@ def test_models_learn_planted_signal(spark, name, params):
     assert m.roc_auc > 0.8 and 0 <= m.accuracy <= 1
 
 
-def test_registry_rules():
+def test_model_table(spark):
     with pytest.raises(KeyError):
-        TR.get_model_entry("nope")
-    with pytest.raises(ValueError):
-        TR.register_model("logreg")(lambda cols, p: None)
-    assert TR.registered_models() == ["gbt", "logreg"]
+        TR.fit("nope", planted(spark), ["x1"])
+    assert sorted(TR.MODELS) == ["gbt", "logreg"]
+
+
+def test_medians_and_weights(spark):
+    df = spark.createDataFrame([(v,) for v in (5.0, 1.0, None, float("nan"), 9.0)], "x double").withColumn("none", F.lit(None).cast("double"))
+    medians = TR.fitted_medians(df, ["x", "none"])
+    assert medians["x"] == 5.0
+    filled = TR.impute_medians(["x", "none"], medians).transform(df.where("x is null")).first()
+    assert (filled["x__imp"], filled["none__imp"]) == (5.0, 0.0)
+    assert TR.class_weights("logreg", 10, 4.0) == (10 / 12, 10 / 8) and TR.class_weights("gbt", 10, 4.0) == (1.0, 1.5)
+    assert TR.class_weights("gbt", 10, 0.0) == (1.0, 1.0)
 
 
 def test_streaming_two_batches_equal_one(spark):

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from barlake.operators import technical as T
 from barlake.operators.calendar import add_calendar_features
 from barlake.operators.cross_sectional import add_cross_sectional_ranks
-from barlake.operators.labels import add_direction_label, add_forward_returns
-from barlake.operators.lag import add_lagged_columns
+from barlake.operators.labels import with_labels
+from barlake.operators.lag import with_lags
 
 SCHEMA = "symbol string, date date, open double, high double, low double, close double, volume bigint, open_interest bigint"
 
@@ -104,10 +104,10 @@ def test_calendar(spark):
 
 def test_lagged_columns(spark):
     df = spark.createDataFrame([("S", date(2024, 1, i + 1), float(i + 1)) for i in range(5)], "symbol string, date date, x double")
-    out = add_lagged_columns(df, ["x"], lags=(1, 2))
+    out = with_lags(df, {"x": (1, 2)})
     assert col(out, "x_lag_1") == [None, 1.0, 2.0, 3.0, 4.0]
     assert col(out, "x_lag_2") == [None, None, 1.0, 2.0, 3.0]
-    assert add_lagged_columns(df, ["y"], lags=(1,)).columns == df.columns
+    assert with_lags(df, {"y": (1,)}).columns == df.columns
 
 
 def test_cross_sectional_rank(spark):
@@ -129,11 +129,11 @@ def test_rank_ties_average_and_single_is_nan(spark):
 def test_forward_and_direction_labels(spark):
     df = spark.createDataFrame([("S", date(2024, 1, i + 1), c) for i, c in enumerate([100.0, 101.0, 102.0, 103.0, 104.0, 105.0])],
                                "symbol string, date date, close double")
-    r = col(add_forward_returns(df, 2), "label_return_2d")
+    r = col(with_labels(df, 2), "label_return_2d")
     assert r[0] == pytest.approx(0.02) and r[-1] is None and r[-2] is None
     df2 = spark.createDataFrame([("S", date(2024, 1, i + 1), c) for i, c in enumerate([100.0, 100.0, 110.0, 95.0, 100.0])],
                                 "symbol string, date date, close double")
-    assert col(add_direction_label(df2, 2, 0.0), "label_direction_2d") == [1, 0, 0, None, None]
+    assert col(with_labels(df2, 2, 0.0), "label_direction_2d") == [1, 0, 0, None, None]
 
 
 def test_no_leakage_features_unchanged_when_future_removed(spark):
