@@ -36,6 +36,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a join's side that is sent to all executors, at most; rows of a few numbers, so 32 MB about.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table for a join: broadcast if a count shows it to be small, else left to a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

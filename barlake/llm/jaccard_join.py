@@ -11,11 +11,13 @@ m shingles differ in k = 30 m div 185 shingles at most.  With shingles dealt
 to more than k buckets by hash, some bucket holds the same shingles in both;
 its hash is a key they share.  Both sizes must use one bucket count, so sizes
 fall in classes, and a set near a class border is replicated to the next one.
-Buckets are more than k + 1, so that the shared one is not an empty one: a set
-with more empty buckets than the surplus also sends the 15 % least of its
-shingles, one of which two linked sets share.  Sets that share a key are tied
-to the least of them, in each task first; a region is a component of these
-ties.  No link leaves its region.
+Only buckets of two shingles or more give keys, and shingles of which the
+corpus has very many are left out (whichever they are, the bound holds).  So
+that a shared bucket is one that gives a key, buckets are more than k + 1; a
+set whose weak buckets outnumber the surplus also sends the 15 % least of its
+shingles, frequent ones last, as two linked sets share one of these.  Sets
+that share a key are tied to the least of them, in each task first; a region
+is a component of these ties.  No link leaves its region.
 
 Inside a region, pivots do the work.  A large region takes pivots from its
 sets; each set goes to the Voronoi cell of its nearest pivot, and to each cell
@@ -49,17 +51,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import fresh, needed, slices, stored, texts_of
+from barlake.llm.common import fresh, needed, slices, small_side, stored, texts_of
 from barlake.llm.graph import components
 
 WORDS = 4
 PERCENT = 85
 #: Shingles of a region that one task joins (8 bytes each).
-LEAF = 1 << 21
+LEAF = 1 << 20
 #: Pivots of a larger region in each step.
 PIVOTS = 4
+#: Shingles that make up more than this share of the documents' number are left out of keys, the
+#: HOT_MOST most frequent of them (1 MB); this only steers the choice of keys.
+HOT_SHARE, HOT_MOST = 0.0005, 1 << 17
 #: Keys in a bucket of the key shuffle, about, and keys a task gathers before it sends them.
-BUCKET_KEYS, GATHER = 500_000, 1_000_000
+BUCKET_KEYS, GATHER = 500_000, 500_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -71,8 +76,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: pa.Array, n: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def shingles(texts: pa.Array, n: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of n words of all texts together, the words' hashes, and each text's first and last word."""
     lists = pc.ascii_split_whitespace(texts)
     flat = lists.flatten()
     bounds = lists.offsets.to_numpy().astype(np.int64)
@@ -82,20 +87,48 @@ def shingle_sets(texts: pa.Array, n: int = WORDS) -> list[np.ndarray]:
     coded = flat.filter(pa.array(real)).dictionary_encode()
     hashed = np.fromiter((xxhash.xxh64_intdigest(w.encode().lower()) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
     w = hashed[coded.indices.to_numpy()]
+    all_ = np.zeros(max(len(w) - n + 1, 0), np.uint64)
     with np.errstate(over="ignore"):
-        all_ = np.zeros(max(len(w) - n + 1, 0), np.uint64)
-        for i in range(n):
-            all_ = _mix(all_ * _A + w[i:len(w) - n + 1 + i]) if len(all_) else all_
-        out = []
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            if b - a >= n:
-                out.append(np.unique(all_[a:b - n + 1]))
-            else:
-                h = np.full(1, b - a, np.uint64)
+        for i in range(n if len(all_) else 0):
+            all_ = _mix(all_ * _A + w[i:len(w) - n + 1 + i])
+    return all_, w, bounds[:-1], bounds[1:]
+
+
+def shingle_sets(texts: pa.Array, n: int = WORDS) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    all_, w, first, last = shingles(texts, n)
+    out = []
+    for a, b in zip(first, last):
+        if b - a >= n:
+            out.append(np.unique(all_[a:b - n + 1]))
+        else:
+            h = np.full(1, b - a, np.uint64)
+            with np.errstate(over="ignore"):
                 for x in w[a:b]:
                     h = _mix(h * _A + x)
-                out.append(h if b > a else h[:0])
-        return out
+            out.append(h if b > a else h[:0])
+    return out
+
+
+def hot_shingles(docs: DataFrame, n_docs: int, share: float = HOT_SHARE) -> np.ndarray:
+    """The most frequent shingles, sorted.  Each task reports those it met three times or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            for cut in slices(got):
+                found, n = np.unique(shingles(texts_of(cut))[0], return_counts=True)
+                found, n = found[n > 2], n[n > 2]
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") > max(n_docs * share, 8)).orderBy(F.desc("n"), "h").limit(HOT_MOST).select("h").collect()
+    return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
+
+
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
 def set_key(s: np.ndarray) -> int:
@@ -104,10 +137,10 @@ def set_key(s: np.ndarray) -> int:
 
 
 def _size_classes() -> np.ndarray:
-    """First sizes of the classes: 1, 2, 3, then by half."""
+    """First sizes of the classes: 1, 2, 3, ..., then by a fifth."""
     first = [1]
     while first[-1] < 1 << 40:
-        first.append(max(first[-1] + 1, first[-1] * 3 // 2))
+        first.append(max(first[-1] + 1, first[-1] * 6 // 5))
     return np.array(first)
 
 
@@ -117,41 +150,47 @@ CLASSES = _size_classes()
 def buckets_of(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in which linked sets of a class may differ, and its number of buckets (0: only equal sets link)."""
     differ = 2 * (100 - PERCENT) * (CLASSES[cls + 1] - 1) // (100 + PERCENT)
-    return differ, np.where(differ > 0, differ + 7 + differ // 12, 0)
+    return differ, np.where(differ > 0, differ + 7 + differ // 4, 0)
 
 
-def region_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def region_keys(sets: list[np.ndarray], hot: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
     """(place in ``sets``, key) such that sets with a link share a key."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     own = np.searchsorted(CLASSES, np.maximum(size, 1), side="right") - 1
     flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    places, keys = [], []
-    for cls in (own, own + 1):
-        use = (size > 0) & (100 * size >= PERCENT * CLASSES[cls])  # the next class only near the border
+    rare = ~_among(flat, hot)
+    token, holder = flat[rare], np.repeat(np.arange(len(sets)), size)[rare]
+    mixed = _mix(token + _A)
+    low, high = (mixed & np.uint64(0xFFFFFFFF)).astype(float), (mixed >> np.uint64(32)).astype(float)
+    places, keys, irregular = [], [], np.zeros(len(sets), bool)
+    cls = own
+    while True:
+        use = (size > 0) & (100 * size >= PERCENT * CLASSES[cls])  # higher classes only near the border
+        if not use.any():
+            break
         differ, n = buckets_of(cls)
         n = np.where(use, n, 0)
-        if not n.any():
-            continue
-        rows = np.repeat(n, size)
-        first = np.cumsum(n) - n
+        first, total = np.cumsum(n) - n, int(n.sum())
+        rows = n[holder]
         inside = rows > 0
-        token = flat[inside]
-        at = np.repeat(first, size)[inside] + ((token >> np.uint64(20)) % rows[inside].astype(np.uint64)).astype(np.int64)
-        mixed, total = _mix(token + _A), int(n.sum())
-        low = np.bincount(at, (mixed & np.uint64(0xFFFFFFFF)).astype(float), total).astype(np.uint64)
-        high = np.bincount(at, (mixed >> np.uint64(32)).astype(float), total).astype(np.uint64)
-        full = np.bincount(at, minlength=total) > 0
+        at = first[holder[inside]] + ((token[inside] >> np.uint64(20)) % rows[inside].astype(np.uint64)).astype(np.int64)
+        strong = np.bincount(at, minlength=total) > 1
         who = np.repeat(np.arange(len(sets)), n)
+        sums = [np.bincount(at, half[inside], total).astype(np.uint64) for half in (low, high)]
         with np.errstate(over="ignore"):
             tag = np.repeat(cls, n).astype(np.uint64) * _C + (np.arange(total) - np.repeat(first, n)).astype(np.uint64)
-            key = _mix(_mix(low * _A + high) + tag * _B)
-        places.append(who[full])
-        keys.append(key[full])
-        empty = np.bincount(who[~full], minlength=len(sets))
-        for i in np.flatnonzero(empty >= np.maximum(n - differ, 1)):
-            least = _mix(sets[i][: len(sets[i]) - -(-PERCENT * len(sets[i]) // 100) + 1] + _C)
-            places.append(np.full(len(least), i))
-            keys.append(least)
+            key = _mix(_mix(sums[0] * _A + sums[1]) + tag * _B)
+        places.append(who[strong])
+        keys.append(key[strong])
+        weak = np.bincount(who[~strong], minlength=len(sets))
+        irregular |= (n > 0) & (weak >= n - differ)
+        cls = cls + 1
+    for i in np.flatnonzero(irregular):
+        frequent = _among(sets[i], hot)
+        order = np.concatenate([sets[i][~frequent], sets[i][frequent]])
+        least = _mix(order[: len(order) - -(-PERCENT * len(order) // 100) + 1] + _C)
+        places.append(np.full(len(least), i))
+        keys.append(least)
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(places), np.concatenate(keys)
@@ -174,8 +213,9 @@ MEMBER = "doc_id bigint, th bigint, n bigint, set bigint"
 
 def _members_and_ties(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: a document with its set's key (doc_id, th, n, set), or a tie of two sets (a, b)."""
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_buckets = 1 + int(chars * 0.06) // BUCKET_KEYS
+    n_docs, chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    n_buckets = 1 + int(chars * 0.08) // BUCKET_KEYS
+    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, n_docs))
     names = ["bucket", "keys", "sets", "a", "b", "doc_id", "th", "n", "set"]
     kinds = [pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 6]
 
@@ -205,7 +245,7 @@ def _members_and_ties(docs: DataFrame) -> DataFrame:
                 ids = np.fromiter(map(set_key, sets), np.int64, len(sets))
                 yield batch(len(sets), bucket=(ids % n_buckets).astype(np.int32), doc_id=cut.column("doc_id"), th=cut.column("th"), n=[len(s) for s in sets], set=ids)
                 new = [i for i, x in enumerate(ids.tolist()) if x not in seen and not seen.add(x)]
-                place, key = region_keys([sets[i] for i in new])
+                place, key = region_keys([sets[i] for i in new], hot.value)
                 keys.append(key)
                 whos.append(ids[new][place] if len(new) else ids[:0])
                 held += len(key)
@@ -249,7 +289,7 @@ def _linked(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def join_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Links that tie each component of the sets together, as (id, id): an exact join by pivots."""
+    """(id, least id of its component) for all sets but the least ones: an exact join by pivots."""
     n = len(ids)
     size = np.fromiter(map(len, sets), np.int64, n)
     code, token = np.unique(np.concatenate(sets), return_inverse=True)
@@ -260,7 +300,6 @@ def join_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.n
     own = np.concatenate([[0], np.cumsum(size)])
     comp, open_ = np.arange(n), np.ones(n, bool)
     far: list[np.ndarray] = []
-    out_a, out_b = [], []
     reach = (100 - PERCENT) / 100 + 1e-9
     for p in range(n):
         open_[p] = False
@@ -279,13 +318,15 @@ def join_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.n
         for x in hit:
             if comp[x] != comp[p]:
                 comp[comp == comp[x]] = comp[p]
-                out_a.append(ids[x])
-                out_b.append(ids[p])
         if len(far) < 32:
             far.append(1 - shared / (size + size[p] - shared))
         if (comp == comp[0]).all():
             break
-    return np.array(out_a, np.int64), np.array(out_b, np.int64)
+    order = np.lexsort((ids, comp))
+    new = np.concatenate([[True], comp[order[1:]] != comp[order[:-1]]])
+    least = np.repeat(ids[order[new]], np.diff(np.append(np.flatnonzero(new), n)))
+    other = ~new
+    return ids[order[other]], least[other]
 
 
 def _leaf_links(sets: DataFrame) -> DataFrame:
@@ -342,18 +383,18 @@ def _cells(big: DataFrame, pivots: int) -> DataFrame:
 
 
 def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS) -> DataFrame:
-    """(a, b) links that tie each component of (region, id, n, shingles) together."""
+    """(a, b) links that tie each component of the stored (region, id, n, shingles, weight) together.
+
+    ``weight`` is the number of shingles of a region.
+    """
     links = None
-    sets = sets.select("region", "id", "n", "shingles")
     while True:
-        weight = sets.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("members"))
-        weighed = sets.join(weight.where("members > 1"), "region")
-        small = stored(_leaf_links(weighed.where(F.col("weight") <= leaf)), "links")
+        small = stored(_leaf_links(sets.where(F.col("weight") <= leaf)), "links")
         links = small if links is None else links.unionByName(small)
-        big = weighed.where(F.col("weight") > leaf)
+        big = sets.where(F.col("weight") > leaf).drop("weight")
         if big.isEmpty():
             return links
-        placed = stored(_cells(big.drop("members", "weight"), pivots), "region-cells")
+        placed = stored(_cells(big, pivots), "region-cells")
         links = links.unionByName(placed.select(F.col("id").alias("a"), F.explode("linked").alias("b")).where("a <> b"))
         group = components(links)
         named = placed.join(group, "id", "left").select("region", "id", "n", "shingles", "cells", F.coalesce("root", "id").alias("comp"))
@@ -369,7 +410,13 @@ def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS) -> Dat
         # all cells of a region with a flat one are covered by the region's blocks
         level = stored(flat.groupBy("region").agg(F.max("flat").alias("flat")), "flat-regions")
         onward = cells.join(level.where("not flat"), "region").select(F.col("cell_region").alias("region"), "id", "n", "shingles")
-        sets = stored(onward.unionByName(_blocks(todo.join(level.where("flat"), "region"), leaf)), "regions")
+        sets = stored(_weighed(onward.unionByName(_blocks(todo.join(level.where("flat"), "region"), leaf))), "regions")
+
+
+def _weighed(sets: DataFrame) -> DataFrame:
+    """``sets`` with the weight of their region; regions of one member have no link and go."""
+    weight = sets.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("members"))
+    return sets.join(weight.where("members > 1").drop("members"), "region")
 
 
 def _blocks(flat: DataFrame, leaf: int) -> DataFrame:
@@ -386,16 +433,19 @@ def _blocks(flat: DataFrame, leaf: int) -> DataFrame:
 
 
 def _with_sets(rows: DataFrame) -> DataFrame:
-    """(region, id, n, shingles) from (region, id, text)."""
+    """(region, id, n, shingles, weight) from (region, id, text, weight); a task gives a set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for got in batches:
-            for cut in slices(got):
+            new = [i for i, x in enumerate(got.column("id").to_pylist()) if x not in seen and not seen.add(x)]
+            for cut in slices(got.take(pa.array(new, pa.int64()))):
                 sets = shingle_sets(texts_of(cut))
-                yield pa.RecordBatch.from_arrays([cut.column("region"), cut.column("id"), pa.array(list(map(len, sets)), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 ["region", "id", "n", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [cut.column("region"), cut.column("id"), pa.array(list(map(len, sets)), pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary()), cut.column("weight")], ["region", "id", "n", "shingles", "weight"])
 
-    return rows.select("region", "id", "text").mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary")
+    return rows.select("region", "id", "text", "weight").mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, weight bigint")
 
 
 def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS) -> DataFrame:
@@ -404,13 +454,16 @@ def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOT
     rows = stored(_members_and_ties(keyed), "members-and-ties")
     members = rows.where("set is not null").select("doc_id", "th", "n", "set")
     tied = components(rows.where("a is not null").select("a", "b"))
-    regions = tied.select("id", F.col("root").alias("region")).unionByName(tied.select(F.col("root").alias("id"), F.col("root").alias("region")).distinct())
+    roots = tied.select(F.col("root").alias("id"), F.col("root").alias("region")).distinct()
+    regions = small_side(stored(tied.select("id", F.col("root").alias("region")).unionByName(roots), "regions"))
     # one row stands for each set that has a region
-    one = members.join(regions, members["set"] == regions["id"]).groupBy("region", "id").agg(F.min(F.struct("doc_id", "th")).alias("m")).select("region", "id", "m.*")
-    texts = keyed.alias("k").join(one.alias("o"), F.col("k.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("k.th") == F.col("o.th")))
-    texts = texts.select("region", "id", "text").dropDuplicates(["region", "id"])
+    one = (members.join(regions, members["set"] == regions["id"]).groupBy("region", "id")
+           .agg(F.min(F.struct("doc_id", "th")).alias("m"), F.first("n").alias("n"))
+           .select("region", "id", "n", F.xxhash64("m.doc_id", "m.th").alias("k")))
+    one = small_side(stored(_weighed(one).drop("n"), "region-members"))
+    texts = keyed.withColumn("k", F.xxhash64("doc_id", "th")).join(one, "k").select("region", "id", "text", "weight")
     links = region_links(stored(_with_sets(texts), "region-sets"), leaf, pivots)
-    linked = components(links)
+    linked = small_side(stored(components(links), "linked"))
     placed = members.join(linked, members["set"] == linked["id"], "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "set", F.coalesce("root", "set").alias("component"))
     least = placed.groupBy("component").agg(F.min("doc_id").alias("least"))
     component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
@@ -424,12 +477,17 @@ def join_digest(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the least doc_id, then text hash.
 
-    Rows equal in doc_id and text are one document.  Documents without words
-    are linked with nothing and stay.
+    Rows equal in doc_id and text are one document, of which the first row
+    stays.  Documents without words are linked with nothing and stay.
     """
-    found = similarity_components(docs)
-    chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("m")).select("m.*")
-    chosen = chosen.unionByName(found.where("n_shingles = 0").select("doc_id", "th")).select(F.xxhash64("doc_id", "th").alias("k")).distinct()
-    k = fresh(docs, "row_key")
-    keyed = docs.withColumn(k, F.xxhash64(docs["doc_id"].cast("bigint"), F.xxhash64(docs["text"]))).dropDuplicates([k])
-    return keyed.join(chosen.withColumnRenamed("k", k), k, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    own = fresh(docs, "row_key")
+    found = similarity_components(docs).select("component", "n_shingles", F.xxhash64("doc_id", "th").alias("k"), F.struct("doc_id", "th").alias("place"))
+    by = found.groupBy("component", "k").agg(F.count("*").alias("rows"), F.first("place").alias("place"), F.first("n_shingles").alias("n_shingles"))
+    chosen = by.groupBy("component").agg(F.min("place").alias("least"))
+    # what has to go, or to be thinned: the keys that are not chosen, and those of several rows
+    judged = by.join(chosen, "component").select("k", (F.col("place").eqNullSafe(F.col("least")) | (F.col("n_shingles") == 0)).alias("stays"), "rows")
+    judged = stored(judged.where("not stays or rows > 1"), "duplicates")
+    keyed = docs.withColumn(own, F.xxhash64(docs["doc_id"].cast("bigint"), F.xxhash64(docs["text"])))
+    single = keyed.join(small_side(judged.select(F.col("k").alias(own))), own, "left_anti")
+    again = keyed.join(small_side(judged.where("stays").select(F.col("k").alias(own))), own, "left_semi").dropDuplicates([own])
+    return single.unionByName(again).select(*[f"`{c}`" for c in docs.columns])
