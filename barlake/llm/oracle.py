@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from barlake.llm import jaccard_join as j
 from barlake.llm import quality_rules as q
 from barlake.llm import sharding as s
+from barlake.llm import span_dedup as d
+from barlake.llm import topk_search as k
 
 
 def _sharding_sql() -> str:
@@ -71,4 +74,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM ratios LEFT JOIN limits ON ratios.lang IS NOT DISTINCT FROM limits.lang AND ratios.source IS NOT DISTINCT FROM limits.source"""
 
 
-ORACLE: dict[str, str] = {"op2_shard": _sharding_sql(), "op5_quality": _quality_sql()}
+def _span_sql() -> str:
+    unit = r"[^.!?;:,\n]*[.!?;:,\n]+[ \t\r\n]*|[^.!?;:,\n]+$"
+    return f"""
+WITH texts AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '{unit}') AS us FROM documents),
+units AS (SELECT doc_id, i, us[i] AS u, regexp_extract_all(lower(us[i]), '\\S+') AS w FROM texts, unnest(range(1, len(us) + 1)) r(i)),
+upto AS (SELECT *, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY i) - len(w) AS before, max(i) OVER (PARTITION BY doc_id) AS n FROM units),
+ends AS (  -- the first unit after a span
+  SELECT a.doc_id, a.i, greatest(min(b.i) + 1, a.i + {d.UNITS}) AS e, any_value(a.n) AS n
+  FROM upto a JOIN upto b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.before + len(b.w) >= a.before + {d.WORDS}
+  GROUP BY a.doc_id, a.i),
+spans AS (
+  SELECT s.doc_id, s.i, s.e, (SELECT string_agg(array_to_string(w, ' '), chr(30) ORDER BY u.i) FROM units u WHERE u.doc_id = s.doc_id AND u.i >= s.i AND u.i < s.e AND len(w) > 0) AS h
+  FROM ends s WHERE e <= n + 1),
+later AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS rn FROM spans) WHERE rn > 1),
+gone AS (SELECT DISTINCT u.doc_id, u.i FROM units u JOIN later l ON u.doc_id = l.doc_id AND u.i >= l.i AND u.i < l.e)
+SELECT t.doc_id, CASE WHEN any_value(t.text) IS NOT NULL THEN coalesce(string_agg(u.u, '' ORDER BY u.i) FILTER (g.i IS NULL), '') END AS text,
+       count(u.i) AS n_units, count(g.i) AS n_removed
+FROM texts t LEFT JOIN units u ON t.doc_id = u.doc_id LEFT JOIN gone g ON u.doc_id = g.doc_id AND u.i = g.i
+GROUP BY t.doc_id"""
+
+
+def _jaccard_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) >= {j.WORDS} THEN list_distinct([array_to_string(w[i:i + {j.WORDS - 1}], ' ') FOR i IN range(1, len(w) - {j.WORDS - 2})])
+                         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+  FROM texts),
+items AS (SELECT r, len(g) AS n, unnest(g) AS sh FROM sets),
+links AS (
+  SELECT a.r AS x, b.r AS y FROM items a JOIN items b ON a.sh = b.sh AND a.r <> b.r
+  GROUP BY a.r, b.r HAVING 100 * count(*) >= {j.PERCENT} * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(x, y) AS (SELECT r, r FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, min(t.doc_id) AS component_id
+FROM sets s JOIN reach ON s.r = reach.x JOIN sets t ON t.r = reach.y GROUP BY s.r, s.doc_id, s.g"""
+
+
+def _topk_sql() -> str:
+    return f"""
+WITH v AS (
+  SELECT vec_id, [floor({k.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10"""
+
+
+ORACLE: dict[str, str] = {"op2_shard": _sharding_sql(), "op5_quality": _quality_sql(), "op6_span_dedup": _span_sql(),
+                          "op8_jaccard_join": _jaccard_sql(), "op10_topk": _topk_sql()}

@@ -32,6 +32,8 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_DOCS = 50
+#: Groups whose fences are broadcast (about 20 MB); more are joined by shuffle.
+BROADCAST_GROUPS = 200_000
 #: Slack of each ratio's upper fence, in parts of 10,000.
 RATIOS = {"symbol_ratio": 200, "dup_line_ratio": 3000, "repeat_ratio": 1500}
 _BLANKS = " \t\n\u000b\f\r"
@@ -120,7 +122,9 @@ def fences(sketches: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def _judged(features: DataFrame, min_docs: int) -> DataFrame:
     """Stored features with the fences of their group and the verdict ``kept``."""
     # fixed-rule failures don't shape the fences
-    limits = fences(sketch(features.where(~F.col("base_failed")), ["lang", "source"], list(RATIOS)), min_docs)
+    limits = stored(fences(sketch(features.where(~F.col("base_failed")), ["lang", "source"], list(RATIOS)), min_docs), "quality-fences")
+    if limits.count() <= BROADCAST_GROUPS:
+        limits = F.broadcast(limits)
     known = features.join(limits, features.lang.eqNullSafe(limits.fence_lang) & features.source.eqNullSafe(limits.fence_source), "left")
     inside = F.lit(True)
     for c in RATIOS:
