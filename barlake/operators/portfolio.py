@@ -130,3 +130,33 @@ def backtest_rebalanced(pred: DataFrame, realised: str, top_k: int, every_n: int
     days = rebalance_dates(pred, every_n, date)
     on_days = pred.join(days, date, "left_semi")
     return backtest_top_k(on_days, realised, top_k, every_n, transaction_cost_bps, score, date, symbol)
+
+
+CALENDAR = {"daily": "DAY", "weekly": "WEEK", "monthly": "MONTH"}
+
+
+def calendar_rebalance_dates(pred: DataFrame, frequency: str, date: str = "date") -> DataFrame:
+    """The first date that occurs in each day, ISO week or month."""
+    if frequency not in CALENDAR:
+        raise ValueError(f"frequency is one of {sorted(CALENDAR)}")
+    return pred.groupBy(F.date_trunc(CALENDAR[frequency], date).alias("_period")).agg(F.min(date).alias(date)).select(date)
+
+
+def capped_returns(pred: DataFrame, realised: str, top_k: int, max_position: float, frequency: str = "weekly", transaction_cost_bps: float = 5.0,
+                   score: str = "predicted_probability", date: str = "date", symbol: str = "symbol") -> DataFrame:
+    """(date, n_picks, weight, gross_return, net_return): each pick holds ``min(1/n, max_position)``, the rest is cash.
+
+    Costs fall on what is invested.
+    """
+    on_days = pred.join(calendar_rebalance_dates(pred, frequency, date), date, "left_semi")
+    by = top_k_per_date(on_days, top_k, score, date, symbol).groupBy(date).agg(F.count("*").alias("n_picks"), F.avg(realised).alias("_mean"))
+    weight = F.least(1 / F.col("n_picks"), F.lit(float(max_position)))
+    held = by.withColumn("weight", weight).withColumn("_invested", F.col("weight") * F.col("n_picks"))
+    gross = F.col("_invested") * F.col("_mean")
+    return held.select(date, "n_picks", "weight", gross.alias("gross_return"), (gross - F.col("_invested") * (2.0 * transaction_cost_bps / 10_000.0)).alias("net_return"))
+
+
+def capital_curve(daily: DataFrame, initial_capital: float, date: str = "date") -> DataFrame:
+    """``daily`` with the capital after each date (one row for each date)."""
+    curve = equity_curve(daily.withColumn("_one", F.lit(1)), ["_one"], date)
+    return curve.select(*daily.columns, (F.col("equity") * F.lit(float(initial_capital))).alias("capital"), "drawdown")

@@ -572,3 +572,11 @@ ORACLE["model_weights"] = feature_query(f"""
 SELECT fold, model_name, n AS n_rows, {out("CASE WHEN model_name = 'gbt' THEN 1.0 ELSE n / (2.0 * (n - pos)) END")} AS weight_0,
        {out("CASE WHEN model_name = 'gbt' THEN (n - pos) / CAST(pos AS DOUBLE) ELSE n / (2.0 * pos) END")} AS weight_1
 FROM (SELECT fold, count(*) AS n, sum(label_direction_5d) AS pos FROM tr GROUP BY fold), (VALUES ('logreg'), ('gbt')) m(model_name)""", extra=FOLD_TRAIN)
+
+ORACLE["portfolio_capped"] = feature_query(f"""
+SELECT frequency, date, count(*) AS n_picks, {out('least(1.0 / count(*), 0.25)')} AS weight,
+       {out('least(1.0, 0.25 * count(*)) * avg(ret)')} AS gross_return, {out('least(1.0, 0.25 * count(*)) * (avg(ret) - 0.001)')} AS net_return
+FROM (SELECT f.frequency, s.*, row_number() OVER (PARTITION BY f.frequency, s.date ORDER BY s.p DESC, s.symbol) AS rk
+      FROM scored s JOIN (SELECT 'weekly' AS frequency, min(date) AS day FROM scored GROUP BY date_trunc('week', date)
+                          UNION ALL SELECT 'monthly', min(date) FROM scored GROUP BY date_trunc('month', date)) f ON s.date = f.day)
+WHERE rk <= 3 GROUP BY frequency, date""", extra=[SCORED])

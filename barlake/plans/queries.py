@@ -646,3 +646,13 @@ def q_portfolio_rebalanced(spark, sf_dir):
 
 
 QUERIES["portfolio_rebalanced"] = q_portfolio_rebalanced
+
+
+def q_portfolio_capped(spark, sf_dir):
+    """Top-3 picks on the first date of each week and month, a quarter of the capital a position at most."""
+    s = materialize(scored(spark, sf_dir))
+    rows = [P.capped_returns(s, "ret", 3, 0.25, f, score="p").withColumn("frequency", F.lit(f)) for f in ("weekly", "monthly")]
+    return present(rows[0].unionByName(rows[1]), ["frequency", "date", "n_picks"], ["weight", "gross_return", "net_return"])
+
+
+QUERIES["portfolio_capped"] = q_portfolio_capped

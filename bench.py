@@ -29,6 +29,8 @@ HEADLINE = [
     "upsert_bars",
     "upsert_instruments",
     "latest_predictions",
+    "event_features",
+    "run_metrics",
 ]
 
 

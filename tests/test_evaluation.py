@@ -112,6 +112,19 @@ def test_backtest_cases(spark):
     assert P.backtest_summary(empty, "label_return_5d")["n_trades"] == 0
 
 
+def test_caps_calendar_and_capital(spark):
+    days = [r.date for r in P.calendar_rebalance_dates(preds(spark, 40), "weekly").orderBy("date").collect()]
+    assert days == [date(2024, 1, 1) + timedelta(days=7 * i) for i in range(6)]  # a Monday
+    assert P.calendar_rebalance_dates(preds(spark, 40), "daily").count() == 40 and P.calendar_rebalance_dates(preds(spark, 40), "monthly").count() == 2
+    with pytest.raises(ValueError):
+        P.calendar_rebalance_dates(preds(spark), "yearly")
+    got = P.capped_returns(preds(spark, 8), "label_return_5d", 2, 0.3, "weekly", 0.0).orderBy("date").collect()
+    assert [(r.n_picks, r.weight) for r in got] == [(2, 0.3)] * 2
+    assert got[0].gross_return == pytest.approx(0.6 * 0.045)
+    curve = P.capital_curve(spark.createDataFrame([(date(2024, 1, 1), 0.1), (date(2024, 1, 8), -0.5)], "date date, net_return double"), 1000.0)
+    assert [(round(r.capital, 6), round(r.drawdown, 6)) for r in curve.orderBy("date").collect()] == [(1100.0, 0.0), (550.0, -0.5)]
+
+
 def test_test_range_role(spark):
     f = FO.with_test_range(FO.walk_forward_splits(spark, "2020-01-01", "2022-12-31", "2023-01-10", "2023-12-31"), "2024-01-01")
     rows = spark.createDataFrame([(date(2021, 5, 5),), (date(2023, 6, 1),), (date(2025, 1, 1),), (date(2024, 1, 3),)], "date date")
