@@ -339,15 +339,15 @@ def _now():
 
 def catalogue(spark, sf_dir, bars: DataFrame | None = None) -> DataFrame:
     bars = bars if bars is not None else fx.all_bars(spark, sf_dir)
-    return materialize(initial_catalogue(spark, instruments_from_bars(bars), _now()))
+    return initial_catalogue(spark, instruments_from_bars(bars), _now())
 
 
 def q_upsert_instruments(spark, sf_dir):
     bars = materialize(fx.all_bars(spark, sf_dir))
-    first_load = materialize(instruments_from_bars(bars.where((F.col("asset_type") == "stock") & (F.col("date") < "1998-01-01"))))
+    first_load = instruments_from_bars(bars.where((F.col("asset_type") == "stock") & (F.col("date") < "1998-01-01")))
     old = initial_catalogue(spark, first_load, F.to_timestamp(F.lit("2024-01-01 00:00:00")))
     old = materialize(old.withColumn("name", F.concat(F.col("symbol"), F.lit(" Co"))))
-    upd = materialize(instruments_from_bars(bars.where(F.col("date") >= "1997-01-01")))
+    upd = instruments_from_bars(bars.where(F.col("date") >= "1997-01-01"))
     merged = U.upsert_instruments(old, upd, _now())
     return merged.select("id", "symbol", "name", "market", "asset_type", "sector_code", "listed_at", "delisted_at",
                          "is_active", (F.col("updated_at") == _now()).alias("touched"))
@@ -355,7 +355,7 @@ def q_upsert_instruments(spark, sf_dir):
 
 def gold_bars(spark, sf_dir):
     bars = materialize(fx.all_bars(spark, sf_dir))
-    cat = catalogue(spark, sf_dir, bars)
+    cat = materialize(catalogue(spark, sf_dir, bars))
     return cat, bars
 
 
@@ -369,27 +369,31 @@ def q_upsert_bars(spark, sf_dir):
     target, _ = U.symbol_ids(cat, bars.where(F.col("date") < "1999-01-01"))
     revised = clean_bars(fx.raw_bars(spark, sf_dir)).where(F.col("date") >= "1998-07-01")
     updates, _ = U.symbol_ids(cat, revised)
-    merged = U.upsert_bars(U.to_gold_bars(target), materialize(U.to_gold_bars(updates)))
+    merged = U.upsert_bars(U.to_gold_bars(target), U.to_gold_bars(updates))
     return _present_gold(merged)
 
 
-def predictions(spark, sf_dir, cat: DataFrame | None = None) -> DataFrame:
-    """Prediction rows for two rank 'models' on every labelled feature row."""
-    f = features(spark, sf_dir)
-    cat = cat if cat is not None else catalogue(spark, sf_dir)
-    f = materialize(f.select("symbol", "date", "returns_20d_rank", "returns_5d_rank", "label_direction_5d"))
-    rows = []
-    for name, col in (("rank20", "returns_20d_rank"), ("rank5", "returns_5d_rank")):
-        p = finite_or_null(F.col(col))
-        rows.append(f.select("symbol", F.col("date").alias("prediction_date"), F.lit(5).alias("horizon_days"),
-                             F.lit(name).alias("model_name"), F.lit("run1").alias("run_id"),
-                             p.alias("predicted_probability"), (p >= 0.5).cast("int").alias("predicted_class"),
-                             F.lit(None).cast("int").alias("actual_class"), F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("created_at"),
-                             F.col("label_direction_5d").cast("int").alias("actual"))
-                    .where(p.isNotNull()))
-    allp = rows[0].unionByName(rows[1])
-    matched, _ = U.symbol_ids(cat, allp)
-    return matched
+SCORE_COLUMNS = {"rank20": "returns_20d_rank", "rank5": "returns_5d_rank"}
+
+
+def scored_features(spark, sf_dir) -> DataFrame:
+    """The feature columns that predictions and outcomes are made of, built once."""
+    return materialize(features(spark, sf_dir).select("symbol", "date", *SCORE_COLUMNS.values(), "label_direction_5d"))
+
+
+def prediction_rows(f: DataFrame, models: tuple[str, ...] = tuple(SCORE_COLUMNS)) -> DataFrame:
+    """Prediction rows by symbol for the named rank 'models' on every labelled feature row."""
+    made = F.explode(F.array(*[F.struct(F.lit(m).alias("model_name"), finite_or_null(F.col(SCORE_COLUMNS[m])).alias("predicted_probability")) for m in models]))
+    p = f.select("symbol", F.col("date").alias("prediction_date"), F.col("label_direction_5d").cast("int").alias("actual"), made.alias("p"))
+    return p.select("symbol", "prediction_date", F.lit(5).alias("horizon_days"), "p.*", "actual").where("predicted_probability is not null").select(
+        "*", F.lit("run1").alias("run_id"), (F.col("predicted_probability") >= 0.5).cast("int").alias("predicted_class"),
+        F.lit(None).cast("int").alias("actual_class"), F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("created_at"))
+
+
+def predictions(spark, sf_dir, f: DataFrame | None = None, cat: DataFrame | None = None) -> DataFrame:
+    """Prediction rows of both models with instrument ids."""
+    f = f if f is not None else features(spark, sf_dir)
+    return U.symbol_ids(cat if cat is not None else catalogue(spark, sf_dir), prediction_rows(f))[0]
 
 
 PRED_COLS = ["ticker_id", "prediction_date", "horizon_days", "model_name", "run_id",
@@ -410,13 +414,14 @@ def q_upsert_predictions(spark, sf_dir):
 
 
 def q_actual_class_fill(spark, sf_dir):
-    pr = materialize(predictions(spark, sf_dir))
+    f, cat = scored_features(spark, sf_dir), materialize(catalogue(spark, sf_dir))
+    pr = predictions(spark, sf_dir, f, cat)
     table = pr.select(*PRED_COLS).withColumn(
         "actual_class", F.when(F.col("prediction_date") < "1998-01-01", F.lit(0)).cast("int"))
-    labels = features(spark, sf_dir).select(
+    labels = f.select(
         "symbol", F.col("date").alias("prediction_date"), F.lit(5).alias("horizon_days"),
         F.col("label_direction_5d").alias("actual"))
-    outcomes, _ = U.symbol_ids(catalogue(spark, sf_dir), labels)
+    outcomes, _ = U.symbol_ids(cat, labels)
     filled = U.fill_actual_class(table, outcomes)
     return filled.groupBy("model_name", F.year("prediction_date").alias("year")).agg(
         F.count(F.lit(1)).alias("n"), F.count("actual_class").alias("n_known"),
@@ -461,8 +466,8 @@ REQUEST = ["Brand#13", "Brand#21", "^MKT", "Brand#99", "Brand#5", "Brand#42"]
 
 
 def q_latest_predictions(spark, sf_dir):
-    pr = predictions(spark, sf_dir).where(F.col("model_name") == MODEL)
-    latest = latest_row(pr.select("symbol", F.col("prediction_date").alias("date"), "predicted_probability", "predicted_class"))
+    asked = prediction_rows(features(spark, sf_dir).where(F.col("symbol").isin(REQUEST)), (MODEL,))
+    latest = latest_row(asked.select("symbol", F.col("prediction_date").alias("date"), "predicted_probability", "predicted_class"))
     out_df = latest_for_symbols(latest, requested_symbols(spark, REQUEST))
     return present(out_df, ["pos", "symbol", "date"], ["predicted_probability"], ["predicted_class"])
 
