@@ -34,8 +34,8 @@ MAX_REPEAT_PERCENT = 20
 MIN_DOCS = 50
 #: Groups whose fences are broadcast (about 20 MB); more are joined by shuffle.
 BROADCAST_GROUPS = 200_000
-#: Slack of each ratio's upper fence, in parts of 10,000.
-RATIOS = {"symbol_ratio": 200, "dup_line_ratio": 3000, "repeat_ratio": 1500}
+#: Slack of each ratio's upper fence, in parts of 10,000: no repeats are cut that the fixed rule allows, nor less than half of the lines.
+RATIOS = {"symbol_ratio": 200, "dup_line_ratio": 5000, "repeat_ratio": 2000}
 _BLANKS = " \t\n\u000b\f\r"
 _SYMBOLS = "#*$%&|<>"
 
