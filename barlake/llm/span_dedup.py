@@ -31,14 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.common import fresh, slices, small_side, stored
+from barlake.llm.common import fresh, slices, stored
 
 UNITS = 2
 WORDS = 15
 #: Entries in a bucket, about, and entries a task gathers before it sends them.
 BUCKET_SPANS, GATHER = 500_000, 500_000
-#: Documents whose cuts are broadcast, at most (a list of places each).
-BROADCAST_DOCS = 50_000
 LAST = np.int64(np.iinfo(np.int64).max)  # stands for a null doc_id
 
 UNIT = re.compile(r"[^.!?;:,\n]*[.!?;:,\n]+[ \t\r\n]*|[^.!?;:,\n]+\Z")
@@ -149,7 +147,8 @@ def _removals(docs: DataFrame) -> DataFrame:
                     held.append(entries.as_py())
         yield from close()
 
-    sent = docs.mapInArrow(gather, schema).repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
+    # a task of the shuffle takes its buckets one after another, so their number doesn't set the number of tasks
+    sent = docs.mapInArrow(gather, schema).repartition("bucket").sortWithinPartitions("bucket")
     return sent.mapInArrow(settle, "doc bigint, th bigint, start int, units int")
 
 
@@ -159,7 +158,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumns({doc: F.coalesce(docs["doc_id"].cast("bigint"), F.lit(int(LAST))), th: F.xxhash64(docs["text"])})
     found = _removals(keyed.select(F.col(doc).alias("doc"), F.col(th).alias("th"), "text"))
     removed = stored(found.groupBy(F.xxhash64("doc", "th").alias(doc)).agg(F.collect_set(F.struct("start", "units")).alias(cuts)), "span-removals")
-    joined = keyed.withColumn(doc, F.xxhash64(doc, th)).join(small_side(removed, BROADCAST_DOCS), doc, "left").select(*[f"`{c}`" for c in docs.columns], cuts)
+    # lists of places can be long, so they are never broadcast
+    joined = keyed.withColumn(doc, F.xxhash64(doc, th)).join(removed.hint("merge"), doc, "left").select(*[f"`{c}`" for c in docs.columns], cuts)
     n_units, n_removed, columns = fresh(docs, "n_units"), fresh(docs, "n_removed"), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
