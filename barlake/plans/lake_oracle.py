@@ -55,6 +55,7 @@ SELECT symbol, market, asset_type, date, {out("(close + CASE WHEN asset_type = '
 SELECT ticker_id, symbol, listed_at, '2025-01-01' AS created, '2025-01-02' AS updated, date, CAST(open AS DOUBLE) AS open,
        CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume, open_interest
 FROM loaded JOIN cat ON loaded.ticker_id = cat.id""",
+    "loaded_rows": bars_with() + "SELECT symbol, count(*) AS rows_loaded FROM bars WHERE asset_type = 'stock' GROUP BY symbol",
     "processed_roundtrip": feature_query("""
 SELECT symbol, CAST(year(date) AS INTEGER) AS year, count(*) AS n_rows, count(rsi_14) AS n_rsi, count(returns_60d_rank) AS n_rank,
        CAST(sum(CAST(label_direction_5d AS INTEGER)) AS BIGINT) AS n_up, min(date) AS first_date, max(date) AS last_date

@@ -105,6 +105,14 @@ def q_load_twice(spark, sf_dir):
     return bars.join(named, "ticker_id").select("ticker_id", "symbol", "listed_at", "created", "updated", "date", *prices, "volume", "open_interest")
 
 
+def q_loaded_rows(spark, sf_dir):
+    """A5: rows loaded for each symbol of the stocks, the catalogue holding stocks alone."""
+    interim, gold = _folder(spark, "interim"), _folder(spark, "gold")
+    write_silver(fx.all_bars(spark, sf_dir), f"{interim}/ohlcv")
+    instruments_from_bars(read_silver(spark, f"{interim}/ohlcv", asset_types=("stock",))).write.parquet(f"{interim}/tickers")
+    return load_to_gold(spark, interim, gold, now=F.to_timestamp(F.lit("2025-01-01 00:00:00")))
+
+
 def q_processed_roundtrip(spark, sf_dir):
     """The feature job from silver to the processed table, read back and counted by folder."""
     silver, processed = _folder(spark, "silver"), _folder(spark, "processed")
@@ -130,6 +138,7 @@ QUERIES = {
     "bronze_instruments": q_bronze_instruments,
     "silver_roundtrip": q_silver_roundtrip,
     "load_twice": q_load_twice,
+    "loaded_rows": q_loaded_rows,
     "processed_roundtrip": q_processed_roundtrip,
     "catalogue_scan": q_catalogue_scan,
 }

@@ -580,3 +580,21 @@ FROM (SELECT f.frequency, s.*, row_number() OVER (PARTITION BY f.frequency, s.da
       FROM scored s JOIN (SELECT 'weekly' AS frequency, min(date) AS day FROM scored GROUP BY date_trunc('week', date)
                           UNION ALL SELECT 'monthly', min(date) FROM scored GROUP BY date_trunc('month', date)) f ON s.date = f.day)
 WHERE rk <= 3 GROUP BY frequency, date""", extra=[SCORED])
+
+_BAD = "{c} IS NULL OR isnan(CAST({c} AS DOUBLE))"
+ORACLE |= {
+    "requested_bars": bars_with() + f"SELECT symbol, date, {out('close')} AS close FROM bars WHERE symbol IN ('Brand#13', 'Brand#21', '^MKT', 'Brand#99', 'Brand#5', 'Brand#42')",
+    "instrument_pages": bars_with(CAT) + "SELECT CAST((id - 1) // 7 + 1 AS INTEGER) AS page, symbol, count(*) OVER () AS total, CAST(ceil(count(*) OVER () / 7.0) AS INTEGER) AS pages FROM cat",
+    "fill_zero": feature_query("SELECT symbol, date, " + ", ".join(out(f"CASE WHEN {_BAD.format(c=c)} THEN 0.0 ELSE {c} END") + f" AS {c}" for c in INPUTS) + " FROM features"),
+    "impute_median": feature_query(applied("CASE WHEN isfinite({x}) THEN {x} ELSE {m} END", m="median"), extra=quantile_ctes(median=0.5)),
+    "drop_sparse": feature_query(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (NOT ({_BAD.format(c=c)})) AS n_values FROM features HAVING avg(CASE WHEN {_BAD.format(c=c)} THEN 1.0 ELSE 0.0 END) <= 0.3"
+        for c in MISSING_COLS)),
+    "test_range": feature_query(
+        "SELECT r.fold, r.role, count(*) AS n_rows, min(f.date) AS first_date, max(f.date) AS last_date FROM features f JOIN ("
+        "SELECT fold, role, rs, re FROM roles UNION ALL SELECT fold, 'test', DATE '2000-01-01', DATE '9999-12-31' FROM folds) r "
+        "ON f.date BETWEEN r.rs AND r.re GROUP BY r.fold, r.role", extra=[bounds_cte("features"), folds_cte(), ROLES]),
+    "latest_run": """
+SELECT event_type AS model_name, CAST(arg_max(event_id, ts) AS VARCHAR) AS run_id, 'models/' || arg_max(event_id, ts) AS model_path
+FROM events WHERE event_type IN ('click', 'purchase') AND event_id % 3 <> 0 GROUP BY event_type""",
+}

@@ -7,6 +7,8 @@ and runs the library's operators on all of it.  Output floats go through
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -661,3 +663,70 @@ def q_portfolio_capped(spark, sf_dir):
 
 
 QUERIES["portfolio_capped"] = q_portfolio_capped
+
+
+# ---------------------------------------------------------------- step 13 (small operators on their own)
+from barlake.operators.lookups import page_count  # noqa: E402
+
+
+def q_requested_bars(spark, sf_dir):
+    """all bars of the requested symbols."""
+    return present(fx.all_bars(spark, sf_dir).join(F.broadcast(requested_symbols(spark, REQUEST)), "symbol", "left_semi"), ["symbol", "date"], ["close"])
+
+
+def q_instrument_pages(spark, sf_dir):
+    """O1-O3: every page of seven instruments, in order, with the number of pages."""
+    cat = materialize(catalogue(spark, sf_dir))
+    pages = page_count(cat.count(), 7)
+    rows = [list_instruments(cat, page=n, page_size=7).withColumn("page", F.lit(n)) for n in range(1, pages + 1)]
+    return reduce(DataFrame.unionByName, rows).select("page", "symbol", "total", F.lit(pages).alias("pages"))
+
+
+def q_fill_zero(spark, sf_dir):
+    f = features(spark, sf_dir).select("symbol", "date", *INPUT_FLOATS)
+    return present(PP.fill_zero(f, INPUT_FLOATS), ["symbol", "date"], INPUT_FLOATS)
+
+
+def q_impute_median(spark, sf_dir):
+    """Missing values take the column's exact median over the training rows."""
+    from barlake.plans.train import fitted_medians, impute_medians
+
+    f = materialize(features(spark, sf_dir).select("symbol", "date", *[finite_or_null(F.col(c)).alias(c) for c in INPUT_FLOATS]))
+    filled = impute_medians(INPUT_FLOATS, fitted_medians(_train_rows(f), INPUT_FLOATS)).transform(f)
+    return present(filled.select("symbol", "date", *[F.col(f"{c}__imp").alias(c) for c in INPUT_FLOATS]), ["symbol", "date"], INPUT_FLOATS)
+
+
+def q_drop_sparse(spark, sf_dir):
+    """The columns left without those that miss over 30 % of their values, and how many values each has."""
+    left = PP.drop_sparse_columns(materialize(features(spark, sf_dir).select(*MISSING_COLS)), MISSING_COLS, 0.3)
+    pairs = ", ".join(f"'{c}', count(nullif(CAST(`{c}` AS DOUBLE), CAST('NaN' AS DOUBLE)))" for c in left.columns)
+    return left.selectExpr(f"stack({len(left.columns)}, {pairs}) AS (column_name, n_values)")
+
+
+def q_test_range(spark, sf_dir):
+    """Rows of each role with a held-out range from 2000 on."""
+    f = materialize(features(spark, sf_dir).select("symbol", "date"))
+    a = FO.assign_folds(f, FO.with_test_range(data_folds(f), "2000-01-01"))
+    return a.groupBy("fold", "role").agg(F.count("*").alias("n_rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+def q_latest_run(spark, sf_dir):
+    """The newest finished run of a model, over a run table with one row for each event."""
+    from barlake.plans.train import latest_finished_run
+
+    e = fx.table(spark, sf_dir, "events")
+    runs = e.select(F.col("event_id").cast("string").alias("run_id"), F.col("event_type").alias("model_name"), "ts",
+                    F.when(F.col("event_id") % 3 == 0, "FAILED").otherwise("FINISHED").alias("status"), F.concat(F.lit("models/"), F.col("event_id")).alias("model_path"))
+    found = [latest_finished_run(runs, m) for m in ("click", "purchase", "no such model")]
+    return reduce(DataFrame.unionByName, found).select("model_name", "run_id", "model_path")
+
+
+QUERIES.update({
+    "requested_bars": q_requested_bars,
+    "instrument_pages": q_instrument_pages,
+    "fill_zero": q_fill_zero,
+    "impute_median": q_impute_median,
+    "drop_sparse": q_drop_sparse,
+    "test_range": q_test_range,
+    "latest_run": q_latest_run,
+})
