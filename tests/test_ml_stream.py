@@ -88,3 +88,22 @@ def test_preprocessing(spark):
     assert scaled[1] is None and scaled[2] is None and sum(v for v in scaled if v is not None) == pytest.approx(0)
     assert [r.x for r in PP.scale(df, PP.fit_robust_scale(df, ["x"])).orderBy("date").collect()][3] == 0
     assert PP.date_bounds(df, "2024-01-02", "2024-01-04").count() == 3 and PP.date_bounds(df).count() == 5
+
+
+def test_predict_and_store(spark):
+    from barlake.operators.instruments import initial_catalogue
+
+    df = planted(spark, 700)
+    model = TR.fit("logreg", df, ["x1", "x2"], {"max_iter": 5})
+    inst = spark.createDataFrame([(f"S{i}", "jp", "stock", None, date(2020, 1, 1)) for i in range(6)],
+                                 "symbol string, market string, asset_type string, sector_code string, listed_at date")
+    cat = initial_catalogue(spark, inst, F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    path = os.path.join(tempfile.mkdtemp(prefix="pred-"), "predictions")
+    for run in ("r1", "r2"):
+        scored = TR.predict_and_store(df, model, "logreg", ["x1", "x2"], cat, path, run)
+        assert scored.count() == 7  # S6 is not in the catalogue: scored, not stored
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == 6 and {r.run_id for r in rows} == {"r2"}
+    only = TR.predict_and_store(df, model, "logreg", ["x1", "x2"], cat, path, "r3", symbols=spark.createDataFrame([("S2",)], "symbol string"))
+    assert [r.symbol for r in only.collect()] == ["S2"]
+    assert sorted(r.run_id for r in spark.read.parquet(path).collect()) == ["r2"] * 5 + ["r3"]
