@@ -280,7 +280,8 @@ def _members_and_ties(docs: DataFrame) -> DataFrame:
         yield from close()
 
     schema = f"bucket int, keys binary, sets binary, a bigint, b bigint, {MEMBER}"
-    sent = docs.mapInArrow(sketch, schema).repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
+    # a task of the shuffle takes its buckets one after another, so their number doesn't set the number of tasks
+    sent = docs.mapInArrow(sketch, schema).repartition("bucket").sortWithinPartitions("bucket")
     return sent.mapInArrow(tie, schema).drop("bucket", "keys", "sets")
 
 
