@@ -57,4 +57,4 @@ def out(col: Column, digits: int = 6) -> Column:
     would round the shortest decimal string instead).
     """
     scale = F.lit(float(10 ** digits))
-    return F.round(finite_or_null(col) * scale, 0) / scale
+    return F.round(finite_or_null(col) * scale, 0) / scale + F.lit(0.0)  # no negative zero

@@ -71,7 +71,7 @@ def with_(*ctes: str) -> str:
 def out(expr: str, digits: int = 6) -> str:
     """Presentation of a float: NaN/inf -> NULL, finite values rounded."""
     scale = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
-    return f"CASE WHEN isfinite(CAST({expr} AS DOUBLE)) THEN round(CAST({expr} AS DOUBLE) * {scale}) / {scale} END"
+    return f"CASE WHEN isfinite(CAST({expr} AS DOUBLE)) THEN round(CAST({expr} AS DOUBLE) * {scale}) / {scale} + 0.0 END"
 
 
 
