@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import fresh, needed, slices, small_side, stored, texts_of
+from barlake.llm.common import fresh, give_back, needed, slices, small_side, stored, texts_of
 from barlake.llm.graph import components
 
 WORDS = 4
@@ -278,6 +278,7 @@ def _members_and_ties(docs: DataFrame) -> DataFrame:
                 keys.append(k.as_py())
                 whos.append(w.as_py())
         yield from close()
+        give_back()
 
     schema = f"bucket int, keys binary, sets binary, a bigint, b bigint, {MEMBER}"
     # a task of the shuffle takes its buckets one after another, so their number doesn't set the number of tasks
@@ -353,6 +354,7 @@ def _leaf_links(sets: DataFrame) -> DataFrame:
                     ids.append(i)
                     held.append(np.frombuffer(s.as_py(), np.uint64))
         close()
+        give_back()
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 

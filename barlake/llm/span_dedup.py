@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.common import fresh, slices, stored
+from barlake.llm.common import fresh, give_back, slices, stored
 
 UNITS = 2
 WORDS = 15
@@ -146,6 +146,7 @@ def _removals(docs: DataFrame) -> DataFrame:
                 else:
                     held.append(entries.as_py())
         yield from close()
+        give_back()
 
     # a task of the shuffle takes its buckets one after another, so their number doesn't set the number of tasks
     sent = docs.mapInArrow(gather, schema).repartition("bucket").sortWithinPartitions("bucket")
