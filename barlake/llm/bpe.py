@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from barlake.llm.common import needed, slices, spread, texts_of, tokenizer_file, worker_env
+from barlake.llm.common import needed, slices, small_batches, spread, texts_of, tokenizer_file, worker_env
 from barlake.llm.encoding import chunked
 
 #: Distinct chunks, and as many words, remembered between slices of a task (speed only).
@@ -281,6 +281,7 @@ def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def _mapped(docs: DataFrame, path: str | None, give, columns: str, kinds: list[pa.DataType]) -> DataFrame:
     path = path or tokenizer_file("word_bpe_49k.json")
+    small_batches(docs)
     names = ["doc_id", *[c.split(" ")[0] for c in columns.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,6 +78,11 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, column: str = "text"
     give_back()
 
 
+def small_batches(df: DataFrame) -> None:
+    """Hand texts to Python in batches of 2,000 rows: the default of 10,000 rows holds too many bytes of whole texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def give_back() -> None:
     """Return freed memory to the system: a worker stays alive between tasks, beside others of its executor."""
     pa.default_memory_pool().release_unused()

@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import fresh, give_back, needed, slices, small_side, stored, texts_of
+from barlake.llm.common import fresh, give_back, needed, slices, small_batches, small_side, stored, texts_of
 from barlake.llm.graph import components
 
 WORDS = 4
@@ -453,6 +453,7 @@ def _with_sets(rows: DataFrame) -> DataFrame:
 
 def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS) -> DataFrame:
     """(doc_id, th, n_shingles, component_id, set, component) of each document; th is the text's hash."""
+    small_batches(docs)
     keyed = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     rows = stored(_members_and_ties(keyed), "members-and-ties")
     members = rows.where("set is not null").select("doc_id", "th", "n", "set")

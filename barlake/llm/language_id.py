@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import needed, slices, stored
+from barlake.llm.common import needed, slices, small_batches, stored
 
 ORDER = 4
 BITS = 6
@@ -227,6 +227,7 @@ def with_rejection(scored: DataFrame, own: str = "lang", held_out: str = "held_o
 def identify(docs: DataFrame) -> DataFrame:
     """Learn from the rows that are not held out, predict all."""
     out = F.crc32(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    small_batches(docs)
     rows = needed(docs, "doc_id", "text", "lang").withColumn("held_out", out)
     model = train(rows.where("not held_out"))
     scored = stored(score(rows, model, ["doc_id", "held_out", "lang"]), "language-scores")

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import needed, slices, stored, texts_of, tokenizer_file
+from barlake.llm.common import needed, slices, small_batches, stored, texts_of, tokenizer_file
 from barlake.llm.encoding import encoder
 
 SEQUENCE_LENGTH = 2048
@@ -33,6 +33,7 @@ END_ID = 1
 def encode_documents(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Pass 1: (part, local_start, doc_id, doc_tokens, ids), ids as little-endian 32-bit integers."""
     path = path or tokenizer_file("word_bpe_49k.json")
+    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = encoder(path), TaskContext.get().partitionId(), 0

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.common import fresh, needed, slices
+from barlake.llm.common import fresh, needed, slices, small_batches
 
 SAMPLE_DOCS = 3000
 SAMPLE_LINES = 500
@@ -199,6 +199,7 @@ def held_out(key: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> QualityModel:
     """Fit on the sampled labelled documents that are not held out."""
+    small_batches(docs)
     picked = (needed(labels, "doc_id", "quality").where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
               .orderBy(F.xxhash64("doc_id"), "quality").limit(sample_docs))
 
@@ -224,6 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
 
 def with_score(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
     """``docs`` with one more column, the score of each whole text."""
+    small_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.common import fresh, give_back, slices, stored
+from barlake.llm.common import fresh, give_back, slices, small_batches, stored
 
 UNITS = 2
 WORDS = 15
@@ -155,6 +155,7 @@ def _removals(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with the text left, and two columns: units before, units removed (``n_units``, ``n_removed``)."""
+    small_batches(docs)
     doc, th, cuts = fresh(docs, "doc"), fresh(docs, "th"), fresh(docs, "cuts")
     keyed = docs.withColumns({doc: F.coalesce(docs["doc_id"].cast("bigint"), F.lit(int(LAST))), th: F.xxhash64(docs["text"])})
     found = _removals(keyed.select(F.col(doc).alias("doc"), F.col(th).alias("th"), "text"))

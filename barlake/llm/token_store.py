@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.llm import perfect_hash
-from barlake.llm.common import needed, scratch, slices, stored, texts_of, tokenizer_file
+from barlake.llm.common import needed, scratch, slices, small_batches, stored, texts_of, tokenizer_file
 from barlake.llm.encoding import encoder
 
 END_ID = 1
@@ -156,6 +156,7 @@ class TokenStore:
     @classmethod
     def write(cls, docs: DataFrame, folder: str | None = None, path: str | None = None, end_id: int = END_ID) -> "TokenStore":
         spark = docs.sparkSession
+        small_batches(docs)
         store = cls(spark, folder or scratch(spark, "token-store"))
         path = path or tokenizer_file("word_bpe_49k.json")
         written = stored(write_ids(docs, os.path.join(store.folder, "ids"), path, end_id), "token-runs")
