@@ -1,7 +1,9 @@
 """Similarity join on Jaccard distance, a metric: links of distance 0.15 at most, and their components.
 
 A document's set holds its distinct 4-word shingles as 64-bit hashes.  Equal
-sets are collapsed first; what follows works on distinct sets.
+sets are collapsed first; what follows works on distinct sets.  ``words`` and
+``percent`` set another length of shingles and another least similarity; the
+figures here are those of the defaults.
 
 Regions.  Pivots drawn from the corpus can't cut a corpus of texts by
 themselves: a text shares nothing with almost any pivot, all its distances are
@@ -110,13 +112,13 @@ def shingle_sets(texts: pa.Array, n: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def hot_shingles(docs: DataFrame, n_docs: int, share: float = HOT_SHARE) -> np.ndarray:
+def hot_shingles(docs: DataFrame, n_docs: int, share: float = HOT_SHARE, words: int = WORDS) -> np.ndarray:
     """The most frequent shingles, sorted.  Each task reports those it met three times or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             for cut in slices(got):
-                found, n = np.unique(shingles(texts_of(cut))[0], return_counts=True)
+                found, n = np.unique(shingles(texts_of(cut), words)[0], return_counts=True)
                 found, n = found[n > 2], n[n > 2]
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["h", "n"])
 
@@ -147,13 +149,13 @@ def _size_classes() -> np.ndarray:
 CLASSES = _size_classes()
 
 
-def buckets_of(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def buckets_of(cls: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in which linked sets of a class may differ, and its number of buckets (0: only equal sets link)."""
-    differ = 2 * (100 - PERCENT) * (CLASSES[cls + 1] - 1) // (100 + PERCENT)
+    differ = 2 * (100 - percent) * (CLASSES[cls + 1] - 1) // (100 + percent)
     return differ, np.where(differ > 0, differ + 7 + differ // 4, 0)
 
 
-def region_keys(sets: list[np.ndarray], hot: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
+def region_keys(sets: list[np.ndarray], hot: np.ndarray = np.zeros(0, np.uint64), percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(place in ``sets``, key) such that sets with a link share a key."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     own = np.searchsorted(CLASSES, np.maximum(size, 1), side="right") - 1
@@ -165,10 +167,12 @@ def region_keys(sets: list[np.ndarray], hot: np.ndarray = np.zeros(0, np.uint64)
     places, keys, irregular = [], [], np.zeros(len(sets), bool)
     cls = own
     while True:
-        use = (size > 0) & (100 * size >= PERCENT * CLASSES[cls])  # higher classes only near the border
+        use = (size > 0) & (100 * size >= percent * CLASSES[cls])  # higher classes only near the border
         if not use.any():
             break
-        differ, n = buckets_of(cls)
+        differ, n = buckets_of(cls, percent)
+        # a set is linked with none larger than the class, nor than itself by more than the least similarity allows
+        differ = np.minimum(differ, (100 - percent) * (size + np.minimum(CLASSES[cls + 1] - 1, 100 * size // percent)) // (100 + percent))
         n = np.where(use, n, 0)
         first, total = np.cumsum(n) - n, int(n.sum())
         rows = n[holder]
@@ -188,7 +192,7 @@ def region_keys(sets: list[np.ndarray], hot: np.ndarray = np.zeros(0, np.uint64)
     for i in np.flatnonzero(irregular):
         frequent = _among(sets[i], hot)
         order = np.concatenate([sets[i][~frequent], sets[i][frequent]])
-        least = _mix(order[: len(order) - -(-PERCENT * len(order) // 100) + 1] + _C)
+        least = _mix(order[: len(order) - -(-percent * len(order) // 100) + 1] + _C)
         places.append(np.full(len(least), i))
         keys.append(least)
     if not places:
@@ -211,11 +215,11 @@ def _ties(key: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 MEMBER = "doc_id bigint, th bigint, n bigint, set bigint"
 
 
-def _members_and_ties(docs: DataFrame) -> DataFrame:
+def _members_and_ties(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Rows of two kinds: a document with its set's key (doc_id, th, n, set), or a tie of two sets (a, b)."""
     n_docs, chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    n_buckets = 1 + int(chars * 0.08) // BUCKET_KEYS
-    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, n_docs))
+    n_buckets = 1 + int(chars * 0.08 * (100 - percent) / (100 - PERCENT)) // BUCKET_KEYS
+    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, n_docs, words=words))
     names = ["bucket", "keys", "sets", "a", "b", "doc_id", "th", "n", "set"]
     kinds = [pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 6]
 
@@ -241,11 +245,11 @@ def _members_and_ties(docs: DataFrame) -> DataFrame:
 
         for got in batches:
             for cut in slices(got):
-                sets = shingle_sets(texts_of(cut))
+                sets = shingle_sets(texts_of(cut), words)
                 ids = np.fromiter(map(set_key, sets), np.int64, len(sets))
                 yield batch(len(sets), bucket=(ids % n_buckets).astype(np.int32), doc_id=cut.column("doc_id"), th=cut.column("th"), n=[len(s) for s in sets], set=ids)
                 new = [i for i, x in enumerate(ids.tolist()) if x not in seen and not seen.add(x)]
-                place, key = region_keys([sets[i] for i in new], hot.value)
+                place, key = region_keys([sets[i] for i in new], hot.value, percent)
                 keys.append(key)
                 whos.append(ids[new][place] if len(new) else ids[:0])
                 held += len(key)
@@ -286,11 +290,11 @@ def _members_and_ties(docs: DataFrame) -> DataFrame:
     return sent.mapInArrow(tie, schema).drop("bucket", "keys", "sets")
 
 
-def _linked(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return 100 * shared >= PERCENT * (a + b - shared)
+def _linked(shared: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * shared >= percent * (a + b - shared)
 
 
-def join_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def join_sets(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(id, least id of its component) for all sets but the least ones: an exact join by pivots."""
     n = len(ids)
     size = np.fromiter(map(len, sets), np.int64, n)
@@ -302,7 +306,7 @@ def join_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.n
     own = np.concatenate([[0], np.cumsum(size)])
     comp, open_ = np.arange(n), np.ones(n, bool)
     far: list[np.ndarray] = []
-    reach = (100 - PERCENT) / 100 + 1e-9
+    reach = (100 - percent) / 100 + 1e-9
     for p in range(n):
         open_[p] = False
         if far:
@@ -316,7 +320,7 @@ def join_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.n
         a, ln = start[t], start[t + 1] - start[t]
         ends = np.cumsum(ln)
         shared = np.bincount(holders[np.arange(ends[-1]) + np.repeat(a - (ends - ln), ln)], minlength=n)
-        hit = np.flatnonzero(_linked(shared, size, size[p]) & (comp != comp[p]))
+        hit = np.flatnonzero(_linked(shared, size, size[p], percent) & (comp != comp[p]))
         for x in hit:
             if comp[x] != comp[p]:
                 comp[comp == comp[x]] = comp[p]
@@ -331,7 +335,7 @@ def join_sets(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return ids[order[other]], least[other]
 
 
-def _leaf_links(sets: DataFrame) -> DataFrame:
+def _leaf_links(sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) links from (region, id, shingles); a region fits a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +343,7 @@ def _leaf_links(sets: DataFrame) -> DataFrame:
 
         def close() -> None:
             if len(ids) > 1:
-                x, y = join_sets(np.array(ids), held)
+                x, y = join_sets(np.array(ids), held, percent)
                 a.append(x)
                 b.append(y)
             ids.clear()
@@ -361,12 +365,12 @@ def _leaf_links(sets: DataFrame) -> DataFrame:
     return sets.select("region", "id", "shingles").repartition("region").sortWithinPartitions("region", "id").mapInArrow(run, "a bigint, b bigint")
 
 
-def _cells(big: DataFrame, pivots: int) -> DataFrame:
-    """(region, id, n, shingles, home, cells, linked): distances to the pivots of the region decide."""
+def _cells(big: DataFrame, pivots: int, percent: int) -> DataFrame:
+    """(region, id, n, shingles, cells, linked): distances to the pivots of the region decide."""
     w = Window.partitionBy("region").orderBy(F.xxhash64("id"))
     chosen = (big.withColumn("r", F.row_number().over(w)).where(F.col("r") <= pivots)
               .groupBy("region").agg(F.collect_list(F.struct("id", "shingles")).alias("pivots")))
-    two = 2 * (100 - PERCENT) / 100 + 1e-9
+    two = 2 * (100 - percent) / 100 + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
@@ -378,26 +382,26 @@ def _cells(big: DataFrame, pivots: int) -> DataFrame:
                 shared = np.array([len(np.intersect1d(x, np.frombuffer(p["shingles"], np.uint64), assume_unique=True)) for p in pivots])
                 d = 1 - shared / (len(x) + sizes - shared)
                 cells.append(np.flatnonzero(d <= d.min() + two).tolist())
-                linked.append([p["id"] for p, hit in zip(pivots, _linked(shared, len(x), sizes)) if hit])
+                linked.append([p["id"] for p, hit in zip(pivots, _linked(shared, len(x), sizes, percent)) if hit])
             yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("region", "id", "n", "shingles")], pa.array(cells, pa.list_(pa.int32())), pa.array(linked, pa.list_(pa.int64()))],
                                              ["region", "id", "n", "shingles", "cells", "linked"])
 
     return big.join(chosen, "region").mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, cells array<int>, linked array<bigint>")
 
 
-def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS) -> DataFrame:
+def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, percent: int = PERCENT) -> DataFrame:
     """(a, b) links that tie each component of the stored (region, id, n, shingles, weight) together.
 
     ``weight`` is the number of shingles of a region.
     """
     links = None
     while True:
-        small = stored(_leaf_links(sets.where(F.col("weight") <= leaf)), "links")
+        small = stored(_leaf_links(sets.where(F.col("weight") <= leaf), percent), "links")
         links = small if links is None else links.unionByName(small)
         big = sets.where(F.col("weight") > leaf).drop("weight")
         if big.isEmpty():
             return links
-        placed = stored(_cells(big, pivots), "region-cells")
+        placed = stored(_cells(big, pivots, percent), "region-cells")
         links = links.unionByName(placed.select(F.col("id").alias("a"), F.explode("linked").alias("b")).where("a <> b"))
         group = components(links)
         named = placed.join(group, "id", "left").select("region", "id", "n", "shingles", "cells", F.coalesce("root", "id").alias("comp"))
@@ -435,7 +439,7 @@ def _blocks(flat: DataFrame, leaf: int) -> DataFrame:
     return both.select(F.xxhash64("region", "r", "c").alias("region"), "id", "n", "shingles").dropDuplicates(["region", "id"])
 
 
-def _with_sets(rows: DataFrame) -> DataFrame:
+def _with_sets(rows: DataFrame, words: int) -> DataFrame:
     """(region, id, n, shingles, weight) from (region, id, text, weight); a task gives a set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,7 +447,7 @@ def _with_sets(rows: DataFrame) -> DataFrame:
         for got in batches:
             new = [i for i, x in enumerate(got.column("id").to_pylist()) if x not in seen and not seen.add(x)]
             for cut in slices(got.take(pa.array(new, pa.int64()))):
-                sets = shingle_sets(texts_of(cut))
+                sets = shingle_sets(texts_of(cut), words)
                 yield pa.RecordBatch.from_arrays(
                     [cut.column("region"), cut.column("id"), pa.array(list(map(len, sets)), pa.int64()),
                      pa.array([s.tobytes() for s in sets], pa.binary()), cut.column("weight")], ["region", "id", "n", "shingles", "weight"])
@@ -451,11 +455,11 @@ def _with_sets(rows: DataFrame) -> DataFrame:
     return rows.select("region", "id", "text", "weight").mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, weight bigint")
 
 
-def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS) -> DataFrame:
+def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, th, n_shingles, component_id, set, component) of each document; th is the text's hash."""
     small_batches(docs)
     keyed = needed(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    rows = stored(_members_and_ties(keyed), "members-and-ties")
+    rows = stored(_members_and_ties(keyed, words, percent), "members-and-ties")
     members = rows.where("set is not null").select("doc_id", "th", "n", "set")
     tied = components(rows.where("a is not null").select("a", "b"))
     roots = tied.select(F.col("root").alias("id"), F.col("root").alias("region")).distinct()
@@ -466,7 +470,7 @@ def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOT
            .select("region", "id", "n", F.xxhash64("m.doc_id", "m.th").alias("k")))
     one = small_side(stored(_weighed(one).drop("n"), "region-members"))
     texts = keyed.withColumn("k", F.xxhash64("doc_id", "th")).join(one, "k").select("region", "id", "text", "weight")
-    links = region_links(stored(_with_sets(texts), "region-sets"), leaf, pivots)
+    links = region_links(stored(_with_sets(texts, words), "region-sets"), leaf, pivots, percent)
     linked = small_side(stored(components(links), "linked"))
     placed = members.join(linked, members["set"] == linked["id"], "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "set", F.coalesce("root", "set").alias("component"))
     least = placed.groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -478,14 +482,14 @@ def join_digest(docs: DataFrame) -> DataFrame:
     return similarity_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component: the least doc_id, then text hash.
 
     Rows equal in doc_id and text are one document, of which the first row
     stays.  Documents without words are linked with nothing and stay.
     """
     own = fresh(docs, "row_key")
-    found = similarity_components(docs).select("component", "n_shingles", F.xxhash64("doc_id", "th").alias("k"), F.struct("doc_id", "th").alias("place"))
+    found = similarity_components(docs, words=words, percent=percent).select("component", "n_shingles", F.xxhash64("doc_id", "th").alias("k"), F.struct("doc_id", "th").alias("place"))
     by = found.groupBy("component", "k").agg(F.count("*").alias("rows"), F.first("place").alias("place"), F.first("n_shingles").alias("n_shingles"))
     chosen = by.groupBy("component").agg(F.min("place").alias("least"))
     # what has to go, or to be thinned: the keys that are not chosen, and those of several rows

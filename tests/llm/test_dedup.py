@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from helpers import awkward, docs_table, near_copies, nothing, words
 
+import corpus_pipeline
 from barlake.llm import graph, jaccard_join, span_dedup
 
 
@@ -150,3 +151,58 @@ def test_span_stage_keeps_columns_and_drops_emptied_documents(spark):
     left = span_dedup.dedup_documents(full.unionByName(full.withColumn("doc_id", full.doc_id + 10**6)))
     assert left.where("n_chars <> length(text)").count() == 0
     assert span_dedup.dedup_digest(nothing(spark)).collect() == []
+
+
+def brute_kept(rows, n, percent):
+    """The least doc_id of each component of near copies; doc_ids are distinct."""
+    low = [[x.lower() for x in words(t)] for _, t in rows]
+    sets = [{tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set() for w in low]
+    comp = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]) and comp[i] != comp[j]:
+                old, new = comp[i], comp[j]
+                comp = [new if c == old else c for c in comp]
+    least = {}
+    for (doc_id, _), c in zip(rows, comp):
+        least[c] = min(least.get(c, doc_id), doc_id)
+    return sorted(least.values())
+
+
+def test_pipeline_stage_takes_five_words_and_four_fifths(spark):
+    one = [f"w{i}" for i in range(50)]
+    rows = [*near_copies(), (1000, " ".join(one)), (1001, " ".join([*one[:25], "other", *one[26:]]))]  # 0.843 on 4 words, 0.804 on 5
+    want = brute_kept(rows, 5, 80)
+    assert 1001 not in want and want != brute_kept(rows, 4, 85)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == want
+
+
+@pytest.mark.parametrize("leaf, pivots", [(1 << 21, 4), (500, 3)])
+def test_no_link_is_lost_at_other_settings(spark, leaf, pivots):
+    rows = near_copies(seed=5)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = jaccard_join.similarity_components(docs, leaf, pivots, 5, 80)
+    assert sorted({r.component_id for r in got.collect()}) == brute_kept(rows, 5, 80)
+
+
+def test_linked_sets_share_a_region_key_at_four_fifths():
+    rnd = np.random.default_rng(6)
+    for n in (5, 9, 13, 20, 47, 100, 300, 900):
+        for _ in range(60):
+            a = np.unique(rnd.integers(0, 2**63, n).astype(np.uint64))
+            cut, grow = (int(len(a) * rnd.uniform(0, 0.22)) for _ in range(2))
+            b = np.unique(np.concatenate([a[cut:], rnd.integers(0, 2**63, grow).astype(np.uint64)]))
+            shared = len(np.intersect1d(a, b))
+            if 100 * shared >= 80 * (len(a) + len(b) - shared) and (cut or grow):
+                place, key = jaccard_join.region_keys([a, b], percent=80)
+                assert set(key[place == 0]) & set(key[place == 1])
+
+
+def test_few_sets_need_keys_of_single_shingles():
+    rnd = np.random.default_rng(7)
+    sets = [np.unique(rnd.integers(0, 2**63, n).astype(np.uint64)) for n in rnd.integers(200, 400, 200)]
+    least = [len(s) - -(-80 * len(s) // 100) + 1 for s in sets]
+    place, key = jaccard_join.region_keys(sets, percent=80)
+    single = {int(x) for s, k in zip(sets, least) for x in jaccard_join._mix(s[:k] + jaccard_join._C)}
+    assert len({p for p, k in zip(place.tolist(), key.tolist()) if k in single}) < len(sets) // 5
