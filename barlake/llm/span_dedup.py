@@ -7,6 +7,15 @@ case.  Of all places where a span occurs in the corpus the first (least
 doc_id, then text hash, then position) stays; units covered by any other
 occurrence are removed.  What is left of a text keeps its own characters.
 
+With ``fine`` units, a passage that begins and ends inside long sentences is
+caught too: other scripts' signs end a unit, and a unit of ``REACH`` words or
+more is cut after the word of least hash in each ``REACH`` words in a row (the
+last, if several have it).  Whether it is cut after a word depends on the
+``REACH - 1`` words on either side only, so hosts of a passage cut it alike but
+for that much at its ends, and no piece is longer than ``REACH``.  A passage of
+``4 * REACH + WORDS - 3`` = 48 words therefore holds a whole span, wherever it
+is placed; up to ``2 * REACH - 1`` of its words stay at either end.
+
 Each task settles what it can alone: all its occurrences of a span but its
 first are not the corpus's first either.  Only its first goes on, so a span
 that a third of the documents hold costs one entry for each task.  Entries
@@ -23,6 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +51,42 @@ LAST = np.int64(np.iinfo(np.int64).max)  # stands for a null doc_id
 
 UNIT = re.compile(r"[^.!?;:,\n]*[.!?;:,\n]+[ \t\r\n]*|[^.!?;:,\n]+\Z")
 
+#: Words in a row of which one ends a fine unit, and the signs that end one.
+REACH = 9
+_SIGNS = r".!?;:,\n\u3002\uff01\uff1f\uff1b\uff1a\uff0c\uff0e\uff61\uff64\u3001\u2026\u203c\u2047-\u2049\u037e\u0387\u0589\u060c\u061b\u061f\u06d4\u0964\u0965\u104a\u104b\u1362-\u1368\u17d4\u17d5\u2028\u2029"
+FINE_UNIT = re.compile(rf"[^{_SIGNS}]*[{_SIGNS}]+[ \t\r\n]*|[^{_SIGNS}]+\Z")
+PIECE = re.compile(r"\s*\S+\s*")
+
 ENTRY = np.dtype([("h", "<u8"), ("doc", "<i8"), ("th", "<i8"), ("start", "<i4"), ("units", "<i4")])
 
 
-def units_of(text: str | None) -> list[str]:
+@lru_cache(1 << 16)
+def _word_hash(word: str) -> int:
+    return xxhash.xxh32_intdigest(word)
+
+
+def _pieces(unit: str) -> list[str]:
+    """A unit cut after the word of least hash in each ``REACH`` words in a row."""
+    low = unit.lower().split()
+    if len(low) < REACH:
+        return [unit]
+    hashed, words, out, done, least = list(map(_word_hash, low)), PIECE.findall(unit), [], 0, 0
+    for i, h in enumerate(hashed):
+        if i - least >= REACH:
+            least = min(range(i - REACH + 1, i + 1), key=lambda k: (hashed[k], -k))
+        elif h <= hashed[least]:
+            least = i
+        if i >= REACH - 1 and least >= done:
+            out.append("".join(words[done:least + 1]))
+            done = least + 1
+    return [*out, "".join(words[done:])] if done < len(words) else out
+
+
+def units_of(text: str | None, fine: bool = False) -> list[str]:
     """The units of a text; joined they are the text."""
-    return UNIT.findall(text or "")
+    if not fine:
+        return UNIT.findall(text or "")
+    return [p for u in FINE_UNIT.findall(text or "") for p in _pieces(u)]
 
 
 def spans_of(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,10 +123,10 @@ def _split(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, e[e != first[np.cumsum(new) - 1]]
 
 
-def _removals(docs: DataFrame) -> DataFrame:
+def _removals(docs: DataFrame, fine: bool) -> DataFrame:
     """(doc, th, start, units) of each span occurrence that is not the first, from (doc, th, text)."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_buckets = 1 + int(chars / 25) // BUCKET_SPANS
+    n_buckets = 1 + int(chars / (20 if fine else 25)) // BUCKET_SPANS
     names, schema = ["bucket", "entries", "removed"], "bucket int, entries binary, removed binary"
 
     def rows(*found: tuple[int, bytes | None, bytes | None]) -> pa.RecordBatch:
@@ -111,7 +151,7 @@ def _removals(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for cut in slices(batch):
                 for doc, th, text in zip(cut.column("doc").to_pylist(), cut.column("th").to_pylist(), cut.column("text").to_pylist()):
-                    h, start, units = spans_of(units_of(text))
+                    h, start, units = spans_of(units_of(text, fine))
                     if len(h):
                         e = np.empty(len(h), ENTRY)
                         e["h"], e["doc"], e["th"], e["start"], e["units"] = h, doc, th, start, units
@@ -153,12 +193,12 @@ def _removals(docs: DataFrame) -> DataFrame:
     return sent.mapInArrow(settle, "doc bigint, th bigint, start int, units int")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, fine: bool = False) -> DataFrame:
     """``docs`` with the text left, and two columns: units before, units removed (``n_units``, ``n_removed``)."""
     small_batches(docs)
     doc, th, cuts = fresh(docs, "doc"), fresh(docs, "th"), fresh(docs, "cuts")
     keyed = docs.withColumns({doc: F.coalesce(docs["doc_id"].cast("bigint"), F.lit(int(LAST))), th: F.xxhash64(docs["text"])})
-    found = _removals(keyed.select(F.col(doc).alias("doc"), F.col(th).alias("th"), "text"))
+    found = _removals(keyed.select(F.col(doc).alias("doc"), F.col(th).alias("th"), "text"), fine)
     removed = stored(found.groupBy(F.xxhash64("doc", "th").alias(doc)).agg(F.collect_set(F.struct("start", "units")).alias(cuts)), "span-removals")
     # lists of places can be long, so they are never broadcast
     joined = keyed.withColumn(doc, F.xxhash64(doc, th)).join(removed.hint("merge"), doc, "left").select(*[f"`{c}`" for c in docs.columns], cuts)
@@ -169,7 +209,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             for cut in slices(batch):
                 texts, n, gone = [], [], []
                 for text, where in zip(cut.column("text").to_pylist(), cut.column(cuts)):
-                    units = units_of(text)
+                    units = units_of(text, fine)
                     n.append(len(units))
                     drop = np.zeros(len(units), bool)
                     if where.is_valid:
@@ -184,9 +224,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(n_units, T.LongType()), T.StructField(n_removed, T.LongType())]))
 
 
-def dedup_documents(docs: DataFrame) -> DataFrame:
+def dedup_documents(docs: DataFrame, fine: bool = False) -> DataFrame:
     """The documents with the text left; those of which no word is left go.  ``n_chars``, if there, follows the text."""
-    out = dedup(docs)
+    out = dedup(docs, fine)
     left = (F.col(f"`{out.columns[-1]}`") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     n_chars = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return out.where(left).withColumns(n_chars).select(*[f"`{c}`" for c in docs.columns])

@@ -28,8 +28,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Substring dedup (6): sentences of repeated spans go, but for the first place of each."""
-    return span_dedup.dedup_documents(docs)
+    """Substring dedup (6): fine units of repeated spans go, but for the first place of each."""
+    return span_dedup.dedup_documents(docs, fine=True)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -206,3 +206,34 @@ def test_few_sets_need_keys_of_single_shingles():
     place, key = jaccard_join.region_keys(sets, percent=80)
     single = {int(x) for s, k in zip(sets, least) for x in jaccard_join._mix(s[:k] + jaccard_join._C)}
     assert len({p for p, k in zip(place.tolist(), key.tolist()) if k in single}) < len(sets) // 5
+
+
+@pytest.mark.parametrize("sentences", [1, 2, 3])
+def test_pipeline_stage_finds_passages_inside_long_sentences(spark, sentences):
+    rnd = np.random.default_rng(sentences)
+    rows, passages = [], {}
+    for k in range(30):
+        p = [f"p{k}x{i}" if k % 3 else f"p{k}x{rnd.integers(3)}" for i in range(51)]
+        for i in range(1, sentences):
+            p[51 * i // sentences] += ".,"[k % 2]
+        for place in (0, 1):
+            host = [[f"h{k}x{place}x{side}x{i}" for i in range(rnd.integers(0, 30))] for side in (0, 1)]
+            rows.append((k + 100 * place, " ".join([*host[0], *p, *host[1]]) + "."))
+            passages[k + 100 * place] = p, [x for h in host for x in h]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    left = {r.doc_id: r.text for r in corpus_pipeline.span_stage(spark, docs, "").collect()}
+    for doc_id, text in rows:
+        passage, host = passages[doc_id]
+        kept = [w.rstrip(".") for w in left[doc_id].split()]
+        assert [w for w in kept if w.startswith("h")] == host  # nothing goes but the passage
+        if doc_id < 100 and doc_id % 3:
+            assert left[doc_id] == text
+        elif doc_id >= 100:
+            assert sum(w.startswith("p") for w in kept) <= 2 * (2 * span_dedup.REACH - 1)
+
+
+def test_fine_units_are_the_text():
+    for t in ["", " \n", "  one  two\tthree" * 20 + ". x", "a " * 40, "第一句。第二句！第三句", "una.. dos, " * 9, "x\x1cy z " * 12]:
+        units = span_dedup.units_of(t, fine=True)
+        assert "".join(units) == t and max((len(u.split()) for u in units), default=0) <= span_dedup.REACH
+    assert len(span_dedup.units_of("第一句。第二句！第三句", fine=True)) == 3
