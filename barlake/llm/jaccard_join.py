@@ -25,8 +25,9 @@ Inside a region, pivots do the work.  A large region takes pivots from its
 sets; each set goes to the Voronoi cell of its nearest pivot, and to each cell
 whose pivot is at most two link distances farther, so that both ends of a link
 meet in the home cell of either.  Sets within the link distance of a pivot are
-linked to it, and a region that is one component by such links is done.  The
-cells are regions again.  A cell that is not smaller than its region is cut
+linked to it; a pivot has then met all sets of its region and goes no further,
+and a region whose other sets are one component is done.  The cells are
+regions again.  A cell that is not smaller than its region is cut
 into blocks: each set outside the largest component meets every set.  A region
 that fits a task is joined there, again by pivots: one pivot after another is
 compared with all sets, and sets whose distances to some pivot differ by more
@@ -366,7 +367,7 @@ def _leaf_links(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _cells(big: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """(region, id, n, shingles, cells, linked): distances to the pivots of the region decide."""
+    """(region, id, n, shingles, pivot, cells, linked): distances to the pivots of the region decide."""
     w = Window.partitionBy("region").orderBy(F.xxhash64("id"))
     chosen = (big.withColumn("r", F.row_number().over(w)).where(F.col("r") <= pivots)
               .groupBy("region").agg(F.collect_list(F.struct("id", "shingles")).alias("pivots")))
@@ -374,19 +375,20 @@ def _cells(big: DataFrame, pivots: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
-            cells, linked = [], []
-            for s, pivots in zip(got.column("shingles"), got.column("pivots")):
+            pivot, cells, linked = [], [], []
+            for i, s, pivots in zip(got.column("id").to_pylist(), got.column("shingles"), got.column("pivots")):
                 x = np.frombuffer(s.as_py(), np.uint64)
                 pivots = pivots.as_py()
                 sizes = np.array([len(p["shingles"]) // 8 for p in pivots])
                 shared = np.array([len(np.intersect1d(x, np.frombuffer(p["shingles"], np.uint64), assume_unique=True)) for p in pivots])
                 d = 1 - shared / (len(x) + sizes - shared)
+                pivot.append(any(p["id"] == i for p in pivots))
                 cells.append(np.flatnonzero(d <= d.min() + two).tolist())
                 linked.append([p["id"] for p, hit in zip(pivots, _linked(shared, len(x), sizes, percent)) if hit])
-            yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("region", "id", "n", "shingles")], pa.array(cells, pa.list_(pa.int32())), pa.array(linked, pa.list_(pa.int64()))],
-                                             ["region", "id", "n", "shingles", "cells", "linked"])
+            yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("region", "id", "n", "shingles")], pa.array(pivot, pa.bool_()), pa.array(cells, pa.list_(pa.int32())), pa.array(linked, pa.list_(pa.int64()))],
+                                             ["region", "id", "n", "shingles", "pivot", "cells", "linked"])
 
-    return big.join(chosen, "region").mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, cells array<int>, linked array<bigint>")
+    return big.join(chosen, "region").mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, pivot boolean, cells array<int>, linked array<bigint>")
 
 
 def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, percent: int = PERCENT) -> DataFrame:
@@ -404,7 +406,8 @@ def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, percen
         placed = stored(_cells(big, pivots, percent), "region-cells")
         links = links.unionByName(placed.select(F.col("id").alias("a"), F.explode("linked").alias("b")).where("a <> b"))
         group = components(links)
-        named = placed.join(group, "id", "left").select("region", "id", "n", "shingles", "cells", F.coalesce("root", "id").alias("comp"))
+        # a pivot has met every set of its region and goes, so a region loses members at each level
+        named = placed.where("not pivot").join(group, "id", "left").select("region", "id", "n", "shingles", "cells", F.coalesce("root", "id").alias("comp"))
         # what each component weighs in its region; a region of one component is done
         by = named.groupBy("region", "comp").agg(F.sum("n").alias("n"))
         state = by.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("comps"), F.max(F.struct("n", "comp"))["comp"].alias("main"))
@@ -432,7 +435,8 @@ def _blocks(flat: DataFrame, leaf: int) -> DataFrame:
     outer = flat.where("comp <> main").groupBy("region").agg(F.sum("n").alias("outer"))
     counted = flat.join(outer, "region").withColumns({
         "rows": F.expr(f"(weight + {half - 1}) div {half}"), "cols": F.expr(f"(outer + {half - 1}) div {half}")})
-    row, col = F.expr("pmod(xxhash64(id, 1), rows)"), F.expr("pmod(xxhash64(id, 2), cols)")
+    # other places in each region, so that a block still too heavy is cut in another way
+    row, col = F.expr("pmod(xxhash64(region, id, 1), rows)"), F.expr("pmod(xxhash64(region, id, 2), cols)")
     as_row = counted.withColumn("r", row).withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cols") - 1)))
     as_col = counted.where("comp <> main").withColumn("c", col).withColumn("r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1)))
     both = as_row.unionByName(as_col)

@@ -237,3 +237,24 @@ def test_fine_units_are_the_text():
         units = span_dedup.units_of(t, fine=True)
         assert "".join(units) == t and max((len(u.split()) for u in units), default=0) <= span_dedup.REACH
     assert len(span_dedup.units_of("第一句。第二句！第三句", fine=True)) == 3
+
+
+@pytest.mark.parametrize("members", [2, 7])
+def test_sets_of_over_half_a_leaf_come_to_an_end(spark, members, monkeypatch):
+    rnd = np.random.default_rng(4)
+    common = rnd.integers(1, 2**62, 600)
+    # neighbours differ in 10 % (0.18 apart), but 0 and 1, which are linked
+    sets = [np.unique(np.concatenate([common, rnd.integers(1, 2**62, 66)]).astype(np.uint64)) for _ in range(members)]
+    if members > 2:
+        sets[1] = np.unique(np.concatenate([sets[0][:-20], rnd.integers(1, 2**62, 20).astype(np.uint64)]))
+    rows = [(9, i, len(s), s.tobytes(), sum(map(len, sets))) for i, s in enumerate(sets)]
+    levels, cells = [], jaccard_join._cells
+
+    def counted(*given):
+        levels.append(1)
+        assert len(levels) <= members, "a level without progress"
+        return cells(*given)
+
+    monkeypatch.setattr(jaccard_join, "_cells", counted)
+    links = jaccard_join.region_links(spark.createDataFrame(rows, "region bigint, id bigint, n bigint, shingles binary, weight bigint"), 1000, 2)
+    assert {tuple(sorted(x)) for x in links.collect()} == ({(0, 1)} if members > 2 else set())
