@@ -5,7 +5,9 @@ from __future__ import annotations
 from barlake.llm import jaccard_join as j
 from barlake.llm import quality_rules as q
 from barlake.llm import sharding as s
+from barlake.llm import source_audit as a
 from barlake.llm import span_dedup as d
+from barlake.llm import suffix_dedup as x
 from barlake.llm import topk_search as k
 
 
@@ -125,5 +127,59 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10"""
 
 
+def _audit_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    share = "1 + (1000000000::HUGEINT * ({n} + 1)) // ({total} + v)"
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+raw AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts),
+terms AS (SELECT r, lang, source, translate(term, '{upper}', '{upper.lower()}') AS term FROM raw),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= {a.MIN_DOCS}),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms GROUP BY lang, source, term),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+groups AS (
+  SELECT lang, source, coalesce(any_value(total), 0) AS total FROM (SELECT DISTINCT lang, source FROM texts)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts JOIN kept USING (lang, term) GROUP BY lang, source) USING (lang, source)
+  GROUP BY lang, source),
+shares AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {share.format(n="coalesce(n, 0)", total="total")} AS p,
+         {share.format(n="lang_n", total="lang_total")} AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source),
+found AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN pairs p ON p.lang = x.lang AND p.source = x.source AND p.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= {a.TOP_TERMS}"""
+
+
+def _suffix_sql() -> str:
+    n = x.LENGTH
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (SELECT r, doc_id, k, substr(h, 4000 * k + 1, {4000 + 2 * n - 2}) AS c FROM texts, unnest(range(0, len(h) // 4000 + 1)) u(k)),
+windows AS (
+  SELECT r, doc_id, 2000 * k + unnest(range(0, greatest(len(c) // 2 - {n - 1}, 0))) AS i,
+         unnest([md5(substr(c, 2 * j + 1, {2 * n})) FOR j IN range(0, greatest(len(c) // 2 - {n - 1}, 0))]) AS w
+  FROM chunks),
+again AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1),
+runs AS (SELECT r, i, sum(begins) OVER (PARTITION BY r ORDER BY i) AS run
+         FROM (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= {n} THEN 0 ELSE 1 END AS begins FROM again)),
+spans AS (SELECT r, run, min(i) AS a, max(i) + {n} AS b FROM runs GROUP BY r, run),
+gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+cut AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(b) AS upto
+        FROM gaps JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(upto, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)"""
+
+
 ORACLE: dict[str, str] = {"op2_shard": _sharding_sql(), "op5_quality": _quality_sql(), "op6_span_dedup": _span_sql(),
-                          "op8_jaccard_join": _jaccard_sql(), "op10_topk": _topk_sql()}
+                          "op8_jaccard_join": _jaccard_sql(), "op10_topk": _topk_sql(),
+                          "op12_source_audit": _audit_sql(), "op13_suffix_dedup": _suffix_sql()}

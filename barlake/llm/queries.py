@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barlake.llm import bpe, jaccard_join, language_id, packing, quality_classifier, quality_rules, sharding, span_dedup, suffix_dedup, token_store, topk_search
+from barlake.llm import bpe, jaccard_join, language_id, packing, quality_classifier, quality_rules, sharding, source_audit, span_dedup, suffix_dedup, token_store, topk_search, whitening
 from barlake.llm.common import table
 
 
@@ -46,9 +46,17 @@ def op10_topk(spark, sf_dir):
     return topk_search.search_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op11_whiten(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_audit(spark, sf_dir):
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_suffix_dedup(spark, sf_dir):
     return suffix_dedup.dedup_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_token_store, op2_shard, op3_pack, op4_language, op5_quality, op6_span_dedup, op7_classify, op8_jaccard_join, op9_bpe, op10_topk,
-                                  op13_suffix_dedup)}
+                                  op11_whiten, op12_source_audit, op13_suffix_dedup)}
