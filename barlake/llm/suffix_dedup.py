@@ -30,8 +30,8 @@ three passes over the texts read one exchange of them by block.
 
 Rows: a null text counts as empty; texts shorter than a window lose nothing.
 Rows equal in doc_id and text count as one document and get the same result.
-Different texts under one doc_id are ordered by their hash; a null doc_id comes
-last.  Extra columns are not read.  An empty table gives no rows.
+Different texts under one doc_id follow an order set by their hashes; a null
+doc_id comes last.  Extra columns are not read.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -257,18 +258,21 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int = LENGTH) ->
     return np.concatenate([[0], np.minimum(out[1:], len(text) - np.maximum(order[1:], order[:-1]))])
 
 
-def repeats_in(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece, in the order of first places: which of its windows occur earlier.  By suffix array."""
+def repeats_in(pieces: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows of ``pieces``, given in the order of their places, occur earlier: by suffix array.
+
+    The flags of all windows, piece after piece, and the end of each piece's in them.
+    """
     seen: dict[bytes, int] = {}
-    repeated = np.fromiter((seen.setdefault(p, i) != i for i, p in enumerate(pieces)), bool, len(pieces))
-    chosen = np.flatnonzero(~repeated)
-    text = np.frombuffer(b"".join(pieces[i] for i in chosen), np.uint8)
-    size = np.fromiter((len(pieces[i]) for i in chosen), np.int64, len(chosen))
-    end = np.cumsum(size)
-    start = end - size
+    first = np.fromiter((seen.setdefault(p, i) for i, p in enumerate(pieces)), np.int64, len(pieces))
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    windows = np.maximum(size - length + 1, 0)
+    text = np.frombuffer(b"".join(seen), np.uint8)  # equal pieces count once: all others of them are repeats
+    own = first == np.arange(len(pieces))
+    end = np.cumsum(size[own])
     edge = np.zeros(len(text) + 1, np.int32)
-    np.add.at(edge, start, 1)
-    np.add.at(edge, np.maximum(end - length + 1, start), -1)
+    np.add.at(edge, end - size[own], 1)
+    np.add.at(edge, end - size[own] + windows[own], -1)
     wanted = np.cumsum(edge[:-1]) > 0
     order = two_stage_sort(text, wanted, length)
     gone = np.zeros(len(text), bool)
@@ -276,19 +280,9 @@ def repeats_in(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
         new = np.flatnonzero(common_prefixes(text, order, length) < length)
         least = np.repeat(np.minimum.reduceat(order, new), np.diff(np.append(new, len(order))))
         gone[order[order != least]] = True
-    out: list[np.ndarray] = [None] * len(pieces)  # type: ignore[list-item]
-    for i, a, b in zip(chosen, start, end):
-        out[i] = gone[a:max(a, b - length + 1)]
-    for i in np.flatnonzero(repeated):
-        out[i] = np.ones(max(0, len(pieces[i]) - length + 1), bool)
-    return out
-
-
-def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and sizes of the runs of true values."""
-    edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    a = np.flatnonzero(edge > 0)
-    return a, np.flatnonzero(edge < 0) - a
+    flags = np.ones(int(windows.sum()), bool)
+    flags[np.repeat(own, windows)] = gone[wanted]
+    return flags, np.cumsum(windows)
 
 
 class _Block:
@@ -304,7 +298,7 @@ class _Block:
         d, t = doc[order], th[order]
         new = np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])])[:len(d)]
         self.of_row = np.cumsum(new) - 1  # document of each ordered row
-        self.doc, self.th = d[new], t[new]
+        self.doc = d[new]
         texts = text.take(pa.array(order[new]))
         parts = [np.frombuffer(s.as_buffer(), np.uint8) if s.is_valid else np.zeros(0, np.uint8) for s in texts]
         self.text = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
@@ -339,9 +333,8 @@ def _cuts(values: np.ndarray) -> Iterator[tuple[int, int]]:
 
 ASK = "bucket int, block int, hashes binary, pieces binary"
 ANSWER = "block int, bucket int, flags binary"
-SENT = "bucket int, block int, places binary, bytes binary, removed binary"
+SENT = "bucket int, block int, docs binary, places binary, sizes binary, bytes binary, removed binary"
 REMOVED = "block int, removed binary"
-PLACE = np.dtype([("doc", "<i8"), ("th", "<i8"), ("at", "<i4"), ("size", "<i4")])
 RANGE = np.dtype([("at", "<i4"), ("n", "<i4")])
 _TYPES = {"int": pa.int32(), "binary": pa.binary(), "bigint": pa.int64()}
 
@@ -383,13 +376,14 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes:
         raise ValueError("gram must be 1 to length")
     total = docs.agg(F.sum(F.octet_length(docs["text"]).cast("bigint"))).first()[0] or 0
     n = 1 + total // block_bytes
+    n_buckets = 1 + n // 2
     th = F.xxhash64(docs["text"])
     texts = docs.select(F.pmod(F.xxhash64(docs["doc_id"].cast("bigint"), th), F.lit(n)).cast("int").alias("block"),
                         docs["doc_id"].cast("bigint").alias("doc_id"), th.alias("th"), F.coalesce(docs["text"], F.lit("")).alias("text"))
 
     def ask(rows: pa.Table) -> pa.Table:
         block = rows.column("block")[0].as_py()
-        _, hashes, bucket, pieces = _anchors(_Block(rows), n, length, gram)
+        _, hashes, bucket, pieces = _anchors(_Block(rows), n_buckets, length, gram)
         out = [(int(bucket[i]), block, hashes[i:j].tobytes(), np.minimum(pieces[i:j], 65535).astype(np.uint16).tobytes()) for i, j in _cuts(bucket)]
         give_back()
         return _table(ASK, out)
@@ -418,7 +412,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes:
             return _table(SENT, [])
         block = rows.column("block")[0].as_py()
         b = _Block(rows)
-        (anchor, start, size, piece), hashes, bucket, _ = _anchors(b, n, length, gram)
+        (anchor, start, size, piece), hashes, bucket, _ = _anchors(b, n_buckets, length, gram)
         flag = np.zeros(len(hashes), np.uint8)
         where = {int(bucket[i]): (i, j) for i, j in _cuts(bucket)}
         for r in answers.to_pylist():
@@ -438,7 +432,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes:
             repeated[i] = size[f] == size[i] and data[start[f]:start[f] + bytes_of] == data[start[i]:start[i] + bytes_of]
         removed = [(start[repeated], size[repeated])]
         go = np.flatnonzero((mine == 1) & ~repeated)
-        to, at, n_starts = _buckets_of(anchor[go], n), start[go], size[go]
+        to, at, n_starts = _buckets_of(anchor[go], n_buckets), start[go], size[go]
         split = np.flatnonzero((mine == 2) & ~repeated)
         if len(split):
             every = np.repeat(start[split], size[split]) + np.arange(size[split].sum()) - np.repeat(np.cumsum(size[split]) - size[split], size[split])
@@ -447,39 +441,42 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes:
             seen: dict[bytes, int] = {}
             new = np.array([seen.setdefault(w, k) == k for k, w in enumerate(windows)], bool)
             removed.append((every[~new], np.ones(int((~new).sum()), np.int64)))
-            to, at, n_starts = np.concatenate([to, _buckets_of(own[new], n)]), np.concatenate([at, every[new]]), np.concatenate([n_starts, np.ones(int(new.sum()), np.int64)])
+            to, at, n_starts = np.concatenate([to, _buckets_of(own[new], n_buckets)]), np.concatenate([at, every[new]]), np.concatenate([n_starts, np.ones(int(new.sum()), np.int64)])
         order = np.lexsort((at, to))
         to, at, n_starts = to[order], at[order], n_starts[order]
-        places = np.empty(len(at), PLACE)
-        of = np.searchsorted(b.end, at, side="right")
-        places["doc"], places["th"], places["at"], places["size"] = b.doc[of], b.th[of], at, n_starts
-        starts = at.tolist()
-        stops = (at + n_starts + length - 1).tolist()
-        out = [(int(to[i]), block, places[i:j].tobytes(), b"".join(data[x:y] for x, y in zip(starts[i:j], stops[i:j])), None) for i, j in _cuts(to)]
+        doc, place, windows = b.doc[np.searchsorted(b.end, at, side="right")], at.astype(np.int32), n_starts.astype(np.int32)
+        starts, stops = at.tolist(), (at + n_starts + length - 1).tolist()
+        out = [(int(to[i]), block, doc[i:j].tobytes(), place[i:j].tobytes(), windows[i:j].tobytes(),
+                zstandard.compress(b"".join(data[x:y] for x, y in zip(starts[i:j], stops[i:j])), 1), None) for i, j in _cuts(to)]
         at, n_starts = (np.concatenate(c) for c in zip(*removed))
         if len(at):
-            out.append((block % n, block, None, None, _ranges(at, n_starts)))
+            out.append((block % n_buckets, block, None, None, None, None, _ranges(at, n_starts)))
         give_back()
         return _table(SENT, out)
 
     def settle(held: list[dict]) -> pa.Table:
         out = [(r["block"], r["removed"]) for r in held if r["removed"] is not None]
-        rows = [r for r in held if r["places"] is not None]
+        rows = [r for r in held if r["docs"] is not None]
         if rows:
-            places = [np.frombuffer(r["places"], PLACE) for r in rows]
-            block = np.repeat(np.array([r["block"] for r in rows]), [len(p) for p in places])
-            pieces, p = [], np.concatenate(places)
-            for r, own in zip(rows, places):
-                edge = np.concatenate([[0], np.cumsum(own["size"].astype(np.int64) + length - 1)]).tolist()
-                data = r["bytes"]
-                pieces += [data[x:y] for x, y in zip(edge[:-1], edge[1:])]
-            order = np.lexsort((p["at"], p["th"], p["doc"]))
-            found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-            for i, flags in zip(order.tolist(), repeats_in([pieces[i] for i in order.tolist()], length)):
-                a, m = _spans(flags)
-                if len(a):
-                    found.setdefault(int(block[i]), []).append((p["at"][i] + a, m))
-            out += [(k, _ranges(*(np.concatenate(c) for c in zip(*v)))) for k, v in found.items()]
+            doc, at, size = (np.frombuffer(b"".join(r[c] for r in rows), kind).astype(np.int64) for c, kind in (("docs", "<i8"), ("places", "<i4"), ("sizes", "<i4")))
+            block = np.repeat([r["block"] for r in rows], [len(r["sizes"]) // 4 for r in rows])
+            data = b"".join(zstandard.decompress(r["bytes"]) for r in rows)
+            order = np.lexsort((at, block, doc))
+            end = np.cumsum(size + length - 1)
+            starts, stops = (end - size - length + 1)[order].tolist(), end[order].tolist()
+            flags, upto = repeats_in([data[x:y] for x, y in zip(starts, stops)], length)
+            # runs of repeats within a piece
+            before = np.concatenate([[False], flags[:-1]])
+            before[(upto - size[order])] = False
+            begins = np.flatnonzero(flags & ~before)
+            after = np.concatenate([flags[1:], [False]])
+            after[upto - 1] = False
+            n_repeats = np.flatnonzero(flags & ~after) - begins + 1
+            piece = np.searchsorted(upto, begins, side="right")
+            where = order[piece]
+            place = at[where] + begins - (upto - size[order])[piece]
+            by = np.argsort(block[where], kind="stable")
+            out += [(int(block[where[by[i]]]), _ranges(place[by[i:j]], n_repeats[by[i:j]])) for i, j in _cuts(block[where[by]])]
         return _table(REMOVED, out)
 
     kept_schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
