@@ -46,24 +46,26 @@ from barlake.llm.common import slices, small_side, stored
 MIN_DOCS = 3
 TOP_TERMS = 200
 #: Terms and sources in a cell, about; columns multiplied at once; terms a task holds before it sends them.
-CELL_TERMS, CELL_SOURCES, TILE, HELD = 4096, 64, 1024, 300_000
+CELL_TERMS, CELL_SOURCES, TILE, HELD = 4096, 64, 1024, 400_000
 
 #: Bytes of terms, A-Z as a-z, and spaces for all others.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents of each term in each group."""
+    """(lang, source, term, n, docs): occurrences and documents of each term in each group, dealt out by (lang, term)."""
     names = ["lang", "source", "term", "n", "docs"]
+    low = (1 << 40) - 1  # a number holds both counts: documents in its low bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        held: dict[tuple[str, str], dict[bytes, int]] = {}
 
         def send() -> Iterator[pa.RecordBatch]:
             for (lang, source), terms in held.items():
-                n = np.array(list(terms.values()), np.int64)
-                same = [pa.array([v] * len(terms), pa.string()) for v in (lang, source)]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(list(terms), pa.binary()), pa.array(n[:, 0]), pa.array(n[:, 1])], names)
+                if terms:
+                    same = [pa.array([v] * len(terms), pa.string()) for v in (lang, source)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(list(terms), pa.binary()), pa.array([v >> 40 for v in terms.values()], pa.int64()),
+                                                      pa.array([v & low for v in terms.values()], pa.int64())], names)
             held.clear()
 
         size = 0
@@ -72,21 +74,19 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 for lang, source, text in zip(*(cut.column(c).to_pylist() for c in ("lang", "source", "text"))):
                     terms = held.setdefault((lang, source), {})
                     size -= len(terms)
+                    known = terms.get
                     for term, n in Counter(text.translate(_BYTES).split()).items():
-                        if (at := terms.get(term)) is None:
-                            terms[term] = [n, 1]
-                        else:
-                            at[0] += n
-                            at[1] += 1
+                        terms[term] = known(term, 0) + (n << 40) + 1
                     size += len(terms)
                     if size > HELD:
-                        yield from (b for b in send() if b.num_rows)
+                        yield from send()
                         size = 0
-        yield from (b for b in send() if b.num_rows)
+        yield from send()
 
     found = docs.select("lang", "source", F.col("text").cast("binary").alias("text")).mapInArrow(count, "lang string, source string, term binary, n bigint, docs bigint")
-    return (found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-            .withColumn("term", F.col("term").cast("string")))
+    # tasks have summed their own terms; one exchange serves the sums by group and, in the audit, those by language
+    dealt = found.withColumn("term", F.col("term").cast("string")).repartition("lang", "term")
+    return dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(n: Column | str, total: Column | str, terms: Column | str) -> Column:
@@ -106,31 +106,29 @@ class Audit:
 
     def __init__(self, docs: DataFrame, min_docs: int = MIN_DOCS):
         docs = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-        counts = stored(term_counts(docs), "term-counts")
-        kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
-        kept = stored(kept, "kept-terms")
-        langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-        # rows of a block are numbered within it
-        block = F.pmod(F.xxhash64("term"), F.lit(1) + F.expr(f"terms div {CELL_TERMS}")).cast("int")
-        rows = (kept.join(small_side(stored(langs, "languages")), "lang").withColumn("block", block)
-                .withColumn("row", F.row_number().over(Window.partitionBy("lang", "block").orderBy("term")) - 1))
-        #: (lang, term, source, n, lang_n, terms, lang_total, block, row)
-        self.counts = stored(counts.drop("docs").join(rows, ["lang", "term"]), "kept-counts")
+        term = Window.partitionBy("lang", "term")
+        every = term.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        counts = term_counts(docs).select("lang", "term", "source", "n", F.sum("n").over(every).alias("lang_n"), F.sum("docs").over(every).alias("docs"),
+                                          (F.row_number().over(term.orderBy("source")) == 1).alias("first")).where(F.col("docs") >= min_docs).drop("docs")
+        counts = stored(counts, "kept-counts")
+        langs = stored(counts.where("first").groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total")), "languages")
+        #: (lang, term, source, n, lang_n, terms, lang_total)
+        self.counts = counts.drop("first").join(small_side(langs), "lang")
         totals = self.counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-        every = docs.select("lang", "source").distinct()
         #: (lang, source, total, terms): every group, with the number of kept terms of its language
-        self.groups = stored(every.join(totals, ["lang", "source"], "left").join(small_side(stored(langs.drop("lang_total"), "language-terms")), "lang", "left")
+        self.groups = stored(docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(small_side(langs.drop("lang_total")), "lang", "left")
                              .fillna(0, ["total", "terms"]), "groups")
 
     def joint_tables(self) -> DataFrame:
         """(lang, source, n, other, other_n, terms): kept terms with these counts, both above 0, for source < other."""
         sources = self.groups.groupBy("lang").agg(F.count("*").alias("sources"))
-        part = F.pmod(F.xxhash64("source"), F.lit(1) + F.expr(f"sources div {CELL_SOURCES}")).cast("int")
-        cells = (self.counts.join(small_side(stored(sources, "language-sources")), "lang").withColumn("part", part)
-                 .groupBy("lang", "block", "part").agg(F.collect_list(F.struct("row", "source", "n")).alias("c"))
-                 .select("lang", "block", "part", F.col("c.row").alias("rows"), F.col("c.source").alias("sources"), F.col("c.n").alias("ns")))
+        dealt = lambda name, parts: F.pmod(F.xxhash64(name), F.lit(1) + F.expr(parts)).cast("int")
+        cells = (self.counts.join(small_side(stored(sources, "language-sources")), "lang")
+                 .groupBy("lang", dealt("term", f"terms div {CELL_TERMS}").alias("block"), dealt("source", f"sources div {CELL_SOURCES}").alias("part"))
+                 .agg(F.collect_list(F.struct("term", "source", "n")).alias("c"))
+                 .select("lang", "block", "part", *[F.col(f"c.{x}").alias(f"{x}s") for x in ("term", "source", "n")]))
         cells = stored(cells, "level-cells")
-        other = cells.select("lang", "block", *[F.col(c).alias(f"other_{c}") for c in ("part", "rows", "sources", "ns")])
+        other = cells.select("lang", "block", *[F.col(c).alias(f"other_{c}") for c in ("part", "terms", "sources", "ns")])
         pairs = cells.join(other, ["lang", "block"]).where("part <= other_part")
         schema = "lang string, source string, n bigint, other string, other_n bigint, terms bigint"
         return pairs.mapInArrow(_products, schema).groupBy("lang", "source", "n", "other", "other_n").agg(F.sum("terms").alias("terms"))
@@ -179,11 +177,11 @@ class Audit:
 
 
 class _Levels:
-    """The columns (source, level) of a cell, and its indicator matrix by tiles."""
+    """The columns (source, level) of a cell, and its indicator matrix by tiles; ``row``: the number of each entry's term."""
 
-    def __init__(self, rows: pa.Scalar, sources: pa.Scalar, ns: pa.Scalar):
-        row, n = rows.values.to_numpy(zero_copy_only=False), ns.values.to_numpy(zero_copy_only=False)
-        named = sources.values.dictionary_encode()
+    def __init__(self, row: np.ndarray, sources: pa.Array, ns: pa.Array):
+        n = ns.to_numpy(zero_copy_only=False)
+        named = sources.dictionary_encode()
         code = named.indices.to_numpy(zero_copy_only=False)
         self.names = named.dictionary
         order = np.lexsort((n, code))
@@ -194,7 +192,6 @@ class _Levels:
         self.code, self.n = c[new], m[new]
         by = np.argsort(column, kind="stable")
         self.row, self.column = row[by], column[by]
-        self.height = int(row.max()) + 1
 
     def tiles(self, height: int) -> Iterator[tuple[int, np.ndarray]]:
         for at in range(0, len(self.n), TILE):
@@ -209,9 +206,12 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["lang", "source", "n", "other", "other_n", "terms"]
     for batch in batches:
         for k in range(batch.num_rows):
-            cell = [_Levels(*(batch.column(f"{side}{c}")[k] for c in ("rows", "sources", "ns"))) for side in ("", "other_")]
+            values = [[batch.column(f"{side}{c}")[k].values for c in ("terms", "sources", "ns")] for side in ("", "other_")]
+            rows = pa.concat_arrays([values[0][0], values[1][0]]).dictionary_encode()
+            height, row = len(rows.dictionary), rows.indices.to_numpy(zero_copy_only=False)
+            cut = len(values[0][0])
+            cell = [_Levels(row[:cut], *values[0][1:]), _Levels(row[cut:], *values[1][1:])]
             same = batch.column("part")[k].as_py() == batch.column("other_part")[k].as_py()
-            height = max(c.height for c in cell)
             for at, z in cell[0].tiles(height):
                 for other_at, other in cell[1].tiles(height):
                     if same and other_at < at:  # there the product is the other's transpose
