@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from barlake.operators.ordered import ordered_prefix_sums
 from barlake.schema import PRICE
-from barlake.session import path_exists
+from barlake.session import materialize, path_exists
 
 
 def check_unique_keys(updates: DataFrame, keys: list[str]) -> None:
@@ -88,7 +88,7 @@ def replace_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> Da
 # ---------------------------------------------------------------- catalogue
 def assign_new_ids(catalogue: DataFrame, new_symbols: DataFrame, symbol: str = "symbol") -> DataFrame:
     """Ids for new symbols: max(existing id) + 1, 2, ... in symbol order, distributed."""
-    ones = new_symbols.select(symbol).distinct().withColumn("_one", F.lit(1))
+    ones = materialize(new_symbols.select(symbol).distinct()).withColumn("_one", F.lit(1))
     numbered = ordered_prefix_sums(ones, [], symbol, ["_one"])
     base = F.coalesce(catalogue.agg(F.max("id")).scalar(), F.lit(0))
     return numbered.select(symbol, (base + F.col("cum__one")).cast("bigint").alias("id"))
@@ -177,9 +177,11 @@ def upsert_partitioned_table(target_path: str, updates: DataFrame, keys: list[st
 
     The target is read restricted to those partitions (a semi-join on the
     partition column lets dynamic partition pruning skip the rest), merged,
-    and written back; other partitions are never read nor rewritten.
+    and written back; other partitions are never read nor rewritten.  The update
+    is stored first: the check, the list of partitions and the merge see the same rows.
     """
     spark = updates.sparkSession
+    updates = materialize(updates)
     check_unique_keys(updates, keys)
     if path_exists(spark, target_path):  # any error in reading it stops the upsert before it writes
         target = spark.read.parquet(target_path)

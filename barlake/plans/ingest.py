@@ -3,8 +3,8 @@
 Silver bars are Parquet partitioned by ``market/asset_type`` (clustered by
 symbol, sorted by date inside files); the catalogue is one Parquet table.
 Gold bars are partitioned by ``month`` and upserted with dynamic partition
-overwrite; the gold catalogue is kept as numbered snapshots (never read and
-overwritten in place).
+overwrite; the gold catalogue is kept as snapshots with a commit record (never
+read and overwritten in place).
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.clean import clean_bars, quality_report
-from barlake.operators.instruments import empty_catalogue
 from barlake.operators.upsert import (
     PREDICTION_KEYS, symbol_ids, to_gold_bars, upsert_instruments, upsert_partitioned_table, upsert_predictions,
     write_partitions,
 )
+from barlake.plans.snapshots import is_committed, read_snapshot, write_snapshot
+from barlake.schema import INSTRUMENTS_SCHEMA
 from barlake.session import path_exists
 from barlake.sources.bronze import extract_market
 from barlake.sources.tables import read_silver
@@ -48,18 +49,28 @@ def ingest(spark: SparkSession, raw_root: str, interim_root: str, market: str,
     return {"tickers": spark.read.parquet(os.path.join(interim_root, "tickers")).count()}
 
 
-def _snapshot_root(gold_root: str) -> str:
+def _catalogue_root(gold_root: str) -> str:
     return os.path.join(gold_root, "instruments")
 
 
 def read_gold_catalogue(spark: SparkSession, gold_root: str) -> DataFrame:
-    """The newest catalogue snapshot, or an empty catalogue."""
-    root = _snapshot_root(gold_root)
-    if not path_exists(spark, root):
-        return empty_catalogue(spark)
-    snaps = spark.read.parquet(root)
-    latest = snaps.agg(F.max("snapshot")).first()[0]
-    return snaps.where(F.col("snapshot") == latest).drop("snapshot")
+    """The newest committed catalogue, or an empty one."""
+    return read_snapshot(spark, _catalogue_root(gold_root), INSTRUMENTS_SCHEMA)
+
+
+def load_catalogue(spark: SparkSession, gold_root: str, instruments: DataFrame, now: Column | None = None, tag: str | None = None) -> None:
+    """U1 persisted: the upserted catalogue becomes the next snapshot.  A ``tag`` that is committed already is left at that."""
+    root = _catalogue_root(gold_root)
+    if tag is None or not is_committed(spark, root, tag):
+        write_snapshot(upsert_instruments(read_gold_catalogue(spark, gold_root), instruments, now), root, tag)
+
+
+def load_bars(spark: SparkSession, gold_root: str, bars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """U2 persisted: bars of known symbols into the months they belong to.  (Rows with their ids, unknown symbols.)"""
+    matched, unknown = symbol_ids(read_gold_catalogue(spark, gold_root), bars)
+    gold = to_gold_bars(matched).withColumn("month", F.trunc("date", "MM"))
+    upsert_partitioned_table(os.path.join(gold_root, "ohlcv"), gold, ["ticker_id", "date"], "month")
+    return matched, unknown
 
 
 def load_to_gold(spark: SparkSession, interim_root: str, gold_root: str, market: str | None = None,
@@ -77,20 +88,10 @@ def load_to_gold(spark: SparkSession, interim_root: str, gold_root: str, market:
         updates = updates.where(F.col("market") == market)
     if asset_types:
         updates = updates.where(F.col("asset_type").isin(sorted(asset_types)))
-    current = read_gold_catalogue(spark, gold_root)
-    merged = upsert_instruments(current, updates, now)
-    root = _snapshot_root(gold_root)
-    n = 0
-    if path_exists(spark, root):
-        n = (spark.read.parquet(root).agg(F.max("snapshot")).first()[0] or 0) + 1
-    merged.withColumn("snapshot", F.lit(n)).write.mode("append").partitionBy("snapshot").parquet(root)
-    catalogue = read_gold_catalogue(spark, gold_root)
-
+    load_catalogue(spark, gold_root, updates, now)
     bars = read_silver(spark, os.path.join(interim_root, "ohlcv"), market, tuple(sorted(asset_types)) if asset_types else None)
-    matched, unknown = symbol_ids(catalogue, bars)
+    matched, unknown = load_bars(spark, gold_root, bars)
     unknown.write.mode("overwrite").parquet(os.path.join(gold_root, "unknown_symbols"))
-    gold = to_gold_bars(matched).withColumn("month", F.trunc("date", "MM"))
-    upsert_partitioned_table(os.path.join(gold_root, "ohlcv"), gold, ["ticker_id", "date"], "month")
     return matched.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows_loaded"))
 
 

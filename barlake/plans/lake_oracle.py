@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from barlake.plans.lake_queries import FOLDERS, HEADERS
-from barlake.plans.oracle import CAT, bars_with, feature_query, gold
+from barlake.plans.lake_queries import FOLDERS, HEADERS, INVALID, LIMIT, OTHER_SUFFIX
+from barlake.plans.oracle import CAT, bars_with, dec, feature_query, gold
 from barlake.plans.sqltext import out
 
 _Q = lambda values: "[" + ", ".join("'" + v.replace("\r", "' || chr(13) || '") + "'" for v in values) + "]"
@@ -42,7 +42,36 @@ parsed AS (
   FROM fields)
 """
 
+_FILES = _PARSED + f""",
+files AS (
+  SELECT symbol, market, asset_type, date, open, high, low, close, volume, open_interest FROM parsed
+  WHERE reason IS NULL AND CAST(regexp_extract(symbol, '[0-9]+') AS INTEGER) % 7 <> {OTHER_SUFFIX}
+  UNION ALL
+  SELECT lpad(l_suppkey::VARCHAR, 4, '0') || 'X.JP', 'jp', 'stock', l_shipdate::DATE, 1, 1, 2, 1, 5, 0 FROM lineitem WHERE l_suppkey % 9 = {INVALID})
+"""
+
+_DROPS = """
+drops AS (
+  SELECT 1 AS n, upper(symbol) AS symbol, asset_type, date, open, high, low, close, volume FROM bars WHERE asset_type = 'stock' AND date >= DATE '1996-07-01'
+  UNION ALL SELECT 2, upper(symbol), asset_type, date, open, high, low, close, volume FROM bars WHERE asset_type = 'stock' AND date < DATE '1996-07-01'
+  UNION ALL SELECT 3, upper(symbol), asset_type, date, open, high, low, close + 1, volume FROM bars WHERE asset_type = 'stock' AND date >= DATE '1998-01-01'
+  UNION ALL SELECT 3, symbol, asset_type, date, open, high, low, close, volume FROM bars WHERE asset_type = 'index'),
+seen AS (SELECT symbol, min(n) AS first_n, max(n) AS last_n, min(date) AS listed_at, any_value(asset_type) AS asset_type FROM drops GROUP BY symbol),
+numbered AS (SELECT *, row_number() OVER (ORDER BY first_n, symbol) AS ticker_id FROM seen),
+newest AS (SELECT symbol, date, arg_max(struct_pack(open := open, high := high, low := low, close := close, volume := volume), n) AS b FROM drops GROUP BY symbol, date)
+"""
+
 ORACLE = {
+    "bronze_files": _FILES + "SELECT * FROM files",
+    "bronze_ingest": _FILES + f""",
+asked AS (SELECT DISTINCT symbol FROM files ORDER BY symbol LIMIT {LIMIT})
+SELECT symbol, min(market) AS market, min(asset_type) AS asset_type, CASE WHEN min(asset_type) = 'stock' THEN symbol[1] || '000' END AS sector_code, min(date) AS listed_at,
+       count(DISTINCT CASE WHEN open > 0 AND high > 0 AND low > 0 AND close > 0 AND high >= low THEN date END) AS n_bars
+FROM files SEMI JOIN asked USING (symbol) GROUP BY symbol HAVING n_bars > 0""",
+    "stream_ingest": bars_with(_DROPS) + f"""
+SELECT ticker_id, symbol, asset_type, listed_at, '2025-01-0' || first_n AS created, '2025-01-0' || last_n AS updated, date,
+       {", ".join(f"CAST({dec('b.' + c)} AS DOUBLE) AS {c}" for c in ("open", "high", "low", "close"))}, b.volume AS volume, {out("b.close")} AS silver_close
+FROM newest JOIN numbered USING (symbol)""",
     "bronze_parse": _PARSED + "SELECT symbol, market, asset_type, date, open, high, low, close, volume, open_interest FROM parsed WHERE reason IS NULL",
     "bronze_rejects": _PARSED + "SELECT file_path, line, reason FROM parsed WHERE reason IS NOT NULL",
     "bronze_instruments": _PARSED + """

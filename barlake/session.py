@@ -26,6 +26,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # fits that run side by side share the executors instead of queueing
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -101,8 +103,51 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The store of a path (any file system that Spark reads), and the path there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists in its own store (any file system that Spark reads)."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    """Whether a path exists in its own store."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder."""
+    fs, where = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.mkdirs(where)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file within its store, making the target's folder."""
+    fs, old = _file_system(spark, source)
+    new = _file_system(spark, target)[1]
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def files_below(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Paths of the files below a folder whose names end so; none if there is no such folder."""
+    fs, where = _file_system(spark, path)
+    if not fs.exists(where):
+        return []
+    found, files = [], fs.listFiles(where, True)
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if name.endswith(suffix):
+            found.append(name)
+    return found

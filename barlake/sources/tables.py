@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.schema import BARS_SCHEMA, INSTRUMENTS_SCHEMA
+from barlake.session import path_exists
 
 
 def read_silver(spark: SparkSession, silver_root: str, market: str | None = None,
@@ -29,7 +28,7 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """Processed feature matrix; a missing path is an error, not an empty frame."""
-    if "://" not in path and not os.path.exists(path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"Features not found at {path} - build them first")
     return spark.read.parquet(path)
 
