@@ -20,8 +20,13 @@ import json
 import os
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial, reduce
+from queue import Queue
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
@@ -117,7 +122,8 @@ def probability_column() -> Column:
 
 
 def fit(model_name: str, train: DataFrame, feature_cols: list[str], params: dict | None = None,
-        validation: DataFrame | None = None) -> PipelineModel:
+        validation: DataFrame | None = None, medians: dict[str, float] | None = None) -> PipelineModel:
+    """``medians``: those of the training rows, if they are known already."""
     if model_name not in MODELS:
         raise KeyError(f"unknown model {model_name!r}; there are {sorted(MODELS)}")
     stages, defaults = MODELS[model_name]
@@ -126,7 +132,8 @@ def fit(model_name: str, train: DataFrame, feature_cols: list[str], params: dict
     if validated:
         data = data.withColumn("is_val", F.lit(False)).unionByName(validation.withColumns({"weight": F.lit(1.0), "is_val": F.lit(True)}))
     own = {**defaults, **(params or {}), "n_rows": n, "validated": validated}
-    return Pipeline(stages=[impute_medians(feature_cols, fitted_medians(train, feature_cols)), *stages(feature_cols, own)]).fit(data)
+    medians = fitted_medians(train, feature_cols) if medians is None else medians
+    return Pipeline(stages=[impute_medians(feature_cols, medians), *stages(feature_cols, own)]).fit(data)
 
 
 def score_frame(model: PipelineModel, df: DataFrame, model_name: str, threshold: float = 0.5,
@@ -141,6 +148,32 @@ def score_frame(model: PipelineModel, df: DataFrame, model_name: str, threshold:
     )
 
 
+def side_by_side(spark: SparkSession, tasks: list[Callable[[], Any]], parallelism: int) -> list[Any]:
+    """The results of ``tasks``, ``parallelism`` of which run at a time.
+
+    Each worker's jobs go to a scheduler pool of its own (fair between pools where
+    ``spark.scheduler.mode`` is FAIR), so that the tails of one fit leave no executor idle.
+    """
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    pools: Queue[str] = Queue()
+    for i in range(parallelism):
+        pools.put(f"fit-{i}")
+
+    def run(task: Callable[[], Any]) -> Any:
+        pool = pools.get()
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+        try:
+            return task()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            pools.put(pool)
+
+    with ThreadPoolExecutor(parallelism) as workers:
+        running = [workers.submit(inheritable_thread_target(spark)(partial(run, t))) for t in tasks]
+        return [r.result() for r in running]
+
+
 @dataclass
 class TrainResult:
     run_id: str
@@ -151,8 +184,11 @@ class TrainResult:
 
 def train_one_model(spark: SparkSession, features: DataFrame, model_name: str, train_start, train_end, val_start,
                     val_end, n_splits: int = 1, embargo_days: int = 5, horizon_days: int = 5,
-                    params: dict | None = None, expanding: bool = True) -> TrainResult:
-    """M5: walk-forward folds -> fit/score/metrics per fold -> final refit."""
+                    params: dict | None = None, expanding: bool = True, parallelism: int = 1) -> TrainResult:
+    """M5: walk-forward folds -> fit/score/metrics per fold -> final refit.
+
+    ``parallelism`` of these fits run at a time; the result does not depend on it.
+    """
     label_col = f"label_direction_{horizon_days}d"
     feature_cols = input_columns()
     folds = walk_forward_splits(spark, train_start, train_end, val_start, val_end, n_splits, embargo_days, expanding)
@@ -160,30 +196,29 @@ def train_one_model(spark: SparkSession, features: DataFrame, model_name: str, t
     # written once to the checkpoint folder: every fold, every solver iteration
     # and the refit read a short lineage instead of the feature pipeline
     data = materialize(prepare(features, feature_cols, label_col))
-    run_id = uuid.uuid4().hex
-    per_fold = []
-    for b in bounds:
-        d = F.col("date")
+    d = F.col("date")
+
+    def one_fold(b: dict) -> DataFrame | None:
         train = data.where(d.between(F.lit(b["train_start"]), F.lit(b["train_end"])))
         val = data.where(d.between(F.lit(b["val_start"]), F.lit(b["val_end"])))
         if train.isEmpty() or val.isEmpty():
-            continue
+            return None
         cols = usable_features(train, feature_cols)
         model = fit(model_name, train, cols, params, validation=val)
         scored = score_frame(model, val, model_name, horizon_days=horizon_days)
-        m = compute_metrics(scored.withColumn("fold", F.lit(b["fold"])), ["fold"],
-                            score="predicted_probability", label="label")
-        per_fold.append(m.withColumn("model_name", F.lit(model_name)))
+        m = compute_metrics(scored.withColumn("fold", F.lit(b["fold"])), ["fold"], score="predicted_probability", label="label")
+        return materialize(m.withColumn("model_name", F.lit(model_name)))  # computed here, beside the other folds
+
+    def refit() -> PipelineModel | None:
+        full = data.where(d.between(F.lit(bounds[-1]["train_start"]), F.lit(bounds[-1]["val_end"])))
+        return fit(model_name, full, usable_features(full, feature_cols), params) if not full.isEmpty() else None
+
+    run_id = uuid.uuid4().hex
     if not bounds:
         return TrainResult(run_id, None, None, feature_cols)
-    last = bounds[-1]
-    full = data.where(F.col("date").between(F.lit(last["train_start"]), F.lit(last["val_end"])))
-    final = fit(model_name, full, usable_features(full, feature_cols), params) if not full.isEmpty() else None
-    metrics = None
-    if per_fold:
-        metrics = per_fold[0]
-        for m in per_fold[1:]:
-            metrics = metrics.unionByName(m)
+    *per_fold, final = side_by_side(spark, [*[partial(one_fold, b) for b in bounds], refit], parallelism)
+    per_fold = [m for m in per_fold if m is not None]
+    metrics = reduce(DataFrame.unionByName, per_fold) if per_fold else None
     return TrainResult(run_id, final, metrics, feature_cols)
 
 
@@ -226,24 +261,31 @@ def latest_finished_run(runs: DataFrame, model_name: str) -> DataFrame:
 
 
 def train_all(spark: SparkSession, features: DataFrame, runs_root: str, split: dict, models: dict[str, dict],
-              horizon_days: int = 5) -> dict[str, str | None]:
-    """M6: train every enabled model; one model's failure is recorded, not raised."""
-    out: dict[str, str | None] = {}
-    for name, spec in models.items():
-        if not spec.get("enabled", True):
-            continue
-        asked = {"model": name, "horizon_days": horizon_days, **split, **(spec.get("params") or {})}
+              horizon_days: int = 5, parallelism: int = 1) -> dict[str, str | None]:
+    """M6: train every enabled model; one model's failure is recorded, not raised.
+
+    ``parallelism`` models are trained at a time, and so many fits of each; their records
+    are written one after another when all have ended.
+    """
+    enabled = {name: spec for name, spec in models.items() if spec.get("enabled", True)}
+
+    def train(name: str, spec: dict) -> tuple[TrainResult | None, str | None, str | None]:
         try:
-            res = train_one_model(spark, features, name, horizon_days=horizon_days, params=spec.get("params"), **split)
+            res = train_one_model(spark, features, name, horizon_days=horizon_days, params=spec.get("params"), parallelism=parallelism, **split)
             path = None
             if res.model is not None:
                 path = os.path.join(runs_root, "models", res.run_id)
                 res.model.write().overwrite().save(path)
-            record_run(spark, runs_root, name, res, asked, "FINISHED", path)
-            out[name] = res.run_id
+            return res, path, None
         except Exception as e:  # noqa: BLE001 - isolate one model's failure (reference behaviour)
-            record_run(spark, runs_root, name, None, asked, "FAILED", error=f"{type(e).__name__}: {e}"[:2000])
-            out[name] = None
+            return None, None, f"{type(e).__name__}: {e}"[:2000]
+
+    out: dict[str, str | None] = {}
+    found = side_by_side(spark, [partial(train, name, spec) for name, spec in enabled.items()], parallelism)
+    for (name, spec), (res, path, error) in zip(enabled.items(), found):
+        asked = {"model": name, "horizon_days": horizon_days, **split, **(spec.get("params") or {})}
+        record_run(spark, runs_root, name, res, asked, "FINISHED" if res else "FAILED", path, error)
+        out[name] = res.run_id if res else None
     return out
 
 
