@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barlake.operators.ordered import ordered_prefix_sums
+
 
 def get_instrument(catalogue: DataFrame, symbol: str) -> DataFrame:
     """Q1: exact match on the upper-cased symbol (zero rows = not found)."""
@@ -39,6 +41,35 @@ def list_instruments(catalogue: DataFrame, page: int = 1, page_size: int = 50, *
     return wanted.withColumn("total", matches.agg(F.count("*")).scalar())
 
 
+def number_pages(catalogue: DataFrame, page_size: int = 50, **conditions) -> DataFrame:
+    """O2 + O3 for all pages at once: matching rows with ``page`` (as ``list_instruments`` cuts them), ``total`` and ``pages``.
+
+    A row's page follows from the number of symbols up to it, a distributed running
+    count: one plan, however many pages there are, and no global sort.
+    """
+    if not 1 <= page_size <= MAX_PAGE:
+        raise ValueError(f"pages hold 1 to {MAX_PAGE} rows")
+    matches = reduce(DataFrame.where, instrument_conditions(**conditions), catalogue)
+    numbered = ordered_prefix_sums(matches.withColumn("_one", F.lit(1)), [], "symbol", ["_one"])
+    total = matches.agg(F.count("*")).scalar()
+    return numbered.select(*catalogue.columns, F.expr(f"int((cum__one - 1) div {page_size} + 1)").alias("page"), total.alias("total"),
+                           F.ceil(total / page_size).cast("int").alias("pages"))
+
+
+def page_ranges(catalogue: DataFrame, page_size: int = 50, **conditions) -> DataFrame:
+    """(page, first_symbol, last_symbol, n_rows): the range of keys of each page, for readers that fetch pages by key."""
+    return number_pages(catalogue, page_size, **conditions).groupBy("page").agg(
+        F.min("symbol").alias("first_symbol"), F.max("symbol").alias("last_symbol"), F.count("*").alias("n_rows"))
+
+
+def page_after(catalogue: DataFrame, last_symbol: str | None, page_size: int = 50, **conditions) -> DataFrame:
+    """The page that follows a symbol (None: the first): a filter on the key and the least rows of each task, no offset."""
+    matches = reduce(DataFrame.where, instrument_conditions(**conditions), catalogue)
+    if last_symbol is not None:
+        matches = matches.where(F.col("symbol") > last_symbol)
+    return matches.orderBy("symbol").limit(page_size)
+
+
 def page_count(total: int, page_size: int) -> int:
     """O3: ceil(total / size)."""
     return (total + page_size - 1) // page_size if total else 0

@@ -13,7 +13,9 @@ prefix sum instead:
 4. running sum + offset = the exact group-wide running sum.
 
 The bucket depends on the value alone, so both branches agree whatever the
-physical layout, and nothing has to be written in between.
+physical layout, and nothing has to be written in between.  Strings are cut at
+sampled quantiles; as their column is counted and sampled first, it should be
+a stored one.
 """
 
 from __future__ import annotations
@@ -26,17 +28,41 @@ from barlake.functions.numeric import fdiv
 
 #: Buckets for each doubling of a number; a number has at most 1,044 doublings on each side of 0.
 PER_OCTAVE = 256
+#: Strings in a bucket, about; sampled strings for each bound between buckets; bounds at most, and how many a first look skips.
+PER_BUCKET, SAMPLED, MAX_BOUNDS, SKIP = 4096, 16, 4096, 64
 _NAN, _NULL = 1 << 39, 1 << 40
 
 
+def string_bounds(df: DataFrame, name: str) -> list[str]:
+    """Bounds that cut the strings of a column into even parts of about ``PER_BUCKET``, from a sample of bounded size.
+
+    The sample is those of least hash, so it depends on the strings alone and
+    follows their order whatever they have in common.
+    """
+    parts = min(df.count() // PER_BUCKET, MAX_BOUNDS)
+    if not parts:
+        return []
+    sample = df.where(F.col(name).isNotNull()).select(name).orderBy(F.xxhash64(name), name).limit(SAMPLED * parts).collect()
+    ordered = sorted({r[0] for r in sample})
+    return sorted({ordered[len(ordered) * i // (parts + 1)] for i in range(1, parts + 1)})
+
+
+def string_bucket(c: Column, bounds: list[str]) -> Column:
+    """The number of ``bounds`` (rising) that are not above the string, found in two looks."""
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    upto = lambda some: F.size(F.filter(some, lambda b: b <= c))
+    start = (F.greatest(upto(F.lit(bounds[::SKIP])), F.lit(1)) - 1) * SKIP
+    return (start + upto(F.slice(F.lit(bounds), start + 1, SKIP))).cast("bigint")
+
+
 def value_bucket(df: DataFrame, name: str, descending: bool) -> Column:
     """A bucket that follows the order of a numeric, date or string column; NaN and NULL come as they sort."""
     c, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, StringType):
         if descending:
             raise ValueError("strings are only bucketed in ascending order")
-        # code points of the first two characters
-        place = F.coalesce(F.ascii(c).cast("bigint"), F.lit(0)) * (1 << 21) + F.ascii(F.substring(c, 2, 1))
+        place = string_bucket(c, string_bounds(df, name))
     elif isinstance(kind, DateType):
         place = F.floor(F.unix_date(c) / 16).cast("bigint")
     elif isinstance(kind, NumericType):

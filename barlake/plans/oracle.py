@@ -11,6 +11,7 @@ from barlake.plans import sqltext as s
 from barlake.plans.sqltext import out
 
 RETURN_PERIODS = (1, 5, 10, 20, 60)
+_PRICE_WINDOWS, _VOLUME_WINDOWS, _SLIDING_WINDOWS = (5, 20, 60, 300), (5, 20, 250), (5, 60, 250, 1000)
 
 
 def _o(col: str) -> str:
@@ -177,6 +178,9 @@ ORACLE: dict[str, str] = {
     "cross_sectional_rank": bars_with(*technical_ctes("bars"),
         "ranked AS (SELECT *, " + ", ".join(rank_sql(c, True) for c in ("returns_5d", "returns_20d", "returns_60d")) + " FROM tech)")
         + select_out(["symbol", "date"], ["returns_5d", "returns_5d_rank", "returns_20d_rank", "returns_60d_rank"], source="ranked"),
+    "cross_sectional_rank_spread": bars_with(*technical_ctes("bars"),
+        "ranked AS (SELECT *, " + ", ".join(rank_sql(c, True) for c in ("returns_5d", "returns_20d", "returns_60d")) + " FROM tech)")
+        + select_out(["symbol", "date"], ["returns_5d", "returns_5d_rank", "returns_20d_rank", "returns_60d_rank"], source="ranked"),
     "clean_bars": s.with_(s.LINES, *CLEAN_CTES) + select_out(["symbol", "date"], _OHLC, ["volume", "open_interest"], "cleaned"),
     "clean_report": s.with_(s.LINES, *CLEAN_CTES) + """
 SELECT i.symbol, i.rows_in, i.rows_valid, COALESCE(o.rows_out, 0) AS rows_out, i.rows_in - COALESCE(o.rows_out, 0) AS rows_dropped
@@ -373,6 +377,20 @@ preds AS (
   WHERE isfinite(m.p)
 )"""
 
+# the two ranks that predictions are made of, without the other indicators; stored holds what was there, fresh what comes
+RANK_SCORES = ["""
+closes AS MATERIALIZED (SELECT * FROM (SELECT symbol, date, close, count(*) OVER (PARTITION BY symbol) AS n FROM bars) WHERE n >= 250)""", """
+moves AS (
+  SELECT symbol, date, close / lag(close, 5) OVER w - 1 AS returns_5d, close / lag(close, 20) OVER w - 1 AS returns_20d, lead(close, 5) OVER w IS NOT NULL AS labelled
+  FROM closes WINDOW w AS (PARTITION BY symbol ORDER BY date))""", f"""
+two_ranks AS MATERIALIZED (SELECT symbol, date, labelled, {rank_sql('returns_5d', True)}, {rank_sql('returns_20d', True)} FROM moves)""", """
+scores AS MATERIALIZED (
+  SELECT id AS ticker_id, date AS prediction_date, 'rank20' AS model_name, returns_20d_rank AS p FROM two_ranks JOIN cat USING (symbol) WHERE labelled AND isfinite(returns_20d_rank)
+  UNION ALL
+  SELECT id, date, 'rank5', returns_5d_rank FROM two_ranks JOIN cat USING (symbol) WHERE labelled AND isfinite(returns_5d_rank))""", """
+stored AS MATERIALIZED (SELECT *, CASE WHEN prediction_date < DATE '1998-01-01' THEN 1 END AS actual_class FROM scores WHERE prediction_date < DATE '1999-01-01')""", """
+fresh AS MATERIALIZED (SELECT * FROM scores WHERE prediction_date >= DATE '1998-06-01')"""]
+
 GOLD_OUT = "SELECT ticker_id, date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume, open_interest"
 
 ORACLE.update({
@@ -443,22 +461,14 @@ FROM old o FULL OUTER JOIN upd u ON o.symbol = u.symbol LEFT JOIN newids n ON u.
                            f"upd AS ({gold('cleaned')} WHERE b.date >= DATE '1998-07-01')",
                            "merged AS (SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.ticker_id = t.ticker_id AND u.date = t.date) UNION ALL SELECT * FROM upd)")
         + GOLD_OUT + " FROM merged",
-    "upsert_predictions": feature_query(f"""
-SELECT COALESCE(t.ticker_id, u.ticker_id) AS ticker_id, COALESCE(t.prediction_date, u.prediction_date) AS prediction_date,
-  COALESCE(t.horizon_days, u.horizon_days) AS horizon_days, COALESCE(t.model_name, u.model_name) AS model_name,
-  CASE WHEN u.ticker_id IS NOT NULL THEN u.run_id ELSE t.run_id END AS run_id,
-  {out('CASE WHEN u.ticker_id IS NOT NULL THEN u.predicted_probability ELSE t.predicted_probability END')} AS predicted_probability,
-  CASE WHEN u.ticker_id IS NOT NULL THEN u.predicted_class ELSE t.predicted_class END AS predicted_class,
-  CASE WHEN t.ticker_id IS NOT NULL THEN t.actual_class END AS actual_class,
-  t.ticker_id IS NULL AS inserted
-FROM (SELECT ticker_id, prediction_date, horizon_days, model_name, run_id, predicted_probability, predicted_class,
-             CASE WHEN prediction_date < DATE '1998-01-01' THEN 1 END AS actual_class
-      FROM preds WHERE prediction_date < DATE '1999-01-01') t
-FULL OUTER JOIN (SELECT ticker_id, prediction_date, horizon_days, model_name, 'run2' AS run_id,
-                        predicted_probability * 0.5 + 0.25 AS predicted_probability, predicted_class
-                 FROM preds WHERE prediction_date >= DATE '1998-06-01') u
-  ON t.ticker_id = u.ticker_id AND t.prediction_date = u.prediction_date AND t.horizon_days = u.horizon_days AND t.model_name = u.model_name""",
-        extra=[CAT, PREDS]),
+    "upsert_predictions": bars_with(CAT.replace("cat AS (", "cat AS MATERIALIZED (", 1), *RANK_SCORES) + f"""
+SELECT t.ticker_id, t.prediction_date, 5 AS horizon_days, t.model_name, 'run1' AS run_id, {out('t.p')} AS predicted_probability,
+  CAST(t.p >= 0.5 AS INTEGER) AS predicted_class, t.actual_class, false AS inserted
+FROM stored t ANTI JOIN fresh u USING (ticker_id, prediction_date, model_name)
+UNION ALL
+SELECT u.ticker_id, u.prediction_date, 5, u.model_name, 'run2', {out('u.p * 0.5 + 0.25')},
+  CAST(u.p >= 0.5 AS INTEGER), t.actual_class, t.ticker_id IS NULL
+FROM fresh u LEFT JOIN stored t USING (ticker_id, prediction_date, model_name)""",
     "actual_class_fill": feature_query("""
 SELECT model_name, CAST(year(prediction_date) AS INTEGER) AS year, count(*) AS n, count(ac) AS n_known,
   CAST(sum(ac) AS BIGINT) AS n_up, CAST(sum(CASE WHEN ac = predicted_class THEN 1 ELSE 0 END) AS BIGINT) AS n_hit
@@ -584,6 +594,21 @@ WHERE rk <= 3 GROUP BY frequency, date""", extra=[SCORED])
 _BAD = "{c} IS NULL OR isnan(CAST({c} AS DOUBLE))"
 ORACLE |= {
     "requested_bars": bars_with() + f"SELECT symbol, date, {out('close')} AS close FROM bars WHERE symbol IN ('Brand#13', 'Brand#21', '^MKT', 'Brand#99', 'Brand#5', 'Brand#42')",
+    "feature_windows": bars_with("""
+kept AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n_bars FROM bars) WHERE n_bars >= 250)""", f"""
+daily AS (SELECT *, close / lag(close, 1) OVER w - 1 AS r1, lead(close, 5) OVER w AS later, CAST(volume AS DOUBLE) AS v FROM kept WINDOW w AS (PARTITION BY symbol ORDER BY date))""", f"""
+wide AS (
+  SELECT symbol, date, later, {", ".join(f"close / lag(close, {n}) OVER w - 1 AS returns_{n}d, ln(close / lag(close, {n}) OVER w) AS log_returns_{n}d, {s.rolling('stddev_samp', 'r1', n)} AS volatility_{n}d" for n in _PRICE_WINDOWS)},
+         {", ".join(f"(v - {s.rolling('avg', 'v', n)}) / {s.rolling('stddev_samp', 'v', n)} AS volume_zscore_{n}d" for n in _VOLUME_WINDOWS)}
+  FROM daily WINDOW w AS (PARTITION BY symbol ORDER BY date))""", f"ranked AS (SELECT *, {rank_sql('returns_20d', True)} FROM wide)")
+        + select_out(["symbol", "date"], [*[f"{c}_{n}d" for n in _PRICE_WINDOWS for c in ("returns", "log_returns", "volatility")],
+                                          *[f"volume_zscore_{n}d" for n in _VOLUME_WINDOWS], "returns_20d_rank"], source="ranked", where="WHERE later IS NOT NULL"),
+    "sliding_frames": bars_with("slid AS (SELECT symbol, date, " + ", ".join(
+        f"{s.rolling(sql, 'ln(close)', n)} AS {agg}_{n}" for n in _SLIDING_WINDOWS for agg, sql in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")))
+        + " FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date))") + select_out(["symbol", "date"], [f"{agg}_{n}" for n in _SLIDING_WINDOWS for agg in ("mean", "std", "min", "max")], source="slid"),
+    "instrument_page_ranges": bars_with(CAT) + """
+SELECT page, min(symbol) AS first_symbol, max(symbol) AS last_symbol, count(*) AS n_rows
+FROM (SELECT symbol, CAST((row_number() OVER (ORDER BY symbol) - 1) // 4 + 1 AS INTEGER) AS page FROM cat WHERE asset_type = 'stock') GROUP BY page""",
     "instrument_pages": bars_with(CAT) + "SELECT CAST((id - 1) // 7 + 1 AS INTEGER) AS page, symbol, count(*) OVER () AS total, CAST(ceil(count(*) OVER () / 7.0) AS INTEGER) AS pages FROM cat",
     "fill_zero": feature_query("SELECT symbol, date, " + ", ".join(out(f"CASE WHEN {_BAD.format(c=c)} THEN 0.0 ELSE {c} END") + f" AS {c}" for c in INPUTS) + " FROM features"),
     "impute_median": feature_query(applied("CASE WHEN isfinite({x}) THEN {x} ELSE {m} END", m="median"), extra=quantile_ctes(median=0.5)),

@@ -16,7 +16,7 @@ from barlake.functions.numeric import out
 from barlake.operators import technical as T
 from barlake.operators.calendar import CALENDAR_COLUMNS, add_calendar_features
 from barlake.operators.clean import clean_bars, dedupe_first, filter_min_history, quality_report, valid_bar
-from barlake.operators.cross_sectional import RANK_COLUMNS, add_cross_sectional_ranks, add_market_relative_returns
+from barlake.operators.cross_sectional import RANK_COLUMNS, add_cross_sectional_ranks, add_market_relative_returns, add_spread_ranks
 from barlake.operators.labels import with_labels
 from barlake.operators.lag import lag_names, with_lags
 from barlake.plans.features import FeatureSettings, build_feature_frame
@@ -70,6 +70,13 @@ def q_cross_sectional_rank(spark, sf_dir):
     return present(ranked, ["symbol", "date"], ["returns_5d", "returns_5d_rank", "returns_20d_rank", "returns_60d_rank"])
 
 
+def q_cross_sectional_rank_spread(spark, sf_dir):
+    """The ranks of ``cross_sectional_rank``, with a date's rows spread over tasks."""
+    r = T.add_returns(fx.all_bars(spark, sf_dir), (5, 20, 60))
+    ranked = add_spread_ranks(materialize(r), {"returns_5d": True, "returns_20d": True, "returns_60d": True})
+    return present(ranked, ["symbol", "date"], ["returns_5d", "returns_5d_rank", "returns_20d_rank", "returns_60d_rank"])
+
+
 # ---------------------------------------------------------------- step 2
 def q_clean_bars(spark, sf_dir):
     c = clean_bars(fx.raw_bars(spark, sf_dir))
@@ -193,6 +200,7 @@ QUERIES = {
     "returns": q_returns,
     "log_returns": q_log_returns,
     "cross_sectional_rank": q_cross_sectional_rank,
+    "cross_sectional_rank_spread": q_cross_sectional_rank_spread,
     "clean_bars": q_clean_bars,
     "clean_report": q_clean_report,
     "dedupe_first": q_dedupe_first,
@@ -666,7 +674,7 @@ QUERIES["portfolio_capped"] = q_portfolio_capped
 
 
 # ---------------------------------------------------------------- step 13 (small operators on their own)
-from barlake.operators.lookups import page_count  # noqa: E402
+from barlake.operators.lookups import number_pages, page_ranges  # noqa: E402
 
 
 def q_requested_bars(spark, sf_dir):
@@ -676,10 +684,30 @@ def q_requested_bars(spark, sf_dir):
 
 def q_instrument_pages(spark, sf_dir):
     """O1-O3: every page of seven instruments, in order, with the number of pages."""
-    cat = materialize(catalogue(spark, sf_dir))
-    pages = page_count(cat.count(), 7)
-    rows = [list_instruments(cat, page=n, page_size=7).withColumn("page", F.lit(n)) for n in range(1, pages + 1)]
-    return reduce(DataFrame.unionByName, rows).select("page", "symbol", "total", F.lit(pages).alias("pages"))
+    return number_pages(materialize(catalogue(spark, sf_dir)), 7).select("page", "symbol", "total", "pages")
+
+
+#: Window lists beyond the defaults; the sliding frames of the long ones cost no more than those of the short ones.
+PRICE_WINDOWS, VOLUME_WINDOWS, SLIDING_WINDOWS = (5, 20, 60, 300), (5, 20, 250), (5, 60, 250, 1000)
+
+
+def q_feature_windows(spark, sf_dir):
+    """The feature build with configured window lists."""
+    settings = FeatureSettings(market_index_symbol=fx.INDEX_SYMBOL, price_windows=PRICE_WINDOWS, volume_windows=VOLUME_WINDOWS)
+    f = build_feature_frame(fx.all_bars(spark, sf_dir), settings)
+    names = [*[f"{c}_{n}d" for n in PRICE_WINDOWS for c in ("returns", "log_returns", "volatility")], *[f"volume_zscore_{n}d" for n in VOLUME_WINDOWS], "returns_20d_rank"]
+    return present(f, ["symbol", "date"], names)
+
+
+def q_sliding_frames(spark, sf_dir):
+    """Mean, deviation, least and largest logarithm of the close over trailing windows of 5 to 1,000 bars."""
+    specs = [(agg, "level", n, f"{agg}_{n}") for n in SLIDING_WINDOWS for agg in T.SLIDING]
+    return present(T.add_sliding(fx.all_bars(spark, sf_dir).withColumn("level", F.ln("close")), specs), ["symbol", "date"], [s[3] for s in specs])
+
+
+def q_instrument_page_ranges(spark, sf_dir):
+    """The range of keys of each page of four stocks."""
+    return page_ranges(materialize(catalogue(spark, sf_dir)), 4, asset_type="stock")
 
 
 def q_fill_zero(spark, sf_dir):
@@ -724,6 +752,9 @@ def q_latest_run(spark, sf_dir):
 QUERIES.update({
     "requested_bars": q_requested_bars,
     "instrument_pages": q_instrument_pages,
+    "instrument_page_ranges": q_instrument_page_ranges,
+    "feature_windows": q_feature_windows,
+    "sliding_frames": q_sliding_frames,
     "fill_zero": q_fill_zero,
     "impute_median": q_impute_median,
     "drop_sparse": q_drop_sparse,
