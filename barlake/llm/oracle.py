@@ -35,12 +35,12 @@ def _quality_sql() -> str:
     kinds = list(q.RATIOS)
     union = " UNION ALL ".join(
         f"SELECT lang, source, '{c}' AS feature, {c} AS v FROM ratios WHERE NOT base_failed" for c in kinds)
-    level = "SELECT {keys} feature, max(docs) AS docs, min(bucket) FILTER (upto >= (docs * 25 + 99) // 100) AS low, " \
-            "min(bucket) FILTER (upto >= (docs * 75 + 99) // 100) AS high FROM (" \
+    percents = sorted({p for low, high, _ in q.RATIOS.values() for p in (low, high)})
+    level = "SELECT {keys} feature, max(docs) AS docs, " + ", ".join(f"min(bucket) FILTER (upto >= (docs * {p} + 99) // 100) AS q{p}" for p in percents) + " FROM (" \
             "SELECT {keys} feature, bucket, sum(count(*)) OVER (PARTITION BY {part} ORDER BY bucket) AS upto, " \
             "sum(count(*)) OVER (PARTITION BY {part}) AS docs FROM buckets GROUP BY {keys} feature, bucket) GROUP BY {keys} feature"
+    level = "SELECT *, CASE feature " + " ".join(f"WHEN '{c}' THEN q{high} + (q{high} - q{low}) // 2 + {slack}" for c, (low, high, slack) in q.RATIOS.items()) + " END AS fence FROM (" + level + ")"
     levels = ", ".join(f"l{n} AS (" + level.format(keys=k, part=k + "feature") + ")" for n, k in ((2, "lang, source, "), (1, "lang, "), (0, "")))
-    slack = "CASE feature " + " ".join(f"WHEN '{c}' THEN {v}" for c, v in q.RATIOS.items()) + " END"
     fence = ", ".join(f"max(fence) FILTER (feature = '{c}') AS {c}_fence" for c in kinds)
     inside = " AND ".join(f"coalesce({c} <= {c}_fence, false)" for c in kinds)
     return f"""
@@ -66,9 +66,7 @@ buckets AS (
   SELECT lang, source, feature, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket FROM ({union})),
 {levels},
 best AS (
-  SELECT l2.lang, l2.source, feature, coalesce(
-    CASE WHEN l2.docs >= {q.MIN_DOCS} THEN l2.high + 3 * (l2.high - l2.low) END,
-    CASE WHEN l1.docs >= {q.MIN_DOCS} THEN l1.high + 3 * (l1.high - l1.low) END, l0.high + 3 * (l0.high - l0.low)) + {slack} AS fence
+  SELECT l2.lang, l2.source, feature, coalesce(CASE WHEN l2.docs >= {q.MIN_DOCS} THEN l2.fence END, CASE WHEN l1.docs >= {q.MIN_DOCS} THEN l1.fence END, l0.fence) AS fence
   FROM l2 JOIN l1 USING (feature) JOIN l0 USING (feature) WHERE l2.lang IS NOT DISTINCT FROM l1.lang),
 limits AS (SELECT lang, source, {fence} FROM best GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {inside} AS kept,

@@ -2,10 +2,13 @@
 
 Fixed rules come first (too few words, too many words in repeated 5-word
 windows).  Then each of three ratios is held against an upper fence
-``q75 + 3 * (q75 - q25) + slack`` of its (lang, source) group: outliers of a
-group go, whatever is usual in it stays.  Groups with fewer than ``min_docs``
-documents take the fence of their language, languages with fewer that of the
-whole corpus.
+``high + (high - low) / 2 + slack`` of its (lang, source) group, where high and
+low are quantiles: outliers of a group go, whatever is usual in it stays.
+Repeats are rare but honest in most groups, so their high quantile is q99, the
+low one q90.  Symbol junk may be a larger part of a group, so there they are
+q90 and q75: up to a tenth of junk does not move the fence.  Groups with fewer
+than ``min_docs`` documents, too few for a q99, take the fence of their
+language, languages with fewer that of the whole corpus.
 
 Quantiles come from a mergeable sketch: counts of values in buckets that keep
 a value's six leading bits, so a bucket is exact below 64 and at most 1/32 of
@@ -31,11 +34,11 @@ from barlake.llm.common import SPACE, fresh, needed, stored
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MIN_DOCS = 50
+MIN_DOCS = 100
 #: Groups whose fences are broadcast (about 20 MB); more are joined by shuffle.
 BROADCAST_GROUPS = 200_000
-#: Slack of each ratio's upper fence, in parts of 10,000: no repeats are cut that the fixed rule allows, nor less than half of the lines.
-RATIOS = {"symbol_ratio": 200, "dup_line_ratio": 5000, "repeat_ratio": 2000}
+#: Each ratio's low and high quantile (in percent) and the slack of its fence, in parts of 10,000.
+RATIOS = {"symbol_ratio": (75, 90, 200), "dup_line_ratio": (90, 99, 300), "repeat_ratio": (90, 99, 300)}
 _BLANKS = " \t\n\u000b\f\r"
 _SYMBOLS = "#*$%&|<>"
 
@@ -106,9 +109,12 @@ def fences(sketches: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, one fence for each ratio) for each group of the sketch."""
     levels = []
     for groups in (["lang", "source"], ["lang"], []):
-        q = quantiles(merged(sketches, groups), groups, {"low": 25, "high": 75})
-        slack = F.create_map(*[F.lit(x) for kv in RATIOS.items() for x in kv])[F.col("feature")]
-        fence = F.when((F.col("docs") >= min_docs) | F.lit(not groups), F.col("high") + 3 * (F.col("high") - F.col("low")) + slack)
+        percents = {f"q{p}": p for low, high, _ in RATIOS.values() for p in (low, high)}
+        q = quantiles(merged(sketches, groups), groups, percents)
+        fence = F.lit(None).cast("bigint")
+        for name, (low, high, slack) in RATIOS.items():
+            fence = F.when(F.col("feature") == name, F.expr(f"q{high} + (q{high} - q{low}) div 2 + {slack}")).otherwise(fence)
+        fence = F.when((F.col("docs") >= min_docs) | F.lit(not groups), fence)
         n = len(groups)
         levels.append(q.select(*[F.col(g).alias(f"{g}{n}") for g in groups], F.col("feature").alias(f"feature{n}"), fence.alias(f"fence{n}")))
     two, one, none = levels
