@@ -114,7 +114,10 @@ def shingle_sets(texts: pa.Array, n: int = WORDS) -> list[np.ndarray]:
 
 
 def hot_shingles(docs: DataFrame, n_docs: int, share: float = HOT_SHARE, words: int = WORDS) -> np.ndarray:
-    """The most frequent shingles, sorted.  Each task reports those it met three times or more."""
+    """The most frequent shingles, sorted.  Each slice of texts reports those it holds three times or more.
+
+    One that is spread thinner than that stays in the keys, which costs ties and no link.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
@@ -295,40 +298,89 @@ def _linked(shared: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> n
     return 100 * shared >= percent * (a + b - shared)
 
 
+class _Components:
+    """Labels of components; of two that meet, the smaller one is relabelled."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.members: dict[int, list[np.ndarray]] = {}
+
+    def _of(self, c: int) -> list[np.ndarray]:
+        return self.members.get(c) or [np.array([c])]
+
+    def tie(self, x: int, others: np.ndarray) -> None:
+        for c in np.unique(self.label[others]):
+            mine = self.label[x]
+            if c != mine:
+                one, two = self._of(int(mine)), self._of(int(c))
+                if sum(map(len, one)) < sum(map(len, two)):
+                    mine, c, one, two = c, mine, two, one
+                moved = np.concatenate(two)
+                self.label[moved] = mine
+                self.members[int(mine)] = [*one, moved]
+                self.members.pop(int(c), None)
+
+
+#: Sets of a leaf whose distances to all others are taken first.
+LEAF_PIVOTS = 8
+
+
 def join_sets(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(id, least id of its component) for all sets but the least ones: an exact join by pivots."""
+    """(id, least id of its component) for all sets but the least ones: an exact join by pivots.
+
+    A few pivots are compared with all sets.  Two other sets are compared only
+    if they are in different components yet, no pivot separates them, and they
+    share one of their rarest shingles: with all shingles ordered by how many
+    sets hold them, linked sets share one of the first n - ceil(share n) + 1.
+    """
     n = len(ids)
     size = np.fromiter(map(len, sets), np.int64, n)
-    code, token = np.unique(np.concatenate(sets), return_inverse=True)
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.bincount(token)
+    rarity = np.empty(len(held), np.int64)
+    rarity[np.argsort(held, kind="stable")] = np.arange(len(held))
     owner = np.repeat(np.arange(n), size)
-    order = np.argsort(token, kind="stable")
-    start = np.concatenate([[0], np.cumsum(np.bincount(token, minlength=len(code)))])
-    holders = owner[order]  # sets that hold each shingle
+    order = np.lexsort((rarity[token], owner))
+    token = token[order]  # a set's shingles, rarest first
     own = np.concatenate([[0], np.cumsum(size)])
-    comp, open_ = np.arange(n), np.ones(n, bool)
+    first = size + (-percent * size) // 100 + 1
+    leading = np.arange(len(token)) - own[owner] < first[owner]
+    leading &= held[token] > 1
+    by = np.argsort(token[leading], kind="stable")
+    lead_token, lead_owner = token[leading][by], owner[leading][by]
+    start = np.searchsorted(lead_token, np.arange(len(held) + 1))
+    lead_own = np.searchsorted(owner[leading], np.arange(n + 1))
+    lead_tokens = token[leading]
+    found, mark = _Components(n), np.zeros(len(held), bool)
     far: list[np.ndarray] = []
     reach = (100 - percent) / 100 + 1e-9
-    for p in range(n):
-        open_[p] = False
-        if far:
-            # sets in other components that no pivot separates from p
-            rest = comp != comp[p]
+
+    def shared_with(p: int, others: np.ndarray) -> np.ndarray:
+        mine = token[own[p]:own[p + 1]]
+        mark[mine] = True
+        ends = np.cumsum(size[others])
+        hits = mark[token[np.arange(ends[-1]) + np.repeat(own[others] - (ends - size[others]), size[others])]]
+        mark[mine] = False
+        return np.add.reduceat(hits.astype(np.int64), ends - size[others])
+
+    everyone = np.arange(n)
+    for p in range(min(LEAF_PIVOTS, n)):
+        shared = shared_with(p, everyone)
+        far.append(1 - shared / (size + size[p] - shared))
+        found.tie(p, everyone[_linked(shared, size, size[p], percent)])
+    for p in np.flatnonzero(np.diff(lead_own)):
+        t = lead_tokens[lead_own[p]:lead_own[p + 1]]
+        others = np.concatenate([lead_owner[start[x]:start[x + 1]] for x in t])
+        others = others[(others > p) & (found.label[others] != found.label[p])]
+        if len(others):
+            others = np.unique(others)
+            near = 100 * np.minimum(size[others], size[p]) >= percent * np.maximum(size[others], size[p])
             for d in far:
-                rest &= np.abs(d - d[p]) <= reach
-            if not rest.any():
-                continue
-        t = token[own[p]:own[p + 1]]
-        a, ln = start[t], start[t + 1] - start[t]
-        ends = np.cumsum(ln)
-        shared = np.bincount(holders[np.arange(ends[-1]) + np.repeat(a - (ends - ln), ln)], minlength=n)
-        hit = np.flatnonzero(_linked(shared, size, size[p], percent) & (comp != comp[p]))
-        for x in hit:
-            if comp[x] != comp[p]:
-                comp[comp == comp[x]] = comp[p]
-        if len(far) < 32:
-            far.append(1 - shared / (size + size[p] - shared))
-        if (comp == comp[0]).all():
-            break
+                near &= np.abs(d[others] - d[p]) <= reach
+            others = others[near]
+        if len(others):
+            found.tie(p, others[_linked(shared_with(p, others), size[others], size[p], percent)])
+    comp = found.label
     order = np.lexsort((ids, comp))
     new = np.concatenate([[True], comp[order[1:]] != comp[order[:-1]]])
     least = np.repeat(ids[order[new]], np.diff(np.append(np.flatnonzero(new), n)))
@@ -366,29 +418,43 @@ def _leaf_links(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("region", "id", "shingles").repartition("region").sortWithinPartitions("region", "id").mapInArrow(run, "a bigint, b bigint")
 
 
-def _cells(big: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """(region, id, n, shingles, pivot, cells, linked): distances to the pivots of the region decide."""
-    w = Window.partitionBy("region").orderBy(F.xxhash64("id"))
-    chosen = (big.withColumn("r", F.row_number().over(w)).where(F.col("r") <= pivots)
-              .groupBy("region").agg(F.collect_list(F.struct("id", "shingles")).alias("pivots")))
+def _cells(big: DataFrame, pivots: int, percent: int, leaf: int) -> DataFrame:
+    """(region, id, n, shingles, pivot, cells, linked): distances to the pivots of the region decide.
+
+    A region is cut into blocks of about a leaf; its pivots come to each block once, ahead of its sets.
+    """
+    blocks = F.expr(f"1 + weight div {leaf}")
+    row = ["region", "block", "kind", "id", "n", "shingles"]
+    chosen = big.withColumn("r", F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("id"), "id"))).where(F.col("r") <= pivots)
+    ahead = chosen.select("region", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"), F.lit(0).alias("kind"), "id", "n", "shingles")
+    members = big.select("region", F.pmod(F.xxhash64("id", F.lit(3)), blocks).alias("block"), F.lit(1).alias("kind"), "id", "n", "shingles")
     two = 2 * (100 - percent) / 100 + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, names, held = None, [], []
         for got in batches:
-            pivot, cells, linked = [], [], []
-            for i, s, pivots in zip(got.column("id").to_pylist(), got.column("shingles"), got.column("pivots")):
+            keep, pivot, cells, linked = [], [], [], []
+            for k, (region, block, kind, i, s) in enumerate(zip(*(got.column(c).to_pylist() for c in ("region", "block", "kind", "id")), got.column("shingles"))):
                 x = np.frombuffer(s.as_py(), np.uint64)
-                pivots = pivots.as_py()
-                sizes = np.array([len(p["shingles"]) // 8 for p in pivots])
-                shared = np.array([len(np.intersect1d(x, np.frombuffer(p["shingles"], np.uint64), assume_unique=True)) for p in pivots])
+                if kind == 0:
+                    if now != (region, block):
+                        now, names, held = (region, block), [], []
+                    names.append(i)
+                    held.append(x)
+                    continue
+                sizes = np.fromiter(map(len, held), np.int64, len(held))
+                shared = np.array([len(np.intersect1d(x, p, assume_unique=True)) for p in held])
                 d = 1 - shared / (len(x) + sizes - shared)
-                pivot.append(any(p["id"] == i for p in pivots))
+                keep.append(k)
+                pivot.append(i in names)
                 cells.append(np.flatnonzero(d <= d.min() + two).tolist())
-                linked.append([p["id"] for p, hit in zip(pivots, _linked(shared, len(x), sizes, percent)) if hit])
-            yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("region", "id", "n", "shingles")], pa.array(pivot, pa.bool_()), pa.array(cells, pa.list_(pa.int32())), pa.array(linked, pa.list_(pa.int64()))],
+                linked.append([p for p, hit in zip(names, _linked(shared, len(x), sizes, percent)) if hit])
+            own = got.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*[own.column(c) for c in ("region", "id", "n", "shingles")], pa.array(pivot, pa.bool_()), pa.array(cells, pa.list_(pa.int32())), pa.array(linked, pa.list_(pa.int64()))],
                                              ["region", "id", "n", "shingles", "pivot", "cells", "linked"])
 
-    return big.join(chosen, "region").mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, pivot boolean, cells array<int>, linked array<bigint>")
+    dealt = ahead.unionByName(members).select(*row).repartition("region", "block").sortWithinPartitions("region", "block", "kind", "id")
+    return dealt.mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, pivot boolean, cells array<int>, linked array<bigint>")
 
 
 def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, percent: int = PERCENT) -> DataFrame:
@@ -400,10 +466,10 @@ def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, percen
     while True:
         small = stored(_leaf_links(sets.where(F.col("weight") <= leaf), percent), "links")
         links = small if links is None else links.unionByName(small)
-        big = sets.where(F.col("weight") > leaf).drop("weight")
+        big = sets.where(F.col("weight") > leaf)
         if big.isEmpty():
             return links
-        placed = stored(_cells(big, pivots, percent), "region-cells")
+        placed = stored(_cells(big, pivots, percent, leaf), "region-cells")
         links = links.unionByName(placed.select(F.col("id").alias("a"), F.explode("linked").alias("b")).where("a <> b"))
         group = components(links)
         # a pivot has met every set of its region and goes, so a region loses members at each level
@@ -477,7 +543,8 @@ def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOT
     links = region_links(stored(_with_sets(texts, words), "region-sets"), leaf, pivots, percent)
     linked = small_side(stored(components(links), "linked"))
     placed = members.join(linked, members["set"] == linked["id"], "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "set", F.coalesce("root", "set").alias("component"))
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("least"))
+    # stored, so that the join is between plain tables: a component of very many members is split over tasks
+    least = small_side(stored(placed.groupBy("component").agg(F.min("doc_id").alias("least")), "least-ids"))
     component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
     return placed.join(least, "component").select("doc_id", "th", "n_shingles", component_id.alias("component_id"), "set", "component")
 
@@ -495,7 +562,8 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     own = fresh(docs, "row_key")
     found = similarity_components(docs, words=words, percent=percent).select("component", "n_shingles", F.xxhash64("doc_id", "th").alias("k"), F.struct("doc_id", "th").alias("place"))
     by = found.groupBy("component", "k").agg(F.count("*").alias("rows"), F.first("place").alias("place"), F.first("n_shingles").alias("n_shingles"))
-    chosen = by.groupBy("component").agg(F.min("place").alias("least"))
+    by = stored(by, "component-members")
+    chosen = small_side(stored(by.groupBy("component").agg(F.min("place").alias("least")), "chosen"))
     # what has to go, or to be thinned: the keys that are not chosen, and those of several rows
     judged = by.join(chosen, "component").select("k", (F.col("place").eqNullSafe(F.col("least")) | (F.col("n_shingles") == 0)).alias("stays"), "rows")
     judged = stored(judged.where("not stays or rows > 1"), "duplicates")
