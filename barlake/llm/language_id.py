@@ -8,11 +8,13 @@ highest order uses counts, lower orders count distinct left neighbours.
 
 Counting covers every training text; each task adds up its counts before the
 shuffle, so a hot language costs one row for each n-gram and task.  Lower
-orders, context totals and discounts are grouped counts on Spark.  The model
-is a sorted array of n-gram codes (24 bits) for each order with a column of
-log-probabilities for each language; an order has at most 64^order codes and
-there are ``MAX_LANGUAGES`` languages at most, which bounds what is sent to
-the tasks whatever the corpus.
+orders, context totals and discounts are grouped counts on Spark, where they
+stay.  A model is a sorted array of n-gram codes (24 bits) for each order with
+a column of log-probabilities for each language.  Languages are scored in
+blocks of at most ``BLOCK_LANGUAGES`` and ``BLOCK_CODES`` codes (one language
+alone has 64^4 at most), which bounds what the driver reads and sends to the
+tasks at a time; there is no bound on the number of languages.  With several
+blocks each text's best language is a grouped maximum over them.
 
 The language with the lowest cross-entropy per symbol wins, ties going to the
 first name.  ``rejected`` is calibrated: a text is rejected if its
@@ -36,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import needed, slices, small_batches, stored
+from barlake.llm.common import needed, slices, small_batches, small_side, stored
 
 ORDER = 4
 BITS = 6
 CLASSES = 1 << BITS
-MAX_LANGUAGES = 64
+BLOCK_LANGUAGES, BLOCK_CODES = 16, 2_000_000
 ACCEPT_PERCENT = 99.5
 UNKNOWN = "und"
 
@@ -101,7 +103,7 @@ def count_grams(train: DataFrame) -> DataFrame:
 
 
 class KneserNey:
-    """The models of all languages, from the rows of ``statistics``."""
+    """The models of a block of languages, from their rows of ``statistics``."""
 
     def __init__(self, stats: pd.DataFrame):
         self.langs = sorted(stats["lang"].unique())
@@ -160,67 +162,100 @@ def statistics(counts: DataFrame) -> DataFrame:
     return out
 
 
-def train(rows: DataFrame) -> KneserNey | None:
+class Models:
+    """The stored statistics of all languages, and the blocks they are scored in."""
+
+    def __init__(self, counts: DataFrame, block_languages: int, block_codes: int):
+        self.statistics = stored(statistics(counts), "language-statistics")
+        self.blocks: list[list[str]] = []
+        room = 0
+        # a name and a number for each language
+        for r in self.statistics.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").toLocalIterator():
+            if not self.blocks or len(self.blocks[-1]) >= block_languages or r.n > room:
+                self.blocks.append([])
+                room = block_codes
+            self.blocks[-1].append(r.lang)
+            room -= r.n
+
+    def block(self, langs: list[str]) -> KneserNey:
+        return KneserNey(self.statistics.where(F.col("lang").between(langs[0], langs[-1])).toPandas())
+
+
+def train(rows: DataFrame, block_languages: int = BLOCK_LANGUAGES, block_codes: int = BLOCK_CODES) -> Models | None:
     """Models from all rows of (lang, text); None if there are none."""
     counts = stored(count_grams(rows.where("lang is not null and text is not null")), "language-counts")
-    langs = counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if langs > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
-    return KneserNey(statistics(counts).toPandas()) if langs else None
+    return None if counts.isEmpty() else Models(counts, block_languages, block_codes)
 
 
-def score(docs: DataFrame, model: KneserNey | None, keep: list[str]) -> DataFrame:
-    """``keep``, lang_pred, score and cross_entropy (nats per symbol) of each whole text."""
+def _block_scores(docs: DataFrame, model: KneserNey, keep: list[str]) -> DataFrame:
+    """``keep`` and the best language of a block, its log-likelihood, the log of the sum of all likelihoods, and the symbols."""
     fields = docs.select(*[docs[c] for c in keep]).schema
-    names = [*keep, "lang_pred", "score", "cross_entropy"]
-    if model is not None:
-        sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = [*keep, "best", "likelihood", "mass", "symbols"]
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model_known:
-            m = sent.value
-            row_of = np.full(1 << BITS * ORDER, -1, np.int32)
-            row_of[m.codes[-1]] = np.arange(len(m.codes[-1]), dtype=np.int32)
-            logp = m.logp[-1].astype(np.float32)
+        m = sent.value
+        row_of = np.full(1 << BITS * ORDER, -1, np.int32)
+        row_of[m.codes[-1]] = np.arange(len(m.codes[-1]), dtype=np.int32)
+        logp = m.logp[-1].astype(np.float32)
         for batch in batches:
             for cut in slices(batch, 1 << 20):
                 n = cut.num_rows
-                lang, sure, entropy = np.full(n, None, object), np.zeros(n), np.full(n, np.nan)
-                if model_known:
-                    code, bounds = grams([t or "" for t in cut.column("text").to_pylist()])
-                    size = np.diff(bounds)
-                    some = np.flatnonzero(size)
-                    ll = np.zeros((len(some), len(m.langs)))
-                    at = row_of[code]
-                    new = np.flatnonzero(at < 0)
-                    p_new = m.of(code[new].astype(np.int64)) if len(new) else None
-                    start = bounds[:-1][some]
-                    for j in range(len(m.langs)):
-                        p = logp[at, j].astype(np.float64)
-                        if len(new):
-                            p[new] = p_new[:, j]
-                        if len(some):
-                            ll[:, j] = np.add.reduceat(p, start)
-                    best = ll.argmax(1)
-                    top = ll[np.arange(len(some)), best]
-                    lang[some] = np.array(m.langs, object)[best]
-                    sure[some] = 1 / np.exp(ll - top[:, None]).sum(1)
-                    entropy[some] = -top / size[some]
-                yield pa.RecordBatch.from_arrays(
-                    [*[cut.column(c) for c in keep], pa.array([x or UNKNOWN for x in lang], pa.string()), pa.array(sure),
-                     pa.array(entropy, mask=np.isnan(entropy))], names)
-
-    model_known = model is not None
+                best, top, mass = np.full(n, None, object), np.full(n, np.nan), np.full(n, np.nan)
+                code, bounds = grams([t or "" for t in cut.column("text").to_pylist()])
+                size = np.diff(bounds)
+                some = np.flatnonzero(size)
+                ll = np.zeros((len(some), len(m.langs)))
+                at = row_of[code]
+                new = np.flatnonzero(at < 0)
+                p_new = m.of(code[new].astype(np.int64)) if len(new) else None
+                start = bounds[:-1][some]
+                for j in range(len(m.langs)):
+                    p = logp[at, j].astype(np.float64)
+                    if len(new):
+                        p[new] = p_new[:, j]
+                    if len(some):
+                        ll[:, j] = np.add.reduceat(p, start)
+                which = ll.argmax(1)
+                top[some] = ll[np.arange(len(some)), which]
+                best[some] = np.array(m.langs, object)[which]
+                mass[some] = top[some] + np.log(np.exp(ll - top[some][:, None]).sum(1))
+                none = np.isnan(top)
+                yield pa.RecordBatch.from_arrays([*[cut.column(c) for c in keep], pa.array(best, pa.string()), pa.array(top, mask=none), pa.array(mass, mask=none),
+                                                  pa.array(size.astype(np.int64))], names)
+
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*[docs[c] for c in keep], docs["text"]).mapInArrow(run, f"{kinds}, lang_pred string, score double, cross_entropy double")
+    return docs.select(*[docs[c] for c in keep], docs["text"]).mapInArrow(run, f"{kinds}, best string, likelihood double, mass double, symbols bigint")
+
+
+def score(docs: DataFrame, models: Models | None, keep: list[str]) -> DataFrame:
+    """``keep``, lang_pred, score and cross_entropy (nats per symbol) of each whole text."""
+    kept = [docs[c] for c in keep]
+    if models is None:
+        nothing = F.lit(None).cast("double").alias("cross_entropy")
+        return docs.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), nothing)
+    if len(models.blocks) == 1:
+        found = _block_scores(docs, models.block(models.blocks[0]), keep).withColumn("masses", F.array("mass"))
+    else:
+        numbered = stored(docs.select(*kept, docs["text"], F.monotonically_increasing_id().alias("row")), "language-texts")
+        parts = None
+        for langs in models.blocks:  # one block's model is in use at a time
+            part = stored(_block_scores(numbered, models.block(langs), ["row"]), "language-block-scores")
+            parts = part if parts is None else parts.unionByName(part)
+        # blocks follow the names, so the first of equal likelihoods has the least name
+        by = parts.groupBy("row").agg(F.min(F.struct((-F.col("likelihood")).alias("cost"), F.coalesce("best", F.lit("")).alias("name"), "best", "likelihood", "symbols")).alias("b"),
+                                      F.collect_list("mass").alias("masses"))
+        found = numbered.drop("text").join(by.select("row", "b.best", "b.likelihood", "b.symbols", "masses"), "row")
+    all_of = F.aggregate("masses", F.lit(0.0), lambda total, m: total + F.exp(m - F.col("likelihood")))
+    return found.select(*keep, F.coalesce("best", F.lit(UNKNOWN)).alias("lang_pred"), F.when(F.col("symbols") > 0, 1.0 / all_of).otherwise(0.0).alias("score"),
+                        F.when(F.col("symbols") > 0, -F.col("likelihood") / F.col("symbols")).alias("cross_entropy"))
 
 
 def with_rejection(scored: DataFrame, own: str = "lang", held_out: str = "held_out") -> DataFrame:
     """Add ``rejected``, calibrated on the stored scores of the training rows."""
     right = scored.where(~F.col(held_out) & (F.col(own) == F.col("lang_pred")))
     limit = right.groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", ACCEPT_PERCENT / 100, 10_000).alias("limit"))
-    # at most MAX_LANGUAGES rows
-    out = scored.join(F.broadcast(limit), "lang_pred", "left")
+    out = scored.join(small_side(stored(limit, "language-limits")), "lang_pred", "left")
     return out.withColumn("rejected", F.coalesce(F.col("cross_entropy") > F.col("limit"), F.lit(True))).drop("limit")
 
 
@@ -229,6 +264,6 @@ def identify(docs: DataFrame) -> DataFrame:
     out = F.crc32(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary")) % 4 == 2
     small_batches(docs)
     rows = needed(docs, "doc_id", "text", "lang").withColumn("held_out", out)
-    model = train(rows.where("not held_out"))
-    scored = stored(score(rows, model, ["doc_id", "held_out", "lang"]), "language-scores")
+    models = train(rows.where("not held_out"))
+    scored = stored(score(rows, models, ["doc_id", "held_out", "lang"]), "language-scores")
     return with_rejection(scored).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
