@@ -14,7 +14,7 @@ spreads its rows over tasks.
 
 Rows: a null key is placed like the empty string; repeated keys go to the same
 shard; an empty table gives no rows; all columns are kept and ``slot`` and
-``shard`` are added (a ValueError tells if the input already has them).
+``shard`` are added (``slot_`` and ``shard_`` where the input has such columns).
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.llm.common import fresh
+
 #: Rows of the broadcast table at most: 16 MB.
 MAX_SIZE = 1_000_003
 
@@ -65,16 +67,17 @@ def slots(spark: SparkSession, shards: list[str], size: int) -> DataFrame:
 
 
 def assign(df: DataFrame, key: str, shards: list[str], size: int) -> DataFrame:
-    """``df`` with ``slot`` and ``shard``."""
-    if clash := {"slot", "shard"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
-    placed = df.withColumn("slot", key_slot(df[key], size))
-    return placed.join(F.broadcast(slots(df.sparkSession, shards, size)), "slot").select(*df.columns, "slot", "shard")
+    """``df`` with ``slot`` and ``shard``; where columns have these names already, the new ones end in ``_``."""
+    slot, shard = fresh(df, "slot"), fresh(df, "shard")
+    placed = df.withColumn(slot, key_slot(df[key], size))
+    lookup = slots(df.sparkSession, shards, size).withColumnsRenamed({"slot": slot, "shard": shard})
+    return placed.join(F.broadcast(lookup), slot).select(*[f"`{c}`" for c in df.columns], slot, shard)
 
 
 def write_shards(df: DataFrame, key: str, shards: list[str], size: int, path: str) -> None:
     """One folder for each shard.  Rows are rebalanced by shard, so Spark splits a large shard over tasks."""
-    assign(df, key, shards, size).hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    shard = fresh(df, "shard")
+    assign(df, key, shards, size).hint("rebalance", shard).write.partitionBy(shard).parquet(path)
 
 
 #: The registered placement: 40 shards, a prime of about a hundred slots for each.
