@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from helpers import awkward, docs_table, near_copies, nothing, words
@@ -81,6 +83,23 @@ def test_local_join_by_pivots():
     assert sorted((str(i), len(sets[i]), str(root[i])) for i in root) == brute_components(rows)
 
 
+def test_a_leaf_of_many_short_sets_is_not_quadratic():
+    rnd = np.random.default_rng(0)
+    common = rnd.integers(0, 2**62, 5).astype(np.uint64)
+    sets = [np.unique(np.concatenate([common, rnd.integers(0, 2**62, 4).astype(np.uint64)])) for _ in range(16_000)]
+    began = time.process_time()
+    assert len(jaccard_join.join_sets(np.arange(len(sets)), sets)[0]) == 0
+    assert time.process_time() - began < 2
+    base, copies = rnd.integers(0, 2**62, 60).astype(np.uint64), []
+    for _ in range(3_000):
+        x = base.copy()
+        x[rnd.integers(0, 60, 2)] = rnd.integers(0, 2**62, 2)
+        copies.append(np.unique(x))
+    began = time.process_time()
+    assert len(jaccard_join.join_sets(np.arange(len(copies)), copies)[0]) == len(copies) - 1
+    assert time.process_time() - began < 4
+
+
 def test_one_of_each(spark):
     docs = docs_table(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -67,6 +67,43 @@ def test_fences_adapt_to_the_group(spark):
     assert [r.doc_id for r in got.where("source = 'prose' and not kept").collect()] == [1000]
 
 
+def _lines(i, dup):
+    """Ten lines of a word each, ``dup`` of them a repeat; and words enough to pass the fixed rules."""
+    lines = ["menu" if k % 2 == 0 and k // 2 <= dup or k >= 2 * (9 - dup) else f"l{i}x{k}" for k in range(10)]
+    assert len(lines) - len(set(lines)) == dup
+    return "\n".join(lines) + " " + " ".join(f"w{i}x{k}" for k in range(30))
+
+
+def _phrases(i, again):
+    """A hundred words, five of them said again ``again`` times."""
+    phrase = [f"p{i}x{k}" for k in range(5)]
+    return " ".join(w for k in range(again + 1) for w in [*phrase, *(f"w{i}x{k}x{m}" for m in range(3))]) + " " + " ".join(f"v{i}x{k}" for k in range(100 - 8 * (again + 1)))
+
+
+def _symbols(i, n):
+    return " ".join(f"w{i}x{k}" for k in range(40)) + "".join(f" {k}#" for k in range(n))
+
+
+@pytest.mark.parametrize("ratio, make, usual, odd", [("symbol_ratio", _symbols, 8, 9), ("dup_line_ratio", _lines, 4, 5), ("repeat_ratio", _phrases, 2, 2)])
+def test_each_fence_rejects_in_one_group_what_another_keeps(spark, ratio, make, usual, odd):
+    """An outlier that passes the fixed rules goes where it is unusual and stays where it is not; its fence alone decides."""
+    rows = [(i, make(i, usual), "en", "often") for i in range(200)] + [(1000 + i, make(i, 0), "en", "never") for i in range(200)]
+    rows += [(5000, make(9, odd), "en", "often"), (6000, make(9, odd), "en", "never")]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert [r.doc_id for r in got if not r.kept] == [6000]
+    out = next(r for r in got if r.doc_id == 6000)
+    assert out[ratio] > out[f"{ratio}_fence"]
+    assert all(out[c] <= out[f"{c}_fence"] for c in quality_rules.RATIOS if c != ratio)
+    assert len({r[f"{ratio}_fence"] for r in got}) == 2
+
+
+def test_junk_in_a_tenth_of_a_group_does_not_move_its_fence(spark):
+    rows = [(i, _symbols(i, 30 if i % 12 == 0 else 0), "en", "s") for i in range(600)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert {r.doc_id for r in got if not r.kept} == {i for i in range(0, 600, 12)}
+
+
 def test_rule_stage_keeps_columns(spark):
     docs = awkward(spark)
     kept = quality_rules.filter_documents(docs)
@@ -96,8 +133,8 @@ def test_assign(spark, tmp_path):
     assert out.columns == [*docs.columns, "slot", "shard"] and out.count() == docs.count()
     assert out.groupBy("doc_id").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
     assert sharding.shard_documents(nothing(spark)).collect() == []
-    with pytest.raises(ValueError):
-        sharding.assign(out, "doc_id", ["a"], 101)
+    again = sharding.assign(out, "doc_id", ["a"], 101)  # columns of these names are kept, the new ones get others
+    assert again.columns == [*out.columns, "slot_", "shard_"] and {r.shard_ for r in again.collect()} == {0}
     sharding.write_shards(docs, "doc_id", ["a", "b", "c"], 101, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
 
@@ -123,12 +160,99 @@ def test_language_ignores_lang_source_and_id_of_the_predicted_row(spark):
 
 
 def test_kneser_ney_probabilities_sum_to_one(spark):
-    model = language_id.train(docs_table(spark).select("lang", "text"))
+    models = language_id.train(docs_table(spark).select("lang", "text"))
+    model = models.block(models.blocks[0])
     for context in model.contexts[-1][:5].tolist() + [0, (5 << 12) | (63 << 6) | 62]:
         codes = (context << language_id.BITS) + np.arange(language_id.CLASSES)
         assert np.allclose(np.exp(model.of(codes)).sum(0), 1)
 
 
+def plain_kneser_ney(texts, order=4):
+    """P(symbol | context) of one language by the textbook: counts, continuation counts, discounts, interpolation."""
+    counts = {order: {}}
+    for t in texts:
+        code, _ = language_id.grams([t])
+        for c in code.tolist():
+            gram = tuple((c >> 6 * k) & 63 for k in range(order - 1, -1, -1))
+            counts[order][gram] = counts[order].get(gram, 0) + 1
+    for k in range(order - 1, 0, -1):
+        counts[k] = {}
+        for gram in counts[k + 1]:
+            counts[k][gram[1:]] = counts[k].get(gram[1:], 0) + 1
+
+    def p(symbol, context):
+        if not context and symbol is None:
+            return 1 / 64
+        k = len(context) + 1
+        ones, twos = (sum(n == m for n in counts[k].values()) for m in (1, 2))
+        d = ones / (ones + 2 * twos) if ones and twos else 0.75
+        lower = p(symbol, context[1:]) if context else 1 / 64
+        after = {g: n for g, n in counts[k].items() if g[:-1] == context}
+        total = sum(after.values())
+        if not total:
+            return lower
+        return max(after.get((*context, symbol), 0) - d, 0) / total + d * len(after) / total * lower
+
+    return p
+
+
+def test_kneser_ney_against_the_textbook(spark):
+    texts = {"aa": ["banana bandana", "cabana nab", "b\u00e9 a"], "bb": ["xyzzy xyz zyx", "zzz yy x", "Xy Zx"]}
+    rows = [(lang, t) for lang, ts in texts.items() for t in ts]
+    models = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    model = models.block(models.blocks[0])
+    rnd = np.random.default_rng(3)
+    seen = np.unique(np.concatenate([language_id.grams(ts)[0] for ts in texts.values()]))
+    codes = np.concatenate([seen, rnd.integers(0, 1 << 24, 40), (seen & ~np.uint32(63)) | 5]).astype(np.int64)
+    got = np.exp(model.of(codes))
+    for j, lang in enumerate(model.langs):
+        p = plain_kneser_ney(texts[lang])
+        want = [p(int(c) & 63, tuple(int(c) >> 6 * k & 63 for k in (3, 2, 1))) for c in codes]
+        assert np.allclose(got[:, j], want, rtol=1e-9)
+
+
+def test_score_entropy_and_rejection_by_hand(spark):
+    """Lowest cross-entropy wins, the score is its posterior, and the limit follows the language's own training texts."""
+    docs = docs_table(spark)
+    rows = language_id.identify(docs).collect()
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    text = {r.doc_id: r.text for r in docs.collect()}
+    models = language_id.train(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2").select("lang", "text"))
+    model = models.block(models.blocks[0])
+    for r in rows[:30]:
+        code, bounds = language_id.grams([text[r.doc_id] or ""])
+        if bounds[1]:
+            ll = model.of(code.astype(np.int64)).sum(0)
+            assert r.lang_pred == model.langs[int(ll.argmax())]
+            assert r.score == pytest.approx(1 / np.exp(ll - ll.max()).sum(), abs=1e-3)
+            assert r.cross_entropy == pytest.approx(-ll.max() / bounds[1], rel=1e-5)
+    for own in set(lang.values()):
+        right = sorted(r.cross_entropy for r in rows if not r.held_out and r.lang_pred == own == lang[r.doc_id])
+        limit = right[math.ceil(0.995 * len(right)) - 1]
+        assert all(r.rejected == (r.cross_entropy > limit) for r in rows if r.lang_pred == own)
+
+
+def test_any_number_of_languages(spark):
+    """80 languages in blocks give the results of one block."""
+    rnd = np.random.default_rng(8)
+    rows = []
+    for k in range(80):
+        words = ["".join(chr(97 + c) for c in (rnd.integers(0, 9, 5) * (k % 7 + 1) + k) % 26) for _ in range(12)]
+        rows += [(100 * k + i, " ".join(rnd.choice(words, 9)), f"l{k:02}") for i in range(12)]
+    rows += [(9000, None, "l00"), (9001, "123", "l01"), (9002, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    many = language_id.train(docs, block_languages=9)
+    small = language_id.train(docs, block_codes=300)
+    one = language_id.train(docs, block_languages=100)
+    assert len(many.blocks) == 9 and len(small.blocks) > 9 and len(one.blocks) == 1
+    assert [lang for b in many.blocks for lang in b] == one.blocks[0] == sorted(one.blocks[0])
+    found = [{r.doc_id: (r.lang_pred, round(r.score, 9), r.cross_entropy) for r in language_id.score(docs, m, ["doc_id"]).collect()} for m in (one, many, small)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    assert np.mean([found[0][i][0] == lang for i, _, lang in rows[:-3]]) > 0.95
+    assert all(found[0][i][:2] == ("und", 0) for i in (9000, 9001, 9002))
+    assert language_id.identify(docs).count() == len(rows)
+
+
 def test_language_on_awkward_rows(spark):
     docs = awkward(spark)
     rows = language_id.identify(docs).collect()
@@ -225,6 +349,35 @@ def test_topk_with_ties_copies_and_awkward_vectors(spark, monkeypatch, rings, bl
     assert as_set(topk_search.search_embeddings(e, n_pivots=7)) == brute_topk(rows)
 
 
+def test_topk_keeps_wide_components(spark):
+    """Components of 2^21 and more take part; a score that may leave 63 bits raises."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=3) * rng.choice([1, 2.0**17])]) for i in range(250)]
+    rows += [(300, [2.0**21 + 5, 1.0, -3.0]), (301, [5.0, 2.0**22, 1.0])]
+    e = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    assert as_set(topk_search.search_embeddings(e, n_pivots=5)) == brute_topk(rows)
+    wide = spark.createDataFrame([(0, [2.0**40, 1.0]), (1, [2.0**40, 0.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception):
+        topk_search.search_embeddings(wide).collect()
+    with pytest.raises(Exception):
+        topk_search.search_embeddings(spark.createDataFrame([(0, [1e300, 1.0])], "vec_id bigint, embedding array<double>")).collect()
+
+
+def test_topk_skips_what_the_bounds_rule_out(spark, monkeypatch):
+    """Separate clusters: most rows are never compared, and the result is exact."""
+    monkeypatch.setattr(topk_search, "RING_ROWS", 20)
+    rng = np.random.default_rng(9)
+    middle = rng.normal(size=(12, 6))
+    middle /= np.linalg.norm(middle, axis=1)[:, None]
+    rows = [(i, [float(x) for x in 5 * middle[i % 12] + rng.normal(size=6) * 0.02]) for i in range(3000)]
+    e = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    vectors = e.select("vec_id", topk_search.quantised(F.col("embedding")).alias("v"))
+    index = topk_search.PivotIndex(vectors, 24)
+    found = index.search(vectors.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"), 10)
+    assert as_set(found) == brute_topk(rows)
+    assert 0 < index.share_searched < 0.5
+
+
 def test_topk_with_few_rows(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert topk_search.search_embeddings(spark.createDataFrame([], schema)).collect() == []
