@@ -27,7 +27,7 @@ from pyspark.sql.types import DateType, NumericType, StringType
 from barlake.functions.numeric import fdiv
 
 #: Buckets for each doubling of a number; a number has at most 1,044 doublings on each side of 0.
-PER_OCTAVE = 256
+PER_OCTAVE = 1024
 #: Strings in a bucket, about; sampled strings for each bound between buckets; bounds at most, and how many a first look skips.
 PER_BUCKET, SAMPLED, MAX_BOUNDS, SKIP = 4096, 16, 4096, 64
 _NAN, _NULL = 1 << 39, 1 << 40

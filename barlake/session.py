@@ -82,10 +82,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Folders of intermediates that this process has named, for ``remove_scratch``.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    path = os.path.join(ensure_checkpoint_dir(spark), name)
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Remove the intermediates written so far; returns how many folders there were.
+
+    Results read from them, so call it when those have been written elsewhere.
+    """
+    found = [p for p in _SCRATCH if path_exists(spark, p)]
+    for p in found:
+        remove_folder(spark, p)
+    _SCRATCH.clear()
+    return len(found)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -69,3 +69,18 @@ def test_train_all_records_runs(spark, sf_small):
     assert latest.run_id == out["logreg"] and os.path.isdir(latest.model_path)
     metrics = spark.read.parquet(os.path.join(runs, "run_metrics"))
     assert metrics.where(F.col("metric") == "val_roc_auc").count() == 1
+
+
+def test_remove_scratch(spark):
+    import os
+
+    from barlake import session
+
+    kept = list(session._SCRATCH)
+    session._SCRATCH.clear()
+    df = session.materialize(spark.range(3))
+    folder = df.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
+    session.scratch_path(spark, "never-written")
+    assert os.path.isdir(folder) and session.remove_scratch(spark) == 1 and not os.path.exists(folder)
+    assert session.remove_scratch(spark) == 0
+    session._SCRATCH.extend(kept)

@@ -48,3 +48,12 @@ def test_feature_plan_has_no_single_partition(spark, sf_small):
     for q in (q_feature_matrix, q_portfolio_stats):
         plan = q(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan
+
+
+def test_symbol_windows_share_one_sort_after_the_row_index(spark):
+    """Indicators, EMA chunks, lags and labels run over (chunk, date): one sort beside the one that numbers the rows."""
+    from barlake.plans.features import build_ticker_features
+
+    df = spark.createDataFrame([], "symbol string, date date, open double, high double, low double, close double, volume bigint")
+    plan = build_ticker_features(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [symbol") == 2 and plan.count("Exchange hashpartitioning(symbol") == 1
