@@ -15,8 +15,7 @@ SUBSET = [
     "bars_daily", "index_bars", "clean_bars", "dedupe_first", "technical_stack", "macd", "cross_sectional_rank",
     "feature_matrix", "walk_forward_folds", "roc_auc", "average_precision", "portfolio_stats", "upsert_instruments",
     "upsert_predictions", "instrument_page", "latest_predictions", "winsorize", "event_features",
-    "bronze_files", "bronze_ingest", "stream_ingest", "cross_sectional_rank_spread", "sliding_frames", "feature_windows",
-    "instrument_pages", "instrument_page_ranges", "run_records", "logreg_coefficients", "gbt_table_scores", "predict_store",
+    "bronze_files", "bronze_ingest", "stream_ingest", "cross_sectional_rank_spread", "sliding_frames", "instrument_page_ranges",
 ]
 
 
