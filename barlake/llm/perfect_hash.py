@@ -49,3 +49,36 @@ def slots(h1: np.ndarray, h2: np.ndarray, sizes: list[int], bits: np.ndarray) ->
         out[open_[hit]] = ranks[at[hit]]
         open_, base = open_[~hit], base + size
     return out
+
+
+#: Bits between two stored ranks.
+SAMPLE = 512
+
+
+def pack(bits: np.ndarray) -> tuple[bytes, bytes]:
+    """The bits in words of 64, and the number of set bits before each ``SAMPLE`` of them."""
+    room = np.zeros(-(-max(len(bits), 1) // SAMPLE) * SAMPLE, bool)
+    room[:len(bits)] = bits
+    counts = room.reshape(-1, SAMPLE).sum(1)
+    return np.packbits(room, bitorder="little").tobytes(), (np.cumsum(counts) - counts).astype("<i8").tobytes()
+
+
+def packed_slots(h1: np.ndarray, h2: np.ndarray, sizes: list[int], words: bytes, samples: bytes) -> np.ndarray:
+    """``slots`` from the packed form: a key reads a word for each level, and one stored rank with the words behind it."""
+    w, before = np.frombuffer(words, "<u8"), np.frombuffer(samples, "<i8")
+    out, open_, base = np.full(len(h1), -1), np.arange(len(h1)), 0
+    for level, size in enumerate(sizes):
+        if not len(open_):
+            break
+        at = base + _place(h1[open_], h2[open_], level, size)
+        bit = (at & 63).astype(np.uint64)
+        hit = (w[at >> 6] >> bit) & np.uint64(1) == 1
+        found, bit = at[hit], bit[hit]
+        rank = before[found // SAMPLE] + np.bitwise_count(w[found >> 6] & ((np.uint64(1) << bit) - np.uint64(1)))
+        first, own = found // SAMPLE * (SAMPLE // 64), found >> 6
+        for k in range(SAMPLE // 64 - 1):
+            inside = first + k < own
+            rank[inside] += np.bitwise_count(w[(first + k)[inside]])
+        out[open_[hit]] = rank
+        open_, base = open_[~hit], base + size
+    return out

@@ -8,8 +8,9 @@ Files (below one folder of shared storage):
   end, as little-endian 64-bit integers;
 * ``manifest``   one row for each .bin file in document order;
 * ``index``      one row for each bucket of keys: the levels of a minimal
-  perfect hash, a stored 64-bit fingerprint for each slot, and for each slot
-  its runs of rows (file and row range).
+  perfect hash with a stored rank for every 512 bits, a stored 64-bit
+  fingerprint for each slot, and for each slot its runs of rows (file and row
+  range).
 
 Documents are written in ascending doc_id order (null first) by a range sort;
 ties are broken by text hash and input place, so no equal ids pile up in one
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.llm import perfect_hash
-from barlake.llm.common import needed, scratch, slices, small_batches, stored, texts_of, tokenizer_file
+from barlake.llm.common import needed, scratch, slices, small_batches, small_side, stored, texts_of, tokenizer_file
 from barlake.llm.encoding import encoder
 
 END_ID = 1
@@ -48,6 +49,8 @@ END_ID = 1
 FILE_IDS = 4 << 20
 #: Keys in a bucket of the index, about.
 BUCKET_KEYS = 50_000
+#: Buckets that a lookup names one by one.
+FEW_BUCKETS = 1000
 
 RUN = np.dtype([("part", "<i4"), ("seq", "<i4"), ("first_row", "<i8"), ("n_rows", "<i8")])
 
@@ -127,7 +130,8 @@ def build_index(runs: DataFrame, buckets: int) -> DataFrame:
         h1, h2 = (pdf[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("h1", "h2"))
         first = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
         sizes, bits = perfect_hash.build(h1[first], h2[first])
-        slot = perfect_hash.slots(h1[first], h2[first], sizes, bits)
+        words, ranks = perfect_hash.pack(bits)
+        slot = perfect_hash.packed_slots(h1[first], h2[first], sizes, words, ranks)
         count = np.diff(np.append(first, len(h1)))
         order = np.argsort(slot)
         prints = h2[first][order]
@@ -135,13 +139,13 @@ def build_index(runs: DataFrame, buckets: int) -> DataFrame:
         for c in RUN.names:
             runs[c] = pdf[c].to_numpy()
         place = np.concatenate([np.arange(a, a + n) for a, n in zip(first[order], count[order])])
-        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "n_keys": [len(first)], "sizes": [sizes], "bits": [np.packbits(bits).tobytes()],
+        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "n_keys": [len(first)], "sizes": [sizes], "bits": [words], "ranks": [ranks],
                              "fingerprints": [prints.astype("<u8").tobytes()], "run_ends": [np.cumsum(count[order]).astype("<i8").tobytes()],
                              "runs": [runs[place].tobytes()]})
 
     keyed = runs.select("part", "seq", "first_row", "n_rows", *_hashes(F.col("doc_id"))).withColumn("bucket", F.expr(f"pmod(h1, {buckets})"))
     return keyed.groupBy("bucket").applyInPandas(
-        run, "bucket bigint, n_keys bigint, sizes array<bigint>, bits binary, fingerprints binary, run_ends binary, runs binary")
+        run, "bucket bigint, n_keys bigint, sizes array<bigint>, bits binary, ranks binary, fingerprints binary, run_ends binary, runs binary")
 
 
 class TokenStore:
@@ -160,20 +164,32 @@ class TokenStore:
         store = cls(spark, folder or scratch(spark, "token-store"))
         path = path or tokenizer_file("word_bpe_49k.json")
         written = stored(write_ids(docs, os.path.join(store.folder, "ids"), path, end_id), "token-runs")
-        before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
         files = written.where("kind = 1").select("part", "seq", "name", "n_rows", "n_ids")
-        files.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).write.parquet(os.path.join(store.folder, "manifest"))
+        # ids before a file: those of the tasks before (a row for each task), and those of its own task's files before
+        earlier = (Window.unboundedPreceding, -1)
+        parts = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(*earlier)), F.lit(0)).alias("before"))
+        inside = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(*earlier)), F.lit(0))
+        files.withColumn("inside", inside).join(parts, "part").select("part", "seq", "name", "n_rows", "n_ids", (F.col("before") + F.col("inside")).alias("first_id")).write.parquet(os.path.join(store.folder, "manifest"))
         runs = written.where("kind = 0")
         buckets = max(1, -(-runs.count() // BUCKET_KEYS))
-        build_index(runs, buckets).withColumn("buckets", F.lit(buckets)).write.parquet(os.path.join(store.folder, "index"))
+        build_index(runs, buckets).withColumn("buckets", F.lit(buckets)).sortWithinPartitions("bucket").write.parquet(os.path.join(store.folder, "index"))
         return store
 
     def locate(self, keys: DataFrame) -> DataFrame:
-        """(doc_id, part, seq, first_row, n_rows) for the distinct keys that are stored."""
+        """(doc_id, part, seq, first_row, n_rows) for the distinct keys that are stored.
+
+        Only buckets that a key falls in are read from the index: a few of them by their
+        numbers, which the files' statistics find, more of them by a semi-join.
+        """
         index = self._table("index")
         buckets = (index.select("buckets").first() or [1])[0]
         kind = keys.schema["doc_id"].dataType.simpleString()
         asked = keys.select("doc_id").distinct().select("doc_id", *_hashes(F.col("doc_id"))).withColumn("bucket", F.expr(f"pmod(h1, {buckets})"))
+        wanted = [r.bucket for r in asked.select("bucket").distinct().limit(FEW_BUCKETS + 1).collect()] if buckets > 1 else []
+        if buckets > 1 and len(wanted) <= FEW_BUCKETS:
+            index = index.where(F.col("bucket").isin(wanted))
+        elif buckets > FEW_BUCKETS:
+            index = index.join(small_side(stored(asked.select("bucket").distinct(), "asked-buckets")), "bucket", "left_semi")
 
         def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             empty = pd.DataFrame({"doc_id": left["doc_id"][:0], **{c: np.zeros(0, np.int64) for c in RUN.names}})
@@ -182,8 +198,7 @@ class TokenStore:
             b = right.iloc[0]
             h1, h2 = (left[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("h1", "h2"))
             sizes = [int(x) for x in b["sizes"]]
-            bits = np.unpackbits(np.frombuffer(b["bits"], np.uint8), count=sum(sizes)).astype(bool)
-            slot = perfect_hash.slots(h1, h2, sizes, bits)
+            slot = perfect_hash.packed_slots(h1, h2, sizes, b["bits"], b["ranks"])
             prints = np.frombuffer(b["fingerprints"], "<u8")
             found = (slot >= 0) & (prints[np.maximum(slot, 0)] == h2)
             slot = slot[found]

@@ -289,6 +289,57 @@ def test_forward_backward():
     assert np.isclose(expected.sum(), 8)
 
 
+def brute_likelihood(weights, steps, x, bounds, label):
+    """Mean over lines of log P(all lines of a text have its label), less the ridge, by listing all label rows."""
+    total = 0.0
+    for a, b, y in zip(bounds[:-1], bounds[1:], label):
+        scores = []
+        for code in range(2 ** (b - a)):
+            row = [(code >> i) & 1 for i in range(b - a)]
+            scores.append(sum(weights @ x[a + i] for i in range(b - a) if row[i]) + sum(steps[row[i - 1], row[i]] for i in range(1, b - a)))
+        top = max(scores)
+        total += (scores[-1] if y else scores[0]) - top - math.log(sum(math.exp(s - top) for s in scores))
+    return total / len(x) - quality_classifier.RIDGE / 2 * (weights @ weights + (steps * steps).sum())
+
+
+def test_fit_climbs_the_likelihood_to_a_flat_place(monkeypatch):
+    monkeypatch.setattr(quality_classifier, "STEPS", 1500)
+    rng = np.random.default_rng(5)
+    bounds, label = np.array([0, 3, 7, 8, 12, 15]), np.array([1, 0, 1, 0, 1])
+    x = rng.normal(size=(15, 3)) + np.repeat(label, np.diff(bounds))[:, None] * 0.7
+    chain = quality_classifier.Chain(3)
+    at = lambda w, t: brute_likelihood(w, t, x, bounds, label)
+    before = at(chain.weights, chain.steps)
+    chain.fit(x, bounds, label)
+    assert at(chain.weights, chain.steps) > before + 0.05
+    for i in range(7):  # every direction, by finite differences of the brute-force likelihood
+        d = np.zeros(7)
+        d[i] = 1e-4
+        slope = (at(chain.weights + d[:3], chain.steps + d[3:].reshape(2, 2)) - at(chain.weights - d[:3], chain.steps - d[3:].reshape(2, 2))) / 2e-4
+        assert abs(slope) < 5e-3
+
+
+def test_score_is_the_curve_of_length_weighted_marginals():
+    texts = ["A good sentence stands here.\nAnother one follows it.", "### $$$ %%%\n@@@", "Plain words of a line.", "x9 ## x9\n\n<<>> ||", "", None, "One more good line, of some length.\n#"]
+    label = np.array([1, 0, 1, 0, 1, 0, 1])
+    x, size, bounds = quality_classifier.line_features(texts)
+    model = quality_classifier.QualityModel(x, size, bounds, label)
+    got = model.score(texts)
+    wide = (quality_classifier.with_neighbours(x, bounds) - model.mean) / model.scale
+    raw = []
+    for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        if a == b:
+            assert got[i] == 0
+            continue
+        good = brute_marginals(np.clip(model.chain.weights, -30, 30), model.chain.steps, wide[a:b])
+        raw.append((sum(g * n for g, n in zip(good, size[a:b])) / size[a:b].sum(), label[i]))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-(model.curve[0] + model.curve[1] * raw[-1][0]))), abs=1e-6)
+    # the curve is the ridge logistic regression of the labels on these values: its gradient is zero
+    z, y = np.array([[1, v] for v, _ in raw]), np.array([k for _, k in raw])
+    p = 1 / (1 + np.exp(-z @ model.curve))
+    assert np.allclose(z.T @ (y - p) - 1e-2 * model.curve, 0, atol=1e-5)
+
+
 def test_classifier_on_held_out_documents(spark):
     path = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")

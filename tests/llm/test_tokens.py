@@ -104,10 +104,30 @@ def test_packed_ids_are_the_documents(spark, library):
 
 def test_perfect_hash_is_minimal_and_perfect():
     rnd = np.random.default_rng(1)
-    for n in (0, 1, 2, 1000):
+    for n in (0, 1, 2, 1000, 7000):
         h1, h2 = rnd.integers(0, 2**63, n).astype(np.uint64), rnd.integers(0, 2**63, n).astype(np.uint64)
         sizes, bits = perfect_hash.build(h1, h2)
         assert sorted(perfect_hash.slots(h1, h2, sizes, bits)) == list(range(n))
+        packed = perfect_hash.pack(bits)
+        assert np.array_equal(perfect_hash.packed_slots(h1, h2, sizes, *packed), perfect_hash.slots(h1, h2, sizes, bits))
+        other = rnd.integers(0, 2**63, 500).astype(np.uint64)
+        assert np.array_equal(perfect_hash.packed_slots(other, other, sizes, *packed), perfect_hash.slots(other, other, sizes, bits))
+
+
+def test_lookup_reads_the_buckets_asked_for(spark, monkeypatch):
+    """A key costs its own bucket; many keys, a semi-join.  Both find what a scan of all finds."""
+    monkeypatch.setattr(token_store, "BUCKET_KEYS", 5)
+    docs = docs_table(spark)
+    store = token_store.TokenStore.write(docs)
+    assert store._table("index").count() > 20
+    whole = {r.doc_id: (r.start, r.n_tokens) for r in store.lookup(docs.select("doc_id")).collect()}
+    one = spark.createDataFrame([(7,), (10**9,)], "doc_id bigint")
+    plan = store.locate(one)._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan and ("IN (" in plan or "EqualTo(bucket" in plan or "In(bucket" in plan)
+    assert [(r.doc_id, (r.start, r.n_tokens)) for r in store.lookup(one).collect()] == [(7, whole[7])]
+    monkeypatch.setattr(token_store, "FEW_BUCKETS", 3)
+    some = docs.where("doc_id % 3 = 0").select("doc_id")
+    assert {r.doc_id: (r.start, r.n_tokens) for r in store.lookup(some).collect()} == {k: v for k, v in whole.items() if k % 3 == 0}
 
 
 @pytest.mark.parametrize("make", [docs_table, awkward])
