@@ -591,6 +591,14 @@ FROM (SELECT f.frequency, s.*, row_number() OVER (PARTITION BY f.frequency, s.da
                           UNION ALL SELECT 'monthly', min(date) FROM scored GROUP BY date_trunc('month', date)) f ON s.date = f.day)
 WHERE rk <= 3 GROUP BY frequency, date""", extra=[SCORED])
 
+ORACLE["portfolio_capital"] = feature_query(f"""
+SELECT date, n_picks, {out('net')} AS net_return, {out('ln(1000000.0 * equity)')} AS log_capital, {out('equity / max(equity) OVER (ORDER BY date) - 1')} AS drawdown
+FROM (SELECT *, product(1 + net) OVER (ORDER BY date) AS equity FROM (
+  SELECT date, count(*) AS n_picks, least(1.0, 0.25 * count(*)) * (avg(ret / 100.0) - 0.001) AS net
+  FROM (SELECT s.*, row_number() OVER (PARTITION BY s.date ORDER BY s.p DESC, s.symbol) AS rk
+        FROM scored s JOIN (SELECT min(date) AS day FROM scored GROUP BY date_trunc('month', date)) f ON s.date = f.day)
+  WHERE rk <= 3 GROUP BY date))""", extra=[SCORED])
+
 _BAD = "{c} IS NULL OR isnan(CAST({c} AS DOUBLE))"
 ORACLE |= {
     "requested_bars": bars_with() + f"SELECT symbol, date, {out('close')} AS close FROM bars WHERE symbol IN ('Brand#13', 'Brand#21', '^MKT', 'Brand#99', 'Brand#5', 'Brand#42')",

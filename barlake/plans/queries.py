@@ -673,6 +673,16 @@ def q_portfolio_capped(spark, sf_dir):
 QUERIES["portfolio_capped"] = q_portfolio_capped
 
 
+def q_portfolio_capital(spark, sf_dir):
+    """The capital option: a million over the monthly capped picks, returns taken as percent; logarithms, as products span magnitudes."""
+    s = materialize(scored(spark, sf_dir).withColumn("ret", F.col("ret") / 100.0))
+    curve = P.capital_curve(P.capped_returns(s, "ret", 3, 0.25, "monthly", score="p"), 1_000_000.0)
+    return present(curve.withColumn("log_capital", F.ln("capital")), ["date", "n_picks"], ["net_return", "log_capital", "drawdown"])
+
+
+QUERIES["portfolio_capital"] = q_portfolio_capital
+
+
 # ---------------------------------------------------------------- step 13 (small operators on their own)
 from barlake.operators.lookups import number_pages, page_ranges  # noqa: E402
 
