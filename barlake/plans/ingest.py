@@ -34,9 +34,10 @@ def write_silver(bars: DataFrame, silver_root: str) -> None:
 
 
 def ingest(spark: SparkSession, raw_root: str, interim_root: str, market: str,
-           asset_types: set[str] | None = None, limit: int | None = None, reject: str = "row") -> dict[str, int]:
+           asset_types: set[str] | None = None, limit: int | None = None, reject: str = "row",
+           split_bytes: int | None = None) -> dict[str, int]:
     """Bronze -> silver bars + catalogue + quality report + rejects.  Returns row counts."""
-    ex = extract_market(spark, raw_root, market, asset_types, limit, reject)
+    ex = extract_market(spark, raw_root, market, asset_types, limit, reject, split_bytes)
     raw = ex.bars
     cleaned = clean_bars(raw)
     write_silver(cleaned, os.path.join(interim_root, "ohlcv"))

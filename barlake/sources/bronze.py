@@ -25,13 +25,14 @@ from __future__ import annotations
 import logging
 import os
 import re
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.instruments import instruments_from_bars
-from barlake.session import materialize, path_exists
+from barlake.session import materialize, path_exists, split_size
 
 log = logging.getLogger(__name__)
 
@@ -97,34 +98,35 @@ def parse_lines(lines: DataFrame, raw_root: str, market: str, asset_types: set[s
     A file's first line, by (block, line_id), is its header; only lines of
     block 0 can be.  Files of unknown folders are left out.
     """
-    known = lines.withColumn("asset_type", asset_type_from_path(F.col("file_path"), raw_root)).where(
-        F.col("asset_type").isNotNull() & (F.trim(F.regexp_replace("value", r"\r$", "")) != ""))
+    lines = lines.where(F.trim(F.regexp_replace("value", r"\r$", "")) != "")
+    split = lambda c: F.split(F.regexp_replace(c, r"\r$", ""), ",")
+    both = {c: h for h, c in (NUMBERS | COUNTS).items()} | {"date": "<DATE>"}
+    # what the path and the header tell is found once for each file: a header's place is NULL if it is not there
+    place = lambda h: (F.nullif(F.array_position("names", h), F.lit(0)) - 1).cast("int")
+    first = (lines.where("block = 0").groupBy("file_path").agg(F.min("line_id").alias("head_id"), F.min_by("value", "line_id").alias("head"))
+             .select("file_path", "head_id", asset_type_from_path(F.col("file_path"), raw_root).alias("asset_type"),
+                     symbol_from_path(F.col("file_path")).alias("symbol"), F.transform(split("head"), lambda x: F.trim(x)).alias("names"))
+             .where("asset_type is not null"))
     if asset_types:
-        known = known.where(F.col("asset_type").isin(sorted(asset_types)))
-    cells = lambda c: F.transform(F.split(F.regexp_replace(c, r"\r$", ""), ","), lambda x: F.trim(x))
-    first = known.where("block = 0").groupBy("file_path").agg(F.min("line_id").alias("head_id"), cells(F.min_by("value", "line_id")).alias("names"))
-    rows = known.join(first, "file_path").where("block > 0 or line_id <> head_id").withColumn("cells", cells(F.col("value")))
-
-    def field(header: str) -> Column:
-        """The cell under a header; NULL if the header or the cell is not there or empty."""
-        at = F.array_position("names", header)
-        return F.when(at > 0, F.nullif(F.get("cells", (at - 1).cast("int")), F.lit("")))
-
-    typed = {c: field(h).try_cast("double") for h, c in NUMBERS.items()}
-    typed |= {c: field(h).try_cast("double").try_cast("bigint") for h, c in COUNTS.items()}
-    both = {c: h for h, c in (NUMBERS | COUNTS).items()}
+        first = first.where(F.col("asset_type").isin(sorted(asset_types)))
+    first = first.select("file_path", "head_id", "asset_type", "symbol", F.size("names").alias("n_names"), *[place(h).alias(f"at_{c}") for c, h in both.items()],
+                         (F.size(F.array_except(F.array(*[F.lit(h) for h in REQUIRED_HEADERS]), "names")) > 0).alias("lacks"))
+    rows = lines.join(first, "file_path").where("block > 0 or line_id <> head_id").withColumn("cells", split("value"))
+    # the cell under a header; NULL if the header or the cell is not there or empty
+    raw = rows.select("file_path", "block", "line_id", "value", "asset_type", "symbol", "lacks", (F.size("cells") != F.col("n_names")).alias("ragged"),
+                      *[F.trim(F.get("cells", F.col(f"at_{c}"))).alias(f"raw_{c}") for c in both])
+    raw = raw.withColumns({f"raw_{c}": F.nullif(f"raw_{c}", F.lit("")) for c in both})
+    typed = raw.withColumns({"date": F.try_to_date("raw_date", "yyyyMMdd"), **{c: F.col(f"raw_{c}").try_cast("double") for c in NUMBERS.values()},
+                             **{c: F.col(f"raw_{c}").try_cast("double").try_cast("bigint") for c in COUNTS.values()}})
     bad = F.lit(False)
-    for c, h in both.items():
-        bad = bad | (field(h).isNotNull() & typed[c].isNull())
-    date = F.try_to_date(field("<DATE>"), "yyyyMMdd")
-    lacks = F.size(F.array_except(F.array(*[F.lit(h) for h in REQUIRED_HEADERS]), "names")) > 0
-    reason = (F.when(lacks, "missing required columns")
-              .when(F.size("cells") != F.size("names"), "field count differs from header")
-              .when(date.isNull(), "unparseable date")
+    for c in (*NUMBERS.values(), *COUNTS.values()):
+        bad = bad | (F.col(f"raw_{c}").isNotNull() & F.col(c).isNull())
+    reason = (F.when(F.col("lacks"), "missing required columns")
+              .when(F.col("ragged"), "field count differs from header")
+              .when(F.col("date").isNull(), "unparseable date")
               .when(bad, "unparseable number"))
-    return rows.select(
-        "file_path", symbol_from_path(F.col("file_path")).alias("symbol"), F.lit(market).alias("market"), "asset_type",
-        date.alias("date"), *[v.alias(c) for c, v in typed.items()],
+    return typed.select(
+        "file_path", "symbol", F.lit(market).alias("market"), "asset_type", "date", *NUMBERS.values(), *COUNTS.values(),
         F.struct("file_path", "block", "line_id").alias("src_pos"), F.col("value").alias("line"), reason.alias("reason"))
 
 
@@ -160,10 +162,12 @@ def extract_market(
     asset_types: set[str] | None = None,
     limit: int | None = None,
     reject: str = "row",
+    split_bytes: int | None = None,
 ) -> Extract:
     """Scan ``<raw_root>/<market>`` for ``*.txt``, parse each line once and store the result.
 
-    ``limit`` keeps the first symbols, by name, that have a good row.
+    ``limit`` keeps the first symbols, by name, that have a good row; ``split_bytes`` is the size
+    of the splits in which the raw files, and they alone, are read (Spark's own if not given).
     """
     market_dir = f"{raw_root.rstrip('/')}/{market}"
     if path_exists(spark, market_dir):
@@ -171,7 +175,8 @@ def extract_market(
     else:
         log.warning("Market directory not found: %s", market_dir)
         lines = spark.createDataFrame([], "file_path string, block bigint, line_id bigint, value string")
-    parsed = materialize(parse_lines(lines, raw_root, market, asset_types))
+    with split_size(spark, split_bytes) if split_bytes else nullcontext():
+        parsed = materialize(parse_lines(lines, raw_root, market, asset_types))
     bars = good_rows(parsed, reject)
     if limit is not None:
         bars = bars.join(bars.select("symbol").distinct().orderBy("symbol").limit(limit), "symbol", "left_semi")
