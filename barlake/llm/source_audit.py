@@ -55,28 +55,26 @@ _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of each term in each group, dealt out by (lang, term)."""
     names = ["lang", "source", "term", "n", "docs"]
-    low = (1 << 40) - 1  # a number holds both counts: documents in its low bits
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, int]] = {}
+        held: dict[tuple[str, str], tuple[Counter[bytes], Counter[bytes]]] = {}
 
         def send() -> Iterator[pa.RecordBatch]:
-            for (lang, source), terms in held.items():
+            for (lang, source), (terms, found) in held.items():
                 if terms:
                     same = [pa.array([v] * len(terms), pa.string()) for v in (lang, source)]
-                    yield pa.RecordBatch.from_arrays([*same, pa.array(list(terms), pa.binary()), pa.array([v >> 40 for v in terms.values()], pa.int64()),
-                                                      pa.array([v & low for v in terms.values()], pa.int64())], names)
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(list(terms), pa.binary()), pa.array(list(terms.values()), pa.int64()),
+                                                      pa.array([found[t] for t in terms], pa.int64())], names)
             held.clear()
 
         size = 0
         for batch in batches:
             for cut in slices(batch):
                 for lang, source, text in zip(*(cut.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                    terms = held.setdefault((lang, source), {})
+                    terms, found = held.get((lang, source)) or held.setdefault((lang, source), (Counter(), Counter()))
                     size -= len(terms)
-                    known = terms.get
-                    for term, n in Counter(text.translate(_BYTES).split()).items():
-                        terms[term] = known(term, 0) + (n << 40) + 1
+                    words = text.translate(_BYTES).split()
+                    terms.update(words)
+                    found.update(set(words))
                     size += len(terms)
                     if size > HELD:
                         yield from send()
@@ -106,7 +104,8 @@ class Audit:
 
     def __init__(self, docs: DataFrame, min_docs: int = MIN_DOCS):
         docs = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-        term = Window.partitionBy("lang", "term")
+        # the term first: rows are sorted by it, and few share its first bytes, while all of a language share theirs
+        term = Window.partitionBy("term", "lang")
         every = term.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         counts = term_counts(docs).select("lang", "term", "source", "n", F.sum("n").over(every).alias("lang_n"), F.sum("docs").over(every).alias("docs"),
                                           (F.row_number().over(term.orderBy("source")) == 1).alias("first")).where(F.col("docs") >= min_docs).drop("docs")
