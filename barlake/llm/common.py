@@ -28,14 +28,28 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile leaves no shuffle files; else they stay until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     It cuts lineage and pins what depends on the physical layout; a lost
-    executor only costs the tasks that were running.
+    executor only costs the tasks that were running.  Nothing reads the
+    shuffles behind it any more, so their files go.
     """
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

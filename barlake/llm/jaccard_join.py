@@ -21,6 +21,11 @@ shingles, frequent ones last, as two linked sets share one of these.  Sets
 that share a key are tied to the least of them, in each task first; a region
 is a component of these ties.  No link leaves its region.
 
+The larger the corpus, the more of these ties are chance, and chains of them
+grow into regions of sets that have nothing in common.  A large region is cut
+again by the shingles that few of its sets hold: a set that shares none of its
+rarest has no link, and goes.
+
 Inside a region, pivots do the work.  A large region takes pivots from its
 sets; each set goes to the Voronoi cell of its nearest pivot, and to each cell
 whose pivot is at most two link distances farther, so that both ends of a link
@@ -457,6 +462,110 @@ def _cells(big: DataFrame, pivots: int, percent: int, leaf: int) -> DataFrame:
     return dealt.mapInArrow(run, "region bigint, id bigint, n bigint, shingles binary, pivot boolean, cells array<int>, linked array<bigint>")
 
 
+def _dealt(to: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket of ``to``: the bucket, and the bytes of its part of each column."""
+    order = np.argsort(to, kind="stable")
+    cut = np.flatnonzero(np.diff(to[order], prepend=-1, append=-1)) if len(to) else np.zeros(0, np.int64)
+    pairs = list(zip(cut[:-1], cut[1:]))
+    packed = [pa.array([c[order[i:j]].tobytes() for i, j in pairs], pa.binary()) for c in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array([int(to[order[i]]) for i, _ in pairs], pa.int32()), *packed], ["bucket", *columns])
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], **kinds: type) -> Iterator[list[np.ndarray]]:
+    """The columns of each bucket, from rows of ``_dealt`` that are sorted by bucket."""
+    now, held = None, [[] for _ in kinds]
+    joined = lambda: [np.frombuffer(b"".join(x), kind) for x, kind in zip(held, kinds.values())]
+    for got in batches:
+        for i, bucket in enumerate(got.column("bucket").to_pylist()):
+            if bucket != now and held[0]:
+                yield joined()
+                held = [[] for _ in kinds]
+            now = bucket
+            for x, name in zip(held, kinds):
+                x.append(got.column(name)[i].as_py())
+    if held[0]:
+        yield joined()
+    give_back()
+
+
+def _rare_keys(big: DataFrame, percent: int, shingles: int) -> DataFrame:
+    """(key, id): the shingles by which a set of (region, id, n, shingles) can be linked within its region.
+
+    With the shingles of a region ordered by how many of its sets hold them,
+    linked sets share one of the first n - ceil(share n) + 1, and no set shares
+    one that it holds alone.  ``shingles`` is the number of all.
+    """
+    buckets = 1 + shingles // BUCKET_KEYS
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            part = np.cumsum(got.column("n").to_numpy(zero_copy_only=False)) // GATHER
+            for x in np.unique(part):
+                cut = got.take(pa.array(np.flatnonzero(part == x)))
+                sets = [np.frombuffer(s.as_py(), np.uint64) for s in cut.column("shingles")]
+                size = np.fromiter(map(len, sets), np.int64, len(sets))
+                with np.errstate(over="ignore"):  # the same shingle has another key in each region
+                    key = _mix(np.concatenate(sets) + np.repeat(_mix(cut.column("region").to_numpy(zero_copy_only=False).astype(np.uint64) + _A), size))
+                whose = np.repeat(cut.column("id").to_numpy(zero_copy_only=False), size)
+                yield _dealt(((key >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32), keys=key, ids=whose, sizes=np.repeat(size, size).astype(np.uint32))
+
+    def held_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, whose, size in _by_bucket(batches, keys=np.uint64, ids=np.int64, sizes=np.uint32):
+            order = np.lexsort((whose, key))
+            key, whose, size = key[order], whose[order], size[order]
+            once = np.concatenate([[True], (key[1:] != key[:-1]) | (whose[1:] != whose[:-1])])  # a set can come twice
+            key, whose, size = key[once], whose[once], size[once]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            count = np.diff(np.append(first, len(key)))
+            count = np.repeat(count, count)
+            more = count > 1
+            key, whose, size, count = key[more], whose[more], size[more], count[more]
+            yield _dealt((whose % buckets).astype(np.int32), keys=key, ids=whose, sizes=size, counts=count.astype(np.uint32))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, whose, size, count in _by_bucket(batches, keys=np.uint64, ids=np.int64, sizes=np.uint32, counts=np.uint32):
+            order = np.lexsort((key, count, whose))
+            key, whose, size = key[order], whose[order], size[order].astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]])) if len(whose) else np.zeros(0, np.int64)
+            shared = np.diff(np.append(first, len(whose)))
+            place = np.arange(len(whose)) - np.repeat(first, shared)
+            leading = place < size + (-percent * size) // 100 + 1 - (size - np.repeat(shared, shared))
+            yield pa.RecordBatch.from_arrays([pa.array(key[leading].view(np.int64)), pa.array(whose[leading])], ["key", "id"])
+
+    packed = "bucket int, keys binary, ids binary, sizes binary"
+    for step, schema in ((deal, packed), (held_by, f"{packed}, counts binary")):
+        big = big.mapInArrow(step, schema).repartition("bucket").sortWithinPartitions("bucket")
+    return big.mapInArrow(rarest, "key bigint, id bigint")
+
+
+def refined(sets: DataFrame, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
+    """The stored ``sets`` of (region, id, n, shingles, weight) in smaller regions, where these are larger than a leaf.
+
+    The keys of the first regions can be shared by chance, and a chain of such
+    ties holds sets together that have nothing in common.  Within a region it
+    is known which shingles are rare: only sets that share one of their rarest
+    stay together.  Sets that share none have no link and go, which makes other
+    shingles rarer, so this is done until the large regions stop shrinking.
+    """
+    sets, big = sets.where(F.col("weight") <= leaf), sets.where(F.col("weight") > leaf)
+    before = big.agg(F.sum("n")).first()[0]
+    while before:
+        keys = stored(_rare_keys(big, percent, before), "rare-keys")
+        least = keys.groupBy("key").agg(F.min("id").alias("b"))
+        ties = keys.withColumnRenamed("id", "a").join(least, "key").where("a <> b").select("a", "b")
+        tied = stored(components(ties), "refined-regions")
+        roots = tied.select(F.col("root").alias("id"), F.col("root").alias("region")).distinct()
+        finer = small_side(tied.select("id", F.col("root").alias("region")).unionByName(roots))
+        big = stored(_weighed(big.select("id", "n", "shingles").join(finer, "id").select("region", "id", "n", "shingles")), "region-sets")
+        sets = sets.unionByName(big.where(F.col("weight") <= leaf))
+        big = big.where(F.col("weight") > leaf)
+        now = big.agg(F.sum("n")).first()[0]
+        if not now or now > 0.9 * before:
+            break
+        before = now
+    return sets.unionByName(big)
+
+
 def region_links(sets: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, percent: int = PERCENT) -> DataFrame:
     """(a, b) links that tie each component of the stored (region, id, n, shingles, weight) together.
 
@@ -540,7 +649,8 @@ def similarity_components(docs: DataFrame, leaf: int = LEAF, pivots: int = PIVOT
            .select("region", "id", "n", F.xxhash64("m.doc_id", "m.th").alias("k")))
     one = small_side(stored(_weighed(one).drop("n"), "region-members"))
     texts = keyed.withColumn("k", F.xxhash64("doc_id", "th")).join(one, "k").select("region", "id", "text", "weight")
-    links = region_links(stored(_with_sets(texts, words), "region-sets"), leaf, pivots, percent)
+    sets = refined(stored(_with_sets(texts, words), "region-sets"), percent, leaf)
+    links = region_links(sets, leaf, pivots, percent)
     linked = small_side(stored(components(links), "linked"))
     placed = members.join(linked, members["set"] == linked["id"], "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "set", F.coalesce("root", "set").alias("component"))
     # stored, so that the join is between plain tables: a component of very many members is split over tasks

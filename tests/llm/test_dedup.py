@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
 import time
 
 import numpy as np
 import pytest
 from helpers import awkward, docs_table, near_copies, nothing, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from barlake.llm import graph, jaccard_join, span_dedup
@@ -277,3 +279,30 @@ def test_sets_of_over_half_a_leaf_come_to_an_end(spark, members, monkeypatch):
     monkeypatch.setattr(jaccard_join, "_cells", counted)
     links = jaccard_join.region_links(spark.createDataFrame(rows, "region bigint, id bigint, n bigint, shingles binary, weight bigint"), 1000, 2)
     assert {tuple(sorted(x)) for x in links.collect()} == ({(0, 1)} if members > 2 else set())
+
+
+def test_chance_ties_do_not_multiply_rows(spark, monkeypatch):
+    """Ties by chance put all sets in one region; sets without a link do not come to many blocks."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    passages = [[word() for _ in range(14)] for _ in range(60)]
+    texts = [[*rnd.choice(passages), *rnd.choice(passages), *[word() for _ in range(30)]] for _ in range(300)]
+    texts += [[*t[:-1], word()] for t in texts[::20]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    held, keep, tie = [], jaccard_join.stored, jaccard_join._members_and_ties
+
+    def stored(df, name):
+        out = keep(df, name)
+        held.append(out.count() if "shingles" in df.columns else 0)
+        return out
+
+    def all_tied(*given):
+        found = keep(tie(*given), "ties")
+        sets = found.where("set is not null").select(F.col("set").alias("a")).distinct()
+        return found.unionByName(sets.crossJoin(sets.agg(F.min("a").alias("b"))), allowMissingColumns=True)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    monkeypatch.setattr(jaccard_join, "_members_and_ties", all_tied)
+    found = {r.doc_id: r.component_id for r in jaccard_join.similarity_components(docs, leaf=1000, words=5, percent=80).collect()}
+    assert found == {i: i if i < 300 else 20 * (i - 300) for i in range(315)}
+    assert sum(held) < 3 * len(texts), held
